@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from . import chat_format
+from .exact_dedup import exact_dedup
 from .packing import pack
 
 
@@ -18,5 +21,39 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_packing,)}
+def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = exact_dedup(spark, f"{sf_dir}/documents.parquet")
+    return rows.select("doc_id", "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
+
+
+def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    told = "</s>[INST] ok [/INST]"
+    planted = spark.sql(f"SELECT CAST(-7 AS BIGINT) conv_id, CAST(t AS BIGINT) turn, r role, '{told}' text FROM VALUES (0, 'user'), (1, 'assistant') AS v(t, r)")
+    messages = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(planted)
+    return chat_format.digests(chat_format.read_back(chat_format.format_conversations(messages)))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_packing, op6_exact_dedup, op10_chat_format)}
 ORACLES: dict[str, str] = {}
+
+ORACLES["op6_exact_dedup"] = r'''
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', '', 'g') AS n FROM documents),
+r AS (SELECT doc_id, n, row_number() OVER w AS rn, first_value(doc_id) OVER w AS keep_id, count(*) OVER (PARTITION BY n) AS group_size
+      FROM d WINDOW w AS (PARTITION BY n ORDER BY length(t) DESC, doc_id))
+SELECT doc_id, keep_id, group_size, rn = 1 AS kept, sha256(n) AS text_sha256 FROM r
+'''
+
+ORACLES["op10_chat_format"] = r'''
+WITH m AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS t FROM conversations
+           UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+e AS (SELECT *, length(t) + length(regexp_replace(t, '[^\\]', '', 'g'))
+             + (length(t) - length(replace(t, '<s>', ''))) // 3 + (length(t) - length(replace(t, '</s>', ''))) // 4
+             + (length(t) - length(replace(t, '[INST]', ''))) // 6 + (length(t) - length(replace(t, '[/INST]', ''))) // 7
+             + (length(t) - length(replace(t, '<|', ''))) // 2 + (length(t) - length(replace(t, '|>', ''))) // 2 AS n FROM m)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || t || chr(10), '' ORDER BY turn)) AS turns_sha256,
+       CAST(sum(CASE WHEN role = 'assistant' THEN length(t) ELSE 0 END) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(t, '' ORDER BY turn) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       CAST(3 + sum(length(role) + n + 8) AS BIGINT) AS formatted_chars
+FROM e GROUP BY conv_id
+'''
