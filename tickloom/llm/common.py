@@ -89,3 +89,47 @@ def window_hashes(h: np.ndarray, k: int, seed: int = 1) -> np.ndarray:
     for i, m in enumerate(multipliers(k, seed)):
         out += (h[i : i + n] ^ (h[i : i + n] >> np.uint64(29))) * m
     return mixed(out)
+
+
+class Words:
+    """The words of many texts, end to end: hash, text number and position of each, and the words left in its text."""
+
+    def __init__(self, contents: list[bytes | None]):
+        self.lists = [t.split() if t else [] for t in contents]
+        self.n = np.fromiter(map(len, self.lists), np.int64, len(self.lists))
+        self.start = np.cumsum(self.n) - self.n
+        self.hash = np.empty(int(self.n.sum()), np.uint64)
+        for words, at in zip(self.lists, self.start.tolist(), strict=True):
+            self.hash[at : at + len(words)] = word_hashes(words)
+        self.text = np.repeat(np.arange(len(self.lists)), self.n)
+        self.position = np.arange(len(self.hash)) - self.start[self.text]
+
+    def windows(self, k: int, seed: int = 1) -> tuple[np.ndarray, np.ndarray]:
+        """First word (its place here) and hash of every window of k words that lies in one text."""
+        h = window_hashes(self.hash, k, seed)
+        at = np.flatnonzero((self.n[self.text] - self.position)[: len(h)] >= k)
+        return at, h[at]
+
+
+def planes(values: np.ndarray, n_bytes: int = 8) -> bytes:
+    """The low n_bytes of each number, all lowest bytes first, which a shuffle's codec shrinks well."""
+    return np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :n_bytes].T).tobytes()
+
+
+def from_planes(blob: bytes, n_bytes: int = 8) -> np.ndarray:
+    out = np.zeros((len(blob) // n_bytes, 8), np.uint8)
+    out[:, :n_bytes] = np.frombuffer(blob, np.uint8).reshape(n_bytes, -1).T
+    return out.view("<u8").ravel()
+
+
+def runs(ordered: np.ndarray) -> np.ndarray:
+    """Where runs of equal numbers start in an ordered array."""
+    return np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]]) if len(ordered) else np.empty(0, np.int64)
+
+
+def found_in(values: np.ndarray, ordered: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Place of each value in an ordered array, and whether it is there."""
+    if not len(ordered):
+        return np.zeros(len(values), np.int64), np.zeros(len(values), bool)
+    at = np.minimum(np.searchsorted(ordered, values), len(ordered) - 1)
+    return at, ordered[at] == values

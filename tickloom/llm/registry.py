@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from . import chat_format
 from .exact_dedup import exact_dedup
 from .packing import pack
+from .substring_dedup import remove_repeats
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,6 +27,10 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(_table(spark, sf_dir, "documents"), with_text=False).drop("kept_text")
+
+
 def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     told = "</s>[INST] ok [/INST]"
     planted = spark.sql(f"SELECT CAST(-7 AS BIGINT) conv_id, CAST(t AS BIGINT) turn, r role, '{told}' text FROM VALUES (0, 'user'), (1, 'assistant') AS v(t, r)")
@@ -33,7 +38,7 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.digests(chat_format.read_back(chat_format.format_conversations(messages)))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_packing, op6_exact_dedup, op10_chat_format)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_packing, op6_exact_dedup, op8_substring_dedup, op10_chat_format)}
 ORACLES: dict[str, str] = {}
 
 ORACLES["op6_exact_dedup"] = r'''
@@ -57,3 +62,17 @@ SELECT conv_id, count(*) AS n_turns,
        CAST(3 + sum(length(role) + n + 8) AS BIGINT) AS formatted_chars
 FROM e GROUP BY conv_id
 '''
+
+ORACLES["op8_substring_dedup"] = r'''
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+win AS (SELECT doc_id, unnest(range(1, len(ws) - 11)) AS p, ws FROM d),
+s AS (SELECT doc_id, p, array_to_string(ws[p:p + 12], ' ') AS s FROM win),
+m AS (SELECT s, min(doc_id) AS least FROM s GROUP BY s),
+dup AS (SELECT doc_id, p FROM s JOIN m USING (s) WHERE least < doc_id),
+gone AS (SELECT DISTINCT doc_id, p + k AS p FROM dup, unnest(range(0, 13)) AS t(k)),
+w AS (SELECT doc_id, unnest(ws) AS w, unnest(range(1, len(ws) + 1)) AS p FROM d),
+k AS (SELECT doc_id, string_agg(w, ' ' ORDER BY p) AS kept FROM w ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id),
+g AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN k USING (doc_id) LEFT JOIN g USING (doc_id)
+'''
