@@ -12,6 +12,7 @@ from . import chat_format
 from .exact_dedup import exact_dedup
 from .packing import pack
 from .substring_dedup import remove_repeats
+from .warc import read_archives, write_archives
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +23,11 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = read_archives(write_archives(_table(spark, sf_dir, "pages")), with_payload=False).where("kind = 'record'")
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = exact_dedup(spark, f"{sf_dir}/documents.parquet")
     return rows.select("doc_id", "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
@@ -38,7 +44,7 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.digests(chat_format.read_back(chat_format.format_conversations(messages)))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_packing, op6_exact_dedup, op8_substring_dedup, op10_chat_format)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_packing, op5_warc, op6_exact_dedup, op8_substring_dedup, op10_chat_format)}
 ORACLES: dict[str, str] = {}
 
 ORACLES["op6_exact_dedup"] = r'''
@@ -76,3 +82,15 @@ g AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id)
 SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
 FROM d LEFT JOIN k USING (doc_id) LEFT JOIN g USING (doc_id)
 '''
+
+ORACLES["op5_warc"] = r'''
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+g AS (SELECT *, min(page_id) OVER (PARTITION BY h) AS first, sha1(h) AS x FROM p),
+q AS (SELECT *, unnest(range(0, 8)) AS i FROM g),
+v AS (SELECT page_id, i, CAST('0x' || substr(x, CAST(5 * i + 1 AS INT), 5) AS INT) AS n FROM q),
+b AS (SELECT page_id, string_agg(substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', n // 32768 + 1, 1) || substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', n // 1024 % 32 + 1, 1)
+      || substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', n // 32 % 32 + 1, 1) || substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', n % 32 + 1, 1), '' ORDER BY i) AS d FROM v GROUP BY page_id)
+SELECT page_id, CAST(octet_length(encode(h)) AS BIGINT) AS payload_bytes, d AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> first THEN first END AS refers_to
+FROM g JOIN b USING (page_id)
+'''
