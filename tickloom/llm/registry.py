@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from . import chat_format
 from .exact_dedup import exact_dedup
 from .packing import pack
+from .secrets import find_secrets
 from .substring_dedup import remove_repeats
 from .warc import read_archives, write_archives
 
@@ -23,6 +24,10 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_secrets(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN).drop("secrets")
+
+
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = read_archives(write_archives(_table(spark, sf_dir, "pages")), with_payload=False).where("kind = 'record'")
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -44,7 +49,7 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.digests(chat_format.read_back(chat_format.format_conversations(messages)))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_packing, op5_warc, op6_exact_dedup, op8_substring_dedup, op10_chat_format)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_packing, op4_secrets, op5_warc, op6_exact_dedup, op8_substring_dedup, op10_chat_format)}
 ORACLES: dict[str, str] = {}
 
 ORACLES["op6_exact_dedup"] = r'''
