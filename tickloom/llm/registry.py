@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from . import chat_format
 from .exact_dedup import exact_dedup
+from .ngram_join import join_groups
 from .packing import pack
 from .secrets import find_secrets
 from .substring_dedup import remove_repeats
@@ -24,6 +25,10 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return join_groups(_table(spark, sf_dir, "documents"), n=3, percent=90)
+
+
 def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_secrets(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN).drop("secrets")
 
@@ -49,7 +54,7 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.digests(chat_format.read_back(chat_format.format_conversations(messages)))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_packing, op4_secrets, op5_warc, op6_exact_dedup, op8_substring_dedup, op10_chat_format)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_packing, op2_ngram_join, op4_secrets, op5_warc, op6_exact_dedup, op8_substring_dedup, op10_chat_format)}
 ORACLES: dict[str, str] = {}
 
 ORACLES["op6_exact_dedup"] = r'''
@@ -99,3 +104,14 @@ SELECT page_id, CAST(octet_length(encode(h)) AS BIGINT) AS payload_bytes, d AS p
        CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> first THEN first END AS refers_to
 FROM g JOIN b USING (page_id)
 '''
+
+ORACLES["op2_ngram_join"] = r'''
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+g AS (SELECT doc_id, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 3 THEN [1] ELSE range(1, len(ws) - 1) END) AS p, ws FROM d),
+s AS (SELECT DISTINCT doc_id, array_to_string(ws[p:p + 2], ' ') AS s FROM g),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+i AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS i FROM s a JOIN s b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM i JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * i >= 90 * (x.n + y.n - i)),
+r(doc_id, root) AS (SELECT doc_id, doc_id FROM d UNION SELECT l.b, r.root FROM r JOIN l ON l.a = r.doc_id)
+SELECT d.doc_id, coalesce(any_value(n), 0) AS n_shingles, min(root) AS component_id FROM d JOIN r USING (doc_id) LEFT JOIN n USING (doc_id) GROUP BY d.doc_id
+'''
