@@ -15,6 +15,7 @@ from .packing import pack
 from .quality import score_quality
 from .secrets import find_secrets
 from .substring_dedup import remove_repeats
+from .toxicity import score_toxicity
 from .warc import read_archives, write_archives
 
 
@@ -30,6 +31,10 @@ def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return join_groups(_table(spark, sf_dir, "documents"), n=3, percent=90)
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_secrets(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN).drop("secrets")
 
@@ -59,7 +64,7 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.digests(chat_format.read_back(chat_format.format_conversations(messages)))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_packing, op2_ngram_join, op4_secrets, op5_warc, op6_exact_dedup, op8_substring_dedup, op9_quality, op10_chat_format)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_packing, op2_ngram_join, op3_toxicity, op4_secrets, op5_warc, op6_exact_dedup, op8_substring_dedup, op9_quality, op10_chat_format)}
 ORACLES: dict[str, str] = {}
 
 ORACLES["op6_exact_dedup"] = r'''
