@@ -302,3 +302,10 @@ def _across(groups: DataFrame, labels: DataFrame, sets: DataFrame, percent: int)
         return _pairs(np.concatenate(a or none), np.concatenate(b or none))
 
     return rows.groupBy("list").applyInArrow(compare, "a long, b long").distinct()
+
+
+def keep_one_of_each(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
+    """The rows of docs with their group's least doc_id, with all columns; rows without an id stay if no id is in their group."""
+    groups = join_groups(docs, n, percent)
+    stays = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("stays")).distinct()
+    return docs.join(stays, F.col("doc_id").eqNullSafe(F.col("stays")), "left_semi")

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import chat_format
+from .decontamination import find_leaks
 from .exact_dedup import exact_dedup
 from .ngram_join import join_groups
 from .packing import pack
@@ -49,6 +50,10 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(_table(spark, sf_dir, "documents"), with_text=False).drop("kept_text")
 
@@ -64,7 +69,7 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.digests(chat_format.read_back(chat_format.format_conversations(messages)))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_packing, op2_ngram_join, op3_toxicity, op4_secrets, op5_warc, op6_exact_dedup, op8_substring_dedup, op9_quality, op10_chat_format)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_packing, op2_ngram_join, op3_toxicity, op4_secrets, op5_warc, op6_exact_dedup, op7_decontamination, op8_substring_dedup, op9_quality, op10_chat_format)}
 ORACLES: dict[str, str] = {}
 
 ORACLES["op6_exact_dedup"] = r'''
