@@ -373,3 +373,36 @@ def bad_stretches(spark, sf_dir):
     r = raw(spark, sf_dir).select("ref", F.lit("c").alias("clock"), F.floor(F.col("epoch") / 12).cast("long").alias("epoch"), "us", "event_id", F.floor(F.col("phase") / 8).cast("long").alias("phase"))
     c = series.one_epoch_changes(series.first_readings(r, ["ref", "clock"], ["us", "event_id"]), ["ref", "clock"])
     return stretches.bad_stretches(c, 6)
+
+
+def _history(spark, sf_dir):
+    """Pair rows of three references that measure each other and twelve clocks whose phases drift, with the events' gaps."""
+    from ..operators import folds
+
+    r = raw(spark, sf_dir).where("user_id % 4 < 3").select(F.concat(F.lit("mc"), (F.col("user_id") % 4).cast("string")).alias("ref"), (F.col("user_id") % 15).alias("n"), "epoch", "delta_us", "event_id")
+    clock = F.when(F.col("n") < 3, F.concat(F.lit("mc"), F.col("n").cast("string"))).otherwise(F.concat(F.lit("u"), F.col("n").cast("string")))
+    epoch = F.floor(F.col("epoch") / 24).cast("long")
+    phase = F.pmod(F.col("n") * epoch * 40 + F.col("event_id") % 5, F.lit(200_000)).cast("long")
+    data = r.select(F.lit("a").alias("channel"), "ref", clock.alias("clock"), epoch.alias("epoch"), (F.col("delta_us") % 1_000_000).alias("delta_us"), phase.alias("phase"), F.lit(3).alias("rms"), "event_id")
+    first = series.first_readings(data, ["channel", "ref", "clock"], ["event_id"])
+    value = F.struct(F.lit(2).alias("states"), F.lit(20.0).alias("m"), F.lit(30.0).alias("m_sigma"), F.lit(50.0).alias("sigma0"), F.lit(40).alias("gap_limit"), F.lit(12).alias("breaks_at"), F.lit(144.0).alias("fraction_epochs"), F.lit(0.5).alias("fraction_limit"), F.lit(50).alias("rms_limit"))
+    settings = first.select("clock").distinct().withColumn("settings", value)
+    rows = folds.pair_inputs(first, settings)
+    own = links.is_reference(F.col("clock"))
+    refs = folds.reference_rows(rows.where(own))
+    return refs.unionByName(folds.clock_rows(rows.where(~own), folds.reference_facts(refs))), settings
+
+
+@query()
+def pair_history(spark, sf_dir):
+    return _history(spark, sf_dir)[0]
+
+
+@query()
+def triple_history(spark, sf_dir):
+    from ..operators import folds
+
+    pairs, settings = _history(spark, sf_dir)
+    known = links.pair_registry(pairs.where("z IS NOT NULL"))
+    names = known.select(F.col("ref").alias("name")).union(known.select("clock")).distinct().withColumn("location", F.lit(1))
+    return folds.triple_rows(folds.triple_inputs(pairs, links.triple_registry(known, names).drop("since"), settings))
