@@ -60,15 +60,15 @@ def drop_unusable_days(values: DataFrame, limits: DataFrame, keys: Sequence[str]
 
 
 def drop_outliers(values: DataFrame, limits: DataFrame, keys: Sequence[str], value: str = "phase") -> DataFrame:
-    """values without rows whose changes to both neighbours (or to the only one) go beyond the limit in opposite senses."""
-    w = _ordered(keys)
-    step = lambda f, sign: F.when((f("epoch").over(w) - F.col("epoch")) == sign, wrapped((F.col(value) - f(value).over(w)) * -sign))
-    near = values.select("*", step(F.lag, -1).alias("_in"), step(F.lead, 1).alias("_out"), day_of_epoch(F.col("epoch")).alias("day"))
-    limited = near.join(limits.select(*keys, "day", "med", "limit"), [*keys, "day"], "left")
-    off = lambda c: F.when(F.abs(F.col(c) - F.col("med")) > F.col("limit"), F.signum(F.col(c) - F.col("med"))).otherwise(0)
-    has_in, has_out = F.col("_in").isNotNull(), F.col("_out").isNotNull()
-    outlier = F.when(has_in & has_out, off("_in") * off("_out") < 0).when(has_in, off("_in") != 0).when(has_out, off("_out") != 0).otherwise(False)
-    return limited.where(~F.coalesce(outlier, F.lit(False))).select(*values.columns)
+    """values without rows whose changes to both neighbours (or to the only one) go beyond their days' limits in opposite senses."""
+    off = F.when(F.abs(F.col("change") - F.col("med")) > F.col("limit"), F.signum(F.col("change") - F.col("med"))).otherwise(0)
+    judged = one_epoch_changes(values, keys, value).withColumn("day", day_of_epoch(F.col("epoch"))).join(limits, [*keys, "day"]).select(*keys, "epoch", off.alias("_off"))
+    before = judged.withColumnRenamed("_off", "_in")
+    after = judged.select(*keys, (F.col("epoch") - 1).alias("epoch"), F.col("_off").alias("_out"))
+    near = values.join(before, [*keys, "epoch"], "left").join(after, [*keys, "epoch"], "left")
+    both = F.col("_in").isNotNull() & F.col("_out").isNotNull()
+    outlier = F.when(both, F.col("_in") * F.col("_out") < 0).otherwise(F.coalesce("_in", "_out", F.lit(0)) != 0)
+    return near.where(~outlier).select(*values.columns)
 
 
 def split_at_jumps(values: DataFrame, limits: DataFrame, keys: Sequence[str], value: str = "phase") -> DataFrame:

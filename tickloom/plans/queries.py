@@ -77,10 +77,9 @@ def drop_unusable_days(spark, sf_dir):
     return series.drop_unusable_days(q, series.day_limits(series.one_epoch_changes(q, ["ref"]), ["ref"]), ["ref"])
 
 
-@query(f"""WITH {QUIET}, {QCH}, {LIMITS}, n AS (SELECT *, lag(epoch) OVER w = epoch - 1 AS hi, lead(epoch) OVER w = epoch + 1 AS ho,
-100000 - (((100000 - (phase - lag(phase) OVER w)) % 200000 + 200000) % 200000) AS i, 100000 - (((100000 - (lead(phase) OVER w - phase)) % 200000 + 200000) % 200000) AS o FROM quiet WINDOW w AS (PARTITION BY ref ORDER BY epoch)),
-s AS (SELECT n.*, CASE WHEN abs(i - med) > lim THEN sign(i - med) ELSE 0 END AS si, CASE WHEN abs(o - med) > lim THEN sign(o - med) ELSE 0 END AS so FROM n LEFT JOIN limits l ON l.ref = n.ref AND l.day = n.epoch // 144)
-SELECT ref, epoch, phase FROM s WHERE NOT coalesce(CASE WHEN coalesce(hi, false) AND coalesce(ho, false) THEN si * so < 0 WHEN coalesce(hi, false) THEN si <> 0 WHEN coalesce(ho, false) THEN so <> 0 ELSE false END, false)""")
+@query(f"""WITH {QUIET}, {QCH}, {LIMITS}, j AS (SELECT ch.ref, ch.epoch, CASE WHEN abs(change - med) > lim THEN sign(change - med) ELSE 0 END AS s FROM ch JOIN limits l ON l.ref = ch.ref AND l.day = ch.epoch // 144)
+SELECT q.ref, q.epoch, q.phase FROM quiet q LEFT JOIN j i ON i.ref = q.ref AND i.epoch = q.epoch LEFT JOIN j o ON o.ref = q.ref AND o.epoch = q.epoch + 1
+WHERE NOT (CASE WHEN i.s IS NOT NULL AND o.s IS NOT NULL THEN i.s * o.s < 0 ELSE coalesce(i.s, o.s, 0) <> 0 END)""")
 def drop_outliers(spark, sf_dir):
     q = quiet(spark, sf_dir)
     return series.drop_outliers(q, series.day_limits(series.one_epoch_changes(q, ["ref"]), ["ref"]), ["ref"]).select("ref", "epoch", "phase")
@@ -406,3 +405,24 @@ def triple_history(spark, sf_dir):
     known = links.pair_registry(pairs.where("z IS NOT NULL"))
     names = known.select(F.col("ref").alias("name")).union(known.select("clock")).distinct().withColumn("location", F.lit(1))
     return folds.triple_rows(folds.triple_inputs(pairs, links.triple_registry(known, names).drop("since"), settings))
+
+
+@query()
+def noise_models(spark, sf_dir):
+    from ..operators import noise
+
+    values = readings(spark, sf_dir).select(F.lit("c").alias("clock"), "ref", F.lit(0).alias("piece"), "epoch", (F.col("phase") % 1000).cast("double").alias("value"))
+    return noise.characterize(values, 144)
+
+
+@query(f"""WITH {READINGS}, s AS (SELECT ref, epoch, phase / 1000.0::DOUBLE AS nu, row_number() OVER (PARTITION BY ref ORDER BY epoch) AS n FROM readings QUALIFY n <= 400),
+r AS (WITH RECURSIVE r AS (SELECT ref, n, epoch, nu, sqrt(greatest((1 - 0.125) * 100.0 ** 2 + 0.125 * nu ** 2, 4.0)) AS scale, CASE WHEN nu > 100 THEN 0.125 ELSE 0.0 END::DOUBLE AS f FROM s WHERE n = 1
+ UNION ALL SELECT s.ref, s.n, s.epoch, s.nu, sqrt(greatest((1 - 0.125) * r.scale ** 2 + 0.125 * s.nu ** 2, 4.0)), (1 - 0.125) * r.f + CASE WHEN s.nu > 100 THEN 0.125 ELSE 0 END FROM r JOIN s ON s.ref = r.ref AND s.n = r.n + 1) SELECT * FROM r)
+SELECT ref, max(n) AS n, round(arg_max(scale, n), 6) AS scale, round(arg_max(f, n), 6) AS reject_fraction FROM r GROUP BY ref""")
+def scale_fold(spark, sf_dir):
+    w = Window.partitionBy("ref").orderBy("epoch")
+    first = readings(spark, sf_dir).withColumn("n", F.row_number().over(w)).where("n <= 400")
+    nus = F.transform(F.array_sort(F.collect_list(F.struct("n", (F.col("phase") / 1000).alias("nu")))), lambda x: x["nu"])
+    scale = F.aggregate(nus, F.lit(100.0), lambda s, nu: F.sqrt(F.greatest(F.lit(0.875) * s * s + F.lit(0.125) * nu * nu, F.lit(4.0))))
+    fraction = F.aggregate(nus, F.lit(0.0), lambda f, nu: F.lit(0.875) * f + F.when(nu > 100, 0.125).otherwise(0.0))
+    return first.groupBy("ref").agg(F.max("n").cast("long").alias("n"), F.round(scale, 6).alias("scale"), F.round(fraction, 6).alias("reject_fraction"))
