@@ -426,3 +426,35 @@ def scale_fold(spark, sf_dir):
     scale = F.aggregate(nus, F.lit(100.0), lambda s, nu: F.sqrt(F.greatest(F.lit(0.875) * s * s + F.lit(0.125) * nu * nu, F.lit(4.0))))
     fraction = F.aggregate(nus, F.lit(0.0), lambda f, nu: F.lit(0.875) * f + F.when(nu > 100, 0.125).otherwise(0.0))
     return first.groupBy("ref").agg(F.max("n").cast("long").alias("n"), F.round(scale, 6).alias("scale"), F.round(fraction, 6).alias("reject_fraction"))
+
+
+REJECTS = f"""{RAW}, rj AS (SELECT 'u' || CAST(user_id % 10 AS VARCHAR) AS clock, ref, epoch // 3 AS epoch FROM raw WHERE user_id % 3 = 0),
+sh AS (SELECT epoch FROM rj GROUP BY epoch HAVING count(DISTINCT clock) >= 3)"""
+
+
+def _rejects(spark, sf_dir):
+    r = raw(spark, sf_dir).where("user_id % 3 = 0")
+    return r.select(F.concat(F.lit("u"), (F.col("user_id") % 10).cast("string")).alias("clock"), F.array("ref").alias("refs"), F.floor(F.col("epoch") / 3).cast("long").alias("epoch"))
+
+
+@query(f"""WITH {REJECTS}, c AS (SELECT clock, epoch, count(*) AS n FROM rj WHERE epoch NOT IN (SELECT epoch FROM sh) GROUP BY ALL),
+f AS (SELECT *, coalesce(CAST(epoch - lag(epoch) OVER (PARTITION BY clock ORDER BY epoch) - 1 >= 8 AS INT), 1) AS f FROM c), i AS (SELECT *, sum(f) OVER (PARTITION BY clock ORDER BY epoch) AS i FROM f)
+SELECT clock, min(epoch) AS first, max(epoch) + 1 AS stop, CAST(sum(n) AS BIGINT) AS rejections, count(*) AS rejected_epochs FROM i GROUP BY clock, i HAVING max(epoch) + 1 - min(epoch) >= 8 AND count(*) >= 0.2 * (max(epoch) + 1 - min(epoch))""")
+def reject_stretches(spark, sf_dir):
+    from ..operators import rejects
+
+    none = spark.createDataFrame([], "clock string, start long, end long, open_ended boolean")
+    found = rejects.reject_stretches(_rejects(spark, sf_dir), none, 8, 0.2, 3)
+    # without disabled spans every burst is a stretch, as bursts are at least so far apart
+    return found.select("clock", F.col("start").alias("first"), F.col("end").alias("stop"), "rejections", "rejected_epochs")
+
+
+@query(f"""WITH {REJECTS}, f AS (SELECT *, coalesce(CAST(epoch - lag(epoch) OVER (ORDER BY epoch) - 1 >= 8 AS INT), 1) AS f FROM sh), i AS (SELECT *, sum(f) OVER (ORDER BY epoch) AS i FROM f),
+sp AS (SELECT min(epoch) AS first, max(epoch) + 1 AS stop FROM i GROUP BY i), h AS (SELECT sp.*, rj.* FROM rj JOIN sp ON rj.epoch >= first AND rj.epoch < stop),
+tc AS (SELECT first, ref, count(*) AS n FROM h GROUP BY first, ref), t AS (SELECT *, row_number() OVER (PARTITION BY first ORDER BY n DESC, ref) AS rn FROM tc), m AS (SELECT first, max(n) AS most FROM (SELECT first, epoch, count(DISTINCT clock) AS n FROM h GROUP BY ALL) GROUP BY first)
+SELECT h.first, h.stop, any_value(m.most) AS most_clocks, any_value(t.ref) AS reference, any_value(t.n) AS through_reference, count(*) AS rejections FROM h JOIN t ON t.first = h.first AND rn = 1 JOIN m ON m.first = h.first GROUP BY h.first, h.stop""")
+def shared_stretches(spark, sf_dir):
+    from ..operators import rejects
+
+    found = rejects.shared_stretches(_rejects(spark, sf_dir), 8, 3)
+    return found.select(F.col("start").alias("first"), F.col("end").alias("stop"), "most_clocks", "reference", "through_reference", "rejections")
