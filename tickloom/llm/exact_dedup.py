@@ -100,6 +100,7 @@ def exact_dedup(spark: SparkSession, path: str, id_col: str = "doc_id", text_col
     empty = rows.isEmpty()
     states = spark.createDataFrame([], states_schema) if empty else spark.read.schema(states_schema).parquet(f"{work}/states")
     newest = states.groupBy("digest").agg(F.max_by(F.struct("best", "group_size"), "batch").alias("s")).select("digest", "s.best", "s.group_size")
+    newest = staged(newest, "exact-dedup-states")  # so that both sides of the last join are shuffles, whose hot partitions Spark splits
 
     contents = spark.read.schema(schema).parquet(path).select(digest(text).alias("digest"), text.alias("content"))
     variants = contents.groupBy("digest", "content").agg(F.count(F.lit(1)).alias("n")).groupBy("digest").agg(F.count(F.lit(1)).alias("variants"))
