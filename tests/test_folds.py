@@ -79,7 +79,7 @@ def readings(spark, epochs=60):
             for j, clock in enumerate(clocks):
                 if (e * 7 + i * 3 + j) % 23 == 0 or (clock == "u2" and 20 <= e < 24):
                     continue
-                drift = 0 if ref == clock else (j - i) * 300 * e + (e * 31 + i * 17 + j * 5) % 7
+                drift = (e * 5 + i + j) % 3 if clock in names else (j - i) * 300 * e + (e * 31 + i * 17 + j * 5) % 7
                 jump = 5000 if clock == "u1" and e >= 40 else 200_000 if (ref, clock, e) == ("mc2", "u2", 30) else 0
                 rows.append(("a", ref, clock, 1000 + e, 1_000_000 * (i + j), (drift + jump) % 200_000, 3))
     return spark.createDataFrame(rows, "channel string, ref string, clock string, epoch long, delta_us long, phase long, rms int")
@@ -101,4 +101,14 @@ def test_staged_folds_track_every_series(spark):
     local = made.where("r = s").join(clocks.select("epoch", F.col("ref").alias("s"), F.col("clock").alias("c"), F.col("z").alias("own"), "flags"), ["epoch", "s", "c"])
     assert local.where("z IS NOT NULL AND z <> own").count() == 0
     out = folds.triple_rows(made)
-    assert {r.flags for r in out.where("epoch = 1030").collect()} <= {"A", "AU", "P", "PU", "RD"} and out.count() > 60
+    assert {r.flags for r in out.where("epoch = 1030").collect()} <= {"A", "AU", "P", "PU", "RD"} and out.count() > 100
+
+
+def test_disabled_readings_are_kept_and_the_series_starts_anew(spark):
+    data = readings(spark, 30).where("ref = 'mc1' AND clock = 'u1'")
+    settings = spark.createDataFrame([("u1", (2, 20.0, 30.0, 50.0, 40, 12, 144.0, 0.5, 50))], f"clock string, settings {folds.SETTINGS}")
+    off = spark.range(1010, 1015).select(F.lit("u1").alias("clock"), F.col("id").alias("epoch"))
+    inputs = folds.pair_inputs(data, settings, disabled=off).withColumn("facts", F.lit(None).cast("array<struct<ref string>>"))
+    rows = {r.epoch: r for r in folds._folded(inputs, ["channel", "clock"], False).collect()}
+    assert [rows[e].flags for e in (1010, 1012, 1014)] == ["O"] * 3 and rows[1010].z == rows[1009].z
+    assert rows[1015].flags == "RD" and rows[1029].flags.startswith("A")

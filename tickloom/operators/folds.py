@@ -8,7 +8,8 @@ only on accepted pairs. So three grouped folds and the joins between them do the
 3. `triple_rows`, by channel and triple: double differences, made by joins.
 
 A group is one sorted stream of rows; a fold keeps one small state a series. Epochs without readings are walked through only
-while some series is still tracked. Null phases are missing readings.
+while some series is still tracked. Null phases are missing readings; a disabled
+clock's readings are kept in rows of flag O and not filtered.
 """
 
 from __future__ import annotations
@@ -61,8 +62,14 @@ def _pair_fold(table: pa.Table, is_reference: bool) -> Iterator[dict]:
     rows, channel = _by_epoch(table), table.column("channel")[0].as_py()
     tracks: dict[tuple[str, str], Track] = {}
     settings: dict[tuple[str, str], Settings] = {}
+    last_z: dict[tuple[str, str], int] = {}
     for epoch in _epochs(sorted(rows), lambda: any(t.tracked for t in tracks.values())):
-        here = {(r["ref"], r["clock"]): r for r in rows.get(epoch, []) if r["phase"] is not None}
+        read = {(r["ref"], r["clock"]): r for r in rows.get(epoch, []) if r["phase"] is not None}
+        here = {p: r for p, r in read.items() if not r["disabled"]}
+        for pair, r in sorted(read.items()):
+            if r["disabled"]:  # the reading and the last phase are kept, and the series starts anew when it is enabled
+                tracks[pair], settings[pair] = Track(), Settings(**r["settings"])
+                yield {"channel": channel, "ref": pair[0], "clock": pair[1], "epoch": epoch, "cycles": None, "z": last_z.get(pair), "rms": r["rms"], "predicted_fs": None, "started_cold": False, "nu": None, "prior_scale": None, "excluded": False, "ref_held": False} | _state(Track(flags="O"))
         facts = next((r["facts"] for r in rows.get(epoch, []) if r.get("facts")), None) or []
         for pair, r in here.items():
             settings[pair] = Settings(**r["settings"])
@@ -91,12 +98,15 @@ def _pair_fold(table: pa.Table, is_reference: bool) -> Iterator[dict]:
             moved, unsure = screening.slips_of(state, names, next(iter(off))[1], {p: t.flags for p, t in tracks.items() if t.epoch is not None})
             corrections, undecided = moved, unsure
         for pair in sorted(tracks):
+            if pair in read and pair not in here:
+                continue
             track, r, p = tracks[pair], here.get(pair), predicted[pair]
             reading, cycles, z = None, None, None
             if r is not None:
                 k = corrections.get(pair, 0)
                 cycles, z = found[pair][0] + k, found[pair][1] + k * 200_000
                 reading = Reading(z, float(r["rms"]), r["rms"], slip=pair in corrections)
+                last_z[pair] = z
             prior = track.scale if p is not None else None
             cold = track.step(epoch, settings[pair], p, reading, excluded=pair in state.excluded or pair in undecided, held=pair in state.held)
             if "D" in track.flags and "P" in track.flags:
@@ -151,14 +161,18 @@ def clock_rows(rows: DataFrame, facts: DataFrame) -> DataFrame:
     return _folded(rows.join(facts, ["channel", "epoch"], "left"), ["channel", "clock"], False)
 
 
-def pair_inputs(readings: DataFrame, settings: DataFrame, steering: DataFrame | None = None, within: DataFrame | None = None) -> DataFrame:
+def pair_inputs(readings: DataFrame, settings: DataFrame, steering: DataFrame | None = None, within: DataFrame | None = None, disabled: DataFrame | None = None) -> DataFrame:
     """Readings (channel, ref, clock, epoch, delta_us, phase, rms) with settings (clock, settings) and steering columns.
 
-    steering has (ref, clock, epoch, move, rate) a pair, within (ref, epoch, within) a reference.
+    steering has (ref, clock, epoch, move, rate) a pair, within (ref, epoch, within) a reference, disabled (clock, epoch).
     """
     rows = readings.join(settings, "clock").select("channel", "ref", "clock", "epoch", F.col("delta_us").alias("offset_us"), "phase", "rms", F.col("settings").cast(SETTINGS).alias("settings"))
     rows = rows.join(steering.select("ref", "clock", "epoch", "move", "rate"), ["ref", "clock", "epoch"], "left") if steering is not None else rows.select("*", F.lit(0.0).alias("move"), F.lit(0.0).alias("rate"))
-    return rows.join(within.select("ref", "epoch", "within"), ["ref", "epoch"], "left") if within is not None else rows.withColumn("within", F.lit(0.0))
+    rows = rows.join(within.select("ref", "epoch", "within"), ["ref", "epoch"], "left") if within is not None else rows.withColumn("within", F.lit(0.0))
+    if disabled is None:
+        return rows.withColumn("disabled", F.lit(False))
+    off = disabled.select("clock", "epoch", F.lit(True).alias("_off")).distinct()
+    return rows.join(off, ["clock", "epoch"], "left").select(*rows.columns, F.coalesce("_off", F.lit(False)).alias("disabled"))
 
 
 def triple_inputs(pairs: DataFrame, triples: DataFrame, settings: DataFrame) -> DataFrame:
