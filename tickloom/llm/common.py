@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import tempfile
+import time
 import uuid
 
 import numpy as np
@@ -39,8 +40,10 @@ def staged(df: DataFrame, name: str) -> DataFrame:
 
 def free_shuffles(spark: SparkSession) -> None:
     """Let Spark's cleaner drop the shuffle files of plans that nothing refers to any more."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(2):  # the second round takes what the first let go of
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.2)
 
 
 def texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:

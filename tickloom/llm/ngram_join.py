@@ -2,21 +2,25 @@
 
 Two sets link when their Jaccard similarity reaches a bound g. Then their sizes differ by a factor of at most 1/g, and
 their symmetric difference is at most k = (|x| + |y|) (1 - g) / (1 + g). Sizes fall into bands [l, l/g], and a set takes
-part in its own band's join and the next one's. In a band the n-grams' domain is cut by a hash into n1 parts of N2 cells
-each, with n1 so large that two linked sets differ in at most one cell of some part; for every part and every choice of
-N2 - 1 of its cells, the n-grams in those cells make a signature. So linked sets share a signature. Steps:
+part in its own band's join and the next one's. In a band the n-grams' domain is cut by a hash into n1 parts of n2 cells
+each, with n1 so large that two linked sets differ in at most k2 cells of some part (of SPARE parts, where k is large); for
+every part and every choice of n2 - k2 of its cells, the n-grams in those cells make a signature. So linked sets share a
+signature. Signatures without any n-gram would gather unlike sets: a set with fewer than SPARE parts that have one leaves
+them out, as then some part in which it agrees with a linked set has none. k2 and n2 follow from g, so that a signature
+covers six n-grams or so at least. Steps:
 
 1. Each document's set is built once. Copies of a set share its key and from here on count as one. Signatures go, with
-   keys, to hash blocks, which return the groups of keys with the same signature; equal groups count once.
-2. The sets of grouped keys are built and staged, with a sketch (counts of n-grams in 128 buckets).
-3. Every group's least key is compared with the other members; the links give components.
-4. Members of different components in one group are compared: first their sizes and sketches, whose distance is never
-   above the symmetric difference, inside the group; the few pairs that pass are compared exactly.
-5. Components of all links. Pairs inside a component need no comparison, as they cannot change the groups.
-
-Every comparison that could join two components is made, so the groups are exact up to chance equality of 64-bit hashes.
-A group with a third of all documents costs one comparison a member, plus sketches against other components; groups are
-handled in pieces of at most PIECE members. Sets are held as 48-bit numbers, and a block's sets at a time.
+   keys, to hash blocks, which return the groups of keys with the same signature; equal groups count once. Each key keeps a
+   sketch (counts of n-grams in 128 buckets); sketches are never further apart than their sets.
+2. Every group's least key is compared with the other members, by sizes and sketches first, and the sets of the pairs that
+   pass are built and staged. Each member is compared exactly with the nearest, then with those still in other components.
+3. Members of different components in one group are compared: sizes and sketches inside the group, and the few pairs that
+   pass by their sets. Components of all links.
+
+Pairs inside a component need no comparison, as they cannot change the groups; every comparison that could join two
+components is made, so the groups are exact up to chance equality of 64-bit hashes. A group with a third of all documents
+costs one comparison a member, plus sketches against other components; groups are handled in pieces of at most PIECE
+members. Sets are held as 48-bit numbers, and a block's sets at a time.
 
 Defined results: texts without words, or null, have an empty set and link with nothing; fewer than n words make one gram;
 rows with a null id are joined like others, and a component of only such rows has a null id, a component_id being the
@@ -25,7 +29,9 @@ least of the ids that are there; repeated rows are copies; an empty table gives
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -35,8 +41,8 @@ from pyspark.sql import functions as F
 from .common import Words, free_shuffles, from_planes, mixed, planes, runs, staged, texts, window_hashes
 from .components import components
 
-#: Cells in each part of the domain; signatures leave out one of them.
-N2 = 3
+#: Parts in which linked sets agree, where k is at least LARGE_K; below, one.
+SPARE, LARGE_K = 3, 24
 SKETCH = 128
 SET_BYTES = 6
 #: Members of a group that are compared in one piece.
@@ -54,10 +60,19 @@ def size_bands(percent: int, largest: int) -> list[tuple[int, int]]:
     return bands
 
 
+def cells_of_parts(percent: int) -> tuple[int, int]:
+    """(k2, n2): cells of a part that a signature leaves out, and its cells, for six n-grams a signature on average."""
+    share = (100 - percent) / (100 + percent)
+    for k2, n2 in ((1, 3), (2, 5), (3, 7)):
+        if (k2 + 1) / (2 * share) * (n2 - k2) / n2 >= 5.9:
+            return k2, n2
+    return 3, 7
+
+
 def band_parts(high: int, percent: int) -> int:
     """Parts in a band whose larger sets have up to high n-grams; 0 where only equal sets can link."""
     k = 2 * high * (100 - percent) // (100 + percent)
-    return k // 2 + 1 if k else 0
+    return k // (cells_of_parts(percent)[0] + 1) + (SPARE if k >= LARGE_K else 1) if k else 0
 
 
 class Sets:
@@ -92,22 +107,34 @@ class Sets:
         bands = size_bands(percent, int(self.size.max()))
         band = np.searchsorted([high for _, high in bands], self.size)
         parts = np.array([band_parts(high, percent) for _, high in bands])
+        spare = np.array([SPARE if 2 * high * (100 - percent) // (100 + percent) >= LARGE_K else 1 for _, high in bands])
+        k2, n2 = cells_of_parts(percent)
+        kept = np.zeros((n2, math.comb(n2, k2)), bool)
+        for i, cells in enumerate(combinations(range(n2), n2 - k2)):
+            kept[list(cells), i] = True
         owners, found = [], []
         for up in (0, 1):
-            n1 = np.where(self.size > 0, parts[np.minimum(band + up, len(bands) - 1)], 0)
-            cells = N2 * n1
+            own = np.minimum(band + up, len(bands) - 1)
+            n1 = np.where(self.size > 0, parts[own], 0)
+            cells = n2 * n1
             first = np.cumsum(cells) - cells
             used = n1[self.text] > 0
             gram, text = self.gram[used], self.text[used]
             cell = first[text] + (mixed(gram + np.uint64(99)) % cells[text].astype(np.uint64)).astype(np.int64)
             total = int(cells.sum())
             low, high = (np.bincount(cell, weights=v.astype(float), minlength=total).astype(np.uint64) for v in (gram & _LOW, gram >> np.uint64(32)))
-            sums = mixed(low * np.uint64(0x9E3779B97F4A7C15) + high * np.uint64(0xC2B2AE3D27D4EB4F)).reshape(-1, N2)
-            without = (sums.sum(axis=1, dtype=np.uint64, keepdims=True) - sums).ravel()
-            owner = np.repeat(np.arange(len(n1)), cells)
-            place = (band[owner] + up).astype(np.uint64) << np.uint64(32) | (np.arange(total) - first[owner]).astype(np.uint64)
-            owners.append(owner)
-            found.append(mixed(without + mixed(place)))
+            sums = mixed(low * np.uint64(0x9E3779B97F4A7C15) + high * np.uint64(0xC2B2AE3D27D4EB4F)).reshape(-1, n2)
+            held = np.bincount(cell, minlength=total).reshape(-1, n2)
+            covered = np.column_stack([sums[:, kept[:, i]].sum(axis=1, dtype=np.uint64) for i in range(kept.shape[1])])
+            bare = np.column_stack([held[:, kept[:, i]].sum(axis=1) == 0 for i in range(kept.shape[1])])
+            owner = np.repeat(np.arange(len(n1)), n1)
+            bare_parts = np.bincount(owner, weights=bare.any(axis=1), minlength=len(n1))
+            stays = ~bare | (bare_parts >= spare[own])[owner][:, None]
+            part = np.arange(len(owner)) - (first // n2)[owner]
+            place = (((band[owner] + up).astype(np.uint64) << np.uint64(32)) | part.astype(np.uint64))[:, None] * np.uint64(64) + np.arange(kept.shape[1], dtype=np.uint64)
+            signature = mixed(covered + mixed(place))
+            owners.append(np.broadcast_to(owner[:, None], stays.shape)[stays])
+            found.append(signature[stays])
         return np.concatenate(owners), np.concatenate(found)
 
     def sketch(self, i: int) -> bytes:
@@ -137,16 +164,25 @@ def join_groups(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "d
     source = texts(docs, id_col, text_col)
     found = staged(_grouped(source, n, percent, blocks), "ngram-groups")
     free_shuffles(spark)
-    rows = found.where("kind = 'doc'").select("doc_id", "key", "n_shingles")
+    rows = found.where("kind = 'doc'").select("doc_id", "key", "n_shingles", "sketch")
     groups = staged(found.where("kind = 'group'").select("list", "center", "members", "others").dropDuplicates(["list"]), "ngram-lists")
     pairs = groups.where("others IS NULL").select(F.col("center").alias("a"), F.explode("members").alias("b")).where("a <> b").distinct()
-    sets = staged(_wanted_sets(source, rows, groups, n), "ngram-sets")
+    known = rows.where("n_shingles > 0").groupBy("key").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id")).alias("h"), F.first("n_shingles").alias("size"), F.first("sketch").alias("sketch"))
+    profiles = staged(known.select("key", F.col("h.doc_id").alias("holder"), "size", "sketch"), "ngram-profiles")
+    alike = staged(_alike(pairs, profiles, percent), "ngram-pairs")
     free_shuffles(spark)
-    links = staged(_linked(pairs, sets, percent, blocks), "ngram-links")
+    sets = _sets(alike, source, profiles, n)
+    nearest = alike.groupBy("b").agg(F.min(F.struct("apart", "a")).alias("near")).select("near.a", "b")
+    links = _links(nearest, sets, percent, blocks)
     labels = components(links)
-    more = staged(_linked(_across(groups, labels, sets, percent), sets, percent, blocks), "ngram-links")
-    if not more.isEmpty():
-        labels = components(links.union(more))
+    left_over = staged(_apart(alike, labels), "ngram-pairs")
+    if not left_over.isEmpty():
+        links = links.union(_links(left_over, sets, percent, blocks))
+        labels = components(links)
+    across = staged(_across(groups, labels, profiles, percent), "ngram-pairs")
+    free_shuffles(spark)
+    if not across.isEmpty():
+        labels = components(links.union(_links(across, _sets(across, source, profiles, n), percent, blocks)))
     roots = rows.where("n_shingles > 0").select("doc_id", "key").join(labels, F.col("key") == labels.node, "left").select("doc_id", "key", F.coalesce("root", "key").alias("root"))
     least = roots.groupBy("root").agg(F.min("doc_id").alias("least"))
     by_key = roots.groupBy("key").agg(F.first("root").alias("root")).join(least, "root").select("key", "least")
@@ -163,7 +199,7 @@ def _grouped(source: DataFrame, n: int, percent: int, blocks: int) -> DataFrame:
                 part = batch.slice(lo, 2000)
                 sets = Sets(_binary(part.column("text")), n)
                 ids = part.column("doc_id").fill_null(_NO_ID).to_numpy(zero_copy_only=False)
-                out = [((number + lo) % blocks, "doc", planes(ids.view(np.uint64)), planes(sets.key.view(np.uint64)), planes(sets.size.view(np.uint64), 4))]
+                out = [((number + lo) % blocks, "doc", planes(ids.view(np.uint64)), planes(sets.key.view(np.uint64)), planes(sets.size.view(np.uint64), 4), b"".join(map(sets.sketch, range(part.num_rows))))]
                 distinct = np.zeros(part.num_rows, bool)
                 distinct[np.unique(sets.key, return_index=True)[1]] = True
                 owner, signature = sets.signatures(percent)
@@ -174,8 +210,11 @@ def _grouped(source: DataFrame, n: int, percent: int, blocks: int) -> DataFrame:
                 starts = runs(block[order])
                 for a, z in zip(starts, [*starts[1:], len(order)], strict=True):
                     at = order[a:z]
-                    out.append((int(block[at[0]]), "signature", planes(signature[at], SET_BYTES), planes(sets.key[owner[at]].view(np.uint64)), None))
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int32(), pa.string(), pa.binary(), pa.binary(), pa.binary()), strict=True)], names=["part", "what", "x", "y", "z"])
+                    at = at[np.argsort(owner[at], kind="stable")]
+                    first = runs(owner[at])
+                    times = np.diff(np.r_[first, len(at)]).astype(np.uint64)
+                    out.append((int(block[at[0]]), "signature", planes(signature[at], SET_BYTES), planes(sets.key[owner[at][first]].view(np.uint64)), planes(times, 4), None))
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int32(), pa.string(), pa.binary(), pa.binary(), pa.binary(), pa.binary()), strict=True)], names=["part", "what", "x", "y", "z", "sketches"])
 
     def gather(table: pa.Table) -> pa.Table:
         what = np.array(table.column("what").to_pylist())
@@ -184,8 +223,9 @@ def _grouped(source: DataFrame, n: int, percent: int, blocks: int) -> DataFrame:
         ids = np.concatenate([from_planes(x[i]).view(np.int64) for i in docs] or [np.empty(0, np.int64)])
         keys = np.concatenate([from_planes(y[i]).view(np.int64) for i in docs] or [np.empty(0, np.int64)])
         sizes = np.concatenate([from_planes(z[i], 4).view(np.int64) for i in docs] or [np.empty(0, np.int64)])
+        sketches = [b[i : i + SKETCH] for k in docs for b in [table.column("sketches")[k].as_py()] for i in range(0, len(b), SKETCH)]
         signature = np.concatenate([from_planes(x[i], SET_BYTES) for i in signed] or [np.empty(0, np.uint64)])
-        member = np.concatenate([from_planes(y[i]).view(np.int64) for i in signed] or [np.empty(0, np.int64)])
+        member = np.concatenate([np.repeat(from_planes(y[i]).view(np.int64), from_planes(z[i], 4).view(np.int64)) for i in signed] or [np.empty(0, np.int64)])
         order = np.lexsort((member, signature))
         signature, member = signature[order], member[order]
         new = np.r_[True, (signature[1:] != signature[:-1]) | (member[1:] != member[:-1])] if len(member) else np.empty(0, bool)
@@ -209,21 +249,66 @@ def _grouped(source: DataFrame, n: int, percent: int, blocks: int) -> DataFrame:
             doc_id=([None if i == _NO_ID else i for i in ids.tolist()] + none, pa.int64()),
             key=(keys.tolist() + none, pa.int64()),
             n_shingles=(sizes.tolist() + none, pa.int64()),
+            sketch=(sketches + none, pa.binary()),
             list=([None] * len(ids) + [g[0] for g in groups], pa.string()),
             center=([None] * len(ids) + [g[1] for g in groups], pa.int64()),
             members=([None] * len(ids) + [g[2] for g in groups], pa.list_(pa.int64())),
             others=([None] * len(ids) + [g[3] for g in groups], pa.list_(pa.int64())),
         )
 
-    sent = source.mapInArrow(send, "part int, what string, x binary, y binary, z binary")
-    return sent.groupBy("part").applyInArrow(gather, "kind string, doc_id long, key long, n_shingles long, list string, center long, members array<long>, others array<long>")
+    sent = source.mapInArrow(send, "part int, what string, x binary, y binary, z binary, sketches binary")
+    return sent.groupBy("part").applyInArrow(gather, "kind string, doc_id long, key long, n_shingles long, sketch binary, list string, center long, members array<long>, others array<long>")
+
+
+def _alike(pairs: DataFrame, profiles: DataFrame, percent: int) -> DataFrame:
+    """Those pairs (a, b) that sizes and sketches do not rule out."""
+    side = lambda k: profiles.select(F.col("key").alias(k), F.col("size").alias(f"size_{k}"), F.col("sketch").alias(f"sketch_{k}"))
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, y = (np.frombuffer(b"".join(batch.column(f"sketch_{k}").to_pylist()), np.uint8).reshape(-1, SKETCH) for k in "ab")
+            size_x, size_y = (batch.column(f"size_{k}").to_numpy() for k in "ab")
+            apart = _apart_at_least(x, y)
+            passes = pa.array(_may_link(apart, size_x, size_y, percent))
+            yield pa.RecordBatch.from_arrays([batch.column("a").filter(passes), batch.column("b").filter(passes), pa.array(apart).filter(passes)], names=["a", "b", "apart"])
+
+    return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(compare, "a long, b long, apart long")
+
+
+def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """Those pairs whose members are in different components."""
+    root = lambda k: labels.select(F.col("node").alias(k), F.col("root").alias(f"root_{k}"))
+    rooted = pairs.join(root("a"), "a", "left").join(root("b"), "b", "left")
+    return rooted.where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b")
+
+
+def _apart_at_least(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """What the symmetric difference is at least, from sketches."""
+    apart = np.abs(x.astype(np.int16) - y.astype(np.int16))
+    return np.minimum(apart, 256 - apart).sum(axis=1).astype(np.int64)
+
+
+def _may_link(apart: np.ndarray, size_x: np.ndarray, size_y: np.ndarray, percent: int) -> np.ndarray:
+    return (100 * np.minimum(size_x, size_y) >= percent * np.maximum(size_x, size_y)) & ((100 + percent) * apart <= (100 - percent) * (size_x + size_y))
+
+
+def _sets(pairs: DataFrame, source: DataFrame, profiles: DataFrame, n: int) -> DataFrame:
+    """(key, grams) of the pairs' keys, staged; each is built from one document."""
+    sets = staged(_wanted_sets(source, pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct(), profiles, n), "ngram-sets")
+    free_shuffles(source.sparkSession)
+    return sets
+
+
+def _links(pairs: DataFrame, sets: DataFrame, percent: int, blocks: int) -> DataFrame:
+    """Those pairs whose sets link, staged."""
+    links = staged(_linked(pairs, sets, percent, blocks), "ngram-links")
+    free_shuffles(pairs.sparkSession)
+    return links
 
 
-def _wanted_sets(source: DataFrame, rows: DataFrame, groups: DataFrame, n: int) -> DataFrame:
-    """(key, size, grams, sketch) of every key in a group, built from one document that has it."""
-    grouped = groups.where("others IS NULL").select(F.explode("members").alias("key")).distinct()
-    holder = rows.where("n_shingles > 0").groupBy("key").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id")).alias("h")).select("key", F.col("h.doc_id").alias("holder"))
-    wanted = holder.join(grouped, "key", "left_semi")
+def _wanted_sets(source: DataFrame, keys: DataFrame, profiles: DataFrame, n: int) -> DataFrame:
+    """(key, grams) of the keys."""
+    wanted = profiles.join(keys, "key", "left_semi").select("key", "holder")
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -232,11 +317,11 @@ def _wanted_sets(source: DataFrame, rows: DataFrame, groups: DataFrame, n: int)
                 sets, key = Sets(_binary(part.column("text")), n), part.column("key").to_pylist()
                 own = [i for i, k in enumerate(key) if k == sets.key[i]]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([key[i] for i in own], pa.int64()), pa.array(sets.size[own]), pa.array([planes(np.sort(sets.rows[i] & np.uint64(2 ** (8 * SET_BYTES) - 1)), SET_BYTES) for i in own], pa.binary()), pa.array([sets.sketch(i) for i in own], pa.binary())],
-                    names=["key", "size", "grams", "sketch"],
+                    [pa.array([key[i] for i in own], pa.int64()), pa.array([planes(np.sort(sets.rows[i] & np.uint64(2 ** (8 * SET_BYTES) - 1)), SET_BYTES) for i in own], pa.binary())],
+                    names=["key", "grams"],
                 )
 
-    return source.join(wanted, source.doc_id.eqNullSafe(wanted.holder)).select("key", "text").mapInArrow(build, "key long, size long, grams binary, sketch binary")
+    return source.join(wanted, source.doc_id.eqNullSafe(wanted.holder)).select("key", "text").mapInArrow(build, "key long, grams binary")
 
 
 def _linked(pairs: DataFrame, sets: DataFrame, percent: int, blocks: int) -> DataFrame:
@@ -244,7 +329,8 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int, blocks: int) -> Dat
     asked = pairs.withColumn("block", _block(F.col("b"), blocks))
     sent = asked.select(F.col("a").alias("key"), "block").distinct().join(sets.select("key", "grams"), "key").select("block", F.col("key").alias("a"), F.lit(None).cast("long").alias("b"), "grams")
     right = sent.unionByName(asked.select("block", "a", "b", F.lit(None).cast("binary").alias("grams")))
-    left = sets.select(F.col("key").alias("own"), F.col("grams").alias("own_grams"), _block(F.col("key"), blocks).alias("own_block"))
+    held = sets.join(pairs.select(F.col("b").alias("key")).distinct(), "key", "left_semi")
+    left = held.select(F.col("key").alias("own"), F.col("grams").alias("own_grams"), _block(F.col("key"), blocks).alias("own_block"))
 
     def compare(own: pa.Table, asked: pa.Table) -> pa.Table:
         a, b, grams = (asked.column(c).to_pylist() for c in ("a", "b", "grams"))
@@ -270,12 +356,12 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int, blocks: int) -> Dat
     return left.groupBy("own_block").cogroup(right.groupBy("block")).applyInArrow(compare, "a long, b long")
 
 
-def _across(groups: DataFrame, labels: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _across(groups: DataFrame, labels: DataFrame, profiles: DataFrame, percent: int) -> DataFrame:
     """Pairs of members of one group whose components differ and whose sizes and sketches do not rule out a link."""
     sides = groups.select("list", F.explode(F.concat("members", F.coalesce("others", F.array().cast("array<long>")))).alias("key"))
     rooted = sides.join(labels, sides.key == labels.node, "left").select("list", "key", F.coalesce("root", "key").alias("root"))
     mixed_lists = rooted.groupBy("list").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("list")
-    known = rooted.join(mixed_lists, "list", "left_semi").join(sets.select("key", "size", "sketch"), "key")
+    known = rooted.join(mixed_lists, "list", "left_semi").join(profiles.select("key", "size", "sketch"), "key")
     pieces = groups.join(mixed_lists, "list", "left_semi").select("list", F.lit(None).cast("long").alias("key"), F.lit(None).cast("long").alias("root"), F.lit(None).cast("long").alias("size"), F.lit(None).cast("binary").alias("sketch"), "others")
     rows = known.withColumn("others", F.lit(None).cast("array<long>")).select("list", "key", "root", "size", "sketch", "others").union(pieces)
 
@@ -284,20 +370,17 @@ def _across(groups: DataFrame, labels: DataFrame, sets: DataFrame, percent: int)
         member = table.filter(pa.compute.is_valid(table.column("key")))
         key, root, size = (member.column(c).to_numpy() for c in ("key", "root", "size"))
         _, first = np.unique(key, return_index=True)
-        sketch = np.frombuffer(b"".join(member.column("sketch").take(pa.array(first)).to_pylist()), np.uint8).reshape(-1, SKETCH).astype(np.int16)
+        sketch = np.frombuffer(b"".join(member.column("sketch").take(pa.array(first)).to_pylist()), np.uint8).reshape(-1, SKETCH)
         key, root, size = key[first], root[first], size[first]
         right = np.isin(key, others) if others else np.ones(len(key), bool)
         a, b = [], []
         for i in np.flatnonzero(~right if others else right).tolist():
-            at = np.flatnonzero(right & (root != root[i]) & (100 * np.minimum(size, size[i]) >= percent * np.maximum(size, size[i])))
+            at = np.flatnonzero(right & (root != root[i]))
             if not others:
                 at = at[at > i]
-            if len(at):
-                apart = np.abs(sketch[at] - sketch[i])
-                apart = np.minimum(apart, 256 - apart).sum(axis=1)
-                at = at[(100 + percent) * apart <= (100 - percent) * (size[at] + size[i])]
-                a.append(np.full(len(at), key[i]))
-                b.append(key[at])
+            at = at[_may_link(_apart_at_least(sketch[at], sketch[[i]]), size[at], size[i], percent)]
+            a.append(np.full(len(at), key[i]))
+            b.append(key[at])
         none = [np.empty(0, np.int64)]
         return _pairs(np.concatenate(a or none), np.concatenate(b or none))
 
