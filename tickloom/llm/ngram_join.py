@@ -179,7 +179,7 @@ def join_groups(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "d
     if not left_over.isEmpty():
         links = links.union(_links(left_over, sets, percent, blocks))
         labels = components(links)
-    across = staged(_across(groups, labels, profiles, percent), "ngram-pairs")
+    across = staged(_across(groups, labels, profiles, percent, blocks), "ngram-pairs")
     free_shuffles(spark)
     if not across.isEmpty():
         labels = components(links.union(_links(across, _sets(across, source, profiles, n), percent, blocks)))
@@ -356,7 +356,7 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int, blocks: int) -> Dat
     return left.groupBy("own_block").cogroup(right.groupBy("block")).applyInArrow(compare, "a long, b long")
 
 
-def _across(groups: DataFrame, labels: DataFrame, profiles: DataFrame, percent: int) -> DataFrame:
+def _across(groups: DataFrame, labels: DataFrame, profiles: DataFrame, percent: int, blocks: int) -> DataFrame:
     """Pairs of members of one group whose components differ and whose sizes and sketches do not rule out a link."""
     sides = groups.select("list", F.explode(F.concat("members", F.coalesce("others", F.array().cast("array<long>")))).alias("key"))
     rooted = sides.join(labels, sides.key == labels.node, "left").select("list", "key", F.coalesce("root", "key").alias("root"))
@@ -366,25 +366,34 @@ def _across(groups: DataFrame, labels: DataFrame, profiles: DataFrame, percent:
     rows = known.withColumn("others", F.lit(None).cast("array<long>")).select("list", "key", "root", "size", "sketch", "others").union(pieces)
 
     def compare(table: pa.Table) -> pa.Table:
-        others = next((o for k, o in zip(table.column("key").to_pylist(), table.column("others").to_pylist(), strict=True) if k is None), None)
-        member = table.filter(pa.compute.is_valid(table.column("key")))
+        name = table.column("list").combine_chunks().dictionary_encode().indices.to_numpy()
+        is_member = table.column("key").is_valid().to_numpy()
+        pieces = {n: o for n, o in zip(name[~is_member].tolist(), table.column("others").filter(pa.array(~is_member)).to_pylist(), strict=True) if o}
+        member = table.filter(pa.array(is_member))
         key, root, size = (member.column(c).to_numpy() for c in ("key", "root", "size"))
-        _, first = np.unique(key, return_index=True)
-        sketch = np.frombuffer(b"".join(member.column("sketch").take(pa.array(first)).to_pylist()), np.uint8).reshape(-1, SKETCH)
-        key, root, size = key[first], root[first], size[first]
-        right = np.isin(key, others) if others else np.ones(len(key), bool)
-        a, b = [], []
-        for i in np.flatnonzero(~right if others else right).tolist():
-            at = np.flatnonzero(right & (root != root[i]))
-            if not others:
-                at = at[at > i]
-            at = at[_may_link(_apart_at_least(sketch[at], sketch[[i]]), size[at], size[i], percent)]
-            a.append(np.full(len(at), key[i]))
-            b.append(key[at])
-        none = [np.empty(0, np.int64)]
-        return _pairs(np.concatenate(a or none), np.concatenate(b or none))
-
-    return rows.groupBy("list").applyInArrow(compare, "a long, b long").distinct()
+        sketch = np.frombuffer(b"".join(member.column("sketch").to_pylist()), np.uint8).reshape(-1, SKETCH)
+        order = np.lexsort((key, name[is_member]))
+        ordered = name[is_member][order]
+        starts = runs(ordered)
+        a, b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        for lo, hi in zip(starts, [*starts[1:], len(order)], strict=True):
+            at = order[lo:hi]
+            at = at[runs(key[at])]  # a key of both pieces comes twice
+            others = pieces.get(int(ordered[lo]))
+            side = np.isin(key[at], others) if others else None
+            left, right = (at[~side], at[side]) if others else (at, at)
+            step = max(1, 32_768 // max(1, len(right)))
+            for i in range(0, len(left), step):
+                x = left[i : i + step]
+                r, c = np.nonzero((root[x][:, None] != root[right]) & ((key[x][:, None] < key[right]) | bool(others)))
+                x, y = x[r], right[c]
+                linked = _may_link(_apart_at_least(sketch[x], sketch[y]), size[x], size[y], percent)
+                a.append(key[x[linked]])
+                b.append(key[y[linked]])
+        return _pairs(np.concatenate(a), np.concatenate(b))
+
+    by_block = rows.withColumn("block", F.pmod(F.xxhash64("list"), F.lit(4 * blocks)).cast("int"))
+    return by_block.groupBy("block").applyInArrow(compare, "a long, b long").distinct()
 
 
 def keep_one_of_each(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
