@@ -96,13 +96,16 @@ class Encoder:
         table = self.table
         if len(table) > WORD_ENTRIES:
             table.clear()
-        for lo in range(0, len(batch), 256):
-            split = [t.encode("utf-8", "replace").split() for t in batch[lo : lo + 256]]
-            new = list({w for words in split for w in words if w not in table})
+        for lo in range(0, len(batch), 1000):
+            split = [t.encode("utf-8", "replace").split() for t in batch[lo : lo + 1000]]
+            # the vocabulary has lower case only; but a special token's name must be met as it is
+            lowered = {w: w if b"<|" in w else w.lower() for w in set().union(*split).difference(table)}
+            new = list(set(lowered.values()).difference(table))
             for at in range(0, len(new), 20_000):
                 part = new[at : at + 20_000]
                 for w, e in zip(part, self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False), strict=True):
                     table[w] = np.array(e.ids, "<u4").tobytes()
+            table.update((w, table[low]) for w, low in lowered.items())
             for words in split:
                 yield b"".join(map(table.__getitem__, words))
 
