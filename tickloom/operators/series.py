@@ -15,6 +15,8 @@ from ..functions.numeric import MAD_TO_SIGMA, median_of, wrapped
 from ..functions.timefn import EPOCHS_PER_DAY
 
 NO_SIGNAL_PS, FAR_OFF_PS, NOISY_FACTOR, NOISY_FLOOR_PS = 10_000, 25_000, 10, 5_000
+#: Epochs of a series that one group folds.
+FOLD_EPOCHS = 4096
 HALF_WINDOW, LEAST_CHANGES, OUTLIER_SPREADS, LEAST_COMPARED, DISAGREEING_PS = 12, 9, 5, 3, 10_000
 
 
@@ -36,6 +38,30 @@ def one_epoch_changes(values: DataFrame, keys: Sequence[str], value: str = "phas
     return values.select(*keys, "epoch", before.alias("before"), wrapped(change).alias("change")).where("epoch - before = 1").drop("before")
 
 
+def folded_scale(values: DataFrame, keys: Sequence[str], value: str, above: float, start: float = 100.0, floor: float = 2.0) -> DataFrame:
+    """keys, n, scale and reject_fraction after all of a series' values in order, of which an epoch has one at most.
+
+    A step of the squared scale is max(a s + b, c), one of the fraction is affine; both stay so when composed. So the steps
+    of FOLD_EPOCHS epochs become one, wherever they lie, and a series' last group has one row for each such block.
+    """
+    x, fits = F.col(value), F.col(value).isNotNull()
+    step = F.struct("epoch", F.when(fits, 0.875).otherwise(0.0).alias("a"), F.when(fits, 0.125 * x * x).otherwise(0.0).alias("b"), F.lit(floor * floor).alias("c"), F.lit(0.875).alias("p"), F.when(x > above, 0.125).otherwise(0.0).alias("q"), F.lit(1).cast("long").alias("n"))
+    none = F.struct(F.lit(0).cast("long").alias("epoch"), F.lit(1.0).alias("a"), F.lit(0.0).alias("b"), F.lit(float("-inf")).alias("c"), F.lit(1.0).alias("p"), F.lit(0.0).alias("q"), F.lit(0).cast("long").alias("n"))
+
+    def then(f: Column, g: Column) -> Column:
+        return F.struct(
+            g["epoch"].alias("epoch"), (g["a"] * f["a"]).alias("a"), (g["a"] * f["b"] + g["b"]).alias("b"),
+            F.when(g["a"] == 0, F.greatest(g["b"], g["c"])).otherwise(F.greatest(g["a"] * f["c"] + g["b"], g["c"])).alias("c"),
+            (g["p"] * f["p"]).alias("p"), (g["p"] * f["q"] + g["q"]).alias("q"), (f["n"] + g["n"]).alias("n"),
+        )
+
+    steps = values.select(*keys, F.floor(F.col("epoch") / FOLD_EPOCHS).alias("block"), step.alias("step"))
+    composed = F.aggregate(F.array_sort(F.collect_list("step")), none, then)
+    blocks = steps.groupBy(*keys, "block").agg(composed.alias("step")).groupBy(*keys).agg(composed.alias("all"))
+    scale = F.sqrt(F.greatest(F.col("all.a") * (start * start) + F.col("all.b"), F.col("all.c")))
+    return blocks.select(*keys, "all.n", scale.alias("scale"), F.col("all.q").alias("reject_fraction"))
+
+
 def median_mad(rows: DataFrame, by: Sequence[str], value: str) -> DataFrame:
     """by, n, med and mad (median distance from the median) of each group."""
     med = rows.groupBy(*by).agg(F.median(value).alias("med"), F.count(value).alias("n"))

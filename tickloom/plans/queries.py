@@ -428,6 +428,13 @@ def scale_fold(spark, sf_dir):
     return first.groupBy("ref").agg(F.max("n").cast("long").alias("n"), F.round(scale, 6).alias("scale"), F.round(fraction, 6).alias("reject_fraction"))
 
 
+@query()
+def scale_fold_all(spark, sf_dir):
+    """scale_fold over every reading; scale_fold keeps to its SQL, which ends at each reference's 400th."""
+    r = readings(spark, sf_dir).select("ref", "epoch", (F.col("phase") / 1000).alias("nu"))
+    return series.folded_scale(r, ["ref"], "nu", 100).withColumn("scale", F.round("scale", 6)).withColumn("reject_fraction", F.round("reject_fraction", 6))
+
+
 REJECTS = f"""{RAW}, rj AS (SELECT 'u' || CAST(user_id % 10 AS VARCHAR) AS clock, ref, epoch // 3 AS epoch FROM raw WHERE user_id % 3 = 0),
 sh AS (SELECT epoch FROM rj GROUP BY epoch HAVING count(DISTINCT clock) >= 3)"""
 
