@@ -83,6 +83,15 @@ def test_words_are_encoded_as_whole_texts(spark):
         assert np.frombuffer(ids, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_capitals_with_combining_marks_are_encoded_as_whole_texts(spark):
+    from tokenizers import Tokenizer
+
+    tokenizer, encoder = Tokenizer.from_file(VOCABULARY), packing.Encoder(VOCABULARY)
+    texts = ["H\u0331amza J\u030cim", "h\u0331amza j\u030cim", "T\u0308a W\u030aa Y\u030aa hamza HAMZA", "\u00c9COLE E\u0301COLE \u0130stanbul I\u0307 \u03a3\u0391\u03a3"]
+    for text, ids in zip(texts, encoder.encode(texts), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+
+
 # 2 n-gram join
 
 

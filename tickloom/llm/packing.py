@@ -98,8 +98,9 @@ class Encoder:
             table.clear()
         for lo in range(0, len(batch), 1000):
             split = [t.encode("utf-8", "replace").split() for t in batch[lo : lo + 1000]]
-            # the vocabulary has lower case only; but a special token's name must be met as it is
-            lowered = {w: w if b"<|" in w else w.lower() for w in set().union(*split).difference(table)}
+            # the vocabulary has lower case only; but a special token's name must be met as it is, and a capital before a
+            # combining mark may compose with it in lower case only, which the tokenizer does not do as it composes first
+            lowered = {w: w.lower() if w.isascii() and b"<|" not in w else w for w in set().union(*split).difference(table)}
             new = list(set(lowered.values()).difference(table))
             for at in range(0, len(new), 20_000):
                 part = new[at : at + 20_000]
