@@ -414,3 +414,16 @@ def test_chat_parts_become_placeholders(spark):
     assert got[1].formatted[span.start : span.start + span.length] == "ok<|document:3|><|video:4|>"
     assert got[2].formatted == got[None].formatted == "<s><|user|></s>"
     assert chat_format.format_conversations(messages.limit(0), content=F.col("content")).count() == 0
+
+
+def test_both_ways_of_decontamination_agree(spark):
+    """Null and shared ids, words of punctuation only, and repeated rows."""
+    passage = words(20, 61)
+    items = [(1, "a - b c d"), (None, " ".join(passage)), (None, " ".join(words(12, 62))), (3, "- -- ..."), (4, None), (1, "a - b c d")]
+    docs = [(1, "x A b, c d y"), (None, "z " + " ".join(passage)), (None, "a clean text without anything"), (2, "clean"), (2, "q " + " ".join(passage)), (7, None), (None, "a b c"), (8, "x A b, c d y"), (8, "x A b, c d y")]
+    benchmark = table(spark, items).withColumnRenamed("doc_id", "item_id")
+    frame = table(spark, docs)
+    near, far = (sorted(map(tuple, decontamination.find_leaks(frame, benchmark, broadcast_tokens=most).collect()), key=str) for most in (10**6, -1))
+    assert near == far and len(near) == 8 and {r[1] for r in near} == {1, None} and {r[0] for r in near} == {None, 1, 2, 8}
+    kept = [sorted(((r.doc_id, r.text) for r in decontamination.drop_leaking(frame, benchmark, broadcast_tokens=most).collect()), key=str) for most in (10**6, -1)]
+    assert kept[0] == kept[1] == sorted([docs[2], docs[3], docs[5], docs[6]], key=str)

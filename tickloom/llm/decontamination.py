@@ -7,11 +7,11 @@ first, and the search length is lowered until no match of MIN_MATCH tokens is le
 parts were reordered are caught. An item leaks where its tiles cover at least a given share of it.
 
 Seeds are matched against the benchmark in each task while its tokens number at most BROADCAST_TOKENS, which bounds what
-is sent to a task; a larger benchmark is joined by a shuffle of distinct seeds. Whole texts are read; before tiling, pairs are
+is sent to a task; a larger benchmark is joined by a shuffle of distinct seeds, texts being named by their digests. Whole texts are read; before tiling, pairs are
 left out whose shared seeds could not cover enough of the item, which the tiles never exceed.
 
 Defined results: null or empty texts and items match nothing; an item shorter than MIN_MATCH matches as a whole only;
-repeated rows give repeated pairs where matched in tasks and one after a shuffle; rows with a null id are matched likewise;
+repeated rows give repeated pairs; rows with a null id are matched likewise, each by its own text; both ways give the same rows;
 empty tables give no rows; other columns are not read.
 """
 
@@ -22,7 +22,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import WORD_TABLE_ENTRIES, found_in, mixed, runs, texts, window_hashes
@@ -160,18 +160,42 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, min_match: int = MIN_MATCH
                 yield _batch([(i, *leak) for i, c in zip(ids, contents, strict=True) for leak in held.value.leaks(tokens(c), coverage)])
 
         return source.mapInArrow(task, RESULT)
-    lengths = sorted(r.length for r in items.select(F.least(F.size(F.expr("filter(split(item, '[ \\\\t-\\\\r]+'), w -> w <> '')")), F.lit(min_match)).alias("length")).distinct().collect() if r.length)
-    doc_seeds, item_seeds = _seeds(source, "doc_id", "text", lengths), _seeds(items, "item_id", "item", lengths)
-    pairs = doc_seeds.join(item_seeds, "seed").select("doc_id", "item_id").distinct()
+    return _shuffled(source.select("doc_id", "text", _digest("text").alias("doc_key")), items, min_match, coverage).drop("doc_key")
+
+
+def _digest(text_col: str) -> Column:
+    """A text's name: ids may be null or shared by several texts."""
+    return F.sha2(F.coalesce(F.col(text_col), F.lit("")).cast("binary"), 256)
+
+
+def _shuffled(source: DataFrame, items: DataFrame, min_match: int, coverage: float) -> DataFrame:
+    """The leaks, with the document's digest, by a join of seeds. source has doc_id, text and doc_key."""
+    items = items.withColumn("item_key", _digest("item"))
+    lengths = _seed_lengths(items, min_match)
+    doc_seeds, item_seeds = _seeds(source, "doc_key", "text", lengths), _seeds(items, "item_key", "item", lengths)
+    pairs = doc_seeds.join(item_seeds, "seed").select("doc_key", "item_key").distinct()
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
-            for doc_id, text, item_id, item in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text", "item_id", "item")), strict=True):
-                rows += [(doc_id, *leak) for leak in Benchmark([item_id], [item.encode()], min_match).leaks(tokens(text.encode()), coverage)]
-            yield _batch(rows)
+            rows, keys = [], []
+            for key, doc_id, text, item_id, item in zip(*(batch.column(c).to_pylist() for c in ("doc_key", "doc_id", "text", "item_id", "item")), strict=True):
+                found = [(doc_id, *leak) for leak in Benchmark([item_id], [item.encode()], min_match).leaks(tokens(text.encode()), coverage)]
+                rows += found
+                keys += [key] * len(found)
+            out = _batch(rows)
+            yield pa.RecordBatch.from_arrays([*out.columns, pa.array(keys, pa.string())], names=[*out.schema.names, "doc_key"])
+
+    return pairs.join(source, "doc_key").join(items, "item_key").select("doc_key", "doc_id", "text", "item_id", "item").mapInArrow(judge, f"{RESULT}, doc_key string")
+
+
+def _seed_lengths(items: DataFrame, min_match: int) -> list[int]:
+    """Lengths of the seeds that any item needs: at most min_match values."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = {min(min_match, len(tokens(c))) for batch in batches for c in batch.column("item").cast(pa.large_binary()).to_pylist()}
+        yield pa.RecordBatch.from_arrays([pa.array(sorted(found), pa.int32())], names=["length"])
 
-    return pairs.join(source, "doc_id").join(items, "item_id").select("doc_id", "text", "item_id", "item").mapInArrow(judge, RESULT)
+    return sorted(r.length for r in items.select("item").mapInArrow(task, "length int").distinct().collect() if r.length)
 
 
 def _fits(items: DataFrame, most: int) -> bool:
@@ -192,9 +216,9 @@ def _seeds(rows: DataFrame, id_col: str, text_col: str, lengths: list[int]) -> D
             for i, content in zip(batch.column(id_col), batch.column(text_col).cast(pa.large_binary()).to_pylist(), strict=True):
                 text = tokens(content)
                 seeds = np.unique(np.concatenate([mixed(window_hashes(text, n) + np.uint64(n)) for n in lengths] or [np.empty(0, np.uint64)]))
-                yield pa.RecordBatch.from_arrays([pa.array([i.as_py()] * len(seeds), pa.int64()), pa.array(seeds.view(np.int64))], names=[id_col, "seed"])
+                yield pa.RecordBatch.from_arrays([pa.array([i.as_py()] * len(seeds), pa.string()), pa.array(seeds.view(np.int64))], names=[id_col, "seed"])
 
-    return rows.select(F.col(id_col).cast("long").alias(id_col), text_col).mapInArrow(task, f"{id_col} long, seed long")
+    return rows.select(id_col, text_col).mapInArrow(task, f"{id_col} string, seed long")
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
@@ -207,8 +231,9 @@ def drop_leaking(docs: DataFrame, benchmark: DataFrame, min_match: int = MIN_MAT
     """The rows of docs that leak no item, with all their columns."""
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.coalesce(F.col("text"), F.lit("")).alias("item"))
     if not _fits(items, broadcast_tokens):
-        leaking = find_leaks(docs, benchmark, min_match, coverage, broadcast_tokens=broadcast_tokens).select(F.col("doc_id").alias("leaking")).distinct()
-        return docs.join(leaking, F.col("doc_id").eqNullSafe(F.col("leaking")), "left_anti")
+        source = texts(docs, "doc_id", "text").withColumn("doc_key", _digest("text"))
+        leaking = _shuffled(source, items, min_match, coverage).select(F.col("doc_key").alias("leaking")).distinct()
+        return docs.join(leaking, _digest("text") == F.col("leaking"), "left_anti")
     held = _sent(docs.sparkSession, items, min_match)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
