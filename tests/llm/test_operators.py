@@ -221,6 +221,20 @@ def test_secret_spans(spark, odd_rows):
     assert found.base_sha256 == hashlib.sha256(base.encode()).hexdigest() and all(text[s.start : s.end] == s.value for s in found.secrets)
 
 
+def test_secrets_in_paths_and_beside_base_spans(spark):
+    rng = random.Random(44)
+    alphabet = "ABCDEFGHJKLMNPQRSTUVWXYZabcdefghijkmnopqrstuvwxyz23456789"
+    token = lambda n: "".join(rng.choice(alphabet) for _ in range(n))
+    slashed = "/".join(token(21) for _ in range(4))
+    hidden, second, alone, path = token(40), token(40), token(40), "internationalization/of/the/documentation/and/administration/guides"
+    access = "AKIA" + "Z" * 16
+    rows = [(1, f"x {slashed} y"), (2, f"see {path}/{hidden}/{path}"), (3, f"{access}/{second}"), (4, f"hooks.example.com/services/T012AB3CD/B045EF6GH/{alone}"), (5, f"{path} sha256-{'aB3/' * 10}a1B="), (6, f"documentation/internationalization/administration {token(10)}/{token(8)}")]
+    got = {r.doc_id: [(s.kind, s.value) for s in r.secrets] for r in secrets.find_secrets(table(spark, rows), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN).collect()}
+    assert got[1] == [("token", slashed)] and got[2] == [("token", hidden)] and got[5] == []
+    assert [k for k, _ in got[3]] == ["access", "token"] and got[3][0][1] == access and got[3][1][1].strip("/") == second
+    assert len(got[4]) == 1 and got[4][0][1].endswith(alone)
+
+
 # 5 WARC
 
 

@@ -2,8 +2,9 @@
 
 The last looks at runs of 20 or more characters of the base64 alphabets. A vocabulary learned from text needs few tokens for
 words and many for random strings, so a low number of characters per token under a tiktoken vocabulary marks a secret. Known
-digests (hex of a usual length, integrity values) and identifiers (UUIDs, numbers, runs of one letter case, paths) are left
-out first, and what overlaps a base span is not named twice. Every text is scanned whole, a batch at a time; nothing is
+digests (hex of a usual length, integrity values) and identifiers (UUIDs, numbers, runs of one letter case) are left out
+first. What base spans leave of a run is tested, so nothing is named twice; and as "/" is a base64 character and joins paths,
+too, a run that does not pass as a whole is tested again between its slashes. Every text is scanned whole, a batch at a time; nothing is
 shuffled.
 
 Defined results: a null or empty text has no spans; repeated rows are scanned once a row; a null id is carried; an empty
@@ -15,7 +16,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -26,6 +27,8 @@ ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x2
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")
 RUN = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
+SEGMENT = re.compile(r"[^/]{20,}")
+LEAST_RUN = 20
 KINDS = ("assign", "access", "hex", "token")
 #: Characters per token at or below which a run counts as random.
 MAX_CHARS_PER_TOKEN = 2.1
@@ -47,12 +50,39 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     return sorted(spans)
 
 
+def is_named(run: str) -> bool:
+    """Whether a run is a digest or a UUID."""
+    return bool(_UUID.fullmatch(run) or _INTEGRITY.fullmatch(run) or _HEX_ANY.fullmatch(run) and len(run) in DIGEST_LENGTHS)
+
+
 def is_known(run: str) -> bool:
     """Whether a run is a digest or an identifier, and so no secret by its looks alone."""
-    if _UUID.fullmatch(run) or _INTEGRITY.fullmatch(run) or _HEX_ANY.fullmatch(run) and len(run) in DIGEST_LENGTHS:
-        return True
     classes = any(c.islower() for c in run) + any(c.isupper() for c in run) + any(c.isdigit() for c in run)
-    return classes < 2 or run.count("/") > 2 or len(set(run)) < 8
+    return classes < 2 or len(set(run)) < 8 or is_named(run)
+
+
+def token_spans(text: str, base: list[tuple[int, int, str]], inefficient: Callable[[str], bool]) -> list[tuple[int, int, int]]:
+    """(start, kind, end) of the random strings: in each run, what base spans leave of it as a whole, or else between slashes."""
+    spans = []
+    for m in RUN.finditer(text):
+        if is_named(m[0]):
+            continue
+        start, pieces = m.start(), []
+        for s, _, e in base:
+            if s < m.end() and start < e:
+                pieces.append((start, s))
+                start = e
+        for a, z in (*pieces, (start, m.end())):
+            if z - a < LEAST_RUN:
+                continue
+            piece = text[a:z]
+            if is_named(piece):
+                continue
+            if not is_known(piece) and inefficient(piece):
+                spans.append((a, 3, z))
+            elif "/" in piece:
+                spans += [(a + p.start(), 3, a + p.end()) for p in SEGMENT.finditer(piece) if not is_known(p[0]) and inefficient(p[0])]
+    return spans
 
 
 def find_secrets(docs: DataFrame, vocabulary_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", max_chars_per_token: float = MAX_CHARS_PER_TOKEN) -> DataFrame:
@@ -72,9 +102,7 @@ def find_secrets(docs: DataFrame, vocabulary_path: str, pattern: str, id_col: st
             rows = []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 base = base_spans(text)
-                taken = [(s, e) for s, _, e in base]
-                more = [(m.start(), 3, m.end()) for m in RUN.finditer(text) if not is_known(m[0]) and not any(s < m.end() and m.start() < e for s, e in taken) and inefficient(m[0])]
-                spans = sorted(base + more)
+                spans = sorted(base + token_spans(text, base, inefficient))
                 said = lambda found: ",".join(f"{KINDS[k]}:{s}:{e}" for s, k, e in found)
                 counts = [sum(k == kind for _, k, _ in base) for kind in range(3)]
                 rows.append((doc_id, *counts, hashlib.sha256(said(base).encode()).hexdigest(), said(spans), [{"kind": KINDS[k], "start": s, "end": e, "value": text[s:e]} for s, k, e in spans]))
