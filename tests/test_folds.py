@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tickloom.operators import folds, screening
 from tickloom.operators.estimator import Reading, Settings, State, Track, unwrap
+from tickloom.plans import proxies, queries
 
 S1 = Settings(states=1, m=None, m_sigma=30.0, sigma0=2.0, gap_limit=3, rms_limit=50)
 S3 = Settings(states=3, m=100.0, m_sigma=50.0, sigma0=5.0, gap_limit=40)
@@ -112,3 +113,10 @@ def test_disabled_readings_are_kept_and_the_series_starts_anew(spark):
     rows = {r.epoch: r for r in folds._folded(inputs, ["channel", "clock"], False).collect()}
     assert [rows[e].flags for e in (1010, 1012, 1014)] == ["O"] * 3 and rows[1010].z == rows[1009].z
     assert rows[1015].flags == "RD" and rows[1029].flags.startswith("A")
+
+
+def test_every_event_enters_the_histories(spark):
+    sf = "/root/testdata/sf0.001"
+    pairs = queries.pair_history(spark, sf).where("z IS NOT NULL")
+    assert pairs.count() == proxies.raw(spark, sf).count()
+    assert {r.ref for r in pairs.select("ref").distinct().collect()} == {"mc0", "mc1", "mc2", "mc3"}

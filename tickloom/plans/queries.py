@@ -375,14 +375,18 @@ def bad_stretches(spark, sf_dir):
 
 
 def _history(spark, sf_dir):
-    """Pair rows of three references that measure each other and twelve clocks whose phases drift, with the events' gaps."""
+    """Pair rows of four references that measure each other and eleven clocks whose phases drift, with the events' gaps.
+
+    Every event is a reading: where several fall on one pair and epoch, each goes to a channel of its own.
+    """
     from ..operators import folds
 
-    r = raw(spark, sf_dir).where("user_id % 4 < 3").select(F.concat(F.lit("mc"), (F.col("user_id") % 4).cast("string")).alias("ref"), (F.col("user_id") % 15).alias("n"), "epoch", "delta_us", "event_id")
-    clock = F.when(F.col("n") < 3, F.concat(F.lit("mc"), F.col("n").cast("string"))).otherwise(F.concat(F.lit("u"), F.col("n").cast("string")))
+    r = raw(spark, sf_dir).select(F.concat(F.lit("mc"), (F.col("user_id") % 4).cast("string")).alias("ref"), (F.col("user_id") % 15).alias("n"), "epoch", "delta_us", "event_id")
+    clock = F.when(F.col("n") < 4, F.concat(F.lit("mc"), F.col("n").cast("string"))).otherwise(F.concat(F.lit("u"), F.col("n").cast("string")))
     epoch = F.floor(F.col("epoch") / 24).cast("long")
     phase = F.pmod(F.col("n") * epoch * 40 + F.col("event_id") % 5, F.lit(200_000)).cast("long")
-    data = r.select(F.lit("a").alias("channel"), "ref", clock.alias("clock"), epoch.alias("epoch"), (F.col("delta_us") % 1_000_000).alias("delta_us"), phase.alias("phase"), F.lit(3).alias("rms"), "event_id")
+    channel = F.concat(F.lit("a"), F.row_number().over(Window.partitionBy("ref", "n", epoch).orderBy("event_id")).cast("string"))
+    data = r.select(channel.alias("channel"), "ref", clock.alias("clock"), epoch.alias("epoch"), (F.col("delta_us") % 1_000_000).alias("delta_us"), phase.alias("phase"), F.lit(3).alias("rms"), "event_id")
     first = series.first_readings(data, ["channel", "ref", "clock"], ["event_id"])
     value = F.struct(F.lit(2).alias("states"), F.lit(20.0).alias("m"), F.lit(30.0).alias("m_sigma"), F.lit(50.0).alias("sigma0"), F.lit(40).alias("gap_limit"), F.lit(12).alias("breaks_at"), F.lit(144.0).alias("fraction_epochs"), F.lit(0.5).alias("fraction_limit"), F.lit(50).alias("rms_limit"))
     settings = first.select("clock").distinct().withColumn("settings", value)
