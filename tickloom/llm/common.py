@@ -2,48 +2,92 @@
 
 from __future__ import annotations
 
-import gc
+import re
 import tempfile
-import time
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Entries a worker keeps in one word table before it starts over; bounds a worker's memory to roughly 150 MB a table.
-WORD_TABLE_ENTRIES = 700_000
+#: Entries a worker keeps in one word table before it starts over, and the longest word that enters one; together they bound
+#: a worker's memory to roughly 200 MB a table.
+WORD_TABLE_ENTRIES, WORD_TABLE_LETTERS = 700_000, 64
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A new folder below spark.checkpoint.dir, which every executor and the driver can reach.
 
-    Only where the session names none (tests on one machine) a temporary folder becomes the checkpoint folder.
+    Where the session names none, a session of one process (tests, benchmarks) gets a temporary folder; a cluster is an error.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = spark.sparkContext.getCheckpointDir()
+    context = spark.sparkContext
+    base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not base:
+        if not re.fullmatch(r"local(\[.*\])?", context.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="tickloom-")
-        spark.sparkContext.setCheckpointDir(base)
+        context.setCheckpointDir(base)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """Session settings for a while."""
+    before = {k: spark.conf.get(k, None) for k in values}
+    for k, v in values.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
-    """Cut lineage: write df as Parquet in the shared folder and read it back; survives lost executors."""
+    """Cut lineage: write df as Parquet in the shared folder and read it back; survives lost executors.
+
+    The write's own shuffle files go when it ends, as nothing reads them again.
+    """
+    return _written(df, shared_dir(df.sparkSession, name))
+
+
+def _written(df: DataFrame, path: str) -> DataFrame:
     spark, schema = df.sparkSession, df.schema
-    path = shared_dir(spark, name)
-    df.write.parquet(path)
+    with settings(spark, {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}):
+        df.write.parquet(path)
     return spark.read.schema(schema).parquet(path)
 
 
-def free_shuffles(spark: SparkSession) -> None:
-    """Let Spark's cleaner drop the shuffle files of plans that nothing refers to any more."""
-    for _ in range(2):  # the second round takes what the first let go of
-        gc.collect()
-        spark.sparkContext._jvm.System.gc()
-        time.sleep(0.2)
+class Scratch:
+    """Staged tables of one run, in a folder of their own; each can be dropped once nothing reads it any more."""
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.folder, self.tables = spark, shared_dir(spark, name), {}
+
+    def stage(self, df: DataFrame, name: str) -> DataFrame:
+        path = f"{self.folder}/{len(self.tables):03d}-{name}"
+        out = _written(df, path)
+        self.tables[id(out)] = out, path
+        return out
+
+    def drop(self, *tables: DataFrame) -> None:
+        for table in tables:
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(self.tables[id(table)][1])
+            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def block_count(df: DataFrame, block_bytes: int = 128 << 20) -> int:
+    """Blocks to deal a table's work to: at least one a shuffle partition, and so many that none has over block_bytes of input.
+
+    A block is held in memory, so its size follows the input's bytes and no setting; a partition takes several blocks in turn.
+    """
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    size = sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
+    known = size if size < 1 << 60 else 0  # Spark's mark for an unknown size
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-known // block_bytes))
 
 
 def texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -55,9 +99,11 @@ class WordTable(dict):
     """word (bytes) -> 64-bit hash, filled on first sight."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= WORD_TABLE_ENTRIES:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
+        value = xxhash.xxh3_64_intdigest(word)
+        if len(word) <= WORD_TABLE_LETTERS:
+            if len(self) >= WORD_TABLE_ENTRIES:
+                self.clear()
+            self[word] = value
         return value
 
 
@@ -130,6 +176,12 @@ def runs(ordered: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]]) if len(ordered) else np.empty(0, np.int64)
 
 
+def slices(ordered: np.ndarray) -> list[tuple[int, int]]:
+    """Where runs of equal numbers start and end in an ordered array; none in an empty one."""
+    first = runs(ordered).tolist()
+    return list(zip(first, [*first[1:], len(ordered)], strict=True)) if first else []
+
+
 def found_in(values: np.ndarray, ordered: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Place of each value in an ordered array, and whether it is there."""
     if not len(ordered):

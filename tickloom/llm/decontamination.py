@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import WORD_TABLE_ENTRIES, found_in, mixed, runs, texts, window_hashes
+from .common import WORD_TABLE_ENTRIES, found_in, mixed, slices, texts, window_hashes
 
 MIN_MATCH, COVERAGE = 5, 0.6
 #: Tokens of the benchmark that may be sent to every task: 16 bytes each, some 32 MB.
@@ -138,8 +138,7 @@ class Benchmark:
             low, high = np.searchsorted(h, wanted, "left"), np.searchsorted(h, wanted, "right")
             at = np.concatenate([np.arange(a, z) for a, z in zip(low, high, strict=True)])
             at = at[np.lexsort((place[at], number[at]))]
-            start = runs(number[at])
-            for a, z in zip(start, [*start[1:], len(at)], strict=True):
+            for a, z in slices(number[at]):
                 here = place[at[a:z]]
                 covered = length + int(np.minimum(np.diff(here), length).sum())
                 if covered >= coverage * len(self.items[number[at[a]]]):

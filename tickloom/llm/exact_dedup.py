@@ -18,13 +18,10 @@ rows; other columns are not read.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from contextlib import contextmanager
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import free_shuffles, shared_dir, staged
+from .common import settings, shared_dir, staged
 
 ROCKSDB = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
@@ -36,18 +33,6 @@ ROCKSDB = {
 }
 
 
-@contextmanager
-def _settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
-    before = {k: spark.conf.get(k, None) for k in values}
-    for k, v in values.items():
-        spark.conf.set(k, v)
-    try:
-        yield
-    finally:
-        for k, v in before.items():
-            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
-
-
 def _stream_path(spark: SparkSession, path: str) -> str:
     """A path that the streaming file source takes: a lone file has to be named by a pattern."""
     at = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -84,7 +69,7 @@ def exact_dedup(spark: SparkSession, path: str, id_col: str = "doc_id", text_col
         reader = spark.readStream.schema(schema)
         return (reader.option("maxFilesPerTrigger", files_per_batch) if files_per_batch else reader).parquet(at)
 
-    with _settings(spark, ROCKSDB):
+    with settings(spark, ROCKSDB):
         digests = read(schema, source).select(*columns)
         digests.writeStream.format("parquet").option("checkpointLocation", f"{work}/digests-log").option("path", f"{work}/digests").trigger(availableNow=True).start().awaitTermination()
         best = F.min(F.struct((-F.col("n_chars")).alias("less"), F.col("doc_id").isNull().alias("no_id"), "doc_id", "file_path", "row_index")).alias("best")
@@ -105,7 +90,6 @@ def exact_dedup(spark: SparkSession, path: str, id_col: str = "doc_id", text_col
     contents = spark.read.schema(schema).parquet(path).select(digest(text).alias("digest"), text.alias("content"))
     variants = contents.groupBy("digest", "content").agg(F.count(F.lit(1)).alias("n")).groupBy("digest").agg(F.count(F.lit(1)).alias("variants"))
     mixed = staged(variants.where("variants > 1").select("digest"), "exact-dedup-mixed")
-    free_shuffles(spark)
     result = _joined(rows, newest, ["digest"])
     if mixed.isEmpty():
         return result

@@ -9,18 +9,19 @@ signature. Signatures without any n-gram would gather unlike sets: a set with fe
 them out, as then some part in which it agrees with a linked set has none. k2 and n2 follow from g, so that a signature
 covers six n-grams or so at least. Steps:
 
-1. Each document's set is built once. Copies of a set share its key and from here on count as one. Signatures go, with
-   keys, to hash blocks, which return the groups of keys with the same signature; equal groups count once. Each key keeps a
-   sketch (counts of n-grams in 128 buckets); sketches are never further apart than their sets.
-2. Every group's least key is compared with the other members, by sizes and sketches first, and the sets of the pairs that
-   pass are built and staged. Each member is compared exactly with the nearest, then with those still in other components.
-3. Members of different components in one group are compared: sizes and sketches inside the group, and the few pairs that
-   pass by their sets. Components of all links.
+1. Each document's set is built once. Equal sets are one node and from here on count as one. Signatures go, with nodes, to
+   hash blocks, which return the lists of nodes with the same signature; equal lists count once. A signature that many
+   documents of a slice have is dealt out to several blocks, slice by slice, and its list comes in as many pieces.
+2. Every list's least node is compared with the other members, a star: first sketches (counts of n-grams in 128 buckets,
+   never further apart than their sets), then the sets of the pairs that pass. Components of the links that hold.
+3. Lists whose members are in several components: every member outside the list's largest component names the nearest
+   members of other components, by sketches, and these pairs are compared. Components again, and so on, with more names a
+   member once all that were named have been compared, until no pair is left that sketches allow and components separate.
 
 Pairs inside a component need no comparison, as they cannot change the groups; every comparison that could join two
-components is made, so the groups are exact up to chance equality of 64-bit hashes. A group with a third of all documents
-costs one comparison a member, plus sketches against other components; groups are handled in pieces of at most PIECE
-members. Sets are held as 48-bit numbers, and a block's sets at a time.
+components is made, so the groups are exact. A list with a third of all documents costs one comparison a member, plus
+sketches of those outside its largest component against the others, in units of PIECE members a side. Equal nodes are told
+by 128 bits, n-grams by 64.
 
 Defined results: texts without words, or null, have an empty set and link with nothing; fewer than n words make one gram;
 rows with a null id are joined like others, and a component of only such rows has a null id, a component_id being the
@@ -30,22 +31,26 @@ least of the ids that are there; repeated rows are copies; an empty table gives
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, free_shuffles, from_planes, mixed, planes, runs, staged, texts, window_hashes
+from .common import Scratch, Words, block_count, from_planes, mixed, planes, runs, slices, texts, window_hashes
 from .components import components
 
 #: Parts in which linked sets agree, where k is at least LARGE_K; below, one.
 SPARE, LARGE_K = 3, 24
 SKETCH = 128
-SET_BYTES = 6
-#: Members of a group that are compared in one piece.
+#: Bytes of a signature that are sent to its block, which is chosen by the others.
+SIGNATURE_BYTES = 4
+#: Documents handled at a time, and how many of them make a signature hot when they share it.
+SLICE, HOT = 2000, 24
+#: Members of a list on one side of a unit of comparisons.
 PIECE = 2048
 _LOW = np.uint64(2**32 - 1)
 _NO_ID = -(2**63)
@@ -76,7 +81,7 @@ def band_parts(high: int, percent: int) -> int:
 
 
 class Sets:
-    """Distinct n-grams of many texts, ASCII letters lowered: text number and hash of each, ordered; size and key of each text."""
+    """Distinct n-grams of many texts, ASCII letters lowered: text number and hash of each, ordered; size, key and second hash of each text."""
 
     def __init__(self, contents: list[bytes | None], n: int):
         words = Words([t.lower() if t else t for t in contents])
@@ -96,9 +101,10 @@ class Sets:
         self.gram = np.concatenate(rows) if rows else np.empty(0, np.uint64)
         self.text = np.repeat(np.arange(len(rows)), self.size)
         some = np.flatnonzero(self.size)
-        self.key = np.zeros(len(rows), np.int64)
+        self.key, self.check = np.zeros(len(rows), np.int64), np.zeros(len(rows), np.int64)
         if len(some):
-            self.key[some] = mixed(np.add.reduceat(mixed(self.gram ^ np.uint64(5)), (np.cumsum(self.size) - self.size)[some]) + self.size[some].astype(np.uint64)).view(np.int64)
+            first = (np.cumsum(self.size) - self.size)[some]
+            self.key[some], self.check[some] = (mixed(np.add.reduceat(mixed(self.gram ^ np.uint64(seed)), first) + self.size[some].astype(np.uint64)).view(np.int64) for seed in (5, 11))
 
     def signatures(self, percent: int) -> tuple[np.ndarray, np.ndarray]:
         """Text number and signature, for the sets' own bands and the next ones."""
@@ -137,149 +143,252 @@ class Sets:
             found.append(signature[stays])
         return np.concatenate(owners), np.concatenate(found)
 
-    def sketch(self, i: int) -> bytes:
-        return np.bincount((mixed(self.rows[i] + np.uint64(3)) % np.uint64(SKETCH)).astype(np.int64), minlength=SKETCH).astype(np.uint8).tobytes()
+    def sketches(self) -> np.ndarray:
+        """Counts of each set's n-grams in SKETCH buckets, modulo 256."""
+        bucket = self.text * SKETCH + (mixed(self.gram + np.uint64(3)) % np.uint64(SKETCH)).astype(np.int64)
+        return np.bincount(bucket, minlength=len(self.rows) * SKETCH).astype(np.uint8).reshape(-1, SKETCH)
 
 
 def _binary(column: pa.ChunkedArray | pa.Array) -> list:
     return column.cast(pa.large_binary()).to_pylist()
 
 
-def _table(**columns: tuple) -> pa.Table:
-    return pa.table({name: pa.array(values, kind) for name, (values, kind) in columns.items()})
-
-
-def _pairs(key: np.ndarray, other: np.ndarray) -> pa.Table:
-    return pa.table({"a": pa.array(key, pa.int64()), "b": pa.array(other, pa.int64())})
+def _pairs(key: np.ndarray, other: np.ndarray, *more: tuple[str, pa.Array]) -> pa.Table:
+    return pa.table({"a": pa.array(key, pa.int64()), "b": pa.array(other, pa.int64())} | dict(more))
 
 
 def _block(key: Column, blocks: int) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(blocks)).cast("int")
 
 
+class Joined:
+    """What a self-join of documents has found: rows (doc_id, text_hash, node, n_shingles), one a document, and labels (node, root).
+
+    A node is a distinct set; nodes without a label are linked with no other.
+    """
+
+    def __init__(self, rows: DataFrame, labels: DataFrame, scratch: Scratch):
+        self.scratch = scratch
+        self.rooted = rows.join(labels, "node", "left").select("doc_id", "text_hash", "n_shingles", F.coalesce("root", "node").alias("root"))
+
+    def groups(self) -> DataFrame:
+        """doc_id, n_shingles, component_id of each document."""
+        least = self.scratch.stage(self.rooted.where("n_shingles > 0").groupBy("root").agg(F.min("doc_id").alias("least")), "least")
+        own = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("least"))
+        return self.rooted.join(least, "root", "left").select("doc_id", "n_shingles", own.alias("component_id"))
+
+    def keepers(self) -> DataFrame:
+        """(doc_id, text_hash, n): the row of each group that stays, and how many rows are just like it. Empty sets have no group."""
+        rank = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
+        same = self.rooted.where("n_shingles > 0").groupBy("root", rank.alias("row")).agg(F.count(F.lit(1)).alias("n"))
+        first = same.groupBy("root").agg(F.min(F.struct("row", "n")).alias("f"))
+        return first.select(F.col("f.row.doc_id").alias("doc_id"), F.col("f.row.text_hash").alias("text_hash"), "f.n")
+
+
 def join_groups(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", hash_blocks: int | None = None) -> DataFrame:
     """One row a document: doc_id, n_shingles, component_id. See the module's description."""
-    spark = docs.sparkSession
-    blocks = hash_blocks or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    source = texts(docs, id_col, text_col)
-    found = staged(_grouped(source, n, percent, blocks), "ngram-groups")
-    free_shuffles(spark)
-    rows = found.where("kind = 'doc'").select("doc_id", "key", "n_shingles", "sketch")
-    groups = staged(found.where("kind = 'group'").select("list", "center", "members", "others").dropDuplicates(["list"]), "ngram-lists")
-    pairs = groups.where("others IS NULL").select(F.col("center").alias("a"), F.explode("members").alias("b")).where("a <> b").distinct()
-    known = rows.where("n_shingles > 0").groupBy("key").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id")).alias("h"), F.first("n_shingles").alias("size"), F.first("sketch").alias("sketch"))
-    profiles = staged(known.select("key", F.col("h.doc_id").alias("holder"), "size", "sketch"), "ngram-profiles")
-    alike = staged(_alike(pairs, profiles, percent), "ngram-pairs")
-    free_shuffles(spark)
-    sets = _sets(alike, source, profiles, n)
-    nearest = alike.groupBy("b").agg(F.min(F.struct("apart", "a")).alias("near")).select("near.a", "b")
-    links = _links(nearest, sets, percent, blocks)
-    labels = components(links)
-    left_over = staged(_apart(alike, labels), "ngram-pairs")
-    if not left_over.isEmpty():
-        links = links.union(_links(left_over, sets, percent, blocks))
-        labels = components(links)
-    across = staged(_across(groups, labels, profiles, percent, blocks), "ngram-pairs")
-    free_shuffles(spark)
-    if not across.isEmpty():
-        labels = components(links.union(_links(across, _sets(across, source, profiles, n), percent, blocks)))
-    roots = rows.where("n_shingles > 0").select("doc_id", "key").join(labels, F.col("key") == labels.node, "left").select("doc_id", "key", F.coalesce("root", "key").alias("root"))
-    least = roots.groupBy("root").agg(F.min("doc_id").alias("least"))
-    by_key = roots.groupBy("key").agg(F.first("root").alias("root")).join(least, "root").select("key", "least")
-    own = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(F.col("least"))
-    return rows.join(by_key, "key", "left").select("doc_id", "n_shingles", own.alias("component_id"))
+    return _joined(docs, n, percent, id_col, text_col, hash_blocks).groups()
+
+
+def _joined(docs: DataFrame, n: int, percent: int, id_col: str = "doc_id", text_col: str = "text", hash_blocks: int | None = None) -> Joined:
+    scratch = Scratch(docs.sparkSession, "ngram-join")
+    blocks = hash_blocks or block_count(docs)
+    source = texts(docs, id_col, text_col).select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
+    found = scratch.stage(_grouped(source, n, percent, blocks), "found")
+    rows, lists = _resolved(found.where("kind = 'doc'"), found.where("kind = 'list'").select("list", "center", "members").dropDuplicates(["list", "members"]), scratch)
+    lists = scratch.stage(lists, "lists")
+    known = rows.where("n_shingles > 0").groupBy("node").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")).alias("h"), F.first("n_shingles").alias("size"), F.first("sketch").alias("sketch"))
+    profiles = scratch.stage(known.select("node", F.col("h.doc_id").alias("holder"), F.col("h.text_hash").alias("holder_text"), "size", "sketch"), "profiles")
+
+    def linked(pairs: DataFrame) -> DataFrame:
+        """Those of the pairs (a, b) whose sets link."""
+        sets = scratch.stage(_wanted_sets(source, pairs, profiles, n), "sets")
+        links = scratch.stage(_compared(pairs, sets.select("node", F.col("grams").alias("value")), blocks, lambda *p: _linking(*p, percent), "a long, b long"), "links")
+        scratch.drop(sets)
+        return links
+
+    stars = lists.select(F.col("center").alias("a"), F.explode("members").alias("b")).where("a <> b").distinct()
+    described = profiles.select("node", F.concat(F.encode(F.lpad(F.hex("size"), 16, "0"), "UTF-8"), "sketch").alias("value"))
+    tested = scratch.stage(_compared(stars, described, blocks, lambda *p: _alike(*p, percent), "a long, b long"), "alike")
+    labels = components(linked(tested))
+    most = 2
+    while True:
+        near = scratch.stage(_nearest(lists, labels, profiles, percent, most, blocks), "near")
+        new = scratch.stage(near.where("a IS NOT NULL").select("a", "b").distinct().join(tested, ["a", "b"], "left_anti"), "new")
+        if not new.isEmpty():
+            links = linked(new)
+            tested = tested.union(new)
+            if not links.isEmpty():
+                labels = components(labels.select(F.col("node").alias("a"), F.col("root").alias("b")).union(links))
+        elif near.where("a IS NULL").isEmpty():
+            return Joined(rows.select("doc_id", "text_hash", "node", "n_shingles"), labels, scratch)
+        else:
+            most *= 8
+        scratch.drop(near)
+
+
+def _resolved(docs: DataFrame, lists: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """The documents with a node each, and the lists of nodes: where a key stands for two sets, which their second hash tells, each has its own."""
+    twice = scratch.stage(docs.groupBy("key").agg(F.min("check").alias("low"), F.max("check").alias("high")).where("low <> high").select("key", "low"), "twice")
+    if twice.isEmpty():
+        return docs.withColumnRenamed("key", "node"), lists
+    other = F.when(F.col("low").isNull() | (F.col("check") == F.col("low")), F.col("key")).otherwise(F.xxhash64("key", "check"))
+    docs = docs.join(twice, "key", "left").withColumn("node", other)
+    nodes = scratch.stage(docs.where("low IS NOT NULL").select("key", "node").distinct(), "nodes")
+    each = lists.select("list", F.explode("members").alias("key")).join(nodes, "key", "left").select("list", F.coalesce("node", "key").alias("node"))
+    apart = nodes.select(F.format_string("key %d", "key").alias("list"), "node")
+    return docs, each.union(apart).groupBy("list").agg(F.min("node").alias("center"), F.collect_set("node").alias("members"))
 
 
 def _grouped(source: DataFrame, n: int, percent: int, blocks: int) -> DataFrame:
-    """Rows of kind doc (doc_id, key, n_shingles) and of kind group (list, center, members, others)."""
+    """Rows of kind doc (doc_id, text_hash, key, check, n_shingles, sketch) and of kind list (list, center, members)."""
+    sent_as = (("part", pa.int32()), ("what", pa.string()), *((c, pa.binary()) for c in ("ids", "hashes", "keys", "checks", "sizes", "sketches", "signatures")))
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for number, batch in enumerate(batches):
-            for lo in range(0, batch.num_rows, 2000):
-                part = batch.slice(lo, 2000)
+        turn = TaskContext.get().partitionId()
+        for batch in batches:
+            for lo in range(0, batch.num_rows, SLICE):
+                part, turn = batch.slice(lo, SLICE), turn + 1
                 sets = Sets(_binary(part.column("text")), n)
-                ids = part.column("doc_id").fill_null(_NO_ID).to_numpy(zero_copy_only=False)
-                out = [((number + lo) % blocks, "doc", planes(ids.view(np.uint64)), planes(sets.key.view(np.uint64)), planes(sets.size.view(np.uint64), 4), b"".join(map(sets.sketch, range(part.num_rows))))]
+                ids, hashes = (part.column(c).fill_null(_NO_ID).to_numpy(zero_copy_only=False).view(np.uint64) for c in ("doc_id", "text_hash"))
+                none = [None] * 7
+                out = [(turn % blocks, "doc", planes(ids), planes(hashes), planes(sets.key.view(np.uint64)), planes(sets.check.view(np.uint64)), planes(sets.size.view(np.uint64), 4), sets.sketches().tobytes(), None)]
                 distinct = np.zeros(part.num_rows, bool)
-                distinct[np.unique(sets.key, return_index=True)[1]] = True
+                distinct[np.unique(np.column_stack((sets.key, sets.check)), axis=0, return_index=True)[1]] = True
                 owner, signature = sets.signatures(percent)
-                here = distinct[owner]
-                owner, signature = owner[here], signature[here]
-                block = ((signature >> np.uint64(48)) % np.uint64(blocks)).astype(np.int64)
-                order = np.argsort(block, kind="stable")
-                starts = runs(block[order])
-                for a, z in zip(starts, [*starts[1:], len(order)], strict=True):
+                order = np.flatnonzero(distinct[owner])
+                order = order[np.argsort(signature[order], kind="stable")]
+                owner, signature = owner[order], signature[order]
+                first = runs(signature)
+                times = np.diff(np.r_[first, len(signature)])
+                hot = np.repeat(times >= HOT, times)
+                block = ((signature >> np.uint64(32)) % np.uint64(blocks)).astype(np.int64)
+                marks = first[times >= HOT]
+                for a, z in slices(block[marks][by_block := np.argsort(block[marks], kind="stable")]):
+                    at = marks[by_block[a:z]]
+                    out.append((int(block[at[0]]), "mark", *none[:6], planes(signature[at])))
+                block[hot] = (block[hot] + 1 + turn) % blocks
+                order = np.lexsort((owner, hot, block))
+                for a, z in slices(block[order] * 2 + hot[order]):
                     at = order[a:z]
-                    at = at[np.argsort(owner[at], kind="stable")]
                     first = runs(owner[at])
                     times = np.diff(np.r_[first, len(at)]).astype(np.uint64)
-                    out.append((int(block[at[0]]), "signature", planes(signature[at], SET_BYTES), planes(sets.key[owner[at][first]].view(np.uint64)), planes(times, 4), None))
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int32(), pa.string(), pa.binary(), pa.binary(), pa.binary(), pa.binary()), strict=True)], names=["part", "what", "x", "y", "z", "sketches"])
+                    what, width = ("hot", 8) if hot[at[0]] else ("signature", SIGNATURE_BYTES)
+                    out.append((int(block[at[0]]), what, *none[:2], planes(sets.key[owner[at][first]].view(np.uint64)), None, planes(times, 4), None, planes(signature[at], width)))
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, (_, t) in zip(zip(*out, strict=True), sent_as, strict=True)], names=[name for name, _ in sent_as])
 
     def gather(table: pa.Table) -> pa.Table:
         what = np.array(table.column("what").to_pylist())
-        x, y, z = (table.column(c).to_pylist() for c in ("x", "y", "z"))
-        docs, signed = np.flatnonzero(what == "doc").tolist(), np.flatnonzero(what == "signature").tolist()
-        ids = np.concatenate([from_planes(x[i]).view(np.int64) for i in docs] or [np.empty(0, np.int64)])
-        keys = np.concatenate([from_planes(y[i]).view(np.int64) for i in docs] or [np.empty(0, np.int64)])
-        sizes = np.concatenate([from_planes(z[i], 4).view(np.int64) for i in docs] or [np.empty(0, np.int64)])
-        sketches = [b[i : i + SKETCH] for k in docs for b in [table.column("sketches")[k].as_py()] for i in range(0, len(b), SKETCH)]
-        signature = np.concatenate([from_planes(x[i], SET_BYTES) for i in signed] or [np.empty(0, np.uint64)])
-        member = np.concatenate([np.repeat(from_planes(y[i]).view(np.int64), from_planes(z[i], 4).view(np.int64)) for i in signed] or [np.empty(0, np.int64)])
-        order = np.lexsort((member, signature))
-        signature, member = signature[order], member[order]
-        new = np.r_[True, (signature[1:] != signature[:-1]) | (member[1:] != member[:-1])] if len(member) else np.empty(0, bool)
-        signature, member = signature[new], member[new]
-        start = runs(signature)
-        length = np.diff(np.r_[start, len(member)])
-        start, length = start[length > 1], length[length > 1]
-        lists, groups = set(), []
-        for a, size in zip(start.tolist(), length.tolist(), strict=True):
-            keys_here = member[a : a + size]
-            name = int(mixed(np.add.reduce(mixed(keys_here.view(np.uint64)), keepdims=True) + np.uint64(size)).view(np.int64)[0])
-            if name not in lists:
-                lists.add(name)
-                pieces = [keys_here[i : i + PIECE] for i in range(0, size, PIECE)]
-                for i, piece in enumerate(pieces):
-                    for j, other in enumerate(pieces[: i + 1]):
-                        groups.append((f"{name}:{i}:{j}", int(keys_here[0]), piece, None if i == j else other))
-        none = [None] * len(groups)
-        return _table(
-            kind=(["doc"] * len(ids) + ["group"] * len(groups), pa.string()),
-            doc_id=([None if i == _NO_ID else i for i in ids.tolist()] + none, pa.int64()),
-            key=(keys.tolist() + none, pa.int64()),
-            n_shingles=(sizes.tolist() + none, pa.int64()),
-            sketch=(sketches + none, pa.binary()),
-            list=([None] * len(ids) + [g[0] for g in groups], pa.string()),
-            center=([None] * len(ids) + [g[1] for g in groups], pa.int64()),
-            members=([None] * len(ids) + [g[2] for g in groups], pa.list_(pa.int64())),
-            others=([None] * len(ids) + [g[3] for g in groups], pa.list_(pa.int64())),
+        cells = {c: table.column(c).to_pylist() for c in ("ids", "hashes", "keys", "checks", "sizes", "sketches", "signatures")}
+
+        def read(column: str, rows: list[int], n_bytes: int = 8) -> np.ndarray:
+            return np.concatenate([from_planes(cells[column][i], n_bytes) for i in rows] or [np.empty(0, np.uint64)])
+
+        def signed(kind: str, width: int) -> tuple[np.ndarray, np.ndarray]:
+            at = np.flatnonzero(what == kind).tolist()
+            return read("signatures", at, width), np.repeat(read("keys", at).view(np.int64), read("sizes", at, 4).view(np.int64))
+
+        docs = np.flatnonzero(what == "doc").tolist()
+        ids, hashes, keys, checks, sizes = (read(c, docs, w).view(np.int64) for c, w in (("ids", 8), ("hashes", 8), ("keys", 8), ("checks", 8), ("sizes", 4)))
+        sketches = [b[i : i + SKETCH] for k in docs for b in [cells["sketches"][k]] for i in range(0, len(b), SKETCH)]
+        marked = np.unique(read("signatures", np.flatnonzero(what == "mark").tolist()))
+        names, members = (x + y for x, y in zip(_lists(*signed("signature", SIGNATURE_BYTES), marked), _hot_lists(*signed("hot", 8)), strict=True))
+        no_doc, no_list = len(members), len(ids)
+        column = lambda values, kind, before=0, after=0: pa.chunked_array([pa.nulls(before, kind), pa.array(values, kind), pa.nulls(after, kind)])
+        return pa.table(
+            {
+                "kind": pa.array(["doc"] * len(ids) + ["list"] * len(members), pa.string()),
+                "doc_id": column(pa.array(ids, pa.int64(), mask=ids == _NO_ID), pa.int64(), 0, no_doc),
+                **{c: column(v, pa.int64(), 0, no_doc) for c, v in (("text_hash", hashes), ("key", keys), ("check", checks), ("n_shingles", sizes))},
+                "sketch": column(sketches, pa.binary(), 0, no_doc),
+                "list": column(names, pa.string(), no_list),
+                "center": column([m.min() for m in members], pa.int64(), no_list),
+                "members": column(members, pa.list_(pa.int64()), no_list),
+            }
         )
 
-    sent = source.mapInArrow(send, "part int, what string, x binary, y binary, z binary, sketches binary")
-    return sent.groupBy("part").applyInArrow(gather, "kind string, doc_id long, key long, n_shingles long, sketch binary, list string, center long, members array<long>, others array<long>")
-
-
-def _alike(pairs: DataFrame, profiles: DataFrame, percent: int) -> DataFrame:
-    """Those pairs (a, b) that sizes and sketches do not rule out."""
-    side = lambda k: profiles.select(F.col("key").alias(k), F.col("size").alias(f"size_{k}"), F.col("sketch").alias(f"sketch_{k}"))
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            x, y = (np.frombuffer(b"".join(batch.column(f"sketch_{k}").to_pylist()), np.uint8).reshape(-1, SKETCH) for k in "ab")
-            size_x, size_y = (batch.column(f"size_{k}").to_numpy() for k in "ab")
-            apart = _apart_at_least(x, y)
-            passes = pa.array(_may_link(apart, size_x, size_y, percent))
-            yield pa.RecordBatch.from_arrays([batch.column("a").filter(passes), batch.column("b").filter(passes), pa.array(apart).filter(passes)], names=["a", "b", "apart"])
-
-    return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(compare, "a long, b long, apart long")
-
+    sent = source.mapInArrow(send, ", ".join(f"{c} {'int' if c == 'part' else 'string' if c == 'what' else 'binary'}" for c, _ in sent_as))
+    return sent.groupBy("part").applyInArrow(gather, "kind string, doc_id long, text_hash long, key long, check long, n_shingles long, sketch binary, list string, center long, members array<long>")
+
+
+def _by_signature(signature: np.ndarray, member: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Signatures and their distinct members in order, and where each signature's start and how many they are."""
+    order = np.lexsort((member, signature))
+    signature, member = signature[order], member[order]
+    new = np.r_[True, (signature[1:] != signature[:-1]) | (member[1:] != member[:-1])] if len(member) else np.empty(0, bool)
+    signature, member = signature[new], member[new]
+    start = runs(signature)
+    return signature, member, start, np.diff(np.r_[start, len(member)])
+
+
+def _lists(signature: np.ndarray, member: np.ndarray, marked: np.ndarray) -> tuple[list[str], list[np.ndarray]]:
+    """Names and members of the lists of a block: several members of a signature, or any of one that is marked as hot elsewhere."""
+    signature, member, start, length = _by_signature(signature, member)
+    if not len(member):
+        return [], []
+    hashed = [mixed(np.add.reduceat(mixed(member.view(np.uint64) ^ np.uint64(seed)), start) + length.astype(np.uint64)) for seed in (7, 13)]
+    low = marked & np.uint64(2 ** (8 * SIGNATURE_BYTES) - 1)
+    own = signature[start]
+    plain = (length > 1) & ~np.isin(own, low)
+    _, once = np.unique(np.column_stack([h[plain] for h in hashed]), axis=0, return_index=True)
+    names, members = [], []
+    for i in np.flatnonzero(plain)[once].tolist():
+        names.append(f"{int(hashed[0][i]):016x}{int(hashed[1][i]):016x}")
+        members.append(member[start[i] : start[i] + length[i]])
+    for full, i in ((full, i) for full, short in zip(marked.tolist(), low, strict=True) for i in np.flatnonzero(own == short).tolist()):
+        names.append(f"hot {full:016x}")
+        members.append(member[start[i] : start[i] + length[i]])
+    return names, members
+
+
+def _hot_lists(signature: np.ndarray, member: np.ndarray) -> tuple[list[str], list[np.ndarray]]:
+    """Names and members of the pieces of hot lists that came to a block."""
+    signature, member, start, length = _by_signature(signature, member)
+    return [f"hot {s:016x}" for s in signature[start].tolist()], [member[a : a + size] for a, size in zip(start.tolist(), length.tolist(), strict=True)]
+
+
+def _compared(pairs: DataFrame, values: DataFrame, blocks: int, judge: Callable, schema: str) -> DataFrame:
+    """What judge(a, b, values of a, values of b) keeps of the pairs (a, b), given as numbers and bytes. A value is sent once to each block of partners."""
+    asked = pairs.withColumn("block", _block(F.col("b"), blocks))
+    none = lambda kind: F.lit(None).cast(kind)
+    sent = asked.select(F.col("a").alias("node"), "block").distinct().join(values, "node").select("block", F.col("node").alias("a"), none("long").alias("b"), "value")
+    right = sent.unionByName(asked.select("block", "a", "b", none("binary").alias("value")))
+    held = values.join(pairs.select(F.col("b").alias("node")).distinct(), "node", "left_semi")
+    left = held.select(_block(F.col("node"), blocks).alias("own_block"), F.col("node").alias("own"), F.col("value").alias("own_value"))
 
-def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Those pairs whose members are in different components."""
-    root = lambda k: labels.select(F.col("node").alias(k), F.col("root").alias(f"root_{k}"))
-    rooted = pairs.join(root("a"), "a", "left").join(root("b"), "b", "left")
-    return rooted.where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b")
+    def compare(own: pa.Table, asked: pa.Table) -> pa.Table:
+        a, b, value = (asked.column(c).to_pylist() for c in ("a", "b", "value"))
+        mine = dict(zip(own.column("own").to_pylist(), own.column("own_value").to_pylist(), strict=True))
+        theirs = {x: v for x, y, v in zip(a, b, value, strict=True) if y is None}
+        wanted = sorted((x, y) for x, y in zip(a, b, strict=True) if y is not None and x in theirs and y in mine)
+        parts = [judge([x for x, _ in part], [y for _, y in part], [theirs[x] for x, _ in part], [mine[y] for _, y in part]) for part in (wanted[i : i + 20_000] for i in range(0, len(wanted), 20_000))]
+        return pa.concat_tables(parts or [_pairs(np.empty(0, np.int64), np.empty(0, np.int64))])
+
+    return left.groupBy("own_block").cogroup(right.groupBy("block")).applyInArrow(compare, schema)
+
+
+def _alike(a: list[int], b: list[int], x: list[bytes], y: list[bytes], percent: int) -> pa.Table:
+    """Pairs that sizes and sketches, in this order in the values, do not rule out."""
+    size_x, size_y = (np.array([int(v[:16], 16) for v in side], np.int64) for side in (x, y))
+    sketch_x, sketch_y = (np.frombuffer(b"".join(v[16:] for v in side), np.uint8).reshape(-1, SKETCH) for side in (x, y))
+    may = _may_link(_apart_at_least(sketch_x, sketch_y), size_x, size_y, percent)
+    return _pairs(np.array(a, np.int64)[may], np.array(b, np.int64)[may])
+
+
+def _linking(a: list[int], b: list[int], x: list[bytes], y: list[bytes], percent: int) -> pa.Table:
+    """Pairs whose sets link."""
+    holds, last, grams_a = np.zeros(len(a), bool), None, None
+    for i, (u, v) in enumerate(zip(x, y, strict=True)):
+        if a[i] != last:
+            last, grams_a = a[i], from_planes(u)
+        grams_b = from_planes(v)
+        small, large = sorted((len(grams_a), len(grams_b)))
+        if 100 * small >= percent * large:
+            both = np.concatenate((grams_a, grams_b))
+            both.sort()
+            common = int(np.count_nonzero(both[1:] == both[:-1]))
+            holds[i] = 100 * common >= percent * (small + large - common)
+    return _pairs(np.array(a, np.int64)[holds], np.array(b, np.int64)[holds])
 
 
 def _apart_at_least(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -289,115 +398,92 @@ def _apart_at_least(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 
 def _may_link(apart: np.ndarray, size_x: np.ndarray, size_y: np.ndarray, percent: int) -> np.ndarray:
-    return (100 * np.minimum(size_x, size_y) >= percent * np.maximum(size_x, size_y)) & ((100 + percent) * apart <= (100 - percent) * (size_x + size_y))
+    return _sizes_allow(size_x, size_y, percent) & ((100 + percent) * apart <= (100 - percent) * (size_x + size_y))
 
 
-def _sets(pairs: DataFrame, source: DataFrame, profiles: DataFrame, n: int) -> DataFrame:
-    """(key, grams) of the pairs' keys, staged; each is built from one document."""
-    sets = staged(_wanted_sets(source, pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct(), profiles, n), "ngram-sets")
-    free_shuffles(source.sparkSession)
-    return sets
+def _sizes_allow(size_x: np.ndarray, size_y: np.ndarray, percent: int) -> np.ndarray:
+    return 100 * np.minimum(size_x, size_y) >= percent * np.maximum(size_x, size_y)
 
 
-def _links(pairs: DataFrame, sets: DataFrame, percent: int, blocks: int) -> DataFrame:
-    """Those pairs whose sets link, staged."""
-    links = staged(_linked(pairs, sets, percent, blocks), "ngram-links")
-    free_shuffles(pairs.sparkSession)
-    return links
-
-
-def _wanted_sets(source: DataFrame, keys: DataFrame, profiles: DataFrame, n: int) -> DataFrame:
-    """(key, grams) of the keys."""
-    wanted = profiles.join(keys, "key", "left_semi").select("key", "holder")
+def _wanted_sets(source: DataFrame, pairs: DataFrame, profiles: DataFrame, n: int) -> DataFrame:
+    """(node, grams) of the pairs' nodes; each is built from one document, which its id and its text's hash name."""
+    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    wanted = profiles.join(nodes, "node", "left_semi").select("node", "holder", "holder_text")
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for lo in range(0, batch.num_rows, 2000):
-                part = batch.slice(lo, 2000)
-                sets, key = Sets(_binary(part.column("text")), n), part.column("key").to_pylist()
-                own = [i for i, k in enumerate(key) if k == sets.key[i]]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([key[i] for i in own], pa.int64()), pa.array([planes(np.sort(sets.rows[i] & np.uint64(2 ** (8 * SET_BYTES) - 1)), SET_BYTES) for i in own], pa.binary())],
-                    names=["key", "grams"],
-                )
-
-    return source.join(wanted, source.doc_id.eqNullSafe(wanted.holder)).select("key", "text").mapInArrow(build, "key long, grams binary")
-
-
-def _linked(pairs: DataFrame, sets: DataFrame, percent: int, blocks: int) -> DataFrame:
-    """Those pairs (a, b) whose sets link. A set is sent once to each block of partners."""
-    asked = pairs.withColumn("block", _block(F.col("b"), blocks))
-    sent = asked.select(F.col("a").alias("key"), "block").distinct().join(sets.select("key", "grams"), "key").select("block", F.col("key").alias("a"), F.lit(None).cast("long").alias("b"), "grams")
-    right = sent.unionByName(asked.select("block", "a", "b", F.lit(None).cast("binary").alias("grams")))
-    held = sets.join(pairs.select(F.col("b").alias("key")).distinct(), "key", "left_semi")
-    left = held.select(F.col("key").alias("own"), F.col("grams").alias("own_grams"), _block(F.col("key"), blocks).alias("own_block"))
-
-    def compare(own: pa.Table, asked: pa.Table) -> pa.Table:
-        a, b, grams = (asked.column(c).to_pylist() for c in ("a", "b", "grams"))
-        mine = dict(zip(own.column("own").to_pylist(), own.column("own_grams").to_pylist(), strict=True))
-        theirs = {x: g for x, y, g in zip(a, b, grams, strict=True) if y is None}
-        found, last, grams_a = [], None, None
-        for x, y in sorted((x, y) for x, y in zip(a, b, strict=True) if y is not None):
-            if x not in theirs or y not in mine:
-                continue
-            if x != last:
-                last, grams_a = x, from_planes(theirs[x], SET_BYTES)
-            grams_b = from_planes(mine[y], SET_BYTES)
-            small, large = sorted((len(grams_a), len(grams_b)))
-            if 100 * small < percent * large:
-                continue
-            both = np.concatenate((grams_a, grams_b))
-            both.sort()
-            common = int(np.count_nonzero(both[1:] == both[:-1]))
-            if 100 * common >= percent * (small + large - common):
-                found.append((x, y))
-        return _pairs(np.array([f[0] for f in found], np.int64), np.array([f[1] for f in found], np.int64))
-
-    return left.groupBy("own_block").cogroup(right.groupBy("block")).applyInArrow(compare, "a long, b long")
-
-
-def _across(groups: DataFrame, labels: DataFrame, profiles: DataFrame, percent: int, blocks: int) -> DataFrame:
-    """Pairs of members of one group whose components differ and whose sizes and sketches do not rule out a link."""
-    sides = groups.select("list", F.explode(F.concat("members", F.coalesce("others", F.array().cast("array<long>")))).alias("key"))
-    rooted = sides.join(labels, sides.key == labels.node, "left").select("list", "key", F.coalesce("root", "key").alias("root"))
-    mixed_lists = rooted.groupBy("list").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("list")
-    known = rooted.join(mixed_lists, "list", "left_semi").join(profiles.select("key", "size", "sketch"), "key")
-    pieces = groups.join(mixed_lists, "list", "left_semi").select("list", F.lit(None).cast("long").alias("key"), F.lit(None).cast("long").alias("root"), F.lit(None).cast("long").alias("size"), F.lit(None).cast("binary").alias("sketch"), "others")
-    rows = known.withColumn("others", F.lit(None).cast("array<long>")).select("list", "key", "root", "size", "sketch", "others").union(pieces)
-
-    def compare(table: pa.Table) -> pa.Table:
-        name = table.column("list").combine_chunks().dictionary_encode().indices.to_numpy()
-        is_member = table.column("key").is_valid().to_numpy()
-        pieces = {n: o for n, o in zip(name[~is_member].tolist(), table.column("others").filter(pa.array(~is_member)).to_pylist(), strict=True) if o}
-        member = table.filter(pa.array(is_member))
-        key, root, size = (member.column(c).to_numpy() for c in ("key", "root", "size"))
-        sketch = np.frombuffer(b"".join(member.column("sketch").to_pylist()), np.uint8).reshape(-1, SKETCH)
-        order = np.lexsort((key, name[is_member]))
-        ordered = name[is_member][order]
-        starts = runs(ordered)
-        a, b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
-        for lo, hi in zip(starts, [*starts[1:], len(order)], strict=True):
+            for lo in range(0, batch.num_rows, SLICE):
+                part = batch.slice(lo, SLICE)
+                sets = Sets(_binary(part.column("text")), n)
+                yield pa.RecordBatch.from_arrays([part.column("node"), pa.array([planes(row) for row in sets.rows], pa.binary())], names=["node", "grams"])
+
+    held = source.join(wanted, source.doc_id.eqNullSafe(wanted.holder) & (source.text_hash == wanted.holder_text))
+    return held.select("node", "text").mapInArrow(build, "node long, grams binary")
+
+
+def _nearest(lists: DataFrame, labels: DataFrame, profiles: DataFrame, percent: int, most: int, blocks: int) -> DataFrame:
+    """Pairs (a, b), a < b, of members of one list whose components differ and whose sizes and sketches do not rule out a link.
+
+    A member outside its list's largest component names the `most` nearest of them; a row without a and b says that some
+    member has more. Lists are compared in units of some PIECE members a side, dealt by a hash of the member.
+    """
+    member = lists.where((F.size("members") > 2) | F.col("list").like("hot %") | F.col("list").like("key %")).select("list", F.explode("members").alias("node"))
+    rooted = member.join(labels, "node", "left").select("list", "node", F.coalesce("root", "node").alias("root"))
+    by_root = rooted.groupBy("list", "root").agg(F.count(F.lit(1)).alias("n"))
+    mixed_lists = by_root.groupBy("list").agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.max("n").alias("largest"), F.sum("n").alias("total")).where("total > largest")
+    outside = F.col("root") != F.col("main")
+    count = lambda c: F.greatest(F.lit(1), F.ceil(c / PIECE)).cast("int")
+    place = lambda pieces: F.pmod(F.xxhash64("node"), pieces).cast("int")
+    sided = rooted.join(mixed_lists, "list").select("list", "node", "root", outside.alias("outside"), count(F.col("total") - F.col("largest")).alias("lefts"), count(F.col("total")).alias("rights"))
+    left = sided.where("outside").select("list", "node", "root", place(F.col("lefts")).alias("i"), F.explode(F.sequence(F.lit(0), F.col("rights") - 1)).alias("j"), F.lit(True).alias("is_left"))
+    right = sided.select("list", "node", "root", F.explode(F.sequence(F.lit(0), F.col("lefts") - 1)).alias("i"), place(F.col("rights")).alias("j"), F.lit(False).alias("is_left"))
+    rows = left.union(right).join(profiles.select("node", "size", "sketch"), "node")
+    units = rows.select(F.pmod(F.xxhash64("list", "i", "j"), F.lit(4 * blocks)).cast("int").alias("block"), F.concat_ws(" ", "list", "i", "j").alias("unit"), "node", "root", "is_left", "size", "sketch")
+
+    def name(table: pa.Table) -> pa.Table:
+        unit = table.column("unit").combine_chunks().dictionary_encode().indices.to_numpy()
+        node, root, size = (table.column(c).to_numpy() for c in ("node", "root", "size"))
+        is_left = np.asarray(table.column("is_left"))
+        sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(-1, SKETCH)
+        order = np.lexsort((node, is_left, unit))
+        found, more = [(np.empty(0, np.int64), np.empty(0, np.int64))], False
+        for lo, hi in slices(unit[order]):
             at = order[lo:hi]
-            at = at[runs(key[at])]  # a key of both pieces comes twice
-            others = pieces.get(int(ordered[lo]))
-            side = np.isin(key[at], others) if others else None
-            left, right = (at[~side], at[side]) if others else (at, at)
-            step = max(1, 32_768 // max(1, len(right)))
-            for i in range(0, len(left), step):
-                x = left[i : i + step]
-                r, c = np.nonzero((root[x][:, None] != root[right]) & ((key[x][:, None] < key[right]) | bool(others)))
-                x, y = x[r], right[c]
-                linked = _may_link(_apart_at_least(sketch[x], sketch[y]), size[x], size[y], percent)
-                a.append(key[x[linked]])
-                b.append(key[y[linked]])
-        return _pairs(np.concatenate(a), np.concatenate(b))
-
-    by_block = rows.withColumn("block", F.pmod(F.xxhash64("list"), F.lit(4 * blocks)).cast("int"))
-    return by_block.groupBy("block").applyInArrow(compare, "a long, b long").distinct()
+            x, y = at[is_left[at]], at[~is_left[at]]
+            for i in range(0, len(x), step := max(1, 65_536 // len(y))) if len(x) and len(y) else ():
+                u = x[i : i + step]
+                r, c = np.nonzero((root[u][:, None] != root[y]) & _sizes_allow(size[u][:, None], size[y], percent))
+                p, q = u[r], y[c]
+                apart = _apart_at_least(sketch[p], sketch[q])
+                may = _may_link(apart, size[p], size[q], percent)
+                p, q, apart = p[may], q[may], apart[may]
+                by = np.lexsort((node[q], apart, p))
+                p, q = p[by], q[by]
+                first = runs(p)
+                rank = np.arange(len(p)) - np.repeat(first, np.diff(np.r_[first, len(p)]))
+                more |= bool((rank >= most).any())
+                found.append((node[p[rank < most]], node[q[rank < most]]))
+        a, b = (np.concatenate(side) for side in zip(*found, strict=True))
+        pairs = np.unique(np.column_stack((np.minimum(a, b), np.maximum(a, b))), axis=0)
+        out = _pairs(pairs[:, 0], pairs[:, 1])
+        return pa.concat_tables([out, pa.table({"a": pa.nulls(1, pa.int64()), "b": pa.nulls(1, pa.int64())})]) if more else out
+
+    return units.groupBy("block").applyInArrow(name, "a long, b long")
 
 
 def keep_one_of_each(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of docs with their group's least doc_id, with all columns; rows without an id stay if no id is in their group."""
-    groups = join_groups(docs, n, percent)
-    stays = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("stays")).distinct()
-    return docs.join(stays, F.col("doc_id").eqNullSafe(F.col("stays")), "left_semi")
+    """One row of each group, that with the least doc_id (ties: of the text with the least hash), with all its columns.
+
+    A row without an id stays only where no row of its group has one; rows without words link with nothing and all stay; of
+    rows that repeat the one that stays, one stays; a null text has no words; an empty table gives no rows; extra columns may
+    have any names.
+    """
+    joined = _joined(docs, n, percent)
+    keepers = joined.scratch.stage(joined.keepers(), "keepers")
+    wordless = ~F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), F.col("doc_id").alias("own_id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("own_text"), wordless.alias("wordless"))
+    kept = rows.join(keepers, rows.own_id.eqNullSafe(keepers.doc_id) & (rows.own_text == keepers.text_hash) & ~rows.wordless, "left").where("wordless OR n IS NOT NULL")
+    if keepers.where("n > 1").isEmpty():
+        return kept.select("row.*")
+    once, repeated = kept.where("wordless OR n = 1"), kept.where("NOT wordless AND n > 1").dropDuplicates(["own_id", "own_text"])
+    return once.select("row.*").union(repeated.select("row.*"))

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, found_in, from_planes, planes, runs, texts
+from .common import Words, found_in, from_planes, planes, runs, slices, texts
 
 WINDOW, PERIOD, COVER = 13, 7, (0, 1, 3)
 ANCHOR = WINDOW - PERIOD + 1
@@ -41,8 +41,7 @@ def _parts(keys: np.ndarray, n_parts: int, *columns: np.ndarray):
     """(part, slices of columns) in order of part = key modulo n_parts; columns have to be ordered as wanted in a part."""
     part = (keys % np.uint64(n_parts)).astype(np.int64)
     order = np.argsort(part, kind="stable")
-    starts = runs(part[order])
-    for lo, hi in zip(starts, [*starts[1:], len(part)], strict=True):
+    for lo, hi in slices(part[order]):
         at = order[lo:hi]
         yield int(part[at[0]]), *(c[at] for c in columns)
 
