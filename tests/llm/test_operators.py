@@ -7,6 +7,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -74,13 +75,43 @@ def test_best_fit_takes_the_tightest_window():
     assert sorted(50 - f for f in filled) == sorted(room)
 
 
+def ids_of(encoder, texts):
+    ids, bounds = encoder.encode(pa.array(texts))
+    return [ids[a:z].tolist() for a, z in zip(bounds, bounds[1:], strict=False)]
+
+
+def test_repacking_bounds_the_padding_of_many_splits(spark):
+    """Windows are as few as one best-fit run over all pieces needs, up to a few a group, however the rows are split."""
+    rng = random.Random(31)
+    rows = [(i, " ".join(words(rng.choice((3, 20, 200, 900)), i))) for i in range(300)]
+    one, many = (packing.pack(table(spark, rows).repartition(n), VOCABULARY, 1024).toPandas() for n in (1, 60))
+    windows = [p.groupby("sequence_id").agg(total=("length", "sum"), padded=("padded_length", "max")) for p in (one, many)]
+    for w in windows:
+        power = w.total & (w.total - 1) == 0
+        assert (w.total <= 1024).all() and (w.padded[power] == w.total[power]).all() and (w.padded[~power] == 1024).all()
+        assert w.padded.sum() <= 1.1 * w.total.sum()
+    assert windows[0].total.sum() == windows[1].total.sum() and len(windows[1]) <= len(windows[0]) + 4
+
+
+def test_odd_words_are_encoded_as_whole_texts():
+    from tokenizers import Tokenizer
+
+    tokenizer, encoder = Tokenizer.from_file(VOCABULARY), packing.Encoder(VOCABULARY)
+    rng = random.Random(32)
+    letters = "abzAZ09'.,-_\"<|>éÉßİıǅʰªΣς漢ก\u0301\u0307\u200d\u00a0\x85\x1c\x00٣Ⅷ①😀"
+    texts = [" ".join("".join(rng.choice(letters) for _ in range(rng.randint(1, 6))) for _ in range(40)) for _ in range(300)]
+    texts += ["", " ", "don't we'LL 's 'll'd x'sy", "<|endoftext|>a b<|startoftext|>", "a" * 300, "9" * 50]
+    for text, ids in zip(texts, ids_of(encoder, texts), strict=True):
+        assert ids == tokenizer.encode(text, add_special_tokens=False).ids, text
+
+
 def test_words_are_encoded_as_whole_texts(spark):
     from tokenizers import Tokenizer
 
     texts = [r.text for r in spark.read.parquet(f"{SF}/documents.parquet").collect()] + ["<|endoftext|> a's Σ ΑΣ ΑΣ. \x85 x́ ́y I'LL ﬁ z", "\x1c a \xa0b"]
     tokenizer, encoder = Tokenizer.from_file(VOCABULARY), packing.Encoder(VOCABULARY)
-    for text, ids in zip(texts, encoder.encode(texts), strict=True):
-        assert np.frombuffer(ids, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+    for text, ids in zip(texts, ids_of(encoder, texts), strict=True):
+        assert ids == tokenizer.encode(text, add_special_tokens=False).ids
 
 
 def test_capitals_with_combining_marks_are_encoded_as_whole_texts(spark):
@@ -88,8 +119,8 @@ def test_capitals_with_combining_marks_are_encoded_as_whole_texts(spark):
 
     tokenizer, encoder = Tokenizer.from_file(VOCABULARY), packing.Encoder(VOCABULARY)
     texts = ["H\u0331amza J\u030cim", "h\u0331amza j\u030cim", "T\u0308a W\u030aa Y\u030aa hamza HAMZA", "\u00c9COLE E\u0301COLE \u0130stanbul I\u0307 \u03a3\u0391\u03a3"]
-    for text, ids in zip(texts, encoder.encode(texts), strict=True):
-        assert np.frombuffer(ids, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+    for text, ids in zip(texts, ids_of(encoder, texts), strict=True):
+        assert ids == tokenizer.encode(text, add_special_tokens=False).ids
 
 
 # 2 n-gram join
