@@ -8,8 +8,9 @@ A turn is written `<|role|>` body `</s>`, a conversation `<s>` turns. Inside rol
 first character of every control string and before every backslash, so that no control string is left and taking each
 backslash's own backslash away gives the text back.
 
-Turns are put in order by sorting each conversation's own rows. A conversation is one value of the result, so its rows
-meet in one task by the definition of the result; conversations are spread by a hash of their id.
+Placeholders are numbered and spans placed by running sums over a conversation's parts, each part a row, so the work grows
+with a conversation's length and no faster. A conversation is one value of the result, so its rows meet in one task by the
+definition of the result; conversations are spread by a hash of their id.
 
 Defined results: null text or content is empty, a null role is empty, turns go by turn number, then role and text, null
 turn numbers first; repeated rows are repeated turns; rows with a null id form one conversation; an empty table gives
@@ -18,7 +19,7 @@ no rows; other columns are not read.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BEGIN, END = "<s>", "</s>"
@@ -27,6 +28,8 @@ CONTROL = ("<s>", "</s>", "[INST]", "[/INST]", "<|", "|>")
 _ESCAPED = r"\\|<(?=/?s>|\|)|\[(?=/?INST\])|\|(?=>)"
 #: Tokens for one unit of size: an image's 14 x 14 patch, a second of audio, a page of a document.
 UNIT_TOKENS = {"image": 1.0, "audio": 25.0, "document": 1024.0}
+#: Loss spans beyond which a string is cut into characters before they are taken out.
+MANY_SPANS = 200
 PARTS = "array<struct<type string, text string, ref string, size double>>"
 
 
@@ -56,15 +59,6 @@ def _tokens(part: Column) -> Column:
     return F.greatest(F.lit(1), F.ceil(F.coalesce(part["size"] * rate, F.lit(1.0)))).cast("long")
 
 
-def _visit(parts: Column, first: Column) -> Column:
-    """Body of a message; first is the number of attachments before it in the conversation."""
-    seen = lambda i: F.size(F.filter(F.slice(parts, 1, i), lambda p: ~_is_text(p)))
-    shown = lambda p, i: F.when(_is_text(p), escape(F.coalesce(p["text"], F.lit("")))).otherwise(
-        F.concat(F.lit("<|"), escape(p["type"]), F.lit(":"), (first + seen(i) + 1).cast("string"), F.lit("|>"))
-    )
-    return F.array_join(F.transform(parts, shown), "")
-
-
 def format_conversations(messages: DataFrame, id_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", content: Column | None = None, text_col: str = "text", loss_role: str = "assistant") -> DataFrame:
     """One row a conversation: conv_id, formatted, loss_spans, attachments, n_turns.
 
@@ -73,36 +67,53 @@ def format_conversations(messages: DataFrame, id_col: str = "conv_id", turn_col:
     """
     parts = F.coalesce(content, F.array().cast(PARTS)) if content is not None else text_parts(F.col(text_col))
     rows = messages.select(F.col(id_col).alias("conv_id"), F.col(turn_col).alias("turn"), F.coalesce(F.col(role_col), F.lit("")).alias("role"), parts.alias("parts"))
-    turns = rows.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("turn", "role", "parts"))).alias("turns"))
-    files = F.filter(F.flatten(F.col("turns.parts")), lambda p: ~_is_text(p))
-    attachments = F.transform(files, lambda p, i: F.struct((i + 1).alias("number"), p["type"].alias("type"), p["ref"].alias("ref"), _tokens(p).alias("tokens")))
-    before = lambda i: F.size(F.filter(F.flatten(F.slice(F.col("turns.parts"), 1, i)), lambda p: ~_is_text(p)))
-    piece = lambda t, i: F.struct(
-        F.concat(F.lit("<|"), escape(t["role"]), F.lit("|>")).alias("head"),
-        _visit(t["parts"], before(i) if content is not None else F.lit(0)).alias("body"),
-        (t["role"] == loss_role).alias("loss"),
+    own = Window.partitionBy("conv_id")
+    numbered = rows.withColumn("n", F.row_number().over(own.orderBy(F.col("turn").asc_nulls_first(), "role", "parts")))
+    visited = numbered.select("conv_id", "n", "role", F.greatest(F.size("parts"), F.lit(1)).alias("n_parts"), F.posexplode_outer("parts").alias("pos", "part")).withColumn("pos", F.coalesce("pos", F.lit(0)))
+    so_far = own.orderBy("n", "pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    part = F.col("part")
+    counted = visited.withColumn("number", F.sum(F.when(_is_text(part), 0).otherwise(1)).over(so_far))
+    placeholder = F.concat(F.lit("<|"), escape(part["type"]), F.lit(":"), F.col("number").cast("string"), F.lit("|>"))
+    shown = counted.select(
+        "*",
+        F.when(F.col("pos") == 0, F.concat(F.lit("<|"), escape(F.col("role")), F.lit("|>"))).otherwise("").alias("head"),
+        F.when(_is_text(part), escape(F.coalesce(part["text"], F.lit("")))).otherwise(placeholder).alias("body"),
+        F.when(F.col("pos") == F.col("n_parts") - 1, END).otherwise("").alias("tail"),
     )
-    cut = turns.select("conv_id", attachments.alias("attachments"), F.transform("turns", piece).alias("pieces"))
-    whole = F.concat(F.lit(BEGIN), F.array_join(F.transform("pieces", lambda p: F.concat(p["head"], p["body"], F.lit(END))), ""))
-    start = F.struct(F.lit(len(BEGIN)).cast("long").alias("at"), F.array().cast("array<struct<start bigint, length bigint>>").alias("spans"))
-
-    def step(so_far: Column, p: Column) -> Column:
-        head, body = F.char_length(p["head"]).cast("long"), F.char_length(p["body"]).cast("long")
-        span = F.array(F.struct((so_far["at"] + head).alias("start"), body.alias("length")))
-        return F.struct((so_far["at"] + head + body + len(END)).alias("at"), F.when(p["loss"], F.concat(so_far["spans"], span)).otherwise(so_far["spans"]).alias("spans"))
-
-    return cut.select("conv_id", whole.alias("formatted"), F.aggregate("pieces", start, step)["spans"].alias("loss_spans"), "attachments", F.size("pieces").cast("long").alias("n_turns"))
+    length = lambda *names: sum((F.char_length(c).cast("long") for c in names[1:]), F.char_length(names[0]).cast("long"))
+    placed = shown.select(
+        "*",
+        (len(BEGIN) + F.sum(length("head", "body", "tail")).over(so_far) - length("body", "tail")).alias("start"),
+        F.sum(length("body")).over(Window.partitionBy("conv_id", "n")).alias("length"),
+    )
+    file = F.when(~_is_text(part), F.struct(F.col("number").cast("int").alias("number"), part["type"].alias("type"), part["ref"].alias("ref"), _tokens(part).alias("tokens")))
+    span = F.when((F.col("pos") == 0) & (F.col("role") == loss_role), F.struct("start", "length"))
+    whole = placed.groupBy("conv_id").agg(
+        F.sort_array(F.collect_list(F.struct("n", "pos", F.concat("head", "body", "tail").alias("text")))).alias("texts"),
+        F.sort_array(F.collect_list(span)).alias("loss_spans"),
+        F.sort_array(F.collect_list(file)).alias("attachments"),
+        F.max("n").cast("long").alias("n_turns"),
+    )
+    return whole.select("conv_id", F.concat(F.lit(BEGIN), F.array_join("texts.text", "")).alias("formatted"), "loss_spans", "attachments", "n_turns")
 
 
 def read_back(formatted: DataFrame) -> DataFrame:
-    """Roles and texts out of the formatted strings, and the text under the loss mask: conv_id, turns, loss_text, formatted."""
+    """Roles and texts out of the formatted strings, and the text under the loss mask: conv_id, turns, loss_text, formatted.
+
+    Taking a span out of a string counts its characters from the start, so a string with over MANY_SPANS spans is first cut
+    into characters.
+    """
     body = F.substring(F.col("formatted"), len(BEGIN) + 1, 2**31 - 1)
     pieces = F.filter(F.split(body, END), lambda p: p != "")
     turn = lambda p: F.struct(
         unescape(F.regexp_extract(p, r"(?s)^<\|(.*?)\|>(.*)$", 1)).alias("role"), unescape(F.regexp_extract(p, r"(?s)^<\|(.*?)\|>(.*)$", 2)).alias("text")
     )
-    masked = F.transform("loss_spans", lambda s: F.col("formatted").substr((s["start"] + 1).cast("int"), s["length"].cast("int")))
-    return formatted.select("conv_id", F.transform(pieces, turn).alias("turns"), F.array_join(F.transform(masked, unescape), "").alias("loss_text"), "formatted")
+    at = lambda s: ((s["start"] + 1).cast("int"), s["length"].cast("int"))
+    few = F.transform("loss_spans", lambda s: F.col("formatted").substr(*at(s)))
+    cut = formatted.withColumn("characters", F.when(F.size("loss_spans") > MANY_SPANS, F.split("formatted", "")))
+    many = F.transform("loss_spans", lambda s: F.array_join(F.slice("characters", *at(s)), ""))
+    masked = F.when(F.col("characters").isNotNull(), many).otherwise(few)
+    return cut.select("conv_id", F.transform(pieces, turn).alias("turns"), F.array_join(F.transform(masked, unescape), "").alias("loss_text"), "formatted")
 
 
 def digests(back: DataFrame) -> DataFrame:

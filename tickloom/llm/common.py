@@ -96,23 +96,37 @@ def texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 class WordTable(dict):
-    """word (bytes) -> 64-bit hash, filled on first sight."""
+    """word (bytes) -> its row in the array `hashes`, whose two columns are the halves of a 128-bit hash; filled on first sight."""
+
+    def __init__(self):
+        self.hashes = np.empty((1 << 12, 2), np.uint64)
 
     def __missing__(self, word: bytes) -> int:
-        value = xxhash.xxh3_64_intdigest(word)
-        if len(word) <= WORD_TABLE_LETTERS:
-            if len(self) >= WORD_TABLE_ENTRIES:
-                self.clear()
-            self[word] = value
-        return value
+        row = self[word] = len(self)
+        if row == len(self.hashes):
+            self.hashes = np.concatenate((self.hashes, np.empty_like(self.hashes)))
+        self.hashes[row] = _halves(word)
+        return row
+
+    def of(self, words: list[bytes]) -> np.ndarray:
+        """The hashes of words, a row each. The table starts over between texts once it is full or holds long words."""
+        if len(self) > WORD_TABLE_ENTRIES:
+            self.clear()
+        if not words or max(map(len, words)) <= WORD_TABLE_LETTERS:
+            return self.hashes[np.fromiter(map(self.__getitem__, words), np.int64, len(words))]
+        out = self.hashes[[self[w] if len(w) <= WORD_TABLE_LETTERS else 0 for w in words]]
+        for i, w in enumerate(words):
+            if len(w) > WORD_TABLE_LETTERS:
+                out[i] = _halves(w)
+        return out
 
 
-WORDS = WordTable()
+def _halves(word: bytes) -> tuple[int, int]:
+    both = xxhash.xxh3_128_intdigest(word)
+    return both & 0xFFFFFFFFFFFFFFFF, both >> 64
 
 
-def word_hashes(words: list[bytes]) -> np.ndarray:
-    """64-bit hashes of words; bytes.split() cuts at exactly space and \\t to \\r."""
-    return np.fromiter(map(WORDS.__getitem__, words), np.uint64, len(words))
+WORDS = WordTable()
 
 
 def multipliers(n: int, seed: int) -> np.ndarray:
@@ -140,24 +154,65 @@ def window_hashes(h: np.ndarray, k: int, seed: int = 1) -> np.ndarray:
     return mixed(out)
 
 
+def window_hashes_at(h: np.ndarray, at: np.ndarray, k: int, seed: int = 1) -> np.ndarray:
+    """window_hashes(h, k, seed)[at] without the others."""
+    out = np.zeros(len(at), np.uint64)
+    for i, m in enumerate(multipliers(k, seed)):
+        part = h[at + i]
+        out += (part ^ (part >> np.uint64(29))) * m
+    return mixed(out)
+
+
+#: An odd base below which window sums are written, and its inverse modulo 2**64.
+_BASE = 0x9E3779B97F4A7C15
+_POWERS: dict[int, np.ndarray] = {}
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    """1, base, base squared and so on modulo 2**64, kept for the next call."""
+    held = _POWERS.get(base)
+    if held is None or len(held) < n:
+        held = np.multiply.accumulate(np.r_[np.uint64(1), np.full(max(n, 1024) * 5 // 4, base, np.uint64)])
+        if len(held) <= 1 << 22:
+            _POWERS[base] = held
+    return held[:n]
+
+
+def rolling_hashes(h: np.ndarray, k: int, seed: int = 1) -> np.ndarray:
+    """Karp-Rabin hashes of each run of k consecutive numbers (none if there are fewer), in a few passes whatever k is.
+
+    A run's sum of number times base to its position is the difference of two prefix sums; times the inverse base to the
+    run's start it does not depend on where the run is.
+    """
+    n = len(h) - k + 1
+    if n <= 0:
+        return np.empty(0, np.uint64)
+    sums = np.r_[np.uint64(0), np.cumsum(mixed(h + np.uint64(seed)) * _powers(_BASE, len(h)))]
+    return mixed((sums[k:] - sums[:-k]) * _powers(pow(_BASE, -1, 1 << 64), n))
+
+
 class Words:
     """The words of many texts, end to end: hash, text number and position of each, and the words left in its text."""
 
     def __init__(self, contents: list[bytes | None]):
-        self.lists = [t.split() if t else [] for t in contents]
+        self.lists = [t.split() if t else [] for t in contents]  # bytes.split() cuts at exactly space and \t to \r
         self.n = np.fromiter(map(len, self.lists), np.int64, len(self.lists))
         self.start = np.cumsum(self.n) - self.n
-        self.hash = np.empty(int(self.n.sum()), np.uint64)
+        self.hashes = np.empty((int(self.n.sum()), 2), np.uint64)
         for words, at in zip(self.lists, self.start.tolist(), strict=True):
-            self.hash[at : at + len(words)] = word_hashes(words)
+            self.hashes[at : at + len(words)] = WORDS.of(words)
+        self.hash = np.ascontiguousarray(self.hashes[:, 0])
         self.text = np.repeat(np.arange(len(self.lists)), self.n)
         self.position = np.arange(len(self.hash)) - self.start[self.text]
 
+    def window_starts(self, k: int) -> np.ndarray:
+        """First word (its place here) of every window of k words that lies in one text."""
+        return np.flatnonzero((self.n[self.text] - self.position)[: max(0, len(self.hash) - k + 1)] >= k)
+
     def windows(self, k: int, seed: int = 1) -> tuple[np.ndarray, np.ndarray]:
-        """First word (its place here) and hash of every window of k words that lies in one text."""
-        h = window_hashes(self.hash, k, seed)
-        at = np.flatnonzero((self.n[self.text] - self.position)[: len(h)] >= k)
-        return at, h[at]
+        """First word and hash of every window of k words that lies in one text."""
+        at = self.window_starts(k)
+        return at, window_hashes(self.hash, k, seed)[at]
 
 
 def planes(values: np.ndarray, n_bytes: int = 8) -> bytes:

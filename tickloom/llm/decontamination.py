@@ -2,13 +2,17 @@
 
 A document is held against the items with which it shares a seed, a run of MIN_MATCH tokens (words without case and outer
 punctuation). Tiles are made as in running Karp-Rabin greedy string tiling: windows of a search length are matched by their
-rolling hash among tokens that no tile holds yet, each hit is checked token by token and extended, the longest are marked
-first, and the search length is lowered until no match of MIN_MATCH tokens is left. Tiles may lie anywhere, so passages whose
+rolling hash among tokens that no tile holds yet, hits are checked token by token and joined to maximal runs, the longest is
+marked first (ties: first in the item, then in the text), what a mark leaves of another run stands in line again, and the
+search length is lowered until no match of MIN_MATCH tokens is left. Tiles may lie anywhere, so passages whose
 parts were reordered are caught. An item leaks where its tiles cover at least a given share of it.
 
 Seeds are matched against the benchmark in each task while its tokens number at most BROADCAST_TOKENS, which bounds what
-is sent to a task; a larger benchmark is joined by a shuffle of distinct seeds, texts being named by their digests. Whole texts are read; before tiling, pairs are
-left out whose shared seeds could not cover enough of the item, which the tiles never exceed.
+is sent to a task. A larger benchmark is joined by a shuffle: distinct texts, named by their digests, send their distinct
+seeds, and an item its seeds but the most frequent ones that a leak can do without (a leak shares a seed for every MIN_MATCH
+of the tokens it has to cover), so a seed that most documents have joins little. A text, and an item, is sent once to each
+block of pairs. Whole texts are read; before tiling, pairs are left out whose shared seeds could not cover enough of the
+item, which the tiles never exceed.
 
 Defined results: null or empty texts and items match nothing; an item shorter than MIN_MATCH matches as a whole only;
 repeated rows give repeated pairs; rows with a null id are matched likewise, each by its own text; both ways give the same rows;
@@ -18,14 +22,15 @@ empty tables give no rows; other columns are not read.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import WORD_TABLE_ENTRIES, found_in, mixed, slices, texts, window_hashes
+from .common import WORD_TABLE_ENTRIES, WORD_TABLE_LETTERS, Scratch, block_count, found_in, mixed, rolling_hashes, slices, texts
 
 MIN_MATCH, COVERAGE = 5, 0.6
 #: Tokens of the benchmark that may be sent to every task: 16 bytes each, some 32 MB.
@@ -38,10 +43,12 @@ class TokenTable(dict):
     """word (bytes) -> 64-bit hash without case and outer punctuation; 0 where nothing is left."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= WORD_TABLE_ENTRIES:
-            self.clear()
         bare = word.strip(_TRIM)
-        value = self[word] = (xxhash.xxh3_64_intdigest(bare.decode("utf-8", "replace").lower()) | 1) if bare else 0
+        value = (xxhash.xxh3_64_intdigest(bare.decode("utf-8", "replace").lower()) | 1) if bare else 0
+        if len(word) <= WORD_TABLE_LETTERS:
+            if len(self) >= WORD_TABLE_ENTRIES:
+                self.clear()
+            self[word] = value
         return value
 
 
@@ -56,48 +63,51 @@ def tokens(content: bytes | None) -> np.ndarray:
 
 def tile(text: np.ndarray, item: np.ndarray, min_match: int) -> list[tuple[int, int, int]]:
     """Tiles (start in text, start in item, length), each token in one tile at most."""
-    free = [np.ones(len(text), bool), np.ones(len(item), bool)]
+    free_text, free_item = np.ones(len(text), bool), np.ones(len(item), bool)
     tiles: list[tuple[int, int, int]] = []
-    search = max(min_match, len(item))
+    search = len(item)
     while search >= min_match:
-        matches = _matches(text, item, free, search)
-        marked = False
-        for length, i, j in sorted(matches, key=lambda m: (-m[0], m[2], m[1])):
-            if free[0][i : i + length].all() and free[1][j : j + length].all():
-                free[0][i : i + length] = free[1][j : j + length] = False
-                tiles.append((i, j, length))
-                marked = True
-        if not (marked and matches):
-            search = 0 if search == min_match else max(min_match, search // 2)
+        line = _matches(text, item, free_text, free_item, search)
+        heapify(line)
+        while line:
+            length, j, i = heappop(line)
+            open_ = free_text[i : i - length] & free_item[j : j - length]
+            if open_.all():
+                free_text[i : i - length] = free_item[j : j - length] = False
+                tiles.append((i, j, -length))
+                continue
+            for a, z in slices(np.cumsum(~open_) * 2 + open_):  # what is left of it, as far as it is long enough
+                if open_[a] and z - a >= search:
+                    heappush(line, (int(a - z), j + a, i + a))
+        search = 0 if search == min_match or not free_item.any() else max(min_match, search // 2)
     return tiles
 
 
-def _matches(text: np.ndarray, item: np.ndarray, free: list[np.ndarray], search: int) -> list[tuple[int, int, int]]:
-    """Maximal runs (length, start in text, start in item) of at least search equal, free tokens."""
-    places = []
-    for side, open_ in zip((text, item), free, strict=True):
-        h = window_hashes(side, search)
-        used = np.r_[0, np.cumsum(~open_)]
-        at = np.flatnonzero(used[search:] == used[: len(used) - search]) if len(h) else np.empty(0, np.int64)
-        places.append((at, h[at] if len(h) else h))
-    (at, h), (item_at, item_h) = places
+def _matches(text: np.ndarray, item: np.ndarray, free_text: np.ndarray, free_item: np.ndarray, search: int) -> list[tuple[int, int, int]]:
+    """Maximal runs (minus length, start in item, start in text) of at least search equal, free tokens."""
+    (at, h), (item_at, item_h) = _free_windows(text, free_text, search), _free_windows(item, free_item, search)
     order = np.argsort(item_h, kind="stable")
     item_at, item_h = item_at[order], item_h[order]
     low, high = np.searchsorted(item_h, h, "left"), np.searchsorted(item_h, h, "right")
-    found, done = [], set()
-    for place in np.flatnonzero(high > low).tolist():
-        i = int(at[place])
-        for j in item_at[low[place] : high[place]].tolist():
-            if (i - 1, j - 1) in done:  # inside a run that began earlier
-                done.add((i, j))
-                continue
-            length, most = 0, min(len(text) - i, len(item) - j)
-            while length < most and text[i + length] == item[j + length] and free[0][i + length] and free[1][j + length]:
-                length += 1
-            if length >= search:
-                found.append((length, i, j))
-                done.add((i, j))
-    return found
+    hits = high - low
+    i = np.repeat(at, hits)
+    j = item_at[np.repeat(low - (np.cumsum(hits) - hits), hits) + np.arange(len(i))]
+    same = np.ones(len(i), bool)
+    for k in range(search if len(i) else 0):
+        same &= text[i + k] == item[j + k]
+    i, j = i[same], j[same]
+    order = np.lexsort((i, i - j))
+    i, j = i[order], j[order]
+    run = np.cumsum(np.r_[True, (np.diff(i - j) != 0) | (np.diff(i) != 1)]) if len(i) else i
+    return [(int(a - z - search + 1), int(j[a]), int(i[a])) for a, z in slices(run)]
+
+
+def _free_windows(side: np.ndarray, free: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and rolling hashes of the windows that no tile touches."""
+    h = rolling_hashes(side, length)
+    taken = np.r_[0, np.cumsum(~free)]
+    at = np.flatnonzero(taken[length:] == taken[:-length]) if len(h) else np.empty(0, np.int64)
+    return at, h[at]
 
 
 class Benchmark:
@@ -111,7 +121,7 @@ class Benchmark:
         self.lengths = sorted({min(min_match, len(t)) for t in self.items})
         self.seeds: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
         for length in self.lengths:
-            own = [(n, window_hashes(t, length)) for n, t in enumerate(self.items) if min(min_match, len(t)) == length]
+            own = [(n, rolling_hashes(t, length)) for n, t in enumerate(self.items) if min(min_match, len(t)) == length]
             h = np.concatenate([w for _, w in own])
             number = np.concatenate([np.full(len(w), n) for n, w in own])
             place = np.concatenate([np.arange(len(w)) for _, w in own])
@@ -131,7 +141,7 @@ class Benchmark:
         """Items of which shared seeds cover enough."""
         found = []
         for length, (h, number, place) in self.seeds.items():
-            wanted = np.unique(window_hashes(text, length))
+            wanted = np.unique(rolling_hashes(text, length))
             wanted = wanted[found_in(wanted, h)[1]]
             if not len(wanted):
                 continue
@@ -159,7 +169,9 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, min_match: int = MIN_MATCH
                 yield _batch([(i, *leak) for i, c in zip(ids, contents, strict=True) for leak in held.value.leaks(tokens(c), coverage)])
 
         return source.mapInArrow(task, RESULT)
-    return _shuffled(source.select("doc_id", "text", _digest("text").alias("doc_key")), items, min_match, coverage).drop("doc_key")
+    rows = source.withColumn("doc_key", _digest("text"))
+    leaks = _leaks_of_texts(rows, items, min_match, coverage)
+    return rows.select("doc_id", "doc_key").join(leaks, "doc_key").select(*(c.split()[0] for c in RESULT.split(", ")))
 
 
 def _digest(text_col: str) -> Column:
@@ -167,24 +179,43 @@ def _digest(text_col: str) -> Column:
     return F.sha2(F.coalesce(F.col(text_col), F.lit("")).cast("binary"), 256)
 
 
-def _shuffled(source: DataFrame, items: DataFrame, min_match: int, coverage: float) -> DataFrame:
-    """The leaks, with the document's digest, by a join of seeds. source has doc_id, text and doc_key."""
-    items = items.withColumn("item_key", _digest("item"))
-    lengths = _seed_lengths(items, min_match)
-    doc_seeds, item_seeds = _seeds(source, "doc_key", "text", lengths), _seeds(items, "item_key", "item", lengths)
-    pairs = doc_seeds.join(item_seeds, "seed").select("doc_key", "item_key").distinct()
-
-    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows, keys = [], []
-            for key, doc_id, text, item_id, item in zip(*(batch.column(c).to_pylist() for c in ("doc_key", "doc_id", "text", "item_id", "item")), strict=True):
-                found = [(doc_id, *leak) for leak in Benchmark([item_id], [item.encode()], min_match).leaks(tokens(text.encode()), coverage)]
-                rows += found
-                keys += [key] * len(found)
-            out = _batch(rows)
-            yield pa.RecordBatch.from_arrays([*out.columns, pa.array(keys, pa.string())], names=[*out.schema.names, "doc_key"])
-
-    return pairs.join(source, "doc_key").join(items, "item_key").select("doc_key", "doc_id", "text", "item_id", "item").mapInArrow(judge, f"{RESULT}, doc_key string")
+def _leaks_of_texts(rows: DataFrame, items: DataFrame, min_match: int, coverage: float) -> DataFrame:
+    """The leaks of each distinct text, by doc_key; rows have text and doc_key."""
+    scratch, blocks = Scratch(rows.sparkSession, "decontamination"), block_count(rows)
+    source = scratch.stage(rows.groupBy("doc_key").agg(F.first("text").alias("text")), "texts")
+    each = scratch.stage(items.select("item_id", "item", _digest("item").alias("item_key")), "items")
+    distinct = each.groupBy("item_key").agg(F.first("item").alias("item"))
+    lengths = _seed_lengths(distinct, min_match)
+    item_seeds = scratch.stage(_seeds(distinct, "item_key", "item", lengths, min_match, own_length=True), "item-seeds")
+    doc_seeds = scratch.stage(_seeds(source, "doc_key", "text", lengths, min_match).join(item_seeds.select("seed").distinct(), "seed", "left_semi"), "doc-seeds")
+    often = doc_seeds.groupBy("seed").agg(F.count(F.lit(1)).alias("often"))
+    needed = F.greatest(F.lit(1), F.ceil(F.lit(coverage) * F.col("n_tokens") / min_match - 1e-9))
+    rarest = Window.partitionBy("item_key").orderBy(F.coalesce("often", F.lit(0)), "seed")
+    ranked = item_seeds.join(often, "seed", "left").withColumn("places", F.sum("n_places").over(rarest.rowsBetween(Window.currentRow, Window.unboundedFollowing)))
+    asking = ranked.where(F.col("often").isNotNull() & (F.col("places") >= needed))
+    pairs = scratch.stage(doc_seeds.join(asking, "seed").select("doc_key", "item_key").distinct(), "pairs")
+    block = F.pmod(F.xxhash64("doc_key"), F.lit(blocks)).cast("int").alias("block")
+    sent = pairs.select(block, "item_key").distinct().join(each.groupBy("item_key").agg(F.first("item").alias("item"), F.collect_list(F.struct("item_id")).alias("ids")), "item_key")
+    none = F.lit(None).cast("string")
+    right = sent.select("block", "item_key", "item", "ids.item_id", none.alias("doc_key")).union(pairs.select(block, "item_key", none, F.lit(None).cast("array<bigint>"), "doc_key"))
+    left = source.join(pairs.select("doc_key").distinct(), "doc_key", "left_semi").select(block.alias("own_block"), "doc_key", "text")
+
+    def judge(own: pa.Table, asked: pa.Table) -> pa.Table:
+        bytes_of = lambda column: column.cast(pa.large_binary()).to_pylist()
+        contents = dict(zip(own.column("doc_key").to_pylist(), bytes_of(own.column("text")), strict=True))
+        keys, names, item, ids = asked.column("doc_key").to_pylist(), asked.column("item_key").to_pylist(), bytes_of(asked.column("item")), asked.column("item_id").to_pylist()
+        held = {name: (Benchmark([None], [content], min_match), own_ids) for key, name, content, own_ids in zip(keys, names, item, ids, strict=True) if key is None}
+        found, out, last, text = [], [], None, None
+        for key, name in sorted((key, name) for key, name in zip(keys, names, strict=True) if key is not None and key in contents):
+            if key != last:
+                last, text = key, tokens(contents[key])
+            for leak in held[name][0].leaks(text, coverage):
+                found += [(None, i, *leak[1:]) for i in held[name][1]]
+                out += [key] * len(held[name][1])
+        batch = _batch(found)
+        return pa.table([*batch.columns[1:], pa.array(out, pa.string())], names=[*batch.schema.names[1:], "doc_key"])
+
+    return left.groupBy("own_block").cogroup(right.groupBy("block")).applyInArrow(judge, f"{RESULT.partition(', ')[2]}, doc_key string")
 
 
 def _seed_lengths(items: DataFrame, min_match: int) -> list[int]:
@@ -207,17 +238,18 @@ def _sent(spark: SparkSession, items: DataFrame, min_match: int):
     return spark.sparkContext.broadcast(Benchmark([r.item_id for r in rows], [r["item"].encode() for r in rows], min_match))
 
 
-def _seeds(rows: DataFrame, id_col: str, text_col: str, lengths: list[int]) -> DataFrame:
-    """Distinct (id, seed) for every length."""
+def _seeds(rows: DataFrame, key_col: str, text_col: str, lengths: list[int], min_match: int, own_length: bool = False) -> DataFrame:
+    """Distinct (key, seed) for every length, or for the text's own; with the places that the seed has in the text and the text's tokens."""
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i, content in zip(batch.column(id_col), batch.column(text_col).cast(pa.large_binary()).to_pylist(), strict=True):
+            for key, content in zip(batch.column(key_col).to_pylist(), batch.column(text_col).cast(pa.large_binary()).to_pylist(), strict=True):
                 text = tokens(content)
-                seeds = np.unique(np.concatenate([mixed(window_hashes(text, n) + np.uint64(n)) for n in lengths] or [np.empty(0, np.uint64)]))
-                yield pa.RecordBatch.from_arrays([pa.array([i.as_py()] * len(seeds), pa.string()), pa.array(seeds.view(np.int64))], names=[id_col, "seed"])
+                wanted = [n for n in lengths if not own_length or n == min(min_match, len(text))]
+                seeds, places = np.unique(np.concatenate([mixed(rolling_hashes(text, n) + np.uint64(n)) for n in wanted] or [np.empty(0, np.uint64)]), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array([key] * len(seeds), pa.string()), pa.array(seeds.view(np.int64)), pa.array(places, pa.int64()), pa.array([len(text)] * len(seeds), pa.int64())], names=[key_col, "seed", "n_places", "n_tokens"])
 
-    return rows.select(id_col, text_col).mapInArrow(task, f"{id_col} string, seed long")
+    return rows.select(key_col, text_col).mapInArrow(task, f"{key_col} string, seed long, n_places long, n_tokens long")
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
@@ -230,9 +262,9 @@ def drop_leaking(docs: DataFrame, benchmark: DataFrame, min_match: int = MIN_MAT
     """The rows of docs that leak no item, with all their columns."""
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.coalesce(F.col("text"), F.lit("")).alias("item"))
     if not _fits(items, broadcast_tokens):
-        source = texts(docs, "doc_id", "text").withColumn("doc_key", _digest("text"))
-        leaking = _shuffled(source, items, min_match, coverage).select(F.col("doc_key").alias("leaking")).distinct()
-        return docs.join(leaking, _digest("text") == F.col("leaking"), "left_anti")
+        leaks = _leaks_of_texts(texts(docs, "doc_id", "text").withColumn("doc_key", _digest("text")), items, min_match, coverage)
+        rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row"), _digest("text").alias("own_key"))
+        return rows.join(leaks.select("doc_key").distinct(), F.col("own_key") == F.col("doc_key"), "left_anti").select("row.*")
     held = _sent(docs.sparkSession, items, min_match)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -7,9 +7,10 @@ Two chained Structured Streaming queries, both restartable from their checkpoint
 2. those rows feed a streaming aggregation by digest on RocksDB state. The state holds, per digest, the best row so far
    (identifier and locator) and the number of rows. Each micro-batch writes the states that it changed.
 
-Then full bytes are checked on every hit: the texts themselves are grouped under their digests, copies being combined
-before the shuffle, and a digest that stands for more than one text has its rows grouped by text instead. So the result
-is exact for any digest, and a hot group never meets in one task.
+Then full bytes are checked on every hit, that is, wherever a digest has more than one row: those rows' texts are grouped
+under their digests, copies being combined before the shuffle, and a digest that stands for more than one text has its rows
+grouped by text instead. A text that is met once is not shuffled, only its digest is. So the result is exact for any digest,
+and a hot group never meets in one task.
 
 Defined results: a null text is empty, and empty (or all white space) texts are copies of each other; of rows that tie
 in length and id, as repeated rows do, the first by file and row stays; a null id loses ties; an empty table gives no
@@ -23,6 +24,10 @@ from pyspark.sql import functions as F
 
 from .common import settings, shared_dir, staged
 
+#: Files that a micro-batch takes at most.
+FILES_PER_BATCH = 10_000
+#: Digests with several rows that may be sent to every task, some 16 bytes each; more are joined by a shuffle.
+BROADCAST_HITS = 500_000
 ROCKSDB = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
@@ -49,7 +54,7 @@ def sha256_digest(text: Column) -> Column:
     return F.sha2(F.encode(text, "UTF-8"), 256)
 
 
-def exact_dedup(spark: SparkSession, path: str, id_col: str = "doc_id", text_col: str = "text", digest=sha256_digest, files_per_batch: int | None = None) -> DataFrame:
+def exact_dedup(spark: SparkSession, path: str, id_col: str = "doc_id", text_col: str = "text", digest=sha256_digest, files_per_batch: int | None = FILES_PER_BATCH) -> DataFrame:
     """One row per row of the Parquet files in path: doc_id, keep_id, group_size, kept, digest, file_path, row_index.
 
     digest maps a normalised text (a Column) to a string. files_per_batch bounds a micro-batch of either stream.
@@ -87,8 +92,15 @@ def exact_dedup(spark: SparkSession, path: str, id_col: str = "doc_id", text_col
     newest = states.groupBy("digest").agg(F.max_by(F.struct("best", "group_size"), "batch").alias("s")).select("digest", "s.best", "s.group_size")
     newest = staged(newest, "exact-dedup-states")  # so that both sides of the last join are shuffles, whose hot partitions Spark splits
 
+    hits = newest.where("group_size > 1").select(F.xxhash64("digest").alias("hit"))
+    n_hits = hits.count()
+    if not n_hits:
+        return _joined(rows, newest, ["digest"])
     contents = spark.read.schema(schema).parquet(path).select(digest(text).alias("digest"), text.alias("content"))
-    variants = contents.groupBy("digest", "content").agg(F.count(F.lit(1)).alias("n")).groupBy("digest").agg(F.count(F.lit(1)).alias("variants"))
+    if n_hits <= BROADCAST_HITS:
+        hits = F.broadcast(hits)
+    contents = contents.join(hits, F.xxhash64("digest") == F.col("hit"), "left_semi").groupBy("digest", "content").agg(F.count(F.lit(1)).alias("n"))
+    variants = contents.groupBy("digest").agg(F.count(F.lit(1)).alias("variants"))
     mixed = staged(variants.where("variants > 1").select("digest"), "exact-dedup-mixed")
     result = _joined(rows, newest, ["digest"])
     if mixed.isEmpty():
@@ -109,5 +121,5 @@ def kept_rows(docs: DataFrame) -> DataFrame:
     docs.write.parquet(path)
     stay = exact_dedup(spark, path).where("kept").select("file_path", "row_index")
     source = spark.read.schema(docs.schema).parquet(path)
-    located = source.select("*", F.col("_metadata.file_path").alias("_at_file"), F.col("_metadata.row_index").alias("_at_row"))
-    return located.join(stay, (F.col("_at_file") == stay.file_path) & (F.col("_at_row") == stay.row_index), "left_semi").select(*[source[c] for c in source.columns])
+    located = source.select(F.struct(*[source[c] for c in source.columns]).alias("row"), F.col("_metadata.file_path").alias("at_file"), F.col("_metadata.row_index").alias("at_row"))
+    return located.join(stay, (F.col("at_file") == stay.file_path) & (F.col("at_row") == stay.row_index), "left_semi").select("row.*")

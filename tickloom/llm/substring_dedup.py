@@ -12,24 +12,26 @@ aligned, share an anchor at the same place inside. The steps, all keyed by block
 5. the document blocks mark the covered words and put the rest together.
 
 A block sends a hash once, however often it occurs, so a passage that a third of all documents hold weighs as much as one
-document in each block. The texts are shuffled once, by block, and read by steps 1, 3 and 5. Hashes of windows have 64
-bits besides the block number, those of anchors 40; a chance hit of an anchor costs only time.
+document in each block. The texts are shuffled once, by block, and read by steps 1, 3 and 5. Windows are told by 128 bits of
+their words' 128-bit hashes, which stand in for comparing the words; anchors by 40 bits besides the block number, as a chance
+hit of an anchor costs only time. Blocks are as many as the input's bytes ask for.
 
 Defined results: a null or empty text has no words; rows that share a doc_id are one document to each other (neither
-precedes); a row with a null id neither precedes nor is preceded, so nothing is removed from it; an empty table gives no
-rows; other columns are not read.
+precedes); a row with a null id neither precedes nor is preceded, so nothing is removed from it and it meets no other row; an
+empty table gives no rows; other columns are not read. Rows that repeat id and text share a block.
 """
 
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, found_in, from_planes, planes, runs, slices, texts
+from .common import Words, block_count, found_in, from_planes, planes, runs, slices, texts, window_hashes_at
 
 WINDOW, PERIOD, COVER = 13, 7, (0, 1, 3)
 ANCHOR = WINDOW - PERIOD + 1
@@ -46,39 +48,54 @@ def _parts(keys: np.ndarray, n_parts: int, *columns: np.ndarray):
         yield int(part[at[0]]), *(c[at] for c in columns)
 
 
-def _read(table: pa.Table) -> tuple[Words, list, np.ndarray]:
+def _read(table: pa.Table | pa.RecordBatch) -> tuple[Words, list, np.ndarray]:
     """Words, ids, and ids as numbers (null: -1, with no place in the order)."""
     ids = table.column("doc_id")
     return Words(table.column("text").cast(pa.large_binary()).to_pylist()), ids.to_pylist(), ids.fill_null(0).to_numpy()
 
 
-def _anchors(words: Words, known: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Place and hash of the anchors of texts that have an id."""
+def _anchors(words: Words) -> tuple[np.ndarray, np.ndarray]:
+    """Place and hash of the anchors."""
     at, h = words.windows(ANCHOR)
-    here = np.isin(words.position[at] % PERIOD, COVER) & known[words.text[at]]
+    here = np.isin(words.position[at] % PERIOD, COVER)
     return at[here], h[here]
 
 
+def _pair_runs(h: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """Where runs of equal pairs start, in order of both."""
+    return np.flatnonzero(np.r_[True, (h[1:] != h[:-1]) | (second[1:] != second[:-1])]) if len(h) else np.empty(0, np.int64)
+
+
 def _anchor_key(h: np.ndarray, n_parts: int) -> np.ndarray:
     """What two equal anchors share: the part, above the bits that are sent."""
     return ((h >> np.uint64(8 * ANCHOR_BYTES)) % np.uint64(n_parts) << np.uint64(8 * ANCHOR_BYTES)) | (h & np.uint64(2 ** (8 * ANCHOR_BYTES) - 1))
 
 
+def _result(ids: list, words: Words, removed: np.ndarray, rest: list[bytes], with_text: bool) -> dict[str, pa.Array]:
+    kept = pa.array(rest, pa.binary()).cast(pa.string()) if with_text else pa.nulls(len(rest), pa.string())
+    return {"doc_id": pa.array(ids, pa.int64()), "n_words": pa.array(words.n), "n_removed": pa.array(removed), "kept_sha256": pa.array([hashlib.sha256(t).hexdigest() for t in rest], pa.string()), "kept_text": kept}
+
+
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", doc_blocks: int | None = None, hash_blocks: int | None = None, with_text: bool = True) -> DataFrame:
     """One row a document: doc_id, n_words, n_removed, kept_sha256, kept_text (null unless with_text).
 
-    Blocks are held in memory one at a time; their numbers follow spark.sql.shuffle.partitions unless given.
+    Blocks are held in memory one at a time; their numbers follow the input's bytes unless given.
     """
-    shuffle = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    n_docs, n_hash = doc_blocks or 4 * shuffle, hash_blocks or shuffle
-    key = F.coalesce(F.xxhash64(F.col("doc_id")), F.lit(0))
-    key = F.when(F.col("doc_id").isNull(), F.xxhash64("text")).otherwise(key)
-    blocks = texts(docs, id_col, text_col).select("doc_id", "text", F.pmod(key, F.lit(n_docs)).cast("int").alias("block")).groupBy("block")
+    n_hash = hash_blocks or block_count(docs)
+    n_docs = doc_blocks or 4 * n_hash
+    rows = texts(docs, id_col, text_col)
+    block = F.pmod(F.xxhash64("doc_id", "text"), F.lit(n_docs)).cast("int").alias("block")
+    blocks = rows.where("doc_id IS NOT NULL").select("doc_id", "text", block).groupBy("block")
+
+    def as_they_are(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words, ids, _ = _read(batch)
+            yield pa.RecordBatch.from_pydict(_result(ids, words, np.zeros(len(ids), np.int64), [b" ".join(w) for w in words.lists], with_text))
 
     def send_anchors(table: pa.Table) -> pa.Table:
-        words, ids, _ = _read(table)
-        at, h = _anchors(words, np.array([i is not None for i in ids], bool))
-        number = np.array([i if i is not None else 0 for i in ids], np.int64)[words.text[at]]
+        words, _, number = _read(table)
+        at, h = _anchors(words)
+        number = number[words.text[at]]
         order = np.lexsort((number, h))
         h, number = h[order], number[order]
         first = runs(h)
@@ -104,61 +121,69 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     def send_windows(docs: pa.Table, shared: pa.Table) -> pa.Table:
         sent: list[tuple] = []
         if docs.num_rows and shared.num_rows:
-            words, ids, number = _read(docs)
-            at, h = _anchors(words, np.array([i is not None for i in ids], bool))
+            words, _, number = _read(docs)
+            at, h = _anchors(words)
             known = np.sort(np.concatenate([from_planes(b, ANCHOR_BYTES) | np.uint64(p << (8 * ANCHOR_BYTES)) for p, b in zip(shared.column("part").to_pylist(), shared.column("hashes").to_pylist(), strict=True)]))
             at = at[found_in(_anchor_key(h, n_hash), known)[1]]
             near = np.zeros(len(words.hash) + 1, bool)
             for back in range(PERIOD):
                 near[np.where(words.position[at] >= back, at - back, -1)] = True
-            at, h = words.windows(WINDOW, seed=2)
-            at, h = at[near[at]], h[near[at]]
+            at = words.window_starts(WINDOW)
+            at = at[near[at]]
+            h, second = (window_hashes_at(words.hashes[:, half], at, WINDOW, seed=2) for half in (0, 1))
             number = number[words.text[at]]
-            order = np.lexsort((number, h))
-            h, number = h[order], number[order]
-            first = runs(h)
+            order = np.lexsort((number, second, h))
+            h, second, number = h[order], second[order], number[order]
+            first = _pair_runs(h, second)
             several = np.minimum.reduceat(number, first) != np.maximum.reduceat(number, first) if len(h) else np.empty(0, bool)
-            sent = [(part, planes(k), planes(least.view(np.uint64)), np.packbits(s).tobytes()) for part, k, least, s in _parts(h[first] >> np.uint64(32), n_hash, h[first], number[first], several)]
+            sent = [(part, planes(k), planes(k2), planes(least.view(np.uint64)), np.packbits(s).tobytes()) for part, k, k2, least, s in _parts(h[first] >> np.uint64(32), n_hash, h[first], second[first], number[first], several)]
         block = docs.column("block")[0].as_py() if docs.num_rows else -1
-        return pa.table(
-            {"part": pa.array([s[0] for s in sent], pa.int32()), "block": pa.array([block] * len(sent), pa.int32()), "hashes": pa.array([s[1] for s in sent], pa.binary()), "least": pa.array([s[2] for s in sent], pa.binary()), "several": pa.array([s[3] for s in sent], pa.binary())}
-        )
+        columns = zip(("hashes", "seconds", "least", "several"), zip(*(s[1:] for s in sent), strict=True) if sent else [()] * 4, strict=True)
+        return pa.table({"part": pa.array([s[0] for s in sent], pa.int32()), "block": pa.array([block] * len(sent), pa.int32()), **{name: pa.array(c, pa.binary()) for name, c in columns}})
 
     def least_documents(table: pa.Table) -> pa.Table:
         hashes = [from_planes(b) for b in table.column("hashes").to_pylist()]
         several = np.concatenate([np.unpackbits(np.frombuffer(b, np.uint8), count=len(h)) for b, h in zip(table.column("several").to_pylist(), hashes, strict=True)])
-        least = np.concatenate([from_planes(b).view(np.int64) for b in table.column("least").to_pylist()])
+        second, least = (np.concatenate([from_planes(b) for b in table.column(c).to_pylist()]) for c in ("seconds", "least"))
+        least = least.view(np.int64)
         block = np.repeat(table.column("block").to_numpy(), [len(h) for h in hashes])
         h = np.concatenate(hashes)
-        order = np.lexsort((least, h))
-        first = runs(h[order])
+        order = np.lexsort((least, second, h))
+        first = _pair_runs(h[order], second[order])
         overall = np.empty(len(h), np.int64)
         overall[order] = np.repeat(least[order][first], np.diff(np.r_[first, len(h)]))
         got = np.flatnonzero((overall < least) | (several > 0))
-        sent = [(b, planes(k), planes(v.view(np.uint64))) for b, k, v in _parts(block[got].astype(np.uint64), n_docs, h[got], overall[got])]
-        return pa.table({"block": pa.array([s[0] for s in sent], pa.int32()), "hashes": pa.array([s[1] for s in sent], pa.binary()), "least": pa.array([s[2] for s in sent], pa.binary())})
+        sent = [(b, planes(k), planes(k2), planes(v.view(np.uint64))) for b, k, k2, v in _parts(block[got].astype(np.uint64), n_docs, h[got], second[got], overall[got])]
+        columns = zip(("hashes", "seconds", "least"), zip(*(s[1:] for s in sent), strict=True) if sent else [()] * 3, strict=True)
+        return pa.table({"block": pa.array([s[0] for s in sent], pa.int32()), **{name: pa.array(c, pa.binary()) for name, c in columns}})
 
     def keep_rest(docs: pa.Table, least: pa.Table) -> pa.Table:
         words, ids, number = _read(docs) if docs.num_rows else (Words([]), [], np.empty(0, np.int64))
         covered = np.zeros(len(words.hash) + 1, np.int32)
         if docs.num_rows and least.num_rows:
-            known = np.concatenate([from_planes(b) for b in least.column("hashes").to_pylist()])
-            by = np.concatenate([from_planes(b).view(np.int64) for b in least.column("least").to_pylist()])
-            order = np.argsort(known)
+            known, second, by = (np.concatenate([from_planes(b) for b in least.column(c).to_pylist()]) for c in ("hashes", "seconds", "least"))
+            order = np.lexsort((second, known))
+            known, second, by = known[order], second[order], by[order].view(np.int64)
             at, h = words.windows(WINDOW, seed=2)
-            place, there = found_in(h, known[order])
-            has_id = np.array([i is not None for i in ids], bool)
-            at = at[there & (by[order][place] < number[words.text[at]]) & has_id[words.text[at]]]
+            place, there = found_in(h, known)
+            at, h, place = at[there], h[there], place[there]
+            other = window_hashes_at(words.hashes[:, 1], at, WINDOW, seed=2)
+            first = np.full(len(at), np.iinfo(np.int64).max)
+            for step in range(int(np.diff(np.r_[runs(known), len(known)]).max())):  # windows with one hash and several second ones, if any
+                there = np.minimum(place + step, len(known) - 1)
+                same = (known[there] == h) & (second[there] == other)
+                first[same] = by[there[same]]
+            at = at[first < number[words.text[at]]]
             covered += np.bincount(at, minlength=len(covered)).astype(np.int32)
             covered -= np.bincount(at + WINDOW, minlength=len(covered))[: len(covered)].astype(np.int32)
         gone = np.cumsum(covered)[:-1] > 0
         removed = np.add.reduceat(np.r_[gone, False].astype(np.int64), words.start) * (words.n > 0) if len(ids) else np.empty(0, np.int64)
         rest = [b" ".join([w for w, g in zip(ws, gone[at : at + len(ws)].tolist(), strict=True) if not g] if r else ws) for ws, at, r in zip(words.lists, words.start.tolist(), removed.tolist(), strict=True)]
-        kept = pa.array(rest, pa.binary()).cast(pa.string()) if with_text else pa.nulls(len(rest), pa.string())
-        return pa.table({"doc_id": pa.array(ids, pa.int64()), "n_words": pa.array(words.n), "n_removed": pa.array(removed), "kept_sha256": pa.array([hashlib.sha256(t).hexdigest() for t in rest], pa.string()), "kept_text": kept})
+        return pa.table(_result(ids, words, removed, rest, with_text))
 
     anchors = blocks.applyInArrow(send_anchors, "part int, block int, hashes binary, several binary")
     shared = anchors.groupBy("part").applyInArrow(shared_anchors, "block int, part int, hashes binary")
-    windows = blocks.cogroup(shared.groupBy("block")).applyInArrow(send_windows, "part int, block int, hashes binary, least binary, several binary")
-    least = windows.groupBy("part").applyInArrow(least_documents, "block int, hashes binary, least binary")
-    return blocks.cogroup(least.groupBy("block")).applyInArrow(keep_rest, RESULT)
+    windows = blocks.cogroup(shared.groupBy("block")).applyInArrow(send_windows, "part int, block int, hashes binary, seconds binary, least binary, several binary")
+    least = windows.groupBy("part").applyInArrow(least_documents, "block int, hashes binary, seconds binary, least binary")
+    with_ids = blocks.cogroup(least.groupBy("block")).applyInArrow(keep_rest, RESULT)
+    return with_ids.union(rows.where("doc_id IS NULL").mapInArrow(as_they_are, RESULT))
