@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tickloom.llm import chat_format, decontamination, exact_dedup, ngram_join, packing, quality, secrets, substring_dedup, toxicity, warc
-from tickloom.llm.common import rolling_hashes
+from tickloom.llm.common import Scratch, mixed, rolling_hashes
 from tickloom.llm.components import components
 
 SF = "/root/testdata/sf0.001"
@@ -503,3 +503,226 @@ def test_both_ways_of_decontamination_agree(spark):
     assert near == far and len(near) == 8 and {r[1] for r in near} == {1, None} and {r[0] for r in near} == {None, 1, 2, 8}
     kept = [sorted(((r.doc_id, r.text) for r in decontamination.drop_leaking(frame, benchmark, broadcast_tokens=most).collect()), key=str) for most in (10**6, -1)]
     assert kept[0] == kept[1] == sorted([docs[2], docs[3], docs[5], docs[6]], key=str)
+
+
+# every operator on next to nothing, and on columns with the names that operators use inside
+
+
+NEXT_TO_NOTHING = {
+    "none": [],
+    "empty": [(1, ""), (2, None), (None, " "), (None, None)],
+    "short": [(1, "a"), (2, "b c")],
+    "one": [(5, "one two three")],
+    "unrelated": [(1, " ".join(words(60, 401))), (2, " ".join(words(80, 402))), (3, None), (None, " ".join(words(30, 403)))],
+}
+
+
+@pytest.mark.parametrize("name", NEXT_TO_NOTHING)
+def test_operators_on_next_to_nothing(spark, name):
+    rows = NEXT_TO_NOTHING[name]
+    docs = table(spark, rows).repartition(3)
+    items = spark.createDataFrame([(1, "a text of the benchmark that no document has")], "item_id long, text string")
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    same = lambda got: sorted(((r.doc_id, r.text) for r in got.collect()), key=str)
+    assert sorted((tuple(r) for r in ngram_join.join_groups(docs, 3, 90).collect()), key=str) == plain_components(rows, 3, 90)
+    assert sorted(((r.doc_id, r.n_words, r.n_removed, r.kept_text) for r in substring_dedup.remove_repeats(docs).collect()), key=str) == plain_repeats(rows)
+    assert packing.pack(docs, VOCABULARY).count() == len(rows)
+    assert secrets.find_secrets(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN).count() == len(rows)
+    assert same(quality.keep_good(docs, labels, threshold=0.0)) == sorted(rows, key=str)
+    for most in (10**6, -1):
+        assert decontamination.find_leaks(docs, items, broadcast_tokens=most).count() == 0
+        assert same(decontamination.drop_leaking(docs, items, broadcast_tokens=most)) == sorted(rows, key=str)
+
+
+def test_keeping_rows_with_clashing_names_and_repeats(spark):
+    base = words(50, 410)
+    rows = [(3, " ".join(base)), (3, " ".join(base)), (2, " ".join([*base, "x"])), (None, " ".join([*base, "y"])), (None, " ".join(words(9, 411))), (None, " ".join(words(9, 411))), (4, ""), (4, ""), (None, None), (5, " ".join(words(40, 412)))]
+    names = ("stays", "leaking", "row", "own_id", "own_text", "own_key", "doc_key", "text_hash", "n", "wordless", "at_file", "at_row", "file_path", "row_index", "_at_file")
+    docs = spark.createDataFrame([(i, t, *range(len(names))) for i, t in rows], "doc_id long, text string, " + ", ".join(f"{n} int" for n in names))
+    items = spark.createDataFrame([(1, " ".join(words(40, 412)))], "item_id long, text string")
+    same = lambda got: sorted(((r.doc_id, r.text) for r in got.collect()), key=str)
+    kept = ngram_join.keep_one_of_each(docs)
+    assert kept.columns == docs.columns and same(kept) == sorted([rows[2], rows[4], rows[6], rows[7], rows[8], rows[9]], key=str)
+    once = exact_dedup.kept_rows(docs)
+    assert once.columns == docs.columns and len(same(once)) == 6
+    for most in (10**6, -1):
+        clean = decontamination.drop_leaking(docs, items, broadcast_tokens=most)
+        assert clean.columns == docs.columns and same(clean) == sorted(rows[:-1], key=str)
+    good = quality.keep_good(docs, spark.createDataFrame([], "doc_id long, quality int"), threshold=0.0)
+    assert good.columns == docs.columns and same(good) == sorted(rows, key=str)
+
+
+# 2 once more: signatures that many documents share, and sets that share a key
+
+
+def test_hot_signatures_are_dealt_out(spark, monkeypatch):
+    rng = random.Random(12)
+    common, base = words(60, 420), words(40, 421)
+    rows = [(i, " ".join(w if rng.random() > 0.05 else "x%d" % rng.randrange(9) for w in base)) for i in range(70)]
+    rows += [(100 + i, " ".join(common + words(20, 500 + i))) for i in range(60)] + [(200 + i, " ".join(common + words(20, 500 + i) + ["z"])) for i in range(9)]
+    rng.shuffle(rows)
+    monkeypatch.setattr(ngram_join, "PIECE", 11)
+    monkeypatch.setattr(ngram_join, "HOT", 4)
+    got = ngram_join.join_groups(table(spark, rows).repartition(3), 3, 80).collect()
+    assert sorted((tuple(r) for r in got), key=str) == plain_components(rows, 3, 80)
+
+
+def test_sets_that_share_a_key_are_told_apart(spark, tmp_path):
+    docs = spark.createDataFrame([(1, 11, 7, 70, 5, b"s"), (2, 12, 7, 71, 5, b"s"), (3, 13, 8, 80, 5, b"s"), (4, 14, 7, 70, 5, b"s")], "doc_id long, text_hash long, key long, check long, n_shingles long, sketch binary")
+    lists = spark.createDataFrame([("l", 7, [7, 8])], "list string, center long, members array<long>")
+    scratch = Scratch(spark, "test")
+    rows, found = ngram_join._resolved(docs, lists, scratch)
+    node = {r.doc_id: r.node for r in rows.collect()}
+    assert node[1] == node[4] == 7 and node[2] not in (7, 8) and node[3] == 8
+    got = {r.list: set(r.members) for r in found.collect()}
+    assert got == {"l": {7, 8, node[2]}, "key 7": {7, node[2]}}
+
+
+# 3 and 9: features against plain versions
+
+
+def test_toxicity_features_equal_plain_ones():
+    lexicon = {"grok": 3.0, "grok*": 2.5, "blarg*": 2.2, "sni*": 9.0, "moron": 4.5}
+    rng = random.Random(33)
+    vocabulary = ["you", "Grok!", "groks", "blarging", "MORON", "idiot,", "clean", "wa11ow", "sooooo", "w.o", "42", "(tu)", "é", "fine.", "n0pe"]
+    punctuation = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
+    for _ in range(200):
+        text = rng.choice((" ", "\n")).join(rng.choice(vocabulary) for _ in range(rng.randint(0, 30)))
+        ws = text.split()
+        bare = [w.strip(punctuation).lower() for w in ws]
+        known = [[t for t in [b, *(b[:k] + "*" for k in (4, 5, 6, 7) if len(b) > k)] if t in lexicon] for b in bare]
+        odds = [max([4.0 * (b in toxicity.INSULTS), *(lexicon[t] for t in k)], default=0.0) for b, k in zip(bare, known, strict=True)]
+        odd = [bool(re.search(r"[^\W\d_]+[\d@$!*#%&+|]+[^\W\d_]+|(.)\1\1\1", w)) and not w.isalnum() for w in ws]
+        people = [i for i, b in enumerate(bare) if b in toxicity.SECOND_PERSON]
+        hits = [i for i, o in enumerate(odds) if o]
+        near = sum(any(abs(i - p) <= toxicity.NEAR for p in people) for i in hits)
+        n, data = max(len(ws), 1), text.encode()
+        size = max(len(data), 1)
+        expected = dict(
+            fixed=1000 * sum(b in toxicity.INSULTS for b in bare) / n, words=1000 * sum(t[-1] != "*" for k in known for t in k) / n, stems=1000 * sum(t[-1] == "*" for k in known for t in k) / n, odds=1000 * sum(odds) / n, top=max(odds, default=0),
+            near=1000 * near / n, any_near=float(near > 0), capitals=sum(65 <= c <= 90 for c in data) / size, capital_words=sum(w.isupper() for w in ws) / n, exclaim=text.count("!") / n,
+            marks=sum(33 <= c < 127 and not chr(c).isalnum() for c in data) / size, digits=sum(48 <= c <= 57 for c in data) / size, obfuscated=1000 * sum(odd) / n, obfuscated_hits=1000 * sum(o and i in hits for i, o in enumerate(odd)) / n,
+            length=np.log1p(len(ws)), hits=np.log1p(len(hits)), share_hit=len(hits) / n, long_stems=1000 * sum(t[-1] == "*" and len(t) > 6 for k in known for t in k) / n,
+        )
+        got = dict(zip(toxicity.NAMES, toxicity.features(text, toxicity.Judged(lexicon)), strict=True))
+        assert set(got) == set(expected) and all(np.isclose(got[k], expected[k]) for k in got), (text, got, expected)
+
+
+def test_quality_inputs_equal_plain_ones():
+    from tickloom.llm.common import _halves
+
+    texts_ = [b"", None, b"A b  a\nB\nA b  a", "é 漢字 ok".encode(), b" \n\n ", b"x" * 500]
+    start, bucket, stats = quality.inputs(texts_)
+    lowered = [(t or b"").lower() for t in texts_]
+    for i, t in enumerate(lowered):
+        own = {int(mixed(np.array([_halves(w)[0]], np.uint64))[0]) % quality.BUCKETS for w in t.split()}
+        assert sorted(own) == bucket[start[i] : start[i + 1]].tolist()
+    for i, t in enumerate(t or b"" for t in texts_):
+        ws, lines = t.split(), t.split(b"\n")
+        n = max(len(ws), 1)
+        upper, lower = (sum(a <= c <= z for c in t) / max(len(t), 1) for a, z in ((65, 90), (97, 122)))
+        more = [np.log1p(len(t)), np.log1p(len(ws)), len(t) / n, len({w.lower() for w in ws}) / n, upper / max(upper + lower, 1e-6), len(set(lines)) / len(lines) if t else 0, np.log1p(n / len(lines)) if t else 0]
+        assert np.allclose(stats[i, -7:], np.array(more) * bool(t), rtol=1e-5), (t, stats[i, -7:], more)
+
+
+# 4 once more: an independent scan
+
+
+WORD_LIKE = set("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789")
+
+
+def scanned(text):
+    """Base spans by walking over the characters."""
+    spans = []
+
+    def value_end(at):
+        end = at
+        while end < len(text) and (text[end] in WORD_LIKE or text[end] in "+/_.=-"):
+            end += 1
+        return end
+
+    def assignment(at):
+        """(start of the value, its end), or None."""
+        low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text[at : at + 8])
+        for name in ("password", "passwd", "secret", "token", "api_key", "apikey"):
+            if not low.startswith(name):
+                continue
+            for quote in (1, 0):
+                i = at + len(name)
+                if quote and not (i < len(text) and text[i] in "\"'"):
+                    continue
+                i += quote
+                while i < len(text) and text[i] == " ":
+                    i += 1
+                if not (i < len(text) and text[i] in ":="):
+                    continue
+                i += 1
+                while i < len(text) and text[i] == " ":
+                    i += 1
+                for quoted in (1, 0):
+                    if quoted and not (i < len(text) and text[i] in "\"'"):
+                        continue
+                    if value_end(i + quoted) > i + quoted:
+                        return i + quoted, value_end(i + quoted)
+        return None
+
+    at = 0
+    while at < len(text):
+        if found := assignment(at):
+            if found[1] - found[0] >= 6:
+                spans.append((at, 0, found[1]))
+            at = found[1]
+        else:
+            at += 1
+    at = 0
+    while at < len(text):
+        end = at + 4
+        if text[at:end] == "AKIA":
+            while end < len(text) and text[end] in WORD_LIKE and not text[end].islower():
+                end += 1
+            if end > at + 4:
+                if end - at >= 20:
+                    spans.append((at, 1, end))
+                at = end
+                continue
+        at += 1
+    at = 0
+    while at < len(text):
+        end = at
+        while end < len(text) and text[end] in "0123456789abcdef":
+            end += 1
+        if end - at >= 24:
+            spans.append((at, 2, end))
+        at = max(end, at + 1)
+    return sorted(spans)
+
+
+def test_secrets_against_a_plain_scan(spark):
+    rng = random.Random(45)
+    parts = ["password", "PassWD", "secret", "TOKEN", "api_key", "apikey", "API", "_key", "pass", '"', "'", " ", "  ", ":", "=", "==", "AKIA", "ABCDEFGH01234567", "Z9", "x", "hunter2", "deadbeef", "0123456789abcdef" * 2, "0af", "é", "\n", "/", "-", "aB3/", "K7qPz2LmX9vRt4WsYb8NcD1f"]
+    rows = [(i, "".join(rng.choice(parts) for _ in range(rng.randint(0, 40)))) for i in range(600)] + [(1000, "password=" * 3000 + " " + "aB3/K7qPz2Lm" * 2000), (1001, "token=abcdef AKIA" + "A" * 20 + " ") , (1002, ("token=abcdef" + "0af" * 9 + " ") * 4000)]
+    got = {r.doc_id: r for r in secrets.find_secrets(table(spark, rows), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN).collect()}
+    for doc_id, text in rows:
+        base, r = scanned(text), got[doc_id]
+        said = ",".join(f"{secrets.KINDS[k]}:{s}:{e}" for s, k, e in base)
+        assert r.base_sha256 == hashlib.sha256(said.encode()).hexdigest(), text
+        assert (r.n_assign, r.n_access, r.n_hex) == tuple(sum(k == kind for _, k, _ in base) for kind in range(3))
+        spans = [(int(x.split(":")[1]), secrets.KINDS.index(x.split(":")[0]), int(x.split(":")[2])) for x in r.spans.split(",") if x]
+        assert spans == sorted(spans) and set(base) <= set(spans)
+        more = [(s, e) for s, k, e in spans if k == 3]
+        covered = np.zeros(len(text) + 1, bool)
+        for s, _, e in base:
+            covered[s:e] = True
+        assert all(e - s >= 20 and not covered[s:e].any() for s, e in more) and all(a[1] <= b[0] for a, b in zip(more, more[1:], strict=False))
+
+
+# 10 once more: a long conversation
+
+
+def test_long_conversations(spark):
+    n = 3000
+    messages = spark.range(n).selectExpr("CAST(1 AS BIGINT) conv_id", "id turn", "IF(id % 2 = 0, 'user', 'assistant') role", "concat('m<s>', id) text")
+    formatted = chat_format.format_conversations(messages)
+    back = chat_format.read_back(formatted).first()
+    texts_ = [f"m<s>{i}" for i in range(n)]
+    assert [t.text for t in back.turns] == texts_ and back.loss_text == "".join(texts_[1::2])

@@ -63,15 +63,22 @@ def is_known(run: str) -> bool:
 
 def token_spans(text: str, base: list[tuple[int, int, str]], inefficient: Callable[[str], bool]) -> list[tuple[int, int, int]]:
     """(start, kind, end) of the random strings: in each run, what base spans leave of it as a whole, or else between slashes."""
-    spans = []
+    taken: list[list[int]] = []  # base spans, those that touch as one
+    for s, _, e in base:
+        if taken and s <= taken[-1][1]:
+            taken[-1][1] = max(taken[-1][1], e)
+        else:
+            taken.append([s, e])
+    spans, before = [], 0
     for m in RUN.finditer(text):
+        while before < len(taken) and taken[before][1] <= m.start():
+            before += 1
         if is_named(m[0]):
             continue
-        start, pieces = m.start(), []
-        for s, _, e in base:
-            if s < m.end() and start < e:
-                pieces.append((start, s))
-                start = e
+        start, pieces, at = m.start(), [], before
+        while at < len(taken) and taken[at][0] < m.end():
+            pieces.append((start, taken[at][0]))
+            start, at = taken[at][1], at + 1
         for a, z in (*pieces, (start, m.end())):
             if z - a < LEAST_RUN:
                 continue

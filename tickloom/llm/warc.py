@@ -34,8 +34,8 @@ from .common import shared_dir, staged
 VERSION, GZIP = b"WARC/1.", b"\x1f\x8b\x08"
 MANIFEST = "path string, records long, bytes long"
 ROWS = "kind string, path string, offset long, length long, page_id long, url string, record_type string, refers_to long, payload binary, payload_bytes long, payload_digest string, reason string"
-#: A record longer than this, or a damaged one that claims to be, is quarantined.
-MAX_RECORD_BYTES = 1 << 30
+#: A payload is one value of a table, which Spark bounds by 2 GiB; a record that claims more than twice that is damaged.
+MAX_RECORD_BYTES = 1 << 32
 CHUNK = 1 << 16
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
@@ -116,6 +116,13 @@ class Source:
             self.at, self.window = start, self.file.read(min(want, max(0, self.size - start)))
         return self.window[start - self.at : start - self.at + length]
 
+    def peek(self, start: int, length: int) -> bytes:
+        """A few bytes further on, without giving up the window."""
+        if self.at <= start and start + length <= self.at + len(self.window):
+            return self.window[start - self.at : start - self.at + length]
+        self.file.seek(start)
+        return self.file.read(length if start + length <= self.size else max(0, self.size - start))
+
     def find_start(self, start: int) -> int:
         """Where the next thing that looks like a member or a version line begins; the size if there is none."""
         while start < self.size:
@@ -204,6 +211,8 @@ def _record_at(source: Source, start: int, limit: int) -> tuple[dict, int]:
     length = _fields(found[1]).get("content-length", "")
     if not re.fullmatch(r"\d{1,18}", length) or int(length) > limit:
         raise Damaged("no content length, or too long")
+    if source.peek(start + found.end() + int(length), 4) != b"\r\n\r\n":  # before a block is read that may be damage
+        raise Damaged("block is cut off")
     row, used = _parsed(source.bytes(start, found.end() + int(length) + 4))
     return row, start + used
 
