@@ -1,6 +1,12 @@
 """A training corpus in five stages; each stage's rows are written as Parquet and read again by the next.
 
-Every stage works on all that its predecessor kept. All but the last return the columns of documents.
+Every stage works on all that its predecessor kept. All but the last return the columns of documents, whatever further
+columns these have.
+
+Defined results: a null text counts as empty; it is scored like any text, is an exact copy of other texts without words,
+links with nothing, leaks nothing and is packed as one piece that holds the end id; rows with a null id pass through the
+stages like others, losing ties to rows that have one; repeated rows are exact copies, of which one stays; an empty table
+gives an empty result.
 """
 
 from __future__ import annotations
@@ -9,7 +15,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tickloom.llm import decontamination, exact_dedup, ngram_join, packing, quality
-from tickloom.llm.common import free_shuffles, staged
+from tickloom.llm.common import staged
 
 
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,5 +59,4 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         docs = staged(stage(spark, docs, sf_dir), f"pipeline-{name}")
-        free_shuffles(spark)
     return docs
