@@ -578,6 +578,17 @@ def test_sets_that_share_a_key_are_told_apart(spark, tmp_path):
     assert got == {"l": {7, 8, node[2]}, "key 7": {7, node[2]}}
 
 
+def test_word_hashes_of_many_and_long_words(monkeypatch):
+    from tickloom.llm import common
+
+    monkeypatch.setattr(common, "WORD_TABLE_ENTRIES", 9_000)
+    table_, rng = common.WordTable(), random.Random(1)
+    for n in (5000, 3, 20_000, 10):
+        ws = [b"%d" % rng.randrange(10**6) + b"x" * (70 * (rng.random() < 0.01)) for _ in range(n)]
+        assert table_.of(ws).tolist() == [list(common._halves(w)) for w in ws]
+    assert table_.of([]).shape == (0, 2)
+
+
 # 3 and 9: features against plain versions
 
 

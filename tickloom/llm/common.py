@@ -113,8 +113,10 @@ class WordTable(dict):
         if len(self) > WORD_TABLE_ENTRIES:
             self.clear()
         if not words or max(map(len, words)) <= WORD_TABLE_LETTERS:
-            return self.hashes[np.fromiter(map(self.__getitem__, words), np.int64, len(words))]
-        out = self.hashes[[self[w] if len(w) <= WORD_TABLE_LETTERS else 0 for w in words]]
+            rows = np.fromiter(map(self.__getitem__, words), np.int64, len(words))  # may put a longer array in the place of hashes
+            return self.hashes[rows]
+        rows = [self[w] if len(w) <= WORD_TABLE_LETTERS else 0 for w in words]
+        out = self.hashes[rows]
         for i, w in enumerate(words):
             if len(w) > WORD_TABLE_LETTERS:
                 out[i] = _halves(w)
