@@ -1,11 +1,15 @@
 """The estimator's transition, and the staged folds, whatever the partitions."""
 
+import random
+from collections import defaultdict
 from fractions import Fraction
+from itertools import combinations
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tickloom.operators import folds, screening
+from tickloom.operators import folds, links, screening
 from tickloom.operators.estimator import Reading, Settings, State, Track, unwrap
 from tickloom.plans import proxies, queries
 
@@ -60,17 +64,103 @@ def test_unwrapping_rounds_half_to_even():
     assert unwrap(5, Fraction(0), Fraction(1, 2), None, None) == (0, 4)
 
 
-def test_screening_and_slips():
-    names = ["mc1", "mc2", "mc3"]
-    links = [(a, b) for a in names for b in names if a != b]
-    epoch = screening.Epoch({p: Fraction(100 * (p == ("mc1", "mc2"))) for p in links}, dict.fromkeys(links, 1.0))
-    screening.screen(epoch, names)
-    assert epoch.excluded == {("mc1", "mc2")} and epoch.findings[0][0] == "reciprocity_fail"
-    fault = screening.Epoch({p: Fraction(100 * (p[0] == "mc1")) for p in links}, dict.fromkeys(links, 1.0))
-    screening.screen(fault, names)
-    assert fault.held == {("mc1", "mc2"), ("mc1", "mc3")}
-    off = {p: Fraction(0) for p in links} | {(n, "c"): Fraction(200_000 if n == "mc2" else 0) for n in names}
-    assert screening.slips_of(screening.Epoch(off, dict.fromkeys(off, 1.0)), names, "c", {}) == ({("mc2", "c"): -1}, set())
+def deployment(seed, spoil):
+    """Innovations of four references that agree up to noise, with what spoil does to them."""
+    rng = random.Random(seed)
+    names = ["mc2", "mc4", "mc6", "mc9"]
+    nu = {(a, b): rng.uniform(-0.5, 0.5) for a in names for b in names if rng.random() > 0.05}
+    scale = {(a, b): rng.uniform(0.8, 1.2) for a in names for b in names}
+    for pair, by in spoil.items():
+        if pair in nu:
+            nu[pair] += by
+    return names, nu, scale
+
+
+def test_one_bad_direction_is_told_by_the_way_around():
+    names, nu, scale = deployment(3, {("mc4", "mc9"): 31.0})
+    nu = dict.fromkeys([(a, b) for a in names for b in names], 0.1) | nu | {("mc4", "mc9"): 31.0}
+    panel = screening.Panel(names, nu, scale)
+    screening.screen(panel)
+    assert panel.excluded == {("mc4", "mc9")} and panel.findings == [("reciprocity_fail", ("mc4", "mc9"))] and not panel.held.any()
+
+
+def test_a_reference_all_of_whose_links_fail_is_held():
+    names, nu, scale = deployment(12, {("mc6", b): 40.0 for b in ("mc2", "mc4", "mc9")})
+    panel = screening.Panel(names, nu, scale)
+    screening.screen(panel)
+    assert [n for n, h in zip(panel.names, panel.held, strict=True) if h] == ["mc6"] and panel.excluded >= {p for p in nu if p[0] == "mc6" != p[1]}
+
+
+def test_a_link_in_every_bad_triangle_fails():
+    names, nu, scale = deployment(7, {("mc2", "mc6"): 25.0, ("mc6", "mc2"): -25.0})
+    nu |= dict.fromkeys([(a, b) for a in names for b in names if (a, b) not in nu], 0.0)
+    panel = screening.Panel(names, nu, scale)
+    screening.screen(panel)
+    assert panel.excluded == {("mc2", "mc6"), ("mc6", "mc2")} and panel.findings[-1] == ("closure_fail", ("mc2", "mc6"))
+
+
+def test_slips_of_a_clock():
+    names, nu, scale = deployment(5, {})
+    panel = screening.Panel(names, dict.fromkeys([(a, b) for a in names for b in names], 0.0), scale)
+    seen, ones, yes = np.zeros(4), np.ones(4), np.ones(4, bool)
+    seen[2] = 3 * 200_000 + 1.0
+    assert screening.slips(panel, seen, ones, yes, yes)[0] == (2, -3)
+    two = np.array([True, False, True, False])
+    slip, unsure = screening.slips(panel, seen, ones, two, yes)
+    assert slip is None and unsure.tolist() == [True, False, True, False]
+    assert screening.slips(panel, seen, ones, two, np.array([True, True, False, True]))[0] == (2, -3)
+    assert screening.slips(panel, np.zeros(4), ones, yes, yes)[0] is None
+
+
+def test_tests_of_an_epoch_agree_with_the_relational_ones(spark):
+    """Self tests, reciprocity, faults and triangles of random epochs as the DataFrame operators give them."""
+    rng, rows, panels = random.Random(17), [], {}
+    for epoch in range(60):
+        names, nu, scale = deployment(epoch + 100, {(rng.choice(["mc2", "mc4"]), rng.choice(["mc2", "mc6", "mc9"])): rng.choice((0.0, 4.0, 9.0, 60.0)) for _ in range(3)})
+        rows += [(epoch, a, b, v, scale[a, b]) for (a, b), v in nu.items()]
+        panels[epoch] = screening.Panel(names, nu, scale)
+    table = spark.createDataFrame(rows, "epoch long, ref string, clock string, nu double, scale double")
+    shifted = {(r.epoch, r.ref, r.clock) for r in links.self_test(table).where("excluded AND ref <> clock").collect()}
+    assert shifted == {(e, *p) for e, panel in panels.items() for p in panel.pairs(panel.self_shift(panel.nu, panel.scale)) if p[0] != p[1]}
+    left = table.join(spark.createDataFrame(sorted(shifted) or [(-1, "", "")], "epoch long, ref string, clock string"), ["epoch", "ref", "clock"], "left_anti")
+    two_way = links.two_way(left).cache()
+    for panel in panels.values():
+        screening.screen(panel)
+    told = {(e, what, *names) for e, panel in panels.items() for what, names in panel.findings}
+    assert {(r.epoch, "reciprocity_fail", r.a, r.b) for r in two_way.where("NOT in_gate").collect()} == {t for t in told if t[1] == "reciprocity_fail"}
+    assert {(r.epoch, "reference_fault", r.ref) for r in links.faulty_references(two_way).collect()} == {t for t in told if t[1] == "reference_fault"}
+    failing = {r.epoch for r in two_way.where("NOT in_gate").collect()}
+    closed = defaultdict(lambda: ([], []))
+    for r in links.triangles(two_way).collect():
+        closed[r.epoch][r.in_gate].append({r.a, r.b, r.c})
+    expected = set()
+    for epoch, (bad, good) in closed.items():
+        if epoch not in failing and bad:
+            expected |= {(epoch, "closure_fail", a, b) for a, b in combinations(("mc2", "mc4", "mc6", "mc9"), 2) if all({a, b} <= t for t in bad) and not any({a, b} <= t for t in good)}
+    assert expected == {t for t in told if t[1] == "closure_fail" and t[0] not in failing} and {t[1] for t in told} >= {"self_fail", "self_missing", "reciprocity_fail"} - {"self_missing"}
+
+
+def test_steering_reaches_both_sides_of_a_pair_at_its_own_instant(spark):
+    data = readings(spark, 4)
+    settings = spark.createDataFrame([(c, (1, None, 30.0, 5.0, 40, 12, 144.0, 0.5, 50)) for c in ("mc1", "mc2", "mc3", "u1", "u2")], f"clock string, settings {folds.SETTINGS}")
+    start = 1001 * 600_000_000
+    events = [("mc1", start + 500_000, 40.0, 2.0), ("u1", start + 2_500_000, -7.0, 0.0), ("mc2", start - 30_000_000, 5.0, 1.0), ("u1", start - 600_000_000, 9.0, 0.0)]
+    rows = folds.pair_inputs(data, settings, spark.createDataFrame(events, "ref string, applied_us long, dx double, dy double")).collect()
+    assert len(rows) == data.count()
+
+    def inside(name, epoch, at):
+        return sum(dx + dy * (at - us) / 1e6 for n, us, dx, dy in events if n == name and epoch * 600_000_000 < us <= at)
+
+    def before(name, epoch):
+        end = epoch * 600_000_000
+        own = [(dx + dy * (end - us) / 1e6, dy) for n, us, dx, dy in events if n == name and end - 600_000_000 < us <= end]
+        return sum(x for x, _ in own), sum(y for _, y in own)
+
+    for r in rows:
+        at, other = r.epoch * 600_000_000 + r.offset_us, r.ref != r.clock
+        assert r.within == pytest.approx(other * (inside(r.clock, r.epoch, at) - inside(r.ref, r.epoch, at)))
+        assert (r.move, r.rate) == pytest.approx(tuple(other * (c - q) for c, q in zip(before(r.clock, r.epoch), before(r.ref, r.epoch), strict=True)))
+    assert len({r.within for r in rows}) > 3
 
 
 def readings(spark, epochs=60):

@@ -18,12 +18,13 @@ from collections import defaultdict
 from collections.abc import Iterator
 from fractions import Fraction
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.timefn import EPOCH_US
-from . import screening
+from . import links, screening
 from .estimator import Reading, Settings, Track, rounded, unwrap
 
 SETTINGS = "struct<states int, m double, m_sigma double, sigma0 double, gap_limit int, breaks_at int, fraction_epochs double, fraction_limit double, rms_limit int>"
@@ -84,19 +85,10 @@ def _pair_fold(table: pa.Table, is_reference: bool) -> Iterator[dict]:
                 scale[pair] = tracks[pair].scale
                 if pair in found:
                     off[pair] = found[pair][1] - p.x
-        names = sorted({c for _, c in here} if is_reference else {f["ref"] for f in facts})
-        state = screening.Epoch(off, scale)
-        corrections, undecided = {}, set()
-        if is_reference:
-            screening.screen(state, names)
-            for clock in names:
-                moved, unsure = screening.slips_of(state, names, clock, {p: t.flags for p, t in tracks.items() if t.epoch is not None})
-                corrections |= moved
-                undecided |= unsure
-        elif off:
-            _apply_facts(state, facts)
-            moved, unsure = screening.slips_of(state, names, next(iter(off))[1], {p: t.flags for p, t in tracks.items() if t.epoch is not None})
-            corrections, undecided = moved, unsure
+        nu = {pair: float(v) for pair, v in off.items()}
+        settled = {p for p, t in tracks.items() if t.epoch is not None and not screening.UNSETTLED & set(t.flags)}
+        screened = _screened_references if is_reference else _screened_clock
+        excluded, held, corrections = screened(here, nu, scale, facts, settled)
         for pair in sorted(tracks):
             if pair in read and pair not in here:
                 continue
@@ -108,31 +100,45 @@ def _pair_fold(table: pa.Table, is_reference: bool) -> Iterator[dict]:
                 reading = Reading(z, float(r["rms"]), r["rms"], slip=pair in corrections)
                 last_z[pair] = z
             prior = track.scale if p is not None else None
-            cold = track.step(epoch, settings[pair], p, reading, excluded=pair in state.excluded or pair in undecided, held=pair in state.held)
+            cold = track.step(epoch, settings[pair], p, reading, excluded=pair in excluded, held=pair[0] in held and pair[0] != pair[1])
             if "D" in track.flags and "P" in track.flags:
                 tracks[pair] = Track()
                 continue
-            told = {"nu": state.nu.get(pair), "prior_scale": prior, "excluded": pair in state.excluded, "ref_held": any(q[0] == pair[0] for q in state.held)}
+            told = {"nu": nu.get(pair), "prior_scale": prior, "excluded": pair in excluded, "ref_held": pair[0] in held}
             yield {"channel": channel, "ref": pair[0], "clock": pair[1], "epoch": epoch, "cycles": cycles, "z": z, "rms": r["rms"] if r else None, "predicted_fs": rounded(p.x * 1000) if p else None, "started_cold": cold} | told | _state(track)
 
 
-def _apply_facts(state: screening.Epoch, facts: list[dict]) -> None:
-    """What the references' own pairs showed, put beside a clock's innovations."""
-    links = {(f["ref"], f["clock"]): f for f in facts}
-    clock_pairs = list(state.off)
-    for pair, f in links.items():
-        if f["nu"] is not None and pair[0] != pair[1]:
-            state.nu[pair], state.scale[pair] = f["nu"], f["prior_scale"]
-            if f["excluded"]:
-                state.excluded.add(pair)
-    for pair in clock_pairs:
-        own = links.get((pair[0], pair[0]))
-        if any(f["ref_held"] for f in facts if f["ref"] == pair[0]):
-            state.held.add(pair)
-            state.excluded.add(pair)
-        if own and own["nu"] is not None and abs(own["nu"]) > screening.GATE * own["prior_scale"]:
-            if abs(state.nu[pair] - own["nu"]) <= screening.SHARED * (state.scale[pair] ** 2 + own["prior_scale"] ** 2) ** 0.5:
-                state.excluded.add(pair)
+def _screened_references(here: dict, nu: dict, scale: dict, facts: list[dict], settled: set) -> tuple[set, set, dict]:
+    """Pairs that are excluded, references that are held, and whole periods to add to pairs, among the references' own pairs."""
+    panel = screening.Panel({clock for _, clock in here}, nu, scale)
+    screening.screen(panel)
+    excluded, corrections = panel.excluded, {}
+    for i, clock in enumerate(panel.names):
+        known = np.array([(name, clock) in settled for name in panel.names], bool)
+        slip, unsure = screening.slips(panel, panel.nu[:, i], panel.scale[:, i], panel.usable[:, i], known)
+        if slip:
+            corrections[panel.names[slip[0]], clock] = slip[1]
+        excluded |= {(panel.names[j], clock) for j in np.flatnonzero(unsure)}
+    return excluded, {panel.names[j] for j in np.flatnonzero(panel.held)}, corrections
+
+
+def _screened_clock(here: dict, nu: dict, scale: dict, facts: list[dict], settled: set) -> tuple[set, set, dict]:
+    """The same for one other clock's pairs, from what the references' own pairs showed."""
+    if not nu:
+        return set(), set(), {}
+    clock, said = next(iter(nu))[1], [f for f in facts if f["nu"] is not None]
+    of_links = lambda column: {(f["ref"], f["clock"]): f[column] for f in said}
+    panel = screening.Panel({f["ref"] for f in facts}, of_links("nu"), of_links("prior_scale"))
+    for f in said:
+        if f["excluded"] and f["clock"] in panel.names:
+            panel.usable[panel.names.index(f["ref"]), panel.names.index(f["clock"])] = False
+    held = {f["ref"] for f in facts if f["ref_held"]}
+    own_nu, own_scale = (np.array([v.get((name, clock), np.nan) for name in panel.names], float) for v in (nu, scale))
+    usable = ~np.isnan(own_nu) & ~np.array([name in held for name in panel.names], bool) & ~panel.self_shift(own_nu[:, None], own_scale[:, None])[:, 0]
+    excluded = {(name, clock) for name, seen, ok in zip(panel.names, own_nu, usable, strict=True) if not np.isnan(seen) and not ok}
+    slip, unsure = screening.slips(panel, own_nu, own_scale, usable, np.array([(name, clock) in settled for name in panel.names], bool))
+    corrections = {(panel.names[slip[0]], clock): slip[1]} if slip else {}
+    return excluded | {(panel.names[j], clock) for j in np.flatnonzero(unsure)}, held, corrections
 
 
 def _folded(rows: DataFrame, keys: list[str], is_reference: bool) -> DataFrame:
@@ -161,14 +167,18 @@ def clock_rows(rows: DataFrame, facts: DataFrame) -> DataFrame:
     return _folded(rows.join(facts, ["channel", "epoch"], "left"), ["channel", "clock"], False)
 
 
-def pair_inputs(readings: DataFrame, settings: DataFrame, steering: DataFrame | None = None, within: DataFrame | None = None, disabled: DataFrame | None = None) -> DataFrame:
+def pair_inputs(readings: DataFrame, settings: DataFrame, steering: DataFrame | None = None, disabled: DataFrame | None = None) -> DataFrame:
     """Readings (channel, ref, clock, epoch, delta_us, phase, rms) with settings (clock, settings) and steering columns.
 
-    steering has (ref, clock, epoch, move, rate) a pair, within (ref, epoch, within) a reference, disabled (clock, epoch).
+    steering has events (ref, applied_us, dx, dy): move and rate are what they did to a pair since the last epoch, within what
+    they did from the epoch's start to the reading. disabled has (clock, epoch).
     """
     rows = readings.join(settings, "clock").select("channel", "ref", "clock", "epoch", F.col("delta_us").alias("offset_us"), "phase", "rms", F.col("settings").cast(SETTINGS).alias("settings"))
-    rows = rows.join(steering.select("ref", "clock", "epoch", "move", "rate"), ["ref", "clock", "epoch"], "left") if steering is not None else rows.select("*", F.lit(0.0).alias("move"), F.lit(0.0).alias("rate"))
-    rows = rows.join(within.select("ref", "epoch", "within"), ["ref", "epoch"], "left") if within is not None else rows.withColumn("within", F.lit(0.0))
+    if steering is None:
+        rows = rows.select("*", *(F.lit(0.0).alias(c) for c in ("move", "rate", "within")))
+    else:
+        timed = links.steered_pairs(rows, links.steering_by_epoch(steering)).withColumn("measured_us", F.col("epoch") * EPOCH_US + F.col("offset_us"))
+        rows = links.steered_within(timed, steering).drop("measured_us")
     if disabled is None:
         return rows.withColumn("disabled", F.lit(False))
     off = disabled.select("clock", "epoch", F.lit(True).alias("_off")).distinct()

@@ -40,10 +40,21 @@ def steered_pairs(pairs: DataFrame, steering: DataFrame) -> DataFrame:
 def steering_within(measured: DataFrame, events: DataFrame) -> DataFrame:
     """ref, epoch, measured_us and within: phase steered in (epoch start, measurement]; joined by the epoch that holds both."""
     held = events.select("ref", (F.ceil(F.col("applied_us") / F.lit(EPOCH_US)).cast("long") - 1).alias("epoch"), "applied_us", "dx", "dy")
-    inside = F.when(held.applied_us <= F.col("measured_us"), held.dx + held.dy * ((F.col("measured_us") - held.applied_us) / F.lit(1e6)))
+    inside = F.when(F.col("applied_us") <= F.col("measured_us"), F.col("dx") + F.col("dy") * ((F.col("measured_us") - F.col("applied_us")) / F.lit(1e6)))
     return measured.join(held, ["ref", "epoch"], "left").groupBy("ref", "epoch", "measured_us").agg(F.coalesce(F.sum(inside), F.lit(0.0)).alias("within"))
 
 
+def steered_within(pairs: DataFrame, events: DataFrame) -> DataFrame:
+    """Pairs (ref, clock, epoch, measured_us) with within: what was steered from the epoch's start to the pair's own instant, the clock's
+    part less the reference's; none for a self pair."""
+    instants = pairs.select("ref", "epoch", "measured_us").union(pairs.select(F.col("clock").alias("ref"), "epoch", "measured_us")).distinct()
+    each = steering_within(instants, events)
+    of_ref = each.select("ref", "epoch", "measured_us", F.col("within").alias("_rw"))
+    own = each.select(F.col("ref").alias("clock"), "epoch", "measured_us", F.col("within").alias("_cw"))
+    both = pairs.join(of_ref, ["ref", "epoch", "measured_us"], "left").join(own, ["clock", "epoch", "measured_us"], "left")
+    return both.select(*pairs.columns, F.when(F.col("ref") != F.col("clock"), F.coalesce("_cw", F.lit(0.0)) - F.coalesce("_rw", F.lit(0.0))).otherwise(0.0).alias("within"))
+
+
 def setting_intervals(entries: DataFrame, keys: Sequence[str], values: Sequence[str], date: str, order: str) -> DataFrame:
     """Dated overrides as intervals [from, to): undated first, then by date and order; a null keeps what was in force."""
     w = Window.partitionBy(*keys).orderBy(F.col(date).asc_nulls_first(), order)
@@ -149,12 +160,13 @@ def double_differences(triples: DataFrame, z: DataFrame, round_trip: DataFrame)
     return legs.select("r", "s", "c", "epoch", dd.alias("dd"), used.alias("used")).where("dd IS NOT NULL")
 
 
-def allan_sums(values: DataFrame, keys: Sequence[str], grid: Sequence[int], value: str = "value") -> DataFrame:
-    """keys, m, terms and squares: sums over x(k+2m) - 2x(k+m) + x(k) where all three are there.
+def allan_sums(values: DataFrame, keys: Sequence[str], grid: Sequence[int], value: str = "value", most: Column | None = None) -> DataFrame:
+    """keys, m, terms and squares: sums over x(k+2m) - 2x(k+m) + x(k) where all three are there, for m up to most.
 
     Each value is sent to the (at most three) sums it is part of for each m, which combine by key before the result.
     """
     steps = F.array(*(F.lit(m) for m in grid))
+    steps = F.filter(steps, lambda m: m <= most) if most is not None else steps
     spread = values.select(*keys, "epoch", F.col(value).alias("x"), F.explode(steps).alias("m"))
     parts = spread.select(*keys, "m", F.explode(F.array(F.struct(F.col("epoch").alias("k"), F.col("x").alias("d")), F.struct((F.col("epoch") - F.col("m")).alias("k"), (-2 * F.col("x")).alias("d")), F.struct((F.col("epoch") - 2 * F.col("m")).alias("k"), F.col("x").alias("d")))).alias("p"))
     terms = parts.groupBy(*keys, "m", "p.k").agg(F.sum("p.d").alias("d"), F.count(F.lit(1)).alias("n")).where("n = 3")
