@@ -240,14 +240,14 @@ def pair_registry(spark, sf_dir):
     return links.pair_registry(raw(spark, sf_dir).withColumnRenamed("user_id", "clock"))
 
 
-PAIRS = """pr AS (SELECT ref, clock, min(epoch) AS since FROM (SELECT ref, 'u' || CAST(user_id % 20 AS VARCHAR) AS clock, epoch FROM raw WHERE user_id % 3 > 0 UNION ALL SELECT a.ref, b.ref, a.epoch FROM readings a JOIN readings b ON a.epoch = b.epoch WHERE (a.epoch + length(b.ref)) % 2 = 0) GROUP BY ALL),
+PAIRS = """pr AS (SELECT ref, clock, min(epoch) AS since FROM (SELECT ref, 'u' || CAST(user_id % 20 AS VARCHAR) AS clock, epoch FROM raw UNION ALL SELECT a.ref, b.ref, a.epoch FROM readings a JOIN readings b ON a.epoch = b.epoch) GROUP BY ALL),
 loc AS (SELECT DISTINCT n AS name, CASE WHEN length(n) % 4 = 1 THEN NULL ELSE length(n) % 2 END AS location FROM (SELECT ref AS n FROM pr UNION SELECT clock FROM pr))"""
 
 
 def _pairs(spark, sf_dir):
     r = readings(spark, sf_dir)
-    users = raw(spark, sf_dir).where("user_id % 3 > 0").select("ref", F.concat(F.lit("u"), (F.col("user_id") % 20).cast("string")).alias("clock"), "epoch")
-    refs = r.select("ref", "epoch").join(r.select(F.col("ref").alias("clock"), "epoch"), "epoch").where((F.col("epoch") + F.length("clock")) % 2 == 0).select("ref", "clock", "epoch")
+    users = raw(spark, sf_dir).select("ref", F.concat(F.lit("u"), (F.col("user_id") % 20).cast("string")).alias("clock"), "epoch")
+    refs = r.select("ref", "epoch").join(r.select(F.col("ref").alias("clock"), "epoch"), "epoch").select("ref", "clock", "epoch")
     pairs = links.pair_registry(users.unionByName(refs))
     names = pairs.select(F.col("ref").alias("name")).union(pairs.select("clock")).distinct()
     return pairs, names.select("name", F.when(F.length("name") % 4 != 1, F.length("name") % 2).alias("location"))
@@ -288,18 +288,20 @@ def slip_d(spark, sf_dir):
     return links.slip_differences(n, links.two_way(n))
 
 
-@query(f"""WITH {INNOVATIONS}, z AS (SELECT epoch, ref, clock, CAST(nu * 4 AS BIGINT) AS z FROM nus WHERE (epoch + length(clock)) % 3 > 0), rt AS (SELECT epoch, ref AS r, clock AS s, CAST(scale AS BIGINT) AS t FROM nus),
+@query(f"""WITH {INNOVATIONS}, z AS (SELECT epoch, ref, clock, CASE WHEN (epoch + length(clock)) % 3 > 0 THEN CAST(nu * 4 AS BIGINT) END AS z FROM nus), rt AS (SELECT epoch, ref AS r, clock AS s, CAST(scale AS BIGINT) AS t FROM nus),
 tr AS (SELECT DISTINCT a.ref AS r, b.ref AS s, b.clock AS c FROM (SELECT DISTINCT ref FROM nus) a, (SELECT DISTINCT ref, clock FROM nus) b),
 j AS (SELECT tr.*, sc.epoch, sc.z AS zsc, rs.z AS zrs, sr.z AS zsr, rt.t FROM tr JOIN z sc ON sc.ref = tr.s AND sc.clock = tr.c LEFT JOIN z rs ON rs.ref = tr.r AND rs.clock = tr.s AND rs.epoch = sc.epoch
 LEFT JOIN z sr ON sr.ref = tr.s AND sr.clock = tr.r AND sr.epoch = sc.epoch LEFT JOIN rt ON rt.r = tr.r AND rt.s = tr.s AND rt.epoch = sc.epoch),
 k AS (SELECT *, coalesce(zrs - zsr, 2 * zrs - t, t - 2 * zsr) AS u, CASE WHEN r = s THEN 'pair' WHEN zrs - zsr IS NOT NULL THEN 'both' WHEN 2 * zrs - t IS NOT NULL THEN 'out' WHEN t - 2 * zsr IS NOT NULL THEN 'back' END AS used FROM j)
-SELECT r, s, c, epoch, CASE WHEN r = s THEN zsc ELSE zsc + CAST(round_even(u / 2.0::DOUBLE, 0) AS BIGINT) END AS dd, used FROM k WHERE r = s OR u IS NOT NULL""")
+SELECT r, s, c, epoch, CASE WHEN r = s THEN zsc ELSE zsc + CAST(round_even(u / 2.0::DOUBLE, 0) AS BIGINT) END AS dd, used FROM k WHERE zsc IS NOT NULL AND (r = s OR u IS NOT NULL)""")
 def double_difference(spark, sf_dir):
     n = innovations(spark, sf_dir)
-    z = n.where((F.col("epoch") + F.length("clock")) % 3 > 0).select("ref", "clock", "epoch", (F.col("nu") * 4).cast("long").alias("z"))
+    seen = (F.col("epoch") + F.length("clock")) % 3 > 0  # a link has no reading in every third epoch or so
+    z = n.select("ref", "clock", "epoch", F.when(seen, (F.col("nu") * 4).cast("long")).alias("z"))
     trip = n.select(F.col("ref").alias("r"), F.col("clock").alias("s"), "epoch", F.col("scale").cast("long").alias("round_trip"))
     pairs = n.select(F.col("ref").alias("s"), F.col("clock").alias("c")).distinct()
-    triples = n.select(F.col("ref").alias("r")).distinct().join(pairs, F.lit(True))  # names of references: ten at most
+    sides = pairs.select(F.col("s").alias("r"), F.col("c").alias("s")).union(pairs.select(F.col("c").alias("r"), "s")).union(pairs.select(F.col("s").alias("r"), "s")).distinct()
+    triples = sides.join(pairs, "s")  # a reference that has a link with s, or s itself
     return links.double_differences(triples, z, trip)
 
 
@@ -419,33 +421,32 @@ def noise_models(spark, sf_dir):
     return noise.characterize(values, 144)
 
 
-@query(f"""WITH {READINGS}, s AS (SELECT ref, epoch, phase / 1000.0::DOUBLE AS nu, row_number() OVER (PARTITION BY ref ORDER BY epoch) AS n FROM readings QUALIFY n <= 400),
+@query(f"""WITH {READINGS}, s AS (SELECT ref, epoch, phase / 1000.0::DOUBLE AS nu, row_number() OVER (PARTITION BY ref ORDER BY epoch) AS n FROM readings),
 r AS (WITH RECURSIVE r AS (SELECT ref, n, epoch, nu, sqrt(greatest((1 - 0.125) * 100.0 ** 2 + 0.125 * nu ** 2, 4.0)) AS scale, CASE WHEN nu > 100 THEN 0.125 ELSE 0.0 END::DOUBLE AS f FROM s WHERE n = 1
  UNION ALL SELECT s.ref, s.n, s.epoch, s.nu, sqrt(greatest((1 - 0.125) * r.scale ** 2 + 0.125 * s.nu ** 2, 4.0)), (1 - 0.125) * r.f + CASE WHEN s.nu > 100 THEN 0.125 ELSE 0 END FROM r JOIN s ON s.ref = r.ref AND s.n = r.n + 1) SELECT * FROM r)
 SELECT ref, max(n) AS n, round(arg_max(scale, n), 6) AS scale, round(arg_max(f, n), 6) AS reject_fraction FROM r GROUP BY ref""")
 def scale_fold(spark, sf_dir):
-    w = Window.partitionBy("ref").orderBy("epoch")
-    first = readings(spark, sf_dir).withColumn("n", F.row_number().over(w)).where("n <= 400")
-    nus = F.transform(F.array_sort(F.collect_list(F.struct("n", (F.col("phase") / 1000).alias("nu")))), lambda x: x["nu"])
-    scale = F.aggregate(nus, F.lit(100.0), lambda s, nu: F.sqrt(F.greatest(F.lit(0.875) * s * s + F.lit(0.125) * nu * nu, F.lit(4.0))))
-    fraction = F.aggregate(nus, F.lit(0.0), lambda f, nu: F.lit(0.875) * f + F.when(nu > 100, 0.125).otherwise(0.0))
-    return first.groupBy("ref").agg(F.max("n").cast("long").alias("n"), F.round(scale, 6).alias("scale"), F.round(fraction, 6).alias("reject_fraction"))
+    r = readings(spark, sf_dir).select("ref", "epoch", (F.col("phase") / 1000).alias("nu"))
+    n = r.groupBy("ref").agg(F.count(F.lit(1)).alias("n"))
+    folded = series.folded_scale(r, ["ref"], "nu", 100).drop("n").join(n, "ref")
+    return folded.select("ref", "n", F.round("scale", 6).alias("scale"), F.round("reject_fraction", 6).alias("reject_fraction"))
 
 
 @query()
 def scale_fold_all(spark, sf_dir):
-    """scale_fold over every reading; scale_fold keeps to its SQL, which ends at each reference's 400th."""
+    """The same fold as its operator gives it."""
     r = readings(spark, sf_dir).select("ref", "epoch", (F.col("phase") / 1000).alias("nu"))
     return series.folded_scale(r, ["ref"], "nu", 100).withColumn("scale", F.round("scale", 6)).withColumn("reject_fraction", F.round("reject_fraction", 6))
 
 
-REJECTS = f"""{RAW}, rj AS (SELECT 'u' || CAST(user_id % 10 AS VARCHAR) AS clock, ref, epoch // 3 AS epoch FROM raw WHERE user_id % 3 = 0),
+REJECTS = f"""{RAW}, rj AS (SELECT 'u' || CAST(user_id % 10 AS VARCHAR) AS clock, ref, epoch // 3 + 100000 * (user_id % 3) AS epoch FROM raw),
 sh AS (SELECT epoch FROM rj GROUP BY epoch HAVING count(DISTINCT clock) >= 3)"""
 
 
 def _rejects(spark, sf_dir):
-    r = raw(spark, sf_dir).where("user_id % 3 = 0")
-    return r.select(F.concat(F.lit("u"), (F.col("user_id") % 10).cast("string")).alias("clock"), F.array("ref").alias("refs"), F.floor(F.col("epoch") / 3).cast("long").alias("epoch"))
+    """Every event is a rejection; each third of the users has a span of time of its own, so that not every epoch is shared."""
+    epoch = F.floor(F.col("epoch") / 3).cast("long") + 100_000 * (F.col("user_id") % 3)
+    return raw(spark, sf_dir).select(F.concat(F.lit("u"), (F.col("user_id") % 10).cast("string")).alias("clock"), F.array("ref").alias("refs"), epoch.alias("epoch"))
 
 
 @query(f"""WITH {REJECTS}, c AS (SELECT clock, epoch, count(*) AS n FROM rj WHERE epoch NOT IN (SELECT epoch FROM sh) GROUP BY ALL),
