@@ -57,7 +57,7 @@ def staged(df: DataFrame, name: str) -> DataFrame:
 def _written(df: DataFrame, path: str) -> DataFrame:
     spark, schema = df.sparkSession, df.schema
     with settings(spark, {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}):
-        df.write.parquet(path)
+        df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(schema).parquet(path)
 
 

@@ -118,7 +118,7 @@ def _joined(rows: DataFrame, groups: DataFrame, keys: list[str]) -> DataFrame:
 def kept_rows(docs: DataFrame) -> DataFrame:
     """The rows of docs that stay, with all their columns. docs is written to the shared folder, to be streamed from there."""
     spark, path = docs.sparkSession, shared_dir(docs.sparkSession, "exact-dedup-input")
-    docs.write.parquet(path)
+    docs.write.option("compression", "zstd").parquet(path)
     stay = exact_dedup(spark, path).where("kept").select("file_path", "row_index")
     source = spark.read.schema(docs.schema).parquet(path)
     located = source.select(F.struct(*[source[c] for c in source.columns]).alias("row"), F.col("_metadata.file_path").alias("at_file"), F.col("_metadata.row_index").alias("at_row"))

@@ -15,8 +15,9 @@ covers six n-grams or so at least. Steps:
 2. Every list's least node is compared with the other members, a star: first sketches (counts of n-grams in 128 buckets,
    never further apart than their sets), then the sets of the pairs that pass. Components of the links that hold.
 3. Lists whose members are in several components: every member outside the list's largest component names the nearest
-   members of other components, by sketches, and these pairs are compared. Components again, and so on, with more names a
-   member once all that were named have been compared, until no pair is left that sketches allow and components separate.
+   members of other components, by sketches, and these pairs are compared. Components again, and so on over the lists that
+   named any, with more names a member once all that were named have been compared, until no pair is left that sketches
+   allow and components separate.
 
 Pairs inside a component need no comparison, as they cannot change the groups; every comparison that could join two
 components is made, so the groups are exact. A list with a third of all documents costs one comparison a member, plus
@@ -200,6 +201,9 @@ def _joined(docs: DataFrame, n: int, percent: int, id_col: str = "doc_id", text_
     known = rows.where("n_shingles > 0").groupBy("node").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")).alias("h"), F.first("n_shingles").alias("size"), F.first("sketch").alias("sketch"))
     profiles = scratch.stage(known.select("node", F.col("h.doc_id").alias("holder"), F.col("h.text_hash").alias("holder_text"), "size", "sketch"), "profiles")
 
+    rows = scratch.stage(rows.select("doc_id", "text_hash", "node", "n_shingles"), "rows")
+    scratch.drop(found)
+
     def linked(pairs: DataFrame) -> DataFrame:
         """Those of the pairs (a, b) whose sets link."""
         sets = scratch.stage(_wanted_sets(source, pairs, profiles, n), "sets")
@@ -213,18 +217,22 @@ def _joined(docs: DataFrame, n: int, percent: int, id_col: str = "doc_id", text_
     labels = components(linked(tested))
     most = 2
     while True:
-        near = scratch.stage(_nearest(lists, labels, profiles, percent, most, blocks), "near")
+        sides = scratch.stage(_sides(lists, labels), "sides")
+        near = scratch.stage(_nearest(sides, profiles, percent, most, blocks), "near")
+        scratch.drop(sides)
         new = scratch.stage(near.where("a IS NOT NULL").select("a", "b").distinct().join(tested, ["a", "b"], "left_anti"), "new")
         if not new.isEmpty():
             links = linked(new)
             tested = tested.union(new)
             if not links.isEmpty():
                 labels = components(labels.select(F.col("node").alias("a"), F.col("root").alias("b")).union(links))
-        elif near.where("a IS NULL").isEmpty():
-            return Joined(rows.select("doc_id", "text_hash", "node", "n_shingles"), labels, scratch)
+        elif near.where("a IS NULL AND list IS NULL").isEmpty():
+            return Joined(rows, labels, scratch)
         else:
             most *= 8
-        scratch.drop(near)
+        narrowed = scratch.stage(lists.join(near.where("list IS NOT NULL").select("list").distinct(), "list", "left_semi"), "lists")  # components only grow, so others stay without such pairs
+        scratch.drop(lists, near)
+        lists = narrowed
 
 
 def _resolved(docs: DataFrame, lists: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
@@ -421,11 +429,10 @@ def _wanted_sets(source: DataFrame, pairs: DataFrame, profiles: DataFrame, n: in
     return held.select("node", "text").mapInArrow(build, "node long, grams binary")
 
 
-def _nearest(lists: DataFrame, labels: DataFrame, profiles: DataFrame, percent: int, most: int, blocks: int) -> DataFrame:
-    """Pairs (a, b), a < b, of members of one list whose components differ and whose sizes and sketches do not rule out a link.
+def _sides(lists: DataFrame, labels: DataFrame) -> DataFrame:
+    """Members (list, node, root, unit, is_left) of the lists that hold several components; left: those outside the list's largest one.
 
-    A member outside its list's largest component names the `most` nearest of them; a row without a and b says that some
-    member has more. Lists are compared in units of some PIECE members a side, dealt by a hash of the member.
+    Lists are compared in units of some PIECE members a side, dealt by a hash of the member; unit names them.
     """
     member = lists.where((F.size("members") > 2) | F.col("list").like("hot %") | F.col("list").like("key %")).select("list", F.explode("members").alias("node"))
     rooted = member.join(labels, "node", "left").select("list", "node", F.coalesce("root", "node").alias("root"))
@@ -437,16 +444,24 @@ def _nearest(lists: DataFrame, labels: DataFrame, profiles: DataFrame, percent:
     sided = rooted.join(mixed_lists, "list").select("list", "node", "root", outside.alias("outside"), count(F.col("total") - F.col("largest")).alias("lefts"), count(F.col("total")).alias("rights"))
     left = sided.where("outside").select("list", "node", "root", place(F.col("lefts")).alias("i"), F.explode(F.sequence(F.lit(0), F.col("rights") - 1)).alias("j"), F.lit(True).alias("is_left"))
     right = sided.select("list", "node", "root", F.explode(F.sequence(F.lit(0), F.col("lefts") - 1)).alias("i"), place(F.col("rights")).alias("j"), F.lit(False).alias("is_left"))
-    rows = left.union(right).join(profiles.select("node", "size", "sketch"), "node")
-    units = rows.select(F.pmod(F.xxhash64("list", "i", "j"), F.lit(4 * blocks)).cast("int").alias("block"), F.concat_ws(" ", "list", "i", "j").alias("unit"), "node", "root", "is_left", "size", "sketch")
+    return left.union(right).select("list", "node", "root", F.xxhash64("list", "i", "j").alias("unit"), "is_left")
+
+
+def _nearest(sides: DataFrame, profiles: DataFrame, percent: int, most: int, blocks: int) -> DataFrame:
+    """Pairs (a, b), a < b, of members of one list whose components differ and whose sizes and sketches do not rule out a link.
+
+    A left member names the `most` nearest of them. Rows without a and b: a list that has such pairs, or, with no list
+    either, that some member has more of them.
+    """
+    rows = sides.join(profiles.select("node", "size", "sketch"), "node")
+    units = rows.select(F.pmod(F.col("unit"), F.lit(4 * blocks)).cast("int").alias("block"), "unit", "list", "node", "root", "is_left", "size", "sketch")
 
     def name(table: pa.Table) -> pa.Table:
-        unit = table.column("unit").combine_chunks().dictionary_encode().indices.to_numpy()
-        node, root, size = (table.column(c).to_numpy() for c in ("node", "root", "size"))
+        unit, node, root, size = (table.column(c).to_numpy() for c in ("unit", "node", "root", "size"))
         is_left = np.asarray(table.column("is_left"))
         sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(-1, SKETCH)
         order = np.lexsort((node, is_left, unit))
-        found, more = [(np.empty(0, np.int64), np.empty(0, np.int64))], False
+        found, more, active = [(np.empty(0, np.int64), np.empty(0, np.int64))], False, set()
         for lo, hi in slices(unit[order]):
             at = order[lo:hi]
             x, y = at[is_left[at]], at[~is_left[at]]
@@ -457,6 +472,8 @@ def _nearest(lists: DataFrame, labels: DataFrame, profiles: DataFrame, percent:
                 apart = _apart_at_least(sketch[p], sketch[q])
                 may = _may_link(apart, size[p], size[q], percent)
                 p, q, apart = p[may], q[may], apart[may]
+                if len(p):
+                    active.add(table.column("list")[int(at[0])].as_py())
                 by = np.lexsort((node[q], apart, p))
                 p, q = p[by], q[by]
                 first = runs(p)
@@ -465,10 +482,11 @@ def _nearest(lists: DataFrame, labels: DataFrame, profiles: DataFrame, percent:
                 found.append((node[p[rank < most]], node[q[rank < most]]))
         a, b = (np.concatenate(side) for side in zip(*found, strict=True))
         pairs = np.unique(np.column_stack((np.minimum(a, b), np.maximum(a, b))), axis=0)
-        out = _pairs(pairs[:, 0], pairs[:, 1])
-        return pa.concat_tables([out, pa.table({"a": pa.nulls(1, pa.int64()), "b": pa.nulls(1, pa.int64())})]) if more else out
+        said = [*sorted(active), *[None] * more]
+        sides_ = (pa.concat_arrays([pa.array(pairs[:, i], pa.int64()), pa.nulls(len(said), pa.int64())]) for i in (0, 1))
+        return pa.table([*sides_, pa.array([None] * len(pairs) + said, pa.string())], names=["a", "b", "list"])
 
-    return units.groupBy("block").applyInArrow(name, "a long, b long")
+    return units.groupBy("block").applyInArrow(name, "a long, b long, list string")
 
 
 def keep_one_of_each(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
