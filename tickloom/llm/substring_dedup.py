@@ -12,7 +12,7 @@ aligned, share an anchor at the same place inside. The steps, all keyed by block
 5. the document blocks mark the covered words and put the rest together.
 
 A block sends a hash once, however often it occurs, so a passage that a third of all documents hold weighs as much as one
-document in each block. The texts are shuffled once, by block, and read by steps 1, 3 and 5. Windows are told by 128 bits of
+document in each block. The texts are shuffled once, by block, and read by steps 1, 3 and 5. Windows are told by 96 bits of
 their words' 128-bit hashes, which stand in for comparing the words; anchors by 40 bits besides the block number, as a chance
 hit of an anchor costs only time. Blocks are as many as the input's bytes ask for.
 
@@ -36,6 +36,8 @@ from .common import Words, block_count, found_in, from_planes, planes, runs, sli
 WINDOW, PERIOD, COVER = 13, 7, (0, 1, 3)
 ANCHOR = WINDOW - PERIOD + 1
 ANCHOR_BYTES = 5
+#: Bytes of a window's second hash that are sent and compared; with the first's eight, 96 bits tell windows apart.
+SECOND_BYTES = 4
 RESULT = "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string"
 
 
@@ -61,6 +63,11 @@ def _anchors(words: Words) -> tuple[np.ndarray, np.ndarray]:
     return at[here], h[here]
 
 
+def _second(words: Words, at: np.ndarray) -> np.ndarray:
+    """Second hashes of the windows that start there, of the other half of their words' hashes."""
+    return window_hashes_at(words.hashes[:, 1], at, WINDOW, seed=2) & np.uint64(2 ** (8 * SECOND_BYTES) - 1)
+
+
 def _pair_runs(h: np.ndarray, second: np.ndarray) -> np.ndarray:
     """Where runs of equal pairs start, in order of both."""
     return np.flatnonzero(np.r_[True, (h[1:] != h[:-1]) | (second[1:] != second[:-1])]) if len(h) else np.empty(0, np.int64)
@@ -130,13 +137,13 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 near[np.where(words.position[at] >= back, at - back, -1)] = True
             at = words.window_starts(WINDOW)
             at = at[near[at]]
-            h, second = (window_hashes_at(words.hashes[:, half], at, WINDOW, seed=2) for half in (0, 1))
+            h, second = window_hashes_at(words.hash, at, WINDOW, seed=2), _second(words, at)
             number = number[words.text[at]]
             order = np.lexsort((number, second, h))
             h, second, number = h[order], second[order], number[order]
             first = _pair_runs(h, second)
             several = np.minimum.reduceat(number, first) != np.maximum.reduceat(number, first) if len(h) else np.empty(0, bool)
-            sent = [(part, planes(k), planes(k2), planes(least.view(np.uint64)), np.packbits(s).tobytes()) for part, k, k2, least, s in _parts(h[first] >> np.uint64(32), n_hash, h[first], second[first], number[first], several)]
+            sent = [(part, planes(k), planes(k2, SECOND_BYTES), planes(least.view(np.uint64)), np.packbits(s).tobytes()) for part, k, k2, least, s in _parts(h[first] >> np.uint64(32), n_hash, h[first], second[first], number[first], several)]
         block = docs.column("block")[0].as_py() if docs.num_rows else -1
         columns = zip(("hashes", "seconds", "least", "several"), zip(*(s[1:] for s in sent), strict=True) if sent else [()] * 4, strict=True)
         return pa.table({"part": pa.array([s[0] for s in sent], pa.int32()), "block": pa.array([block] * len(sent), pa.int32()), **{name: pa.array(c, pa.binary()) for name, c in columns}})
@@ -144,7 +151,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     def least_documents(table: pa.Table) -> pa.Table:
         hashes = [from_planes(b) for b in table.column("hashes").to_pylist()]
         several = np.concatenate([np.unpackbits(np.frombuffer(b, np.uint8), count=len(h)) for b, h in zip(table.column("several").to_pylist(), hashes, strict=True)])
-        second, least = (np.concatenate([from_planes(b) for b in table.column(c).to_pylist()]) for c in ("seconds", "least"))
+        second, least = (np.concatenate([from_planes(b, width) for b in table.column(c).to_pylist()]) for c, width in (("seconds", SECOND_BYTES), ("least", 8)))
         least = least.view(np.int64)
         block = np.repeat(table.column("block").to_numpy(), [len(h) for h in hashes])
         h = np.concatenate(hashes)
@@ -153,7 +160,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         overall = np.empty(len(h), np.int64)
         overall[order] = np.repeat(least[order][first], np.diff(np.r_[first, len(h)]))
         got = np.flatnonzero((overall < least) | (several > 0))
-        sent = [(b, planes(k), planes(k2), planes(v.view(np.uint64))) for b, k, k2, v in _parts(block[got].astype(np.uint64), n_docs, h[got], second[got], overall[got])]
+        sent = [(b, planes(k), planes(k2, SECOND_BYTES), planes(v.view(np.uint64))) for b, k, k2, v in _parts(block[got].astype(np.uint64), n_docs, h[got], second[got], overall[got])]
         columns = zip(("hashes", "seconds", "least"), zip(*(s[1:] for s in sent), strict=True) if sent else [()] * 3, strict=True)
         return pa.table({"block": pa.array([s[0] for s in sent], pa.int32()), **{name: pa.array(c, pa.binary()) for name, c in columns}})
 
@@ -161,13 +168,13 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         words, ids, number = _read(docs) if docs.num_rows else (Words([]), [], np.empty(0, np.int64))
         covered = np.zeros(len(words.hash) + 1, np.int32)
         if docs.num_rows and least.num_rows:
-            known, second, by = (np.concatenate([from_planes(b) for b in least.column(c).to_pylist()]) for c in ("hashes", "seconds", "least"))
+            known, second, by = (np.concatenate([from_planes(b, width) for b in least.column(c).to_pylist()]) for c, width in (("hashes", 8), ("seconds", SECOND_BYTES), ("least", 8)))
             order = np.lexsort((second, known))
             known, second, by = known[order], second[order], by[order].view(np.int64)
             at, h = words.windows(WINDOW, seed=2)
             place, there = found_in(h, known)
             at, h, place = at[there], h[there], place[there]
-            other = window_hashes_at(words.hashes[:, 1], at, WINDOW, seed=2)
+            other = _second(words, at)
             first = np.full(len(at), np.iinfo(np.int64).max)
             for step in range(int(np.diff(np.r_[runs(known), len(known)]).max())):  # windows with one hash and several second ones, if any
                 there = np.minimum(place + step, len(known) - 1)
