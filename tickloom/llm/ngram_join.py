@@ -13,7 +13,8 @@ covers six n-grams or so at least. Steps:
    hash blocks, which return the lists of nodes with the same signature; equal lists count once. A signature that many
    documents of a slice have is dealt out to several blocks, slice by slice, and its list comes in as many pieces.
 2. Every list's least node is compared with the other members, a star: first sketches (counts of n-grams in 128 buckets,
-   never further apart than their sets), then the sets of the pairs that pass. Components of the links that hold.
+   never further apart than their sets), then sets: each member's with the least node it passed with, and once these links
+   have made components, those of the other pairs that passed and lie in different ones.
 3. Lists whose members are in several components: every member outside the list's largest component names the nearest
    members of other components, by sketches, and these pairs are compared. Components again, and so on over the lists that
    named any, with more names a member once all that were named have been compared, until no pair is left that sketches
@@ -38,7 +39,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import Scratch, Words, block_count, from_planes, mixed, planes, runs, slices, texts, window_hashes
@@ -53,6 +54,8 @@ SIGNATURE_BYTES = 4
 SLICE, HOT = 2000, 24
 #: Members of a list on one side of a unit of comparisons.
 PIECE = 2048
+#: Pairs of one node that are compared in one block.
+SHARE = 256
 _LOW = np.uint64(2**32 - 1)
 _NO_ID = -(2**63)
 
@@ -158,10 +161,6 @@ def _pairs(key: np.ndarray, other: np.ndarray, *more: tuple[str, pa.Array]) -> p
     return pa.table({"a": pa.array(key, pa.int64()), "b": pa.array(other, pa.int64())} | dict(more))
 
 
-def _block(key: Column, blocks: int) -> Column:
-    return F.pmod(F.xxhash64(key), F.lit(blocks)).cast("int")
-
-
 class Joined:
     """What a self-join of documents has found: rows (doc_id, text_hash, node, n_shingles), one a document, and labels (node, root).
 
@@ -207,14 +206,17 @@ def _joined(docs: DataFrame, n: int, percent: int, id_col: str = "doc_id", text_
     def linked(pairs: DataFrame) -> DataFrame:
         """Those of the pairs (a, b) whose sets link."""
         sets = scratch.stage(_wanted_sets(source, pairs, profiles, n), "sets")
-        links = scratch.stage(_compared(pairs, sets.select("node", F.col("grams").alias("value")), blocks, lambda *p: _linking(*p, percent), "a long, b long"), "links")
+        links = scratch.stage(_compared(pairs, sets.select("node", F.col("grams").alias("value")), blocks, lambda *p: _linking(*p, percent), "a long, b long", "a"), "links")
         scratch.drop(sets)
         return links
 
     stars = lists.select(F.col("center").alias("a"), F.explode("members").alias("b")).where("a <> b").distinct()
     described = profiles.select("node", F.concat(F.encode(F.lpad(F.hex("size"), 16, "0"), "UTF-8"), "sketch").alias("value"))
-    tested = scratch.stage(_compared(stars, described, blocks, lambda *p: _alike(*p, percent), "a long, b long"), "alike")
-    labels = components(linked(tested))
+    tested = scratch.stage(_compared(stars, described, blocks, lambda *p: _alike(*p, percent), "a long, b long", "b"), "alike")
+    labels = components(linked(tested.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")))
+    rest = scratch.stage(_apart(tested, labels), "rest")
+    if not rest.isEmpty():
+        labels = _with_links(labels, linked(rest))
     most = 2
     while True:
         sides = scratch.stage(_sides(lists, labels), "sides")
@@ -225,7 +227,7 @@ def _joined(docs: DataFrame, n: int, percent: int, id_col: str = "doc_id", text_
             links = linked(new)
             tested = tested.union(new)
             if not links.isEmpty():
-                labels = components(labels.select(F.col("node").alias("a"), F.col("root").alias("b")).union(links))
+                labels = _with_links(labels, links)
         elif near.where("a IS NULL AND list IS NULL").isEmpty():
             return Joined(rows, labels, scratch)
         else:
@@ -235,6 +237,19 @@ def _joined(docs: DataFrame, n: int, percent: int, id_col: str = "doc_id", text_
         lists = narrowed
 
 
+def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The pairs (a, b) that lie in different components."""
+    rooted = pairs
+    for side in "ab":
+        rooted = rooted.join(labels.select(F.col("node").alias(side), F.col("root").alias(f"root_{side}")), side, "left")
+    return rooted.where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b")
+
+
+def _with_links(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """The components that labels and further links form together."""
+    return components(labels.select(F.col("node").alias("a"), F.col("root").alias("b")).union(links))
+
+
 def _resolved(docs: DataFrame, lists: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
     """The documents with a node each, and the lists of nodes: where a key stands for two sets, which their second hash tells, each has its own."""
     twice = scratch.stage(docs.groupBy("key").agg(F.min("check").alias("low"), F.max("check").alias("high")).where("low <> high").select("key", "low"), "twice")
@@ -355,24 +370,26 @@ def _hot_lists(signature: np.ndarray, member: np.ndarray) -> tuple[list[str], li
     return [f"hot {s:016x}" for s in signature[start].tolist()], [member[a : a + size] for a, size in zip(start.tolist(), length.tolist(), strict=True)]
 
 
-def _compared(pairs: DataFrame, values: DataFrame, blocks: int, judge: Callable, schema: str) -> DataFrame:
-    """What judge(a, b, values of a, values of b) keeps of the pairs (a, b), given as numbers and bytes. A value is sent once to each block of partners."""
-    asked = pairs.withColumn("block", _block(F.col("b"), blocks))
-    none = lambda kind: F.lit(None).cast(kind)
-    sent = asked.select(F.col("a").alias("node"), "block").distinct().join(values, "node").select("block", F.col("node").alias("a"), none("long").alias("b"), "value")
-    right = sent.unionByName(asked.select("block", "a", "b", none("binary").alias("value")))
-    held = values.join(pairs.select(F.col("b").alias("node")).distinct(), "node", "left_semi")
-    left = held.select(_block(F.col("node"), blocks).alias("own_block"), F.col("node").alias("own"), F.col("value").alias("own_value"))
-
-    def compare(own: pa.Table, asked: pa.Table) -> pa.Table:
-        a, b, value = (asked.column(c).to_pylist() for c in ("a", "b", "value"))
-        mine = dict(zip(own.column("own").to_pylist(), own.column("own_value").to_pylist(), strict=True))
-        theirs = {x: v for x, y, v in zip(a, b, value, strict=True) if y is None}
-        wanted = sorted((x, y) for x, y in zip(a, b, strict=True) if y is not None and x in theirs and y in mine)
-        parts = [judge([x for x, _ in part], [y for _, y in part], [theirs[x] for x, _ in part], [mine[y] for _, y in part]) for part in (wanted[i : i + 20_000] for i in range(0, len(wanted), 20_000))]
+def _compared(pairs: DataFrame, values: DataFrame, blocks: int, judge: Callable, schema: str, around: str) -> DataFrame:
+    """What judge(a, b, values of a, values of b) keeps of the pairs (a, b), given as numbers and bytes.
+
+    Pairs meet in the block of the node named by around, those of a node with more than SHARE pairs in several blocks, and a
+    value is sent once to each block that needs it.
+    """
+    other = "b" if around == "a" else "a"
+    many = pairs.groupBy(around).agg(F.ceil(F.count(F.lit(1)) / SHARE).cast("int").alias("shares")).where("shares > 1")
+    share = F.pmod(F.xxhash64(other), F.coalesce("shares", F.lit(1)))
+    asked = pairs.join(many, around, "left").select("a", "b", F.pmod(F.xxhash64(around, share), F.lit(blocks)).cast("int").alias("block"))
+    nodes = asked.select(F.col("block").alias("held_in"), F.explode(F.array("a", "b")).alias("node")).distinct()
+    sent = values.join(nodes, "node").select("held_in", "node", "value")
+
+    def compare(held: pa.Table, asked: pa.Table) -> pa.Table:
+        value = dict(zip(held.column("node").to_pylist(), held.column("value").to_pylist(), strict=True))
+        wanted = sorted((x, y) for x, y in zip(asked.column("a").to_pylist(), asked.column("b").to_pylist(), strict=True) if x in value and y in value)
+        parts = [judge([x for x, _ in part], [y for _, y in part], [value[x] for x, _ in part], [value[y] for _, y in part]) for part in (wanted[i : i + 20_000] for i in range(0, len(wanted), 20_000))]
         return pa.concat_tables(parts or [_pairs(np.empty(0, np.int64), np.empty(0, np.int64))])
 
-    return left.groupBy("own_block").cogroup(right.groupBy("block")).applyInArrow(compare, schema)
+    return sent.groupBy("held_in").cogroup(asked.groupBy("block")).applyInArrow(compare, schema)
 
 
 def _alike(a: list[int], b: list[int], x: list[bytes], y: list[bytes], percent: int) -> pa.Table:
