@@ -14,7 +14,8 @@ covers six n-grams or so at least. Steps:
    documents of a slice have is dealt out to several blocks, slice by slice, and its list comes in as many pieces.
 2. Every list's least node is compared with the other members, a star: first sketches (counts of n-grams in 128 buckets,
    never further apart than their sets), then sets: each member's with the least node it passed with, and once these links
-   have made components, those of the other pairs that passed and lie in different ones.
+   have made components, those of the other pairs that passed and lie in different ones. Before sets go to a pair, sketches
+   that grow with them do, as 128 buckets tell little of long texts.
 3. Lists whose members are in several components: every member outside the list's largest component names the nearest
    members of other components, by sketches, and these pairs are compared. Components again, and so on over the lists that
    named any, with more names a member once all that were named have been compared, until no pair is left that sketches
@@ -153,6 +154,16 @@ class Sets:
         return np.bincount(bucket, minlength=len(self.rows) * SKETCH).astype(np.uint8).reshape(-1, SKETCH)
 
 
+    def fine_sketches(self) -> list[bytes]:
+        """Each set's size, and counts of its n-grams, modulo 256, in a power of two of buckets that hold two to four each."""
+        out = []
+        for row in self.rows:
+            buckets = 1 << max(5, (len(row) // 4).bit_length())
+            bucket = (mixed(row + np.uint64(5)) & np.uint64(buckets - 1)).astype(np.int64)
+            out.append(len(row).to_bytes(8, "little") + np.bincount(bucket, minlength=buckets).astype(np.uint8).tobytes())
+        return out
+
+
 def _binary(column: pa.ChunkedArray | pa.Array) -> list:
     return column.cast(pa.large_binary()).to_pylist()
 
@@ -206,8 +217,9 @@ def _joined(docs: DataFrame, n: int, percent: int, id_col: str = "doc_id", text_
     def linked(pairs: DataFrame) -> DataFrame:
         """Those of the pairs (a, b) whose sets link."""
         sets = scratch.stage(_wanted_sets(source, pairs, profiles, n), "sets")
-        links = scratch.stage(_compared(pairs, sets.select("node", F.col("grams").alias("value")), blocks, lambda *p: _linking(*p, percent), "a long, b long", "a"), "links")
-        scratch.drop(sets)
+        fine = scratch.stage(_compared(pairs, sets.select("node", F.col("fine").alias("value")), blocks, lambda *p: _finely_alike(*p, percent), "a long, b long", "a"), "fine")
+        links = scratch.stage(_compared(fine, sets.select("node", F.col("grams").alias("value")), blocks, lambda *p: _linking(*p, percent), "a long, b long", "a"), "links")
+        scratch.drop(sets, fine)
         return links
 
     stars = lists.select(F.col("center").alias("a"), F.explode("members").alias("b")).where("a <> b").distinct()
@@ -400,6 +412,18 @@ def _alike(a: list[int], b: list[int], x: list[bytes], y: list[bytes], percent:
     return _pairs(np.array(a, np.int64)[may], np.array(b, np.int64)[may])
 
 
+def _finely_alike(a: list[int], b: list[int], x: list[bytes], y: list[bytes], percent: int) -> pa.Table:
+    """Pairs that fine sketches do not rule out. The longer of two is folded to the other's length."""
+    may = np.zeros(len(a), bool)
+    for i, sides in enumerate(zip(x, y, strict=True)):
+        size_x, size_y = (int.from_bytes(v[:8], "little") for v in sides)
+        counts = [np.frombuffer(v, np.uint8, offset=8) for v in sides]
+        least = min(map(len, counts))
+        apart = _apart_at_least(*(c.reshape(-1, least).sum(axis=0, dtype=np.uint8)[None] for c in counts))[0]
+        may[i] = _may_link(apart, size_x, size_y, percent)
+    return _pairs(np.array(a, np.int64)[may], np.array(b, np.int64)[may])
+
+
 def _linking(a: list[int], b: list[int], x: list[bytes], y: list[bytes], percent: int) -> pa.Table:
     """Pairs whose sets link."""
     holds, last, grams_a = np.zeros(len(a), bool), None, None
@@ -431,7 +455,7 @@ def _sizes_allow(size_x: np.ndarray, size_y: np.ndarray, percent: int) -> np.nda
 
 
 def _wanted_sets(source: DataFrame, pairs: DataFrame, profiles: DataFrame, n: int) -> DataFrame:
-    """(node, grams) of the pairs' nodes; each is built from one document, which its id and its text's hash name."""
+    """(node, grams, fine sketch) of the pairs' nodes; each is built from one document, which its id and its text's hash name."""
     nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     wanted = profiles.join(nodes, "node", "left_semi").select("node", "holder", "holder_text")
 
@@ -440,10 +464,10 @@ def _wanted_sets(source: DataFrame, pairs: DataFrame, profiles: DataFrame, n: in
             for lo in range(0, batch.num_rows, SLICE):
                 part = batch.slice(lo, SLICE)
                 sets = Sets(_binary(part.column("text")), n)
-                yield pa.RecordBatch.from_arrays([part.column("node"), pa.array([planes(row) for row in sets.rows], pa.binary())], names=["node", "grams"])
+                yield pa.RecordBatch.from_arrays([part.column("node"), pa.array([planes(row) for row in sets.rows], pa.binary()), pa.array(sets.fine_sketches(), pa.binary())], names=["node", "grams", "fine"])
 
     held = source.join(wanted, source.doc_id.eqNullSafe(wanted.holder) & (source.text_hash == wanted.holder_text))
-    return held.select("node", "text").mapInArrow(build, "node long, grams binary")
+    return held.select("node", "text").mapInArrow(build, "node long, grams binary, fine binary")
 
 
 def _sides(lists: DataFrame, labels: DataFrame) -> DataFrame:
