@@ -12,14 +12,13 @@ covers six n-grams or so at least. Steps:
 1. Each document's set is built once. Equal sets are one node and from here on count as one. Signatures go, with nodes, to
    hash blocks, which return the lists of nodes with the same signature; equal lists count once. A signature that many
    documents of a slice have is dealt out to several blocks, slice by slice, and its list comes in as many pieces.
-2. Every list's least node is compared with the other members, a star: first sketches (counts of n-grams in 128 buckets,
-   never further apart than their sets), then sets: each member's with the least node it passed with, and once these links
-   have made components, those of the other pairs that passed and lie in different ones. Before sets go to a pair, sketches
-   that grow with them do, as 128 buckets tell little of long texts.
+2. Every list's least node is compared with the other members, a star: first sketches (counts of n-grams in buckets, 128 or
+   over a quarter of the set's size, never further apart than their sets), then sets: each member's with the least node it
+   passed with, and once these links have made components, those of the other pairs that passed and lie in different ones.
 3. Lists whose members are in several components: every member outside the list's largest component names the nearest
    members of other components, by sketches, and these pairs are compared. Components again, and so on over the lists that
    named any, with more names a member once all that were named have been compared, until no pair is left that sketches
-   allow and components separate.
+   allow and components separate. Lists with the same least node go to one block, which gets each sketch once.
 
 Pairs inside a component need no comparison, as they cannot change the groups; every comparison that could join two
 components is made, so the groups are exact. A list with a third of all documents costs one comparison a member, plus
@@ -40,7 +39,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import Scratch, Words, block_count, from_planes, mixed, planes, runs, slices, texts, window_hashes
@@ -48,6 +47,7 @@ from .components import components
 
 #: Parts in which linked sets agree, where k is at least LARGE_K; below, one.
 SPARE, LARGE_K = 3, 24
+#: Buckets of a sketch at least.
 SKETCH = 128
 #: Bytes of a signature that are sent to its block, which is chosen by the others.
 SIGNATURE_BYTES = 4
@@ -55,6 +55,8 @@ SIGNATURE_BYTES = 4
 SLICE, HOT = 2000, 24
 #: Members of a list on one side of a unit of comparisons.
 PIECE = 2048
+#: Members of lists with one least node that go to one block, and pairs looked at in one go there.
+LOAD, PAIRS = 1 << 17, 1 << 18
 #: Pairs of one node that are compared in one block.
 SHARE = 256
 _LOW = np.uint64(2**32 - 1)
@@ -148,20 +150,50 @@ class Sets:
             found.append(signature[stays])
         return np.concatenate(owners), np.concatenate(found)
 
-    def sketches(self) -> np.ndarray:
-        """Counts of each set's n-grams in SKETCH buckets, modulo 256."""
-        bucket = self.text * SKETCH + (mixed(self.gram + np.uint64(3)) % np.uint64(SKETCH)).astype(np.int64)
-        return np.bincount(bucket, minlength=len(self.rows) * SKETCH).astype(np.uint8).reshape(-1, SKETCH)
+    def sketches(self) -> list[bytes]:
+        """Counts of each set's n-grams in its buckets, modulo 256."""
+        width = buckets(self.size)
+        end = np.cumsum(width)
+        bucket = (end - width)[self.text] + (mixed(self.gram + np.uint64(3)) & (width - 1).astype(np.uint64)[self.text]).astype(np.int64)
+        counts = np.bincount(bucket, minlength=int(width.sum())).astype(np.uint8).tobytes()
+        return [counts[hi - n : hi] for n, hi in zip(width.tolist(), end.tolist(), strict=True)]
 
 
-    def fine_sketches(self) -> list[bytes]:
-        """Each set's size, and counts of its n-grams, modulo 256, in a power of two of buckets that hold two to four each."""
-        out = []
-        for row in self.rows:
-            buckets = 1 << max(5, (len(row) // 4).bit_length())
-            bucket = (mixed(row + np.uint64(5)) & np.uint64(buckets - 1)).astype(np.int64)
-            out.append(len(row).to_bytes(8, "little") + np.bincount(bucket, minlength=buckets).astype(np.uint8).tobytes())
-        return out
+def buckets(size: np.ndarray) -> np.ndarray:
+    """Buckets in the sketches of sets of these sizes: the least power of two over a quarter of the size, SKETCH at least.
+
+    So many tell sets apart that share well under the bound; a fixed number would tell nothing of long texts.
+    """
+    return np.maximum(SKETCH, 1 << np.frexp(size // 4)[1].astype(np.int64))
+
+
+class Sketched:
+    """Sizes and sketches of nodes, which are named by their places here."""
+
+    def __init__(self, size: np.ndarray, sketches: list[bytes]):
+        self.size, self.width, self.tables = size, buckets(size), {}
+        w = int(self.width.max(initial=SKETCH))
+        held, table = np.empty(0, np.int64), np.empty((0, 2 * w), np.uint8)
+        while w >= SKETCH:  # wider sketches are folded, as a bucket is a hash's lowest bits
+            own = np.flatnonzero(self.width == w)
+            fresh = np.frombuffer(b"".join([sketches[i] for i in own.tolist()]), np.uint8).reshape(-1, w)
+            held, table = np.concatenate((held, own)), np.concatenate((table.reshape(len(held), 2, w).sum(axis=1, dtype=np.uint8), fresh))
+            row = np.zeros(len(size), np.int64)
+            row[held] = np.arange(len(held))
+            self.tables[w] = row, table
+            w //= 2
+
+    def may_link(self, p: np.ndarray, q: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+        """Whether sizes and sketches allow a link of each pair, and what its symmetric difference is at least."""
+        may, apart = _sizes_allow(self.size[p], self.size[q], percent), np.zeros(len(p), np.int64)
+        width = np.minimum(self.width[p], self.width[q])
+        for w, (row, table) in sorted(self.tables.items()):
+            at = np.flatnonzero(may & ((width == w) | (w == SKETCH)))
+            for part in np.array_split(at, len(at) * w // (1 << 22) + 1):
+                x, y = p[part], q[part]
+                apart[part] = _apart_at_least(table[row[x]], table[row[y]])
+                may[part] = (100 + percent) * apart[part] <= (100 - percent) * (self.size[x] + self.size[y])
+        return may, apart
 
 
 def _binary(column: pa.ChunkedArray | pa.Array) -> list:
@@ -217,9 +249,8 @@ def _joined(docs: DataFrame, n: int, percent: int, id_col: str = "doc_id", text_
     def linked(pairs: DataFrame) -> DataFrame:
         """Those of the pairs (a, b) whose sets link."""
         sets = scratch.stage(_wanted_sets(source, pairs, profiles, n), "sets")
-        fine = scratch.stage(_compared(pairs, sets.select("node", F.col("fine").alias("value")), blocks, lambda *p: _finely_alike(*p, percent), "a long, b long", "a"), "fine")
-        links = scratch.stage(_compared(fine, sets.select("node", F.col("grams").alias("value")), blocks, lambda *p: _linking(*p, percent), "a long, b long", "a"), "links")
-        scratch.drop(sets, fine)
+        links = scratch.stage(_compared(pairs, sets.select("node", F.col("grams").alias("value")), blocks, lambda *p: _linking(*p, percent), "a long, b long", "a"), "links")
+        scratch.drop(sets)
         return links
 
     stars = lists.select(F.col("center").alias("a"), F.explode("members").alias("b")).where("a <> b").distinct()
@@ -231,8 +262,8 @@ def _joined(docs: DataFrame, n: int, percent: int, id_col: str = "doc_id", text_
         labels = _with_links(labels, linked(rest))
     most = 2
     while True:
-        sides = scratch.stage(_sides(lists, labels), "sides")
-        near = scratch.stage(_nearest(sides, profiles, percent, most, blocks), "near")
+        sides = scratch.stage(_sides(lists, labels, blocks), "sides")
+        near = scratch.stage(_nearest(sides, profiles, percent, most), "near")
         scratch.drop(sides)
         new = scratch.stage(near.where("a IS NOT NULL").select("a", "b").distinct().join(tested, ["a", "b"], "left_anti"), "new")
         if not new.isEmpty():
@@ -244,7 +275,7 @@ def _joined(docs: DataFrame, n: int, percent: int, id_col: str = "doc_id", text_
             return Joined(rows, labels, scratch)
         else:
             most *= 8
-        narrowed = scratch.stage(lists.join(near.where("list IS NOT NULL").select("list").distinct(), "list", "left_semi"), "lists")  # components only grow, so others stay without such pairs
+        narrowed = scratch.stage(lists.join(near.where("list IS NOT NULL").select(F.col("list").alias("active")).distinct(), F.xxhash64("list") == F.col("active"), "left_semi"), "lists")  # components only grow, so others stay without such pairs
         scratch.drop(lists, near)
         lists = narrowed
 
@@ -287,7 +318,7 @@ def _grouped(source: DataFrame, n: int, percent: int, blocks: int) -> DataFrame:
                 sets = Sets(_binary(part.column("text")), n)
                 ids, hashes = (part.column(c).fill_null(_NO_ID).to_numpy(zero_copy_only=False).view(np.uint64) for c in ("doc_id", "text_hash"))
                 none = [None] * 7
-                out = [(turn % blocks, "doc", planes(ids), planes(hashes), planes(sets.key.view(np.uint64)), planes(sets.check.view(np.uint64)), planes(sets.size.view(np.uint64), 4), sets.sketches().tobytes(), None)]
+                out = [(turn % blocks, "doc", planes(ids), planes(hashes), planes(sets.key.view(np.uint64)), planes(sets.check.view(np.uint64)), planes(sets.size.view(np.uint64), 4), b"".join(sets.sketches()), None)]
                 distinct = np.zeros(part.num_rows, bool)
                 distinct[np.unique(np.column_stack((sets.key, sets.check)), axis=0, return_index=True)[1]] = True
                 owner, signature = sets.signatures(percent)
@@ -325,7 +356,9 @@ def _grouped(source: DataFrame, n: int, percent: int, blocks: int) -> DataFrame:
 
         docs = np.flatnonzero(what == "doc").tolist()
         ids, hashes, keys, checks, sizes = (read(c, docs, w).view(np.int64) for c, w in (("ids", 8), ("hashes", 8), ("keys", 8), ("checks", 8), ("sizes", 4)))
-        sketches = [b[i : i + SKETCH] for k in docs for b in [cells["sketches"][k]] for i in range(0, len(b), SKETCH)]
+        width = buckets(sizes)
+        end, together = np.cumsum(width), b"".join([cells["sketches"][i] for i in docs])
+        sketches = [together[hi - n : hi] for n, hi in zip(width.tolist(), end.tolist(), strict=True)]
         marked = np.unique(read("signatures", np.flatnonzero(what == "mark").tolist()))
         names, members = (x + y for x, y in zip(_lists(*signed("signature", SIGNATURE_BYTES), marked), _hot_lists(*signed("hot", 8)), strict=True))
         no_doc, no_list = len(members), len(ids)
@@ -406,22 +439,12 @@ def _compared(pairs: DataFrame, values: DataFrame, blocks: int, judge: Callable,
 
 def _alike(a: list[int], b: list[int], x: list[bytes], y: list[bytes], percent: int) -> pa.Table:
     """Pairs that sizes and sketches, in this order in the values, do not rule out."""
-    size_x, size_y = (np.array([int(v[:16], 16) for v in side], np.int64) for side in (x, y))
-    sketch_x, sketch_y = (np.frombuffer(b"".join(v[16:] for v in side), np.uint8).reshape(-1, SKETCH) for side in (x, y))
-    may = _may_link(_apart_at_least(sketch_x, sketch_y), size_x, size_y, percent)
-    return _pairs(np.array(a, np.int64)[may], np.array(b, np.int64)[may])
-
-
-def _finely_alike(a: list[int], b: list[int], x: list[bytes], y: list[bytes], percent: int) -> pa.Table:
-    """Pairs that fine sketches do not rule out. The longer of two is folded to the other's length."""
-    may = np.zeros(len(a), bool)
-    for i, sides in enumerate(zip(x, y, strict=True)):
-        size_x, size_y = (int.from_bytes(v[:8], "little") for v in sides)
-        counts = [np.frombuffer(v, np.uint8, offset=8) for v in sides]
-        least = min(map(len, counts))
-        apart = _apart_at_least(*(c.reshape(-1, least).sum(axis=0, dtype=np.uint8)[None] for c in counts))[0]
-        may[i] = _may_link(apart, size_x, size_y, percent)
-    return _pairs(np.array(a, np.int64)[may], np.array(b, np.int64)[may])
+    value = dict(zip(a, x, strict=True)) | dict(zip(b, y, strict=True))
+    nodes = np.array(sorted(value), np.int64)
+    known = Sketched(np.array([int(value[n][:16], 16) for n in nodes.tolist()], np.int64), [value[n][16:] for n in nodes.tolist()])
+    a, b = np.array(a, np.int64), np.array(b, np.int64)
+    may, _ = known.may_link(np.searchsorted(nodes, a), np.searchsorted(nodes, b), percent)
+    return _pairs(a[may], b[may])
 
 
 def _linking(a: list[int], b: list[int], x: list[bytes], y: list[bytes], percent: int) -> pa.Table:
@@ -446,16 +469,12 @@ def _apart_at_least(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return np.minimum(apart, 256 - apart).sum(axis=1).astype(np.int64)
 
 
-def _may_link(apart: np.ndarray, size_x: np.ndarray, size_y: np.ndarray, percent: int) -> np.ndarray:
-    return _sizes_allow(size_x, size_y, percent) & ((100 + percent) * apart <= (100 - percent) * (size_x + size_y))
-
-
 def _sizes_allow(size_x: np.ndarray, size_y: np.ndarray, percent: int) -> np.ndarray:
     return 100 * np.minimum(size_x, size_y) >= percent * np.maximum(size_x, size_y)
 
 
 def _wanted_sets(source: DataFrame, pairs: DataFrame, profiles: DataFrame, n: int) -> DataFrame:
-    """(node, grams, fine sketch) of the pairs' nodes; each is built from one document, which its id and its text's hash name."""
+    """(node, grams) of the pairs' nodes; each is built from one document, which its id and its text's hash name."""
     nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     wanted = profiles.join(nodes, "node", "left_semi").select("node", "holder", "holder_text")
 
@@ -464,70 +483,91 @@ def _wanted_sets(source: DataFrame, pairs: DataFrame, profiles: DataFrame, n: in
             for lo in range(0, batch.num_rows, SLICE):
                 part = batch.slice(lo, SLICE)
                 sets = Sets(_binary(part.column("text")), n)
-                yield pa.RecordBatch.from_arrays([part.column("node"), pa.array([planes(row) for row in sets.rows], pa.binary()), pa.array(sets.fine_sketches(), pa.binary())], names=["node", "grams", "fine"])
+                yield pa.RecordBatch.from_arrays([part.column("node"), pa.array([planes(row) for row in sets.rows], pa.binary())], names=["node", "grams"])
 
     held = source.join(wanted, source.doc_id.eqNullSafe(wanted.holder) & (source.text_hash == wanted.holder_text))
-    return held.select("node", "text").mapInArrow(build, "node long, grams binary, fine binary")
+    return held.select("node", "text").mapInArrow(build, "node long, grams binary")
 
 
-def _sides(lists: DataFrame, labels: DataFrame) -> DataFrame:
-    """Members (list, node, root, unit, is_left) of the lists that hold several components; left: those outside the list's largest one.
+def _sides(lists: DataFrame, labels: DataFrame, blocks: int) -> DataFrame:
+    """Members (block, unit, list, node, root, is_left) of the lists that hold several components; left: those outside the list's largest one.
 
-    Lists are compared in units of some PIECE members a side, dealt by a hash of the member; unit names them.
+    Lists are compared in units of some PIECE members a side, dealt by a hash of the member; unit names them. Units whose
+    lists have the same least node share blocks, one for each LOAD members. A list is told by a hash of its name.
     """
-    member = lists.where((F.size("members") > 2) | F.col("list").like("hot %") | F.col("list").like("key %")).select("list", F.explode("members").alias("node"))
+    member = lists.where((F.size("members") > 2) | F.col("list").like("hot %") | F.col("list").like("key %")).select(F.xxhash64("list").alias("list"), F.explode("members").alias("node"))
     rooted = member.join(labels, "node", "left").select("list", "node", F.coalesce("root", "node").alias("root"))
-    by_root = rooted.groupBy("list", "root").agg(F.count(F.lit(1)).alias("n"))
-    mixed_lists = by_root.groupBy("list").agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.max("n").alias("largest"), F.sum("n").alias("total")).where("total > largest")
+    by_root = rooted.groupBy("list", "root").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("low"))
+    mixed_lists = by_root.groupBy("list").agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.max("n").alias("largest"), F.sum("n").alias("total"), F.min("low").alias("low")).where("total > largest")
+    shares = F.ceil(F.sum("total").over(Window.partitionBy("low")) / LOAD)
+    mixed_lists = mixed_lists.select("list", "main", "largest", "total", F.xxhash64("low", F.pmod("list", shares)).alias("deal"))
     outside = F.col("root") != F.col("main")
     count = lambda c: F.greatest(F.lit(1), F.ceil(c / PIECE)).cast("int")
     place = lambda pieces: F.pmod(F.xxhash64("node"), pieces).cast("int")
-    sided = rooted.join(mixed_lists, "list").select("list", "node", "root", outside.alias("outside"), count(F.col("total") - F.col("largest")).alias("lefts"), count(F.col("total")).alias("rights"))
-    left = sided.where("outside").select("list", "node", "root", place(F.col("lefts")).alias("i"), F.explode(F.sequence(F.lit(0), F.col("rights") - 1)).alias("j"), F.lit(True).alias("is_left"))
-    right = sided.select("list", "node", "root", F.explode(F.sequence(F.lit(0), F.col("lefts") - 1)).alias("i"), place(F.col("rights")).alias("j"), F.lit(False).alias("is_left"))
-    return left.union(right).select("list", "node", "root", F.xxhash64("list", "i", "j").alias("unit"), "is_left")
+    sided = rooted.join(mixed_lists, "list").select("list", "deal", "node", "root", outside.alias("outside"), count(F.col("total") - F.col("largest")).alias("lefts"), count(F.col("total")).alias("rights"))
+    left = sided.where("outside").select("list", "deal", "node", "root", place(F.col("lefts")).alias("i"), F.explode(F.sequence(F.lit(0), F.col("rights") - 1)).alias("j"), F.lit(True).alias("is_left"))
+    right = sided.select("list", "deal", "node", "root", F.explode(F.sequence(F.lit(0), F.col("lefts") - 1)).alias("i"), place(F.col("rights")).alias("j"), F.lit(False).alias("is_left"))
+    block = F.pmod(F.xxhash64("deal", "i", "j"), F.lit(4 * blocks)).cast("int")
+    return left.union(right).select(block.alias("block"), F.xxhash64("list", "i", "j").alias("unit"), "list", "node", "root", "is_left")
 
 
-def _nearest(sides: DataFrame, profiles: DataFrame, percent: int, most: int, blocks: int) -> DataFrame:
+def _nearest(sides: DataFrame, profiles: DataFrame, percent: int, most: int) -> DataFrame:
     """Pairs (a, b), a < b, of members of one list whose components differ and whose sizes and sketches do not rule out a link.
 
-    A left member names the `most` nearest of them. Rows without a and b: a list that has such pairs, or, with no list
-    either, that some member has more of them.
+    A left member names the `most` nearest of those it is held against in one go. Rows without a and b: a list that has such
+    pairs, or, with no list either, that some member has more of them.
     """
-    rows = sides.join(profiles.select("node", "size", "sketch"), "node")
-    units = rows.select(F.pmod(F.col("unit"), F.lit(4 * blocks)).cast("int").alias("block"), "unit", "list", "node", "root", "is_left", "size", "sketch")
-
-    def name(table: pa.Table) -> pa.Table:
-        unit, node, root, size = (table.column(c).to_numpy() for c in ("unit", "node", "root", "size"))
-        is_left = np.asarray(table.column("is_left"))
-        sketch = np.frombuffer(b"".join(table.column("sketch").to_pylist()), np.uint8).reshape(-1, SKETCH)
+    wanted = sides.select(F.col("block").alias("held_in"), F.col("node").alias("wanted")).distinct()
+    held = wanted.join(profiles, F.col("wanted") == profiles.node).select("held_in", profiles.node, "size", "sketch")
+
+    def name(held: pa.Table, sides: pa.Table) -> pa.Table:
+        nodes = held.column("node").to_numpy()
+        by_node = np.argsort(nodes)
+        known = Sketched(held.column("size").to_numpy()[by_node], held.column("sketch").take(pa.array(by_node)).to_pylist())
+        nodes = nodes[by_node]
+        unit, name, node, root = (sides.column(c).to_numpy() for c in ("unit", "list", "node", "root"))
+        is_left = np.asarray(sides.column("is_left"))
+        at_node = np.searchsorted(nodes, node)
         order = np.lexsort((node, is_left, unit))
-        found, more, active = [(np.empty(0, np.int64), np.empty(0, np.int64))], False, set()
-        for lo, hi in slices(unit[order]):
-            at = order[lo:hi]
+        found, active, more, waiting, n_waiting = [np.empty((0, 2), np.int64)], [np.empty(0, np.int64)], False, [], 0
+
+        def look() -> bool:
+            """Take up the pairs that wait; whether some member has more than it names."""
+            x, y, lists = (np.concatenate(c) for c in zip(*waiting, strict=True))
+            pairs, again = np.unique(x * len(nodes) + y, return_inverse=True)
+            p, q = np.divmod(pairs, len(nodes))
+            may, apart = known.may_link(p, q, percent)
+            active.append(np.unique(lists[may[again]]))
+            p, q, apart = p[may], q[may], apart[may]
+            by = np.lexsort((q, apart, p))
+            p, q = p[by], q[by]
+            first = runs(p)
+            rank = np.arange(len(p)) - np.repeat(first, np.diff(np.r_[first, len(p)]))
+            named = np.sort(np.column_stack((p, q))[rank < most], axis=1)
+            found.append(np.unique(nodes[named].reshape(-1, 2), axis=0))
+            return bool((rank >= most).any())
+
+        spans = slices(unit[order])
+        lowest = np.minimum.reduceat(node[order], [lo for lo, _ in spans]) if spans else ()
+        for k in np.argsort(lowest, kind="stable").tolist():  # lists with the same least node have many pairs in common
+            at = order[slice(*spans[k])]
             x, y = at[is_left[at]], at[~is_left[at]]
             for i in range(0, len(x), step := max(1, 65_536 // len(y))) if len(x) and len(y) else ():
                 u = x[i : i + step]
-                r, c = np.nonzero((root[u][:, None] != root[y]) & _sizes_allow(size[u][:, None], size[y], percent))
-                p, q = u[r], y[c]
-                apart = _apart_at_least(sketch[p], sketch[q])
-                may = _may_link(apart, size[p], size[q], percent)
-                p, q, apart = p[may], q[may], apart[may]
-                if len(p):
-                    active.add(table.column("list")[int(at[0])].as_py())
-                by = np.lexsort((node[q], apart, p))
-                p, q = p[by], q[by]
-                first = runs(p)
-                rank = np.arange(len(p)) - np.repeat(first, np.diff(np.r_[first, len(p)]))
-                more |= bool((rank >= most).any())
-                found.append((node[p[rank < most]], node[q[rank < most]]))
-        a, b = (np.concatenate(side) for side in zip(*found, strict=True))
-        pairs = np.unique(np.column_stack((np.minimum(a, b), np.maximum(a, b))), axis=0)
-        said = [*sorted(active), *[None] * more]
+                r, c = np.nonzero((root[u][:, None] != root[y]) & _sizes_allow(known.size[at_node[u]][:, None], known.size[at_node[y]], percent))
+                waiting.append((at_node[u[r]], at_node[y[c]], name[u[r]]))
+                n_waiting += len(r)
+                if n_waiting >= PAIRS:
+                    more |= look()
+                    waiting, n_waiting = [], 0
+        if n_waiting:
+            more |= look()
+        pairs = np.unique(np.concatenate(found), axis=0)
+        said = [*np.unique(np.concatenate(active)).tolist(), *[None] * more]
         sides_ = (pa.concat_arrays([pa.array(pairs[:, i], pa.int64()), pa.nulls(len(said), pa.int64())]) for i in (0, 1))
-        return pa.table([*sides_, pa.array([None] * len(pairs) + said, pa.string())], names=["a", "b", "list"])
+        return pa.table([*sides_, pa.array([None] * len(pairs) + said, pa.int64())], names=["a", "b", "list"])
 
-    return units.groupBy("block").applyInArrow(name, "a long, b long, list string")
+    return held.groupBy("held_in").cogroup(sides.groupBy("block")).applyInArrow(name, "a long, b long, list long")
 
 
 def keep_one_of_each(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
