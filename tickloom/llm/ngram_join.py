@@ -17,7 +17,7 @@ covers six n-grams or so at least. Steps:
    passed with, and once these links have made components, those of the other pairs that passed and lie in different ones.
 3. Lists whose members are in several components: every member outside the list's largest component names the nearest
    members of other components, by sketches, and these pairs are compared. Components again, and so on over the lists that
-   named any, with more names a member once all that were named have been compared, until no pair is left that sketches
+   named any, with more names a member once few of those named link, until no pair is left that sketches
    allow and components separate. Lists with the same least node go to one block, which gets each sketch once.
 
 Pairs inside a component need no comparison, as they cannot change the groups; every comparison that could join two
@@ -266,14 +266,16 @@ def _joined(docs: DataFrame, n: int, percent: int, id_col: str = "doc_id", text_
         near = scratch.stage(_nearest(sides, profiles, percent, most), "near")
         scratch.drop(sides)
         new = scratch.stage(near.where("a IS NOT NULL").select("a", "b").distinct().join(tested, ["a", "b"], "left_anti"), "new")
-        if not new.isEmpty():
+        n_new = new.count()
+        if n_new:
             links = linked(new)
             tested = tested.union(new)
-            if not links.isEmpty():
+            n_links = links.count()
+            if n_links:
                 labels = _with_links(labels, links)
         elif near.where("a IS NULL AND list IS NULL").isEmpty():
             return Joined(rows, labels, scratch)
-        else:
+        if not n_new or 2 * n_links < n_new:  # most of what is left does not link, so it takes fewer rounds to look at more of it
             most *= 8
         narrowed = scratch.stage(lists.join(near.where("list IS NOT NULL").select(F.col("list").alias("active")).distinct(), F.xxhash64("list") == F.col("active"), "left_semi"), "lists")  # components only grow, so others stay without such pairs
         scratch.drop(lists, near)
