@@ -9,6 +9,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -95,6 +96,11 @@ def texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
 
+def utf8(column: pa.ChunkedArray | pa.Array) -> list[bytes | None]:
+    """The cells of a column of strings or bytes, as bytes."""
+    return column.cast(pa.large_binary()).to_pylist()
+
+
 class WordTable(dict):
     """word (bytes) -> its row in the array `hashes`, whose two columns are the halves of a 128-bit hash; filled on first sight."""
 

@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import chat_format
+from .alignment import align
 from .decontamination import find_leaks
+from .divergence import audit_sources
 from .exact_dedup import exact_dedup
 from .ngram_join import join_groups
 from .packing import pack
@@ -69,7 +71,15 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.digests(chat_format.read_back(chat_format.format_conversations(messages)))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_packing, op2_ngram_join, op3_toxicity, op4_secrets, op5_warc, op6_exact_dedup, op7_decontamination, op8_substring_dedup, op9_quality, op10_chat_format)}
+def op11_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit_sources(_table(spark, sf_dir, "documents"))
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"), public_tokenizers.PATTERN)
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_packing, op2_ngram_join, op3_toxicity, op4_secrets, op5_warc, op6_exact_dedup, op7_decontamination, op8_substring_dedup, op9_quality, op10_chat_format, op11_source_audit, op12_token_alignment)}
 ORACLES: dict[str, str] = {}
 
 ORACLES["op6_exact_dedup"] = r'''
@@ -130,3 +140,23 @@ l AS (SELECT a, b FROM i JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE
 r(doc_id, root) AS (SELECT doc_id, doc_id FROM d UNION SELECT l.b, r.root FROM r JOIN l ON l.a = r.doc_id)
 SELECT d.doc_id, coalesce(any_value(n), 0) AS n_shingles, min(root) AS component_id FROM d JOIN r USING (doc_id) LEFT JOIN n USING (doc_id) GROUP BY d.doc_id
 '''
+
+ORACLES["op11_source_audit"] = r'''
+WITH d AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+           regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS ts FROM documents),
+w AS (SELECT r, lang, source, unnest(ts) AS term FROM d),
+kept AS (SELECT lang, term FROM w GROUP BY lang, term HAVING count(DISTINCT r) >= 30),
+c AS (SELECT lang, source, term, count(*) AS n FROM w SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+g AS (SELECT DISTINCT lang, source FROM d),
+v AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+cells AS (SELECT g.lang, g.source, k.term, coalesce(n, 0) AS n FROM g JOIN kept k ON k.lang = g.lang LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+p AS (SELECT lang, source, term, n, 1 + (1000000000 * (n + 5)) // (sum(n) OVER (PARTITION BY lang, source) + 5 * v) AS p FROM cells JOIN v USING (lang)),
+l AS (SELECT lang, term, sum(n) AS n FROM c GROUP BY ALL),
+q AS (SELECT lang, term, 1 + (1000000000 * (n + 5)) // (sum(n) OVER (PARTITION BY lang) + 5 * v) AS q FROM l JOIN v USING (lang)),
+s AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+f AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+      FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+      UNION ALL SELECT lang, source, 'term', term, p - q FROM p JOIN q USING (lang, term) WHERE n > 0 AND p > q)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INT) AS rank
+FROM f QUALIFY part = 'pair' OR rank <= 50
+'''
