@@ -16,9 +16,10 @@ covers six n-grams or so at least. Steps:
    over a quarter of the set's size, never further apart than their sets), then sets: each member's with the least node it
    passed with, and once these links have made components, those of the other pairs that passed and lie in different ones.
 3. Lists whose members are in several components: every member outside the list's largest component names the nearest
-   members of other components, by sketches, and these pairs are compared. Components again, and so on over the lists that
-   named any, with more names a member once few of those named link, until no pair is left that sketches
-   allow and components separate. Lists with the same least node go to one block, which gets each sketch once.
+   members of other components, by sketches, and these pairs are compared. Components again.
+4. Where some member had further such pairs, the sets of all members that had any go to blocks of lists with the same least
+   node, which compare every pair that sketches allow and components still separate, a pair once a block whatever lists it
+   is in, and return only links that join two components: no more rows than members. Then no such pair is left.
 
 Pairs inside a component need no comparison, as they cannot change the groups; every comparison that could join two
 components is made, so the groups are exact. A list with a third of all documents costs one comparison a member, plus
@@ -57,6 +58,10 @@ SLICE, HOT = 2000, 24
 PIECE = 2048
 #: Members of lists with one least node that go to one block, and pairs looked at in one go there.
 LOAD, PAIRS = 1 << 17, 1 << 18
+#: Cells of a table of members that is held at a time, and bytes of sets in a share.
+CELLS, SET_BYTES = 1 << 25, 64 << 20
+#: Nearest members that a member names.
+NAMES = 2
 #: Pairs of one node that are compared in one block.
 SHARE = 256
 _LOW = np.uint64(2**32 - 1)
@@ -228,16 +233,20 @@ class Joined:
         return first.select(F.col("f.row.doc_id").alias("doc_id"), F.col("f.row.text_hash").alias("text_hash"), "f.n")
 
 
-def join_groups(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", hash_blocks: int | None = None) -> DataFrame:
+#: What gives the sets' text numbers and signatures; sets that link share one.
+Signer = Callable[[Sets, int], tuple[np.ndarray, np.ndarray]]
+
+
+def join_groups(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", hash_blocks: int | None = None, signer: Signer = Sets.signatures) -> DataFrame:
     """One row a document: doc_id, n_shingles, component_id. See the module's description."""
-    return _joined(docs, n, percent, id_col, text_col, hash_blocks).groups()
+    return _joined(docs, n, percent, id_col, text_col, hash_blocks, signer).groups()
 
 
-def _joined(docs: DataFrame, n: int, percent: int, id_col: str = "doc_id", text_col: str = "text", hash_blocks: int | None = None) -> Joined:
+def _joined(docs: DataFrame, n: int, percent: int, id_col: str = "doc_id", text_col: str = "text", hash_blocks: int | None = None, signer: Signer = Sets.signatures) -> Joined:
     scratch = Scratch(docs.sparkSession, "ngram-join")
     blocks = hash_blocks or block_count(docs)
     source = texts(docs, id_col, text_col).select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
-    found = scratch.stage(_grouped(source, n, percent, blocks), "found")
+    found = scratch.stage(_grouped(source, n, percent, blocks, signer), "found")
     rows, lists = _resolved(found.where("kind = 'doc'"), found.where("kind = 'list'").select("list", "center", "members").dropDuplicates(["list", "members"]), scratch)
     lists = scratch.stage(lists, "lists")
     known = rows.where("n_shingles > 0").groupBy("node").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_hash")).alias("h"), F.first("n_shingles").alias("size"), F.first("sketch").alias("sketch"))
@@ -248,7 +257,7 @@ def _joined(docs: DataFrame, n: int, percent: int, id_col: str = "doc_id", text_
 
     def linked(pairs: DataFrame) -> DataFrame:
         """Those of the pairs (a, b) whose sets link."""
-        sets = scratch.stage(_wanted_sets(source, pairs, profiles, n), "sets")
+        sets = scratch.stage(_wanted_sets(source, pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), profiles, n), "sets")
         links = scratch.stage(_compared(pairs, sets.select("node", F.col("grams").alias("value")), blocks, lambda *p: _linking(*p, percent), "a long, b long", "a"), "links")
         scratch.drop(sets)
         return links
@@ -260,26 +269,22 @@ def _joined(docs: DataFrame, n: int, percent: int, id_col: str = "doc_id", text_
     rest = scratch.stage(_apart(tested, labels), "rest")
     if not rest.isEmpty():
         labels = _with_links(labels, linked(rest))
-    most = 2
-    while True:
-        sides = scratch.stage(_sides(lists, labels, blocks), "sides")
-        near = scratch.stage(_nearest(sides, profiles, percent, most), "near")
-        scratch.drop(sides)
-        new = scratch.stage(near.where("a IS NOT NULL").select("a", "b").distinct().join(tested, ["a", "b"], "left_anti"), "new")
-        n_new = new.count()
-        if n_new:
-            links = linked(new)
-            tested = tested.union(new)
-            n_links = links.count()
-            if n_links:
-                labels = _with_links(labels, links)
-        elif near.where("a IS NULL AND list IS NULL").isEmpty():
-            return Joined(rows, labels, scratch)
-        if not n_new or 2 * n_links < n_new:  # most of what is left does not link, so it takes fewer rounds to look at more of it
-            most *= 8
-        narrowed = scratch.stage(lists.join(near.where("list IS NOT NULL").select(F.col("list").alias("active")).distinct(), F.xxhash64("list") == F.col("active"), "left_semi"), "lists")  # components only grow, so others stay without such pairs
-        scratch.drop(lists, near)
-        lists = narrowed
+    sides = scratch.stage(_sides(_members(lists), labels, LOAD), "sides")
+    near = scratch.stage(_nearest(sides, profiles, percent, NAMES, blocks), "near")
+    new = scratch.stage(near.where("b IS NOT NULL").select("a", "b").distinct().join(tested, ["a", "b"], "left_anti"), "new")
+    if not new.isEmpty():
+        labels = _with_links(labels, linked(new))
+    if near.where("more").isEmpty():
+        return Joined(rows, labels, scratch)
+    scratch.drop(sides)
+    suspects = near.where("b IS NULL").select(F.col("a").alias("node")).distinct()
+    mean = profiles.join(suspects, "node", "left_semi").agg(F.avg("size")).first()[0]
+    load = max(2 * PIECE, SET_BYTES // (8 * int(mean)))
+    sides = scratch.stage(_sides(_members(lists).join(suspects, "node", "left_semi"), labels, load), "sides")
+    sets = scratch.stage(_wanted_sets(source, sides.select("node").distinct(), profiles, n), "sets")
+    links = scratch.stage(_settled(sides, profiles.join(sets, "node"), percent, blocks), "links")
+    scratch.drop(sides, sets)
+    return Joined(rows, _with_links(labels, links), scratch)
 
 
 def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -308,7 +313,7 @@ def _resolved(docs: DataFrame, lists: DataFrame, scratch: Scratch) -> tuple[Data
     return docs, each.union(apart).groupBy("list").agg(F.min("node").alias("center"), F.collect_set("node").alias("members"))
 
 
-def _grouped(source: DataFrame, n: int, percent: int, blocks: int) -> DataFrame:
+def _grouped(source: DataFrame, n: int, percent: int, blocks: int, signer: Signer) -> DataFrame:
     """Rows of kind doc (doc_id, text_hash, key, check, n_shingles, sketch) and of kind list (list, center, members)."""
     sent_as = (("part", pa.int32()), ("what", pa.string()), *((c, pa.binary()) for c in ("ids", "hashes", "keys", "checks", "sizes", "sketches", "signatures")))
 
@@ -323,7 +328,7 @@ def _grouped(source: DataFrame, n: int, percent: int, blocks: int) -> DataFrame:
                 out = [(turn % blocks, "doc", planes(ids), planes(hashes), planes(sets.key.view(np.uint64)), planes(sets.check.view(np.uint64)), planes(sets.size.view(np.uint64), 4), b"".join(sets.sketches()), None)]
                 distinct = np.zeros(part.num_rows, bool)
                 distinct[np.unique(np.column_stack((sets.key, sets.check)), axis=0, return_index=True)[1]] = True
-                owner, signature = sets.signatures(percent)
+                owner, signature = signer(sets, percent)
                 order = np.flatnonzero(distinct[owner])
                 order = order[np.argsort(signature[order], kind="stable")]
                 owner, signature = owner[order], signature[order]
@@ -475,9 +480,8 @@ def _sizes_allow(size_x: np.ndarray, size_y: np.ndarray, percent: int) -> np.nda
     return 100 * np.minimum(size_x, size_y) >= percent * np.maximum(size_x, size_y)
 
 
-def _wanted_sets(source: DataFrame, pairs: DataFrame, profiles: DataFrame, n: int) -> DataFrame:
-    """(node, grams) of the pairs' nodes; each is built from one document, which its id and its text's hash name."""
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+def _wanted_sets(source: DataFrame, nodes: DataFrame, profiles: DataFrame, n: int) -> DataFrame:
+    """(node, grams) of the nodes; each is built from one document, which its id and its text's hash name."""
     wanted = profiles.join(nodes, "node", "left_semi").select("node", "holder", "holder_text")
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -491,17 +495,21 @@ def _wanted_sets(source: DataFrame, pairs: DataFrame, profiles: DataFrame, n: in
     return held.select("node", "text").mapInArrow(build, "node long, grams binary")
 
 
-def _sides(lists: DataFrame, labels: DataFrame, blocks: int) -> DataFrame:
-    """Members (block, unit, list, node, root, is_left) of the lists that hold several components; left: those outside the list's largest one.
+def _members(lists: DataFrame) -> DataFrame:
+    """(list, node) of the lists that may hold a pair not compared yet; a list is told by a hash of its name."""
+    return lists.where((F.size("members") > 2) | F.col("list").like("hot %") | F.col("list").like("key %")).select(F.xxhash64("list").alias("list"), F.explode("members").alias("node"))
+
+
+def _sides(members: DataFrame, labels: DataFrame, load: int) -> DataFrame:
+    """Members (share, unit, node, root, is_left) of the lists that hold several components; left: those outside the list's largest one.
 
     Lists are compared in units of some PIECE members a side, dealt by a hash of the member; unit names them. Units whose
-    lists have the same least node share blocks, one for each LOAD members. A list is told by a hash of its name.
+    lists have the same least node have their share in common, one for each `load` members.
     """
-    member = lists.where((F.size("members") > 2) | F.col("list").like("hot %") | F.col("list").like("key %")).select(F.xxhash64("list").alias("list"), F.explode("members").alias("node"))
-    rooted = member.join(labels, "node", "left").select("list", "node", F.coalesce("root", "node").alias("root"))
+    rooted = members.join(labels, "node", "left").select("list", "node", F.coalesce("root", "node").alias("root"))
     by_root = rooted.groupBy("list", "root").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("low"))
     mixed_lists = by_root.groupBy("list").agg(F.max_by("root", F.struct("n", "root")).alias("main"), F.max("n").alias("largest"), F.sum("n").alias("total"), F.min("low").alias("low")).where("total > largest")
-    shares = F.ceil(F.sum("total").over(Window.partitionBy("low")) / LOAD)
+    shares = F.ceil(F.sum("total").over(Window.partitionBy("low")) / load)
     mixed_lists = mixed_lists.select("list", "main", "largest", "total", F.xxhash64("low", F.pmod("list", shares)).alias("deal"))
     outside = F.col("root") != F.col("main")
     count = lambda c: F.greatest(F.lit(1), F.ceil(c / PIECE)).cast("int")
@@ -509,67 +517,138 @@ def _sides(lists: DataFrame, labels: DataFrame, blocks: int) -> DataFrame:
     sided = rooted.join(mixed_lists, "list").select("list", "deal", "node", "root", outside.alias("outside"), count(F.col("total") - F.col("largest")).alias("lefts"), count(F.col("total")).alias("rights"))
     left = sided.where("outside").select("list", "deal", "node", "root", place(F.col("lefts")).alias("i"), F.explode(F.sequence(F.lit(0), F.col("rights") - 1)).alias("j"), F.lit(True).alias("is_left"))
     right = sided.select("list", "deal", "node", "root", F.explode(F.sequence(F.lit(0), F.col("lefts") - 1)).alias("i"), place(F.col("rights")).alias("j"), F.lit(False).alias("is_left"))
-    block = F.pmod(F.xxhash64("deal", "i", "j"), F.lit(4 * blocks)).cast("int")
-    return left.union(right).select(block.alias("block"), F.xxhash64("list", "i", "j").alias("unit"), "list", "node", "root", "is_left")
+    return left.union(right).select(F.xxhash64("deal", "i", "j").alias("share"), F.xxhash64("list", "i", "j").alias("unit"), "node", "root", "is_left")
+
 
+class Block:
+    """The nodes and sides of a block: `known` has sizes and sketches, `root` each node's component."""
 
-def _nearest(sides: DataFrame, profiles: DataFrame, percent: int, most: int) -> DataFrame:
+    def __init__(self, held: pa.Table, sides: pa.Table, percent: int):
+        nodes = held.column("node").to_numpy()
+        self.by_node, self.percent = np.argsort(nodes), percent
+        self.nodes = nodes[self.by_node]
+        self.known = Sketched(held.column("size").to_numpy()[self.by_node], held.column("sketch").take(pa.array(self.by_node)).to_pylist())
+        share, self.unit, node, root = (sides.column(c).to_numpy() for c in ("share", "unit", "node", "root"))
+        self.is_left, self.at = np.asarray(sides.column("is_left")), np.searchsorted(self.nodes, node)
+        self.root = self.nodes.copy()
+        self.root[self.at] = root
+        self.order = np.lexsort((self.unit, share))
+        self.shares = slices(share[self.order])
+
+    def candidates(self) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Left and right nodes (as places) of the pairs that meet in a unit, are in different components and may link, and what separates them at least.
+
+        A pair comes once a share, however many of its units it meets in: a share's units are laid over each other in a table of
+        left by right nodes, some rows at a time.
+        """
+        for lo, hi in self.shares:
+            rows = self.order[lo:hi]
+            left, right = (np.unique(self.at[rows[self.is_left[rows] == side]]) for side in (True, False))
+            units = [(at[self.is_left[at]], at[~self.is_left[at]]) for at in (rows[a:z] for a, z in slices(self.unit[rows]))]
+            places = [(np.searchsorted(left, self.at[x]), np.searchsorted(right, self.at[y])) for x, y in units if len(x) and len(y)]
+            step = max(1, CELLS // max(1, len(right)))
+            for first in range(0, len(left), step):
+                some = left[first : first + step]
+                meet = np.zeros((len(some), len(right)), bool)
+                for x, y in places:
+                    x = x[(x >= first) & (x < first + step)] - first
+                    if len(x):
+                        meet[np.ix_(x, y)] = True
+                meet &= self.root[some][:, None] != self.root[right]
+                p, q = np.nonzero(meet)
+                for cut in range(0, len(p), PAIRS):
+                    x, y = some[p[cut : cut + PAIRS]], right[q[cut : cut + PAIRS]]
+                    apart_now = self.root[x] != self.root[y]
+                    x, y = x[apart_now], y[apart_now]
+                    may, apart = self.known.may_link(x, y, self.percent)
+                    yield x[may], y[may], apart[may]
+
+
+def _in_blocks(sides: DataFrame, profiles: DataFrame, blocks: int, columns: tuple[str, ...], work: Callable, schema: str) -> DataFrame:
+    """work(what profiles have of a block's nodes, its sides) for each block of shares."""
+    sides = sides.withColumn("block", F.pmod("share", F.lit(blocks)).cast("int"))
+    wanted = sides.select(F.col("block").alias("held_in"), F.col("node").alias("wanted")).distinct()
+    held = wanted.join(profiles, F.col("wanted") == profiles.node).select("held_in", profiles.node, *columns)
+    return held.groupBy("held_in").cogroup(sides.groupBy("block")).applyInArrow(work, schema)
+
+
+def _nearest(sides: DataFrame, profiles: DataFrame, percent: int, most: int, blocks: int) -> DataFrame:
     """Pairs (a, b), a < b, of members of one list whose components differ and whose sizes and sketches do not rule out a link.
 
-    A left member names the `most` nearest of those it is held against in one go. Rows without a and b: a list that has such
-    pairs, or, with no list either, that some member has more of them.
+    A left member names the `most` nearest of those it is held against in one go. Rows (a, null): a member that has such
+    pairs; more: the block has such pairs that it does not name.
     """
-    wanted = sides.select(F.col("block").alias("held_in"), F.col("node").alias("wanted")).distinct()
-    held = wanted.join(profiles, F.col("wanted") == profiles.node).select("held_in", profiles.node, "size", "sketch")
 
     def name(held: pa.Table, sides: pa.Table) -> pa.Table:
-        nodes = held.column("node").to_numpy()
-        by_node = np.argsort(nodes)
-        known = Sketched(held.column("size").to_numpy()[by_node], held.column("sketch").take(pa.array(by_node)).to_pylist())
-        nodes = nodes[by_node]
-        unit, name, node, root = (sides.column(c).to_numpy() for c in ("unit", "list", "node", "root"))
-        is_left = np.asarray(sides.column("is_left"))
-        at_node = np.searchsorted(nodes, node)
-        order = np.lexsort((node, is_left, unit))
-        found, active, more, waiting, n_waiting = [np.empty((0, 2), np.int64)], [np.empty(0, np.int64)], False, [], 0
-
-        def look() -> bool:
-            """Take up the pairs that wait; whether some member has more than it names."""
-            x, y, lists = (np.concatenate(c) for c in zip(*waiting, strict=True))
-            pairs, again = np.unique(x * len(nodes) + y, return_inverse=True)
-            p, q = np.divmod(pairs, len(nodes))
-            may, apart = known.may_link(p, q, percent)
-            active.append(np.unique(lists[may[again]]))
-            p, q, apart = p[may], q[may], apart[may]
+        block = Block(held, sides, percent)
+        found, seen, more = [np.empty((0, 2), np.int64)], [np.empty(0, np.int64)], False
+        for p, q, apart in block.candidates():
+            seen.append(np.unique(np.concatenate((p, q))))
             by = np.lexsort((q, apart, p))
             p, q = p[by], q[by]
             first = runs(p)
             rank = np.arange(len(p)) - np.repeat(first, np.diff(np.r_[first, len(p)]))
-            named = np.sort(np.column_stack((p, q))[rank < most], axis=1)
-            found.append(np.unique(nodes[named].reshape(-1, 2), axis=0))
-            return bool((rank >= most).any())
-
-        spans = slices(unit[order])
-        lowest = np.minimum.reduceat(node[order], [lo for lo, _ in spans]) if spans else ()
-        for k in np.argsort(lowest, kind="stable").tolist():  # lists with the same least node have many pairs in common
-            at = order[slice(*spans[k])]
-            x, y = at[is_left[at]], at[~is_left[at]]
-            for i in range(0, len(x), step := max(1, 65_536 // len(y))) if len(x) and len(y) else ():
-                u = x[i : i + step]
-                r, c = np.nonzero((root[u][:, None] != root[y]) & _sizes_allow(known.size[at_node[u]][:, None], known.size[at_node[y]], percent))
-                waiting.append((at_node[u[r]], at_node[y[c]], name[u[r]]))
-                n_waiting += len(r)
-                if n_waiting >= PAIRS:
-                    more |= look()
-                    waiting, n_waiting = [], 0
-        if n_waiting:
-            more |= look()
-        pairs = np.unique(np.concatenate(found), axis=0)
-        said = [*np.unique(np.concatenate(active)).tolist(), *[None] * more]
-        sides_ = (pa.concat_arrays([pa.array(pairs[:, i], pa.int64()), pa.nulls(len(said), pa.int64())]) for i in (0, 1))
-        return pa.table([*sides_, pa.array([None] * len(pairs) + said, pa.int64())], names=["a", "b", "list"])
-
-    return held.groupBy("held_in").cogroup(sides.groupBy("block")).applyInArrow(name, "a long, b long, list long")
+            found.append(np.unique(np.sort(np.column_stack((p, q))[rank < most], axis=1), axis=0))
+            more |= bool((rank >= most).any())
+        pairs, seen = np.unique(np.concatenate(found), axis=0), np.unique(np.concatenate(seen))
+        a = np.concatenate((block.nodes[pairs[:, 0]], block.nodes[seen]))
+        b = pa.concat_arrays([pa.array(block.nodes[pairs[:, 1]], pa.int64()), pa.nulls(len(seen), pa.int64())])
+        return pa.table({"a": pa.array(a, pa.int64()), "b": b, "more": pa.array(np.full(len(a), more), pa.bool_())})
+
+    return _in_blocks(sides, profiles, 4 * blocks, ("size", "sketch"), name, "a long, b long, more boolean")
+
+
+def _settled(sides: DataFrame, profiles: DataFrame, percent: int, blocks: int) -> DataFrame:
+    """Links (a, b) that join the components of each share's sides: every pair that may link is compared, until a link has joined its components."""
+
+    def settle(held: pa.Table, sides: pa.Table) -> pa.Table:
+        block = Block(held, sides, percent)
+        sets = [from_planes(g) for g in held.column("grams").take(pa.array(block.by_node)).to_pylist()]
+        size = block.known.size
+        end = np.cumsum(size)
+        gram = np.unique(np.concatenate([*sets, np.empty(0, np.uint64)]), return_inverse=True)[1]
+        del sets
+        marked = np.zeros(len(gram) + 1, bool)
+        joined = _Components(block.root)
+        links = [[], []]
+        for p, q, _ in block.candidates():
+            for a, z in slices(p):
+                x, y = int(p[a]), q[a:z]
+                y = y[block.root[y] != block.root[x]]
+                if not len(y):
+                    continue
+                own = gram[end[x] - size[x] : end[x]]
+                marked[own] = True
+                met = np.concatenate([marked[gram[end[i] - size[i] : end[i]]] for i in y.tolist()])
+                marked[own] = False
+                common = np.add.reduceat(met, np.r_[0, np.cumsum(size[y])[:-1]], dtype=np.int64)
+                for i in y[100 * common >= percent * (size[x] + size[y] - common)].tolist():
+                    if joined.join(x, i):
+                        links[0].append(block.nodes[x])
+                        links[1].append(block.nodes[i])
+        return _pairs(*(np.array(side, np.int64) for side in links))
+
+    return _in_blocks(sides, profiles, 4 * blocks, ("size", "sketch", "grams"), settle, "a long, b long")
+
+
+class _Components:
+    """Joins components, keeping `root`, an array of one number a node, up to date."""
+
+    def __init__(self, root: np.ndarray):
+        self.root = root
+        by_root = np.argsort(root, kind="stable")
+        self.members = {int(root[by_root[a]]): [by_root[a:z]] for a, z in slices(root[by_root])}
+
+    def join(self, x: int, y: int) -> bool:
+        a, b = int(self.root[x]), int(self.root[y])
+        if a == b:
+            return False
+        if sum(map(len, self.members[a])) > sum(map(len, self.members[b])):
+            a, b = b, a
+        for part in self.members[a]:
+            self.root[part] = b
+        self.members[b] += self.members.pop(a)
+        return True
 
 
 def keep_one_of_each(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:

@@ -13,6 +13,7 @@ from .alignment import align
 from .decontamination import find_leaks
 from .divergence import audit_sources
 from .exact_dedup import exact_dedup
+from .minhash import near_duplicates
 from .ngram_join import join_groups
 from .packing import pack
 from .quality import score_quality
@@ -79,7 +80,11 @@ def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"), public_tokenizers.PATTERN)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_packing, op2_ngram_join, op3_toxicity, op4_secrets, op5_warc, op6_exact_dedup, op7_decontamination, op8_substring_dedup, op9_quality, op10_chat_format, op11_source_audit, op12_token_alignment)}
+def op13_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(_table(spark, sf_dir, "documents"), n=2, percent=80)
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_packing, op2_ngram_join, op3_toxicity, op4_secrets, op5_warc, op6_exact_dedup, op7_decontamination, op8_substring_dedup, op9_quality, op10_chat_format, op11_source_audit, op12_token_alignment, op13_minhash)}
 ORACLES: dict[str, str] = {}
 
 ORACLES["op6_exact_dedup"] = r'''
@@ -160,3 +165,8 @@ f AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value,
 SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INT) AS rank
 FROM f QUALIFY part = 'pair' OR rank <= 50
 '''
+
+#: The same with shingles of two words and a bound of 80 %, and the document that stays.
+ORACLES["op13_minhash"] = ORACLES["op2_ngram_join"].replace("len(ws) < 3", "len(ws) < 2").replace("len(ws) - 1", "len(ws)").replace("p + 2", "p + 1").replace(">= 90 *", ">= 80 *").replace(
+    "min(root) AS component_id", "min(root) AS component_id, min(root) = d.doc_id AS kept"
+)
