@@ -6,11 +6,11 @@ every blank between two such characters: a document is a sequence of segments cu
 not depend on the others. So each distinct segment is aligned once, by DataFrame operations, and documents add their
 segments up (with vocabularies of another kind a document is one segment):
 
-1. Blocks of documents are cut into segments; a block's distinct segments are taken through both tokenizers. A document whose
-   joined tokens are not its bytes has no tokens. Rows: each document's segment numbers, each segment's tokens and times.
-2. Segments of all blocks become distinct ones, their times sums.
+1. Blocks of documents are cut into segments. A document whose joined tokens are not its bytes has none. Rows: each document's
+   segment numbers, each segment and its times in the block.
+2. Segments of all blocks become distinct ones, their times sums; these are taken through both tokenizers.
 3. posexplode gives tokens, a running sum of their bytes their ends; an equality join on (segment, end) finds the cuts, which
-   are the links; a running count of cuts numbers the groups.
+   are the links; a running count of cuts numbers the groups, which are the tokens since the cut before.
 4. Links, weighted by their segments' times, give each id pair's count and whether it is the highest of its B id.
 5. Links take up their pairs' counts, segments add them up and go back to their blocks, where documents add up segments.
 
@@ -26,7 +26,7 @@ from __future__ import annotations
 import hashlib
 import json
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import cache
 
 import numpy as np
@@ -34,30 +34,50 @@ import pyarrow as pa
 import sentencepiece
 import tiktoken
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import Scratch, from_planes, planes, settings, utf8
 
 #: Documents and bytes of text in a block, of which either ends it.
-BLOCK_DOCS, BLOCK_BYTES = 8192, 24 << 20
+BLOCK_DOCS, BLOCK_BYTES = 8192, 16 << 20
 #: Bytes of new segments that go to a tokenizer in one string.
 ENCODED = 1 << 16
 _TOKENS = "array<struct<id int, bytes int>>"
-_CUT = f"block long, doc_id long, words binary, number int, segment string, times long, a {_TOKENS}, b {_TOKENS}"
+_CUT = "block long, doc_id long, words binary, number int, segment string, times long"
 _RESULT = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
 _SUMS = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum")
 
 
 class Cutter:
-    """A tokenizer: `encode` takes a text that begins with a blank, `token_bytes` has the bytes of each id."""
+    """A tokenizer: `encode` takes a text that begins with a blank, `token_bytes` has the bytes of each id.
 
-    def __init__(self, token_bytes: list[bytes], encode):
+    keeps: whether a text's tokens are its bytes, where that can be told without encoding it.
+    """
+
+    def __init__(self, token_bytes: list[bytes], encode: Callable[[str], list[int]], keeps: Callable[[str], bool] | None = None):
         self.bytes, self.encode = token_bytes, encode
+        self.keeps = keeps or (lambda text: b"".join([token_bytes[i] for i in encode(text)]) == text.encode())
         self.length = np.fromiter(map(len, token_bytes), np.int64, len(token_bytes))
         #: Whether texts can be cut before a blank between two characters that are no white space.
         self.ends_at_blanks = not any(re.search(r"\S ", t.decode("utf-8", "replace")) for t in token_bytes)
 
+    def keeps_each(self, segments: list[str]) -> np.ndarray:
+        """Whether each segment's tokens are its bytes; asked of ever shorter runs of segments where some are not."""
+        out = np.ones(len(segments), bool)
+
+        def ask(lo: int, hi: int) -> None:
+            if not self.keeps(" " + " ".join(segments[lo:hi])):
+                if hi - lo == 1:
+                    out[lo] = False
+                    return
+                ask(lo, (lo + hi) // 2)
+                ask((lo + hi) // 2, hi)
+
+        for lo in range(0, len(segments), 8192):
+            ask(lo, min(lo + 8192, len(segments)))
+        return out
+
     def tokens(self, segments: list[str], sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Ids of all segments, and where each segment's start, how many they are and whether they are its bytes.
 
@@ -119,14 +139,20 @@ def byte_level(path: str, pattern: str) -> Cutter:
     token_bytes = [b"\0"] * (max(ranks.values()) + 1)
     for b, i in ranks.items():
         token_bytes[i] = b
-    return Cutter(token_bytes, tiktoken.Encoding("byte-level", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary)
+    return Cutter(token_bytes, tiktoken.Encoding("byte-level", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary, lambda text: True)
 
 
 def pieces(path: str) -> Cutter:
     """A sentencepiece model that puts a blank before texts."""
     model = sentencepiece.SentencePieceProcessor(model_file=path)
     token_bytes = [bytes([int(p[1:-1], 16)]) if model.is_byte(i) else p.replace("\u2581", " ").encode() for i in range(model.get_piece_size()) for p in [model.id_to_piece(i)]]
-    return Cutter(token_bytes, lambda text: model.encode(text[1:]))
+
+    def keeps(text: str) -> bool:
+        marked = text.replace(" ", "\u2581")
+        return "\u2581" not in text and model.normalize(text[1:]) == marked
+
+    any_bytes = sum(map(model.is_byte, range(model.get_piece_size()))) == 256  # then every normal text has tokens
+    return Cutter(token_bytes, lambda text: model.encode(text[1:]), keeps if any_bytes else None)
 
 
 @cache
@@ -160,7 +186,7 @@ def _numbered(text: str, numbers: Numbers, can_cut: bool) -> np.ndarray:
 
 
 def _cut_blocks(batches: Iterator[pa.RecordBatch], a: Cutter, b: Cutter) -> Iterator[pa.RecordBatch]:
-    """Rows of documents (block, doc_id, words) and of their segments (block, number, segment, times, a, b)."""
+    """Rows of documents (block, doc_id, words) and of their segments (block, number, segment, times)."""
     can_cut = a.ends_at_blanks and b.ends_at_blanks
     block, numbers, docs, held = TaskContext.get().partitionId() << 32, Numbers(), [], 0
     for batch in batches:
@@ -175,9 +201,7 @@ def _cut_blocks(batches: Iterator[pa.RecordBatch], a: Cutter, b: Cutter) -> Iter
 
 
 def _block(block: int, docs: list[tuple[int | None, np.ndarray]], segments: list[str], a: Cutter, b: Cutter) -> Iterator[pa.RecordBatch]:
-    sizes = np.fromiter((len(s.encode()) + 1 for s in segments), np.int64, len(segments))
-    taken = [c.tokens(segments, sizes) for c in (a, b)]
-    fine = taken[0][3] & taken[1][3]
+    fine = a.keeps_each(segments) & b.keeps_each(segments)
     docs = [(doc_id, words if fine[words].all() else words[:0]) for doc_id, words in docs]
     times = np.bincount(np.concatenate([words for _, words in docs]), minlength=len(segments))
     used = np.flatnonzero(times)
@@ -186,10 +210,10 @@ def _block(block: int, docs: list[tuple[int | None, np.ndarray]], segments: list
         yield _rows(len(part), block, doc_id=pa.array([d for d, _ in part], pa.int64()), words=pa.array([planes(w.astype(np.uint64), 4) for _, w in part], pa.binary()))
     for lo in range(0, len(used), 16_384):
         at = used[lo : lo + 16_384]
-        yield _rows(len(at), block, number=pa.array(at, pa.int32()), segment=pa.array([segments[i] for i in at.tolist()], pa.string()), times=pa.array(times[at], pa.int64()), **{name: _lists(cutter, got, at) for name, cutter, got in (("a", a, taken[0]), ("b", b, taken[1]))})
+        yield _rows(len(at), block, number=pa.array(at, pa.int32()), segment=pa.array([segments[i] for i in at.tolist()], pa.string()), times=pa.array(times[at], pa.int64()))
 
 
-_ARROW = {"block": pa.int64(), "doc_id": pa.int64(), "words": pa.binary(), "number": pa.int32(), "segment": pa.string(), "times": pa.int64()} | dict.fromkeys("ab", pa.list_(pa.struct([("id", pa.int32()), ("bytes", pa.int32())])))
+_ARROW = {"block": pa.int64(), "doc_id": pa.int64(), "words": pa.binary(), "number": pa.int32(), "segment": pa.string(), "times": pa.int64()}
 
 
 def _rows(n: int, block: int, **columns: pa.Array) -> pa.RecordBatch:
@@ -197,12 +221,20 @@ def _rows(n: int, block: int, **columns: pa.Array) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([columns.get(name, pa.nulls(n, kind)).cast(kind) for name, kind in _ARROW.items()], names=list(_ARROW))
 
 
-def _lists(cutter: Cutter, got: tuple[np.ndarray, ...], chosen: np.ndarray) -> pa.Array:
-    """Lists of (id, bytes) of the chosen segments."""
-    ids, start, count, _ = got
-    n = count[chosen]
-    ids = ids[np.repeat(start[chosen] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
-    return pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(n)], pa.int32()), pa.StructArray.from_arrays([pa.array(ids, pa.int32()), pa.array(cutter.length[ids], pa.int32())], ["id", "bytes"]))
+def _tokenised(batches: Iterator[pa.RecordBatch], cutters: tuple[Cutter, ...]) -> Iterator[pa.RecordBatch]:
+    """(seg, a, b): each segment's tokens, as lists of (id, bytes)."""
+    for batch in batches:
+        segments = batch.column("segment").to_pylist()
+        sizes = np.fromiter((len(s.encode()) + 1 for s in segments), np.int64, len(segments))
+        lists = []
+        for cutter in cutters:
+            ids, start, count, fine = cutter.tokens(segments, sizes)
+            if not fine.all():
+                raise ValueError("tokens are not their text's bytes")
+            ids = ids[np.repeat(start - (np.cumsum(count) - count), count) + np.arange(count.sum())]
+            pairs = pa.StructArray.from_arrays([pa.array(ids, pa.int32()), pa.array(cutter.length[ids], pa.int32())], ["id", "bytes"])
+            lists.append(pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(count)], pa.int32()), pairs))
+        yield pa.RecordBatch.from_arrays([batch.column("seg"), *lists], names=["seg", "a", "b"])
 
 
 def align(docs: DataFrame, byte_bpe: str, piece_model: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -213,36 +245,44 @@ def align(docs: DataFrame, byte_bpe: str, piece_model: str, pattern: str, id_col
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return _cut_blocks(batches, *_cutters(byte_bpe, piece_model, pattern))
 
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _tokenised(batches, _cutters(byte_bpe, piece_model, pattern))
+
     rows = scratch.stage(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(cut, _CUT), "cut")
     each = rows.where("segment IS NOT NULL")
-    distinct = each.groupBy("segment").agg(F.sum("times").alias("times"), F.first("a").alias("a"), F.first("b").alias("b"))
-    segments = scratch.stage(distinct.withColumn("seg", F.monotonically_increasing_id()), "segments")
+    segments = scratch.stage(each.groupBy("segment").agg(F.sum("times").alias("times")).withColumn("seg", F.monotonically_increasing_id()), "segments")
+    tokens = scratch.stage(segments.select("seg", "segment").mapInArrow(encode, f"seg long, a {_TOKENS}, b {_TOKENS}"), "tokens")
     with settings(spark, {"spark.sql.requireAllClusterKeysForCoPartition": "false"}):  # all of a segment's rows stay where they are
-        aligned = scratch.stage(aligned_segments(segments.repartition("seg")), "aligned")
+        aligned = scratch.stage(aligned_segments(tokens.repartition("seg")), "aligned")
+    scratch.drop(tokens)
     links = aligned.select("seg", F.explode("links").alias("link")).select("seg", "link.a", "link.b")
     counts = scratch.stage(pair_counts(links.join(segments.select("seg", "times"), "seg")), "counts")
     sums = links.join(counts, ["a", "b"]).groupBy("seg").agg(F.sum("count").alias("count_sum"), F.sum(F.col("is_best").cast("long")).alias("n_best"))
-    known = aligned.drop("links").join(sums, "seg").join(segments.select("seg", "segment"), "seg").drop("seg")
-    known = scratch.stage(known, "known")
+    known = scratch.stage(aligned.drop("links").join(sums, "seg").join(segments.select("seg", "segment"), "seg").drop("seg"), "known")
     scratch.drop(aligned, segments, counts)
     placed = each.select(F.col("block").alias("held_in"), "number", "segment").join(known, "segment").drop("segment")
     return rows.where("words IS NOT NULL").select("block", "doc_id", "words").groupBy("block").cogroup(placed.groupBy("held_in")).applyInArrow(_summed, _RESULT)
 
 
-def aligned_segments(segments: DataFrame) -> DataFrame:
+def aligned_segments(tokens: DataFrame) -> DataFrame:
     """(seg, n_a, n_b, n_groups, n_links, groups, links) of segments (seg, a, b): lists of tokens (id, bytes) whose bytes are equal in sum."""
+    ends = {side: tokens.select("seg", F.posexplode(side).alias(f"at_{side}", "token")).select("seg", f"at_{side}", F.col("token.id").alias(side), F.sum("token.bytes").over(Window.partitionBy("seg").orderBy(f"at_{side}")).alias("end")) for side in "ab"}
+    cuts = ends["a"].join(ends["b"], ["seg", "end"])
     by_end = Window.partitionBy("seg").orderBy("end")
-    ends = {side: segments.select("seg", F.posexplode(side)).select("seg", F.col("col.id").alias(side), F.sum("col.bytes").over(Window.partitionBy("seg").orderBy("pos")).alias("end")) for side in "ab"}
-    grouped = {}
-    for side, other in ("ab", "ba"):
-        met = ends[side].join(ends[other].select("seg", "end", F.lit(1).alias("is_cut")), ["seg", "end"], "left")
-        numbered = met.withColumn("group", F.coalesce(F.sum("is_cut").over(by_end.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-        of_group = numbered.groupBy("seg", "group").agg(F.array_sort(F.collect_list(F.struct("end", side)))[side].alias("ids"))
-        grouped[side] = of_group.select("seg", "group", F.size("ids").alias(f"n_{side}"), F.array_join(F.col("ids").cast("array<string>"), ",").alias(f"ids_{side}"), F.element_at("ids", -1).alias(side))
-    both = grouped["a"].join(grouped["b"], ["seg", "group"])  # a group's last tokens end together
-    row = F.struct("group", F.concat("ids_a", F.lit("|"), "ids_b").alias("ids"), F.struct("a", "b").alias("link"))
-    found = both.groupBy("seg").agg(F.sum("n_a").alias("n_a"), F.sum("n_b").alias("n_b"), F.array_sort(F.collect_list(row)).alias("rows"))
-    return found.select("seg", "n_a", "n_b", F.size("rows").cast("long").alias("n_groups"), F.size("rows").cast("long").alias("n_links"), F.array_join("rows.ids", ";").alias("groups"), F.col("rows.link").alias("links"))
+    before = {side: F.coalesce(F.lag(f"at_{side}").over(by_end), F.lit(-1)).alias(f"before_{side}") for side in "ab"}
+    groups = cuts.select("seg", F.row_number().over(by_end).alias("group"), "a", "b", "at_a", "at_b", *before.values())
+    found = groups.groupBy("seg").agg(F.array_sort(F.collect_list(F.struct("group", "a", "b", "at_a", "at_b", "before_a", "before_b"))).alias("found"))
+
+    def ids(side: str, group: Column) -> Column:
+        """The ids of a group's tokens, which lie after the cut before and up to its own."""
+        own = F.slice(F.col(side), group[f"before_{side}"] + 2, group[f"at_{side}"] - group[f"before_{side}"])
+        return F.array_join(own.cast("array<string>"), ",")
+
+    both = found.join(tokens.select("seg", F.col("a.id").alias("a"), F.col("b.id").alias("b")), "seg")
+    text = F.array_join(F.transform("found", lambda g: F.concat(ids("a", g), F.lit("|"), ids("b", g))), ";")
+    links = F.transform("found", lambda g: F.struct(g["a"].alias("a"), g["b"].alias("b")))
+    n = F.size("found").cast("long")
+    return both.select("seg", F.size("a").cast("long").alias("n_a"), F.size("b").cast("long").alias("n_b"), n.alias("n_groups"), n.alias("n_links"), text.alias("groups"), links.alias("links"))
 
 
 def pair_counts(links: DataFrame) -> DataFrame:
