@@ -11,11 +11,12 @@ segments up (with vocabularies of another kind a document is one segment):
 2. Segments of all blocks become distinct ones, their times sums; these are taken through both tokenizers.
 3. posexplode gives tokens, a running sum of their bytes their ends; an equality join on (segment, end) finds the cuts, which
    are the links; a running count of cuts numbers the groups, which are the tokens since the cut before.
-4. Links, weighted by their segments' times, give each id pair's count and whether it is the highest of its B id.
+4. Links, weighted by their segments' times, give each id pair's count and whether it is the highest of its B id. A bucket of
+   segments asks once for each pair it has.
 5. Links take up their pairs' counts, segments add them up and go back to their blocks, where documents add up segments.
 
 Texts without any such blank are one segment, however long. Nothing is gathered on the driver; a pair's rows come from
-distinct segments, and the join on pairs is one that Spark splits where a pair is hot.
+distinct segments, and no pair sends more than one row a bucket, no segment more than one a block.
 
 Defined results: null and empty texts have zeros and an empty digest, like those whose bytes differ; rows that repeat are
 documents of their own; rows with a null id too; an empty table gives no rows; other columns are not read.
@@ -44,9 +45,13 @@ BLOCK_DOCS, BLOCK_BYTES = 8192, 16 << 20
 #: Bytes of new segments that go to a tokenizer in one string.
 ENCODED = 1 << 16
 _TOKENS = "array<struct<id int, bytes int>>"
-_CUT = "block long, doc_id long, words binary, number int, segment string, times long"
+#: A segment's place is its block times 2^NUMBER plus its number there; a task's blocks are numbered below 2^COUNTER.
+NUMBER, COUNTER = 24, 16
+#: Buckets of segments a shuffle partition.
+BUCKETS = 4
+_CUT = "block long, doc_id long, words binary, place long, segment string, times long"
 _RESULT = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
-_SUMS = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum")
+_SUMS = {"n_a": "n_a", "n_b": "n_b", "n_groups": "n_groups", "n_links": "n_groups", "n_best": "n_best", "count_sum": "count_sum"}
 
 
 class Cutter:
@@ -186,9 +191,9 @@ def _numbered(text: str, numbers: Numbers, can_cut: bool) -> np.ndarray:
 
 
 def _cut_blocks(batches: Iterator[pa.RecordBatch], a: Cutter, b: Cutter) -> Iterator[pa.RecordBatch]:
-    """Rows of documents (block, doc_id, words) and of their segments (block, number, segment, times)."""
+    """Rows of documents (block, doc_id, words) and of their segments (place, segment, times)."""
     can_cut = a.ends_at_blanks and b.ends_at_blanks
-    block, numbers, docs, held = TaskContext.get().partitionId() << 32, Numbers(), [], 0
+    block, numbers, docs, held = TaskContext.get().partitionId() << COUNTER, Numbers(), [], 0
     for batch in batches:
         for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
             docs.append((doc_id, _numbered(text, numbers, can_cut) if text else np.empty(0, np.int64)))
@@ -210,19 +215,19 @@ def _block(block: int, docs: list[tuple[int | None, np.ndarray]], segments: list
         yield _rows(len(part), block, doc_id=pa.array([d for d, _ in part], pa.int64()), words=pa.array([planes(w.astype(np.uint64), 4) for _, w in part], pa.binary()))
     for lo in range(0, len(used), 16_384):
         at = used[lo : lo + 16_384]
-        yield _rows(len(at), block, number=pa.array(at, pa.int32()), segment=pa.array([segments[i] for i in at.tolist()], pa.string()), times=pa.array(times[at], pa.int64()))
+        yield _rows(len(at), None, place=pa.array((block << NUMBER) + at, pa.int64()), segment=pa.array([segments[i] for i in at.tolist()], pa.string()), times=pa.array(times[at], pa.int64()))
 
 
-_ARROW = {"block": pa.int64(), "doc_id": pa.int64(), "words": pa.binary(), "number": pa.int32(), "segment": pa.string(), "times": pa.int64()}
+_ARROW = {"block": pa.int64(), "doc_id": pa.int64(), "words": pa.binary(), "place": pa.int64(), "segment": pa.string(), "times": pa.int64()}
 
 
-def _rows(n: int, block: int, **columns: pa.Array) -> pa.RecordBatch:
-    columns["block"] = pa.array(np.full(n, block), pa.int64())
+def _rows(n: int, block: int | None, **columns: pa.Array) -> pa.RecordBatch:
+    columns["block"] = pa.array([block] * n, pa.int64())
     return pa.RecordBatch.from_arrays([columns.get(name, pa.nulls(n, kind)).cast(kind) for name, kind in _ARROW.items()], names=list(_ARROW))
 
 
 def _tokenised(batches: Iterator[pa.RecordBatch], cutters: tuple[Cutter, ...]) -> Iterator[pa.RecordBatch]:
-    """(seg, a, b): each segment's tokens, as lists of (id, bytes)."""
+    """(seg, times, a, b): each segment's tokens, as lists of (id, bytes)."""
     for batch in batches:
         segments = batch.column("segment").to_pylist()
         sizes = np.fromiter((len(s.encode()) + 1 for s in segments), np.int64, len(segments))
@@ -234,7 +239,7 @@ def _tokenised(batches: Iterator[pa.RecordBatch], cutters: tuple[Cutter, ...]) -
             ids = ids[np.repeat(start - (np.cumsum(count) - count), count) + np.arange(count.sum())]
             pairs = pa.StructArray.from_arrays([pa.array(ids, pa.int32()), pa.array(cutter.length[ids], pa.int32())], ["id", "bytes"])
             lists.append(pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(count)], pa.int32()), pairs))
-        yield pa.RecordBatch.from_arrays([batch.column("seg"), *lists], names=["seg", "a", "b"])
+        yield pa.RecordBatch.from_arrays([batch.column("seg"), batch.column("times"), *lists], names=["seg", "times", "a", "b"])
 
 
 def align(docs: DataFrame, byte_bpe: str, piece_model: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -251,21 +256,33 @@ def align(docs: DataFrame, byte_bpe: str, piece_model: str, pattern: str, id_col
     rows = scratch.stage(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(cut, _CUT), "cut")
     each = rows.where("segment IS NOT NULL")
     segments = scratch.stage(each.groupBy("segment").agg(F.sum("times").alias("times")).withColumn("seg", F.monotonically_increasing_id()), "segments")
-    tokens = scratch.stage(segments.select("seg", "segment").mapInArrow(encode, f"seg long, a {_TOKENS}, b {_TOKENS}"), "tokens")
-    with settings(spark, {"spark.sql.requireAllClusterKeysForCoPartition": "false"}):  # all of a segment's rows stay where they are
+    placed = scratch.stage(each.select("place", "segment").join(segments.select("segment", "seg"), "segment").select("place", "seg"), "placed")
+    tokens = scratch.stage(segments.select("seg", "times", "segment").mapInArrow(encode, f"seg long, times long, a {_TOKENS}, b {_TOKENS}"), "tokens")
+    scratch.drop(segments)
+    with settings(spark, {"spark.sql.requireAllClusterKeysForCoPartition": "false"}):  # all rows of a segment, or bucket, stay where they are
         aligned = scratch.stage(aligned_segments(tokens.repartition("seg")), "aligned")
-    scratch.drop(tokens)
-    links = aligned.select("seg", F.explode("links").alias("link")).select("seg", "link.a", "link.b")
-    counts = scratch.stage(pair_counts(links.join(segments.select("seg", "times"), "seg")), "counts")
-    sums = links.join(counts, ["a", "b"]).groupBy("seg").agg(F.sum("count").alias("count_sum"), F.sum(F.col("is_best").cast("long")).alias("n_best"))
-    known = scratch.stage(aligned.drop("links").join(sums, "seg").join(segments.select("seg", "segment"), "seg").drop("seg"), "known")
-    scratch.drop(aligned, segments, counts)
-    placed = each.select(F.col("block").alias("held_in"), "number", "segment").join(known, "segment").drop("segment")
-    return rows.where("words IS NOT NULL").select("block", "doc_id", "words").groupBy("block").cogroup(placed.groupBy("held_in")).applyInArrow(_summed, _RESULT)
+        scratch.drop(tokens)
+        buckets = BUCKETS * int(spark.conf.get("spark.sql.shuffle.partitions"))
+        dealt = aligned.withColumn("bucket", F.pmod(F.xxhash64("seg"), F.lit(buckets)).cast("int")).repartition("bucket")
+        links = dealt.select("bucket", "seg", "times", F.explode("links").alias("link")).select("bucket", "seg", "times", "link.a", "link.b")
+        asked = scratch.stage(links.groupBy("bucket", "a", "b").agg(F.sum("times").alias("times")), "asked")
+        counts = scratch.stage(pair_counts(asked), "counts")
+        told = scratch.stage(asked.join(counts, ["a", "b"]).select("bucket", "a", "b", "count", "is_best"), "told")
+        scratch.drop(asked, counts)
+        sums = links.join(told.repartition("bucket"), ["bucket", "a", "b"]).groupBy("bucket", "seg").agg(F.sum("count").alias("count_sum"), F.sum(F.col("is_best").cast("long")).alias("n_best"))
+        known = scratch.stage(dealt.drop("links", "times").join(sums, ["bucket", "seg"]).drop("bucket"), "known")
+    scratch.drop(aligned, told)
+    here = scratch.stage(placed.join(known, "seg").drop("seg"), "here")
+    scratch.drop(placed, known)
+    by_block = here.groupBy(F.shiftright("place", NUMBER).alias("held_in"))
+    return rows.where("words IS NOT NULL").select("block", "doc_id", "words").groupBy("block").cogroup(by_block).applyInArrow(_summed, _RESULT)
 
 
 def aligned_segments(tokens: DataFrame) -> DataFrame:
-    """(seg, n_a, n_b, n_groups, n_links, groups, links) of segments (seg, a, b): lists of tokens (id, bytes) whose bytes are equal in sum."""
+    """(seg, times, n_a, n_b, n_groups, groups, links) of segments (seg, times, a, b): lists of tokens (id, bytes) whose bytes are equal in sum.
+
+    links: the last tokens (a, b) of each group; groups: their ids as text.
+    """
     ends = {side: tokens.select("seg", F.posexplode(side).alias(f"at_{side}", "token")).select("seg", f"at_{side}", F.col("token.id").alias(side), F.sum("token.bytes").over(Window.partitionBy("seg").orderBy(f"at_{side}")).alias("end")) for side in "ab"}
     cuts = ends["a"].join(ends["b"], ["seg", "end"])
     by_end = Window.partitionBy("seg").orderBy("end")
@@ -278,30 +295,29 @@ def aligned_segments(tokens: DataFrame) -> DataFrame:
         own = F.slice(F.col(side), group[f"before_{side}"] + 2, group[f"at_{side}"] - group[f"before_{side}"])
         return F.array_join(own.cast("array<string>"), ",")
 
-    both = found.join(tokens.select("seg", F.col("a.id").alias("a"), F.col("b.id").alias("b")), "seg")
+    both = found.join(tokens.select("seg", "times", F.col("a.id").alias("a"), F.col("b.id").alias("b")), "seg")
     text = F.array_join(F.transform("found", lambda g: F.concat(ids("a", g), F.lit("|"), ids("b", g))), ";")
     links = F.transform("found", lambda g: F.struct(g["a"].alias("a"), g["b"].alias("b")))
-    n = F.size("found").cast("long")
-    return both.select("seg", F.size("a").cast("long").alias("n_a"), F.size("b").cast("long").alias("n_b"), n.alias("n_groups"), n.alias("n_links"), text.alias("groups"), links.alias("links"))
+    return both.select("seg", "times", F.size("a").alias("n_a"), F.size("b").alias("n_b"), F.size("found").alias("n_groups"), text.alias("groups"), links.alias("links"))
 
 
-def pair_counts(links: DataFrame) -> DataFrame:
-    """(a, b, count, is_best) of links (a, b, times); best: no other pair of b has a higher count."""
-    counts = links.groupBy("a", "b").agg(F.sum("times").alias("count"))
+def pair_counts(pairs: DataFrame) -> DataFrame:
+    """(a, b, count, is_best) of pairs (a, b, times); best: no other pair of b has a higher count."""
+    counts = pairs.groupBy("a", "b").agg(F.sum("times").alias("count"))
     return counts.withColumn("is_best", F.col("count") == F.max("count").over(Window.partitionBy("b")))
 
 
 def _summed(docs: pa.Table, known: pa.Table) -> pa.Table:
     """A block's documents, from what is known of its segments."""
-    number = known.column("number").to_numpy()
+    number = known.column("place").to_numpy() & ((1 << NUMBER) - 1)
     size = int(number.max()) + 1 if len(number) else 0
     words = [from_planes(w, 4).astype(np.int64) for w in docs.column("words").to_pylist()]
     n = np.fromiter(map(len, words), np.int64, len(words))
     end, flat = np.cumsum(n), np.concatenate([*words, np.empty(0, np.int64)])
     out = {"doc_id": docs.column("doc_id").combine_chunks().cast(pa.int64())}
-    for name in _SUMS:
+    for name, source in _SUMS.items():
         value = np.zeros(size, np.int64)
-        value[number] = known.column(name).to_numpy()
+        value[number] = known.column(source).to_numpy()
         running = np.r_[0, np.cumsum(value[flat])]
         out[name] = pa.array(running[end] - running[end - n])
     groups: list[bytes] = [b""] * size
