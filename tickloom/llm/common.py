@@ -85,10 +85,14 @@ def block_count(df: DataFrame, block_bytes: int = 128 << 20) -> int:
 
     A block is held in memory, so its size follows the input's bytes and no setting; a partition takes several blocks in turn.
     """
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-input_bytes(df) // block_bytes))
+
+
+def input_bytes(df: DataFrame) -> int:
+    """Bytes of the tables that df reads, by Spark's own statistics; 0 where they are unknown."""
     leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
     size = sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
-    known = size if size < 1 << 60 else 0  # Spark's mark for an unknown size
-    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-known // block_bytes))
+    return size if size < 1 << 60 else 0  # Spark's mark for an unknown size
 
 
 def texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:

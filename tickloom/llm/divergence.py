@@ -30,10 +30,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch, block_count, utf8
+from .common import Scratch, input_bytes, utf8
 
 #: Counts are taken out of SCALE, with PRIOR more of each term.
 SCALE, PRIOR = 1_000_000_000, 5
+#: Shards at least, and bytes of input in a shard. A shard returns a row for each two sources, so their number follows the
+#: input alone and not the shuffle's partitions.
+SHARDS, SHARD_BYTES = 8, 32 << 20
 #: Entries of a task's counts before they are sent on.
 ENTRIES = 400_000
 #: Every byte as it counts in terms: letters lowered, bytes of characters beyond ASCII as they are, others as a blank.
@@ -69,7 +72,7 @@ QUALIFY row_number() OVER (PARTITION BY a.lang, a.source ORDER BY value DESC, it
 def audit_sources(docs: DataFrame, least_docs: int = 30, top_terms: int = 50, shards: int | None = None) -> DataFrame:
     """Rows (lang, source, part, item, value, rank): part pair has each other source of the language, part term the top_terms terms that the group has more of than its language."""
     scratch = Scratch(docs.sparkSession, "divergence")
-    shards = shards or block_count(docs)
+    shards = shards or max(SHARDS, input_bytes(docs) // SHARD_BYTES)
     named = docs.select(*(F.coalesce(docs[c], F.lit("")).alias(c) for c in ("lang", "source", "text")))
     counts = named.mapInArrow(_counted, _COUNTS).withColumn("shard", F.pmod(F.xxhash64("lang", "term"), F.lit(shards)).cast("int"))
 
