@@ -210,3 +210,29 @@ def test_every_event_enters_the_histories(spark):
     pairs = queries.pair_history(spark, sf).where("z IS NOT NULL")
     assert pairs.count() == proxies.raw(spark, sf).count()
     assert {r.ref for r in pairs.select("ref").distinct().collect()} == {"mc0", "mc1", "mc2", "mc3"}
+
+
+def test_quiet_epochs_are_told_without_a_panel():
+    """Where the short way says that nothing can fail, the tests find nothing, for references and for a clock."""
+    rng, quiet = random.Random(4), 0
+    names = ["mc1", "mc2", "mc3", "mc4"]
+    for _ in range(400):
+        size = rng.choice((0.5, 1.5, 3.0, 90_000.0))
+        nu = {(a, b): rng.uniform(-size, size) for a in names for b in names if rng.random() > 0.1}
+        scale = {p: rng.uniform(0.8, 1.6) for p in nu}
+        panel = screening.Panel(names, nu, scale)
+        screening.screen(panel)
+        slipped = [screening.slips(panel, panel.nu[:, i], panel.scale[:, i], panel.usable[:, i], np.ones(4, bool)) for i in range(4)]
+        if folds._quiet(nu.values(), scale.values()):
+            quiet += 1
+            assert not panel.excluded and not panel.held.any() and all(s is None and not unsure.any() for s, unsure in slipped)
+        facts = [{"ref": a, "clock": b, "nu": nu[a, b], "prior_scale": scale[a, b], "excluded": False, "ref_held": False} for a, b in nu]
+        own = {(n, "u1"): rng.uniform(-1, 1) * rng.choice((1.0, 50_000.0, 200_000.0)) for n in names}
+        reach = max(own.values()) - min(own.values()) + max(abs(f["nu"]) for f in facts)
+        alarmed = any(a == b and abs(v) > 5.0 * scale[a, b] for (a, b), v in nu.items())
+        if 2 * reach < 200_000 and not alarmed:
+            panel = screening.Panel(names, nu, scale)
+            one = np.ones(4)
+            assert screening.slips(panel, np.array([own[n, "u1"] for n in names]), one, one > 0, one > 0)[0] is None
+            assert not panel.self_shift(np.array([[own[n, "u1"]] for n in names]), one[:, None]).any()
+    assert 40 < quiet < 360

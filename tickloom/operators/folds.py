@@ -8,38 +8,51 @@ only on accepted pairs. So three grouped folds and the joins between them do the
 3. `triple_rows`, by channel and triple: double differences, made by joins.
 
 A group is one sorted stream of rows; a fold keeps one small state a series. Epochs without readings are walked through only
-while some series is still tracked. Null phases are missing readings; a disabled
-clock's readings are kept in rows of flag O and not filtered.
+while some series is still tracked, and a row goes on from a row of exactly the epoch before. Null phases are missing
+readings; a disabled clock's readings are kept in rows of flag O and not filtered.
+
+Rows hold all that a series carries on, so a fold can start from the newest rows of an earlier run (`carried`): a history cut
+at any epoch and gone on with has the same rows as one made in one go, and a group is no longer than a run.
 """
 
 from __future__ import annotations
 
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator, Sequence
 from fractions import Fraction
+from itertools import zip_longest
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from ..functions.timefn import EPOCH_US
 from . import links, screening
 from .estimator import Reading, Settings, Track, rounded, unwrap
 
 SETTINGS = "struct<states int, m double, m_sigma double, sigma0 double, gap_limit int, breaks_at int, fraction_epochs double, fraction_limit double, rms_limit int>"
-STATE = "x_fs long, y double, d double, innovation double, scale double, step_offset long, in_segment int, since_accept int, rejects_in_row int, reject_fraction double, flags string"
+BUFFER = "array<struct<epoch long, value double>>"
+STATE = f"x_fs long, y double, d double, innovation double, scale double, step_offset long, in_segment int, since_accept int, rejects_in_row int, reject_fraction double, buffer {BUFFER}, states int, m double, m_sigma double, flags string"
 PAIR = f"channel string, ref string, clock string, epoch long, cycles long, z long, rms int, predicted_fs long, started_cold boolean, nu double, prior_scale double, excluded boolean, ref_held boolean, {STATE}"
 TRIPLE = f"channel string, r string, s string, c string, epoch long, z long, sigma double, used string, started_cold boolean, {STATE}"
-_ARROW = {"string": pa.string(), "long": pa.int64(), "double": pa.float64(), "int": pa.int32(), "boolean": pa.bool_()}
+PAIR_KEYS, TRIPLE_KEYS = ("channel", "ref", "clock"), ("channel", "r", "s", "c")
+_PLAIN = ("x_fs", "y", "d", "innovation", "scale", "step_offset", "in_segment", "since_accept", "rejects_in_row", "reject_fraction", "states", "m", "m_sigma", "flags")
 
 
 def _schema(text: str) -> pa.Schema:
-    return pa.schema([(n, _ARROW[t]) for n, t in (c.split() for c in text.split(", "))])
+    return to_arrow_schema(StructType.fromDDL(text))
 
 
 def _state(track: Track) -> dict:
-    return {n: getattr(track, n) for n in ("x_fs", "y", "d", "innovation", "scale", "step_offset", "in_segment", "since_accept", "rejects_in_row", "reject_fraction", "flags")}
+    return {n: getattr(track, n) for n in _PLAIN} | {"buffer": [{"epoch": e, "value": float(v)} for e, v in track.buffer]}
+
+
+def _restored(row: dict) -> Track:
+    """The track that a row keeps."""
+    return Track(epoch=row["epoch"], buffer=[(b["epoch"], b["value"]) for b in row["buffer"]], **{n: row[n] for n in _PLAIN})
 
 
 def _by_epoch(table: pa.Table) -> dict[int, list[dict]]:
@@ -51,7 +64,7 @@ def _by_epoch(table: pa.Table) -> dict[int, list[dict]]:
 
 def _epochs(measured: list[int], active) -> Iterator[int]:
     """Every epoch with rows, and those between while active() says that some series is still tracked."""
-    for here, following in zip(measured, [*measured[1:], None], strict=True):
+    for here, following in zip_longest(measured, measured[1:]):
         yield here
         between = here + 1
         while following is not None and between < following and active():
@@ -59,12 +72,24 @@ def _epochs(measured: list[int], active) -> Iterator[int]:
             between += 1
 
 
-def _pair_fold(table: pa.Table, is_reference: bool) -> Iterator[dict]:
-    rows, channel = _by_epoch(table), table.column("channel")[0].as_py()
-    tracks: dict[tuple[str, str], Track] = {}
-    settings: dict[tuple[str, str], Settings] = {}
-    last_z: dict[tuple[str, str], int] = {}
-    for epoch in _epochs(sorted(rows), lambda: any(t.tracked for t in tracks.values())):
+def _from(before: int | None, measured: list[int]) -> list[int]:
+    """The measured epochs, after the one from which carried rows go on."""
+    later = [e for e in measured if before is None or e > before]
+    return later if before is None or not later else [before, *later]
+
+
+def _pair_fold(channel: str, table: pa.Table, carried: list[dict], is_reference: bool) -> Iterator[dict]:
+    rows = _by_epoch(table)
+    tracks: dict[tuple[str, str], Track] = {(r["ref"], r["clock"]): _restored(r) for r in carried if "O" not in r["flags"]}
+    settings: dict[tuple[str, str], Settings] = {(r["ref"], r["clock"]): Settings(**r["settings"]) for r in carried}
+    last_z: dict[tuple[str, str], int] = {(r["ref"], r["clock"]): r["last_z"] for r in carried if r["last_z"] is not None}
+    before = max((r["epoch"] for r in carried), default=None)
+    for epoch in _epochs(_from(before, sorted(rows)), lambda: any(t.tracked for t in tracks.values())):
+        if epoch == before:
+            continue
+        for pair, track in tracks.items():
+            if track.epoch is not None and track.epoch + 1 < epoch:
+                tracks[pair] = Track()
         read = {(r["ref"], r["clock"]): r for r in rows.get(epoch, []) if r["phase"] is not None}
         here = {p: r for p, r in read.items() if not r["disabled"]}
         for pair, r in sorted(read.items()):
@@ -88,7 +113,7 @@ def _pair_fold(table: pa.Table, is_reference: bool) -> Iterator[dict]:
         nu = {pair: float(v) for pair, v in off.items()}
         settled = {p for p, t in tracks.items() if t.epoch is not None and not screening.UNSETTLED & set(t.flags)}
         screened = _screened_references if is_reference else _screened_clock
-        excluded, held, corrections = screened(here, nu, scale, facts, settled)
+        excluded, held, corrections = screened(here, nu, scale, facts, settled) if here else (set(), set(), {})
         for pair in sorted(tracks):
             if pair in read and pair not in here:
                 continue
@@ -108,8 +133,16 @@ def _pair_fold(table: pa.Table, is_reference: bool) -> Iterator[dict]:
             yield {"channel": channel, "ref": pair[0], "clock": pair[1], "epoch": epoch, "cycles": cycles, "z": z, "rms": r["rms"] if r else None, "predicted_fs": rounded(p.x * 1000) if p else None, "started_cold": cold} | told | _state(track)
 
 
+def _quiet(nu: Iterable[float], scale: Iterable[float]) -> bool:
+    """Whether innovations are all so small that no test can fail: sums around triangles are the first to, at GATE sqrt(3 / 2) / 3 scales."""
+    most = max(map(abs, nu), default=0.0)
+    return most <= 2 * min(scale, default=np.inf) and 6 * most < screening.PERIOD_PS
+
+
 def _screened_references(here: dict, nu: dict, scale: dict, facts: list[dict], settled: set) -> tuple[set, set, dict]:
     """Pairs that are excluded, references that are held, and whole periods to add to pairs, among the references' own pairs."""
+    if _quiet(nu.values(), scale.values()):
+        return set(), set(), {}
     panel = screening.Panel({clock for _, clock in here}, nu, scale)
     screening.screen(panel)
     excluded, corrections = panel.excluded, {}
@@ -127,6 +160,10 @@ def _screened_clock(here: dict, nu: dict, scale: dict, facts: list[dict], settle
     if not nu:
         return set(), set(), {}
     clock, said = next(iter(nu))[1], [f for f in facts if f["nu"] is not None]
+    reach = max(nu.values()) - min(nu.values()) + max((abs(f["nu"]) for f in said), default=0.0)
+    alarmed = any(f["ref_held"] for f in facts) or any(f["ref"] == f["clock"] and not abs(f["nu"]) <= screening.GATE * f["prior_scale"] for f in said)
+    if not alarmed and 2 * reach < screening.PERIOD_PS:  # no reference is held or has moved by itself, and no two pairs are half a period apart
+        return set(), set(), {}
     of_links = lambda column: {(f["ref"], f["clock"]): f[column] for f in said}
     panel = screening.Panel({f["ref"] for f in facts}, of_links("nu"), of_links("prior_scale"))
     for f in said:
@@ -141,18 +178,31 @@ def _screened_clock(here: dict, nu: dict, scale: dict, facts: list[dict], settle
     return excluded | {(panel.names[j], clock) for j in np.flatnonzero(unsure)}, held, corrections
 
 
-def _folded(rows: DataFrame, keys: list[str], is_reference: bool) -> DataFrame:
+def _folded(rows: DataFrame, keys: list[str], is_reference: bool, carried: DataFrame | None = None) -> DataFrame:
     schema = _schema(PAIR)
 
-    def fold(table: pa.Table) -> pa.Table:
-        return pa.Table.from_pylist(list(_pair_fold(table, is_reference)), schema)
+    def fold(key: tuple, table: pa.Table) -> pa.Table:
+        return pa.Table.from_pylist(list(_pair_fold(key[0].as_py(), table, [], is_reference)), schema)
 
-    return rows.groupBy(*keys).applyInArrow(fold, PAIR)
+    def go_on(key: tuple, table: pa.Table, carried: pa.Table) -> pa.Table:
+        return pa.Table.from_pylist(list(_pair_fold(key[0].as_py(), table, carried.to_pylist(), is_reference)), schema)
 
+    if carried is None:
+        return rows.groupBy(*keys).applyInArrow(fold, PAIR)
+    return rows.groupBy(*keys).cogroup(carried.groupBy(*keys)).applyInArrow(go_on, PAIR)
 
-def reference_rows(rows: DataFrame) -> DataFrame:
-    """PAIR rows of the pairs whose clock is a reference; rows as `pair_inputs` gives them."""
-    return _folded(rows, ["channel"], True)
+
+def newest(rows: DataFrame, keys: Sequence[str], until: int | None = None) -> DataFrame:
+    """The row of each series that a run goes on from: the newest one, up to an epoch; last_z: the series' newest phase."""
+    kept = rows if until is None else rows.where(F.col("epoch") <= until)
+    rest = [c for c in rows.columns if c not in keys]
+    found = kept.groupBy(*keys).agg(F.max_by(F.struct(*rest), "epoch").alias("row"), F.max_by("z", F.when(F.col("z").isNotNull(), F.col("epoch"))).alias("last_z"))
+    return found.select(*keys, "row.*", "last_z")
+
+
+def reference_rows(rows: DataFrame, carried: DataFrame | None = None) -> DataFrame:
+    """PAIR rows of the pairs whose clock is a reference; rows as `pair_inputs` gives them. carried: as `newest` gives them, with settings."""
+    return _folded(rows, ["channel"], True, carried)
 
 
 def reference_facts(reference_rows: DataFrame) -> DataFrame:
@@ -162,18 +212,36 @@ def reference_facts(reference_rows: DataFrame) -> DataFrame:
     return measured.groupBy("channel", "epoch").agg(F.array_sort(F.collect_list(fact)).alias("facts"))
 
 
-def clock_rows(rows: DataFrame, facts: DataFrame) -> DataFrame:
+def clock_rows(rows: DataFrame, facts: DataFrame, carried: DataFrame | None = None) -> DataFrame:
     """PAIR rows of all other clocks' pairs."""
-    return _folded(rows.join(facts, ["channel", "epoch"], "left"), ["channel", "clock"], False)
+    return _folded(rows.join(facts, ["channel", "epoch"], "left"), ["channel", "clock"], False, carried)
+
+
+def with_settings(rows: DataFrame, settings: DataFrame, limits: tuple[DataFrame, DataFrame, Column] | None = None) -> DataFrame:
+    """Rows (clock, epoch, ...) with `settings`, without those whose clock has none.
+
+    settings has (clock, settings), or dated intervals (clock, from, settings): then those in force at the row's epoch. limits:
+    limits on rms by pair, by reference and by default, in place of the settings' own, for rows that have a ref.
+    """
+    if "from" in settings.columns:
+        given = links.settings_at(rows, settings, ["clock"], ["settings"], "epoch").where("settings IS NOT NULL")
+    else:
+        given = rows.join(settings.select("clock", "settings"), "clock").select(*rows.columns, "settings")
+    given = given.withColumn("settings", F.col("settings").cast(SETTINGS))
+    if limits is None:
+        return given
+    pairs = given.select("ref", "clock").distinct()
+    of_pair = links.limits_with_fallback(pairs, *limits).withColumnRenamed("limit", "_limit")
+    return given.join(of_pair, ["ref", "clock"]).withColumn("settings", F.col("settings").withField("rms_limit", F.col("_limit").cast("int"))).drop("_limit")
 
 
-def pair_inputs(readings: DataFrame, settings: DataFrame, steering: DataFrame | None = None, disabled: DataFrame | None = None) -> DataFrame:
-    """Readings (channel, ref, clock, epoch, delta_us, phase, rms) with settings (clock, settings) and steering columns.
+def pair_inputs(readings: DataFrame, settings: DataFrame, steering: DataFrame | None = None, disabled: DataFrame | None = None, limits: tuple[DataFrame, DataFrame, Column] | None = None) -> DataFrame:
+    """Readings (channel, ref, clock, epoch, delta_us, phase, rms) with settings, dated or not (`with_settings`), and steering columns.
 
     steering has events (ref, applied_us, dx, dy): move and rate are what they did to a pair since the last epoch, within what
     they did from the epoch's start to the reading. disabled has (clock, epoch).
     """
-    rows = readings.join(settings, "clock").select("channel", "ref", "clock", "epoch", F.col("delta_us").alias("offset_us"), "phase", "rms", F.col("settings").cast(SETTINGS).alias("settings"))
+    rows = with_settings(readings.select("channel", "ref", "clock", "epoch", F.col("delta_us").alias("offset_us"), "phase", "rms"), settings, limits)
     if steering is None:
         rows = rows.select("*", *(F.lit(0.0).alias(c) for c in ("move", "rate", "within")))
     else:
@@ -185,37 +253,60 @@ def pair_inputs(readings: DataFrame, settings: DataFrame, steering: DataFrame |
     return rows.join(off, ["clock", "epoch"], "left").select(*rows.columns, F.coalesce("_off", F.lit(False)).alias("disabled"))
 
 
-def triple_inputs(pairs: DataFrame, triples: DataFrame, settings: DataFrame) -> DataFrame:
+def triple_inputs(pairs: DataFrame, triples: DataFrame, settings: DataFrame, locations: DataFrame | None = None, earlier: DataFrame | None = None) -> DataFrame:
     """Double differences of accepted pairs: channel, r, s, c, epoch, z, sigma, used, restarted, settings.
 
-    z(s,c) + (z(r,s) - z(s,r)) / 2; where one direction is missing, the round trip that both pairs predict stands in.
+    z(s,c) + (z(r,s) - z(s,r)) / 2; where one direction is missing, the round trip that both pairs predict stands in. triples
+    may have `since`, their first epoch. locations: dated intervals (clock, from, location), of which s and c must have the same
+    at the epoch. earlier: pair rows of a run before this one, for links of epochs that it still walks through.
     """
     accepted = F.col("flags").contains("A")
-    part = pairs.select("channel", "ref", "clock", "epoch", F.when(accepted, F.col("z")).alias("z"), F.when(accepted, F.col("rms")).alias("rms"), F.col("predicted_fs").alias("p"), F.col("started_cold").alias("cold"))
-    leg = lambda a, b, n: part.select("channel", F.col("ref").alias(a), F.col("clock").alias(b), "epoch", *(F.col(c).alias(f"{n}_{c}") for c in ("z", "rms", "p", "cold")))
-    joined = triples.join(leg("s", "c", "sc"), ["s", "c"]).join(leg("r", "s", "rs"), ["channel", "r", "s", "epoch"], "left").join(leg("s", "r", "sr"), ["channel", "s", "r", "epoch"], "left")
-    local = F.col("r") == F.col("s")
-    there, back, trip = F.col("rs_z"), F.col("sr_z"), F.col("rs_p") + F.col("sr_p")
+    told = lambda rows: rows.select("channel", "ref", "clock", "epoch", F.when(accepted, F.col("z")).alias("z"), F.when(accepted, F.col("rms")).alias("rms"), F.col("predicted_fs").alias("p"), F.col("started_cold").alias("cold"))
+    legs = told(pairs).select("channel", F.col("ref").alias("s"), F.col("clock").alias("c"), "epoch", *(F.col(n).alias(f"sc_{n}") for n in ("z", "rms", "p", "cold")))
+    both = told(pairs if earlier is None else pairs.unionByName(earlier)).where("ref <> clock").join(triples.select(F.col("r").alias("clock")).union(triples.select("s")).distinct(), "clock", "left_semi")
+    low, high = F.least("ref", "clock").alias("low"), F.greatest("ref", "clock").alias("high")
+    up = F.when(F.col("ref") < F.col("clock"), F.struct("z", "rms", "p", "cold")).alias("up")
+    down = F.when(F.col("ref") > F.col("clock"), F.struct("z", "rms", "p", "cold")).alias("down")
+    link = both.select("channel", low, high, "epoch", up, down).groupBy("channel", "low", "high", "epoch").agg(F.max("up").alias("up"), F.max("down").alias("down"))
+    local, forth = F.col("r") == F.col("s"), F.col("r") < F.col("s")
+    placed = triples.withColumn("low", F.least("r", "s")).withColumn("high", F.greatest("r", "s"))
+    joined = legs.join(placed, ["s", "c"])
+    if "since" in triples.columns:
+        joined = joined.where("epoch >= since")
+    if locations is not None:
+        for side, name in (("s", "_s"), ("c", "_c")):
+            joined = links.settings_at(joined, locations.withColumnRenamed("clock", side), [side], ["location"], "epoch").withColumnRenamed("location", name)
+        joined = joined.where("_s = _c")
+    joined = joined.join(link, ["channel", "low", "high", "epoch"], "left")
+    rs, sr = F.when(forth, F.col("up")).otherwise(F.col("down")), F.when(forth, F.col("down")).otherwise(F.col("up"))
+    there, back, trip = rs["z"], sr["z"], rs["p"] + sr["p"]
     both_fs = 500 * (there - back)
     fs = F.when(local, F.lit(0)).otherwise(F.coalesce(both_fs, 1000 * there - trip / 2, trip / 2 - 1000 * back))
     used = F.when(local | both_fs.isNotNull(), "111").when((1000 * there - trip).isNotNull(), "110").when((trip - 1000 * back).isNotNull(), "101")
-    square = lambda c: F.col(c).cast("double") * F.col(c)
-    variance = F.when(used == "111", square("sc_rms") + F.lit(0.25) * (square("rs_rms") + square("sr_rms"))).when(used == "110", square("sc_rms") + square("rs_rms")).otherwise(square("sc_rms") + square("sr_rms"))
-    cold = lambda c: F.coalesce(F.col(c), F.lit(False))
-    restarted = F.when(local, cold("sc_cold")).otherwise(cold("sc_cold") | cold("rs_cold") | cold("sr_cold"))
+    square = lambda c: c.cast("double") * c
+    own = square(F.col("sc_rms"))
+    variance = F.when(used == "111", own + F.lit(0.25) * (square(rs["rms"]) + square(sr["rms"]))).when(used == "110", own + square(rs["rms"])).otherwise(own + square(sr["rms"]))
+    cold = lambda c: F.coalesce(c, F.lit(False))
+    restarted = F.when(local, cold(F.col("sc_cold"))).otherwise(cold(F.col("sc_cold")) | cold(rs["cold"]) | cold(sr["cold"]))
     z = F.col("sc_z") + F.rint(fs / 1000.0).cast("long")
-    rows = joined.select("channel", "r", "s", "c", "epoch", F.when(used.isNotNull(), z).alias("z"), F.when(local, F.col("sc_rms").cast("double")).otherwise(F.sqrt(variance)).alias("sigma"), used.alias("used"), restarted.alias("restarted"))
-    return rows.join(settings.withColumnRenamed("clock", "c"), "c").select("channel", "r", "s", "c", "epoch", "z", "sigma", "used", "restarted", F.col("settings").cast(SETTINGS).alias("settings"))
+    rows = joined.select("channel", "r", "s", F.col("c").alias("clock"), "epoch", F.when(used.isNotNull(), z).alias("z"), F.when(local, F.col("sc_rms").cast("double")).otherwise(F.sqrt(variance)).alias("sigma"), used.alias("used"), restarted.alias("restarted"))
+    return with_settings(rows, settings).withColumnRenamed("clock", "c").select("channel", "r", "s", "c", "epoch", "z", "sigma", "used", "restarted", "settings")
 
 
-def triple_rows(rows: DataFrame) -> DataFrame:
-    """TRIPLE rows from `triple_inputs`: the same transition, with no limit on rms and no screening."""
+def triple_rows(rows: DataFrame, carried: DataFrame | None = None) -> DataFrame:
+    """TRIPLE rows from `triple_inputs`: the same transition, with no limit on rms and no screening. carried: as for pairs."""
     schema = _schema(TRIPLE)
 
-    def fold(table: pa.Table) -> pa.Table:
-        by_epoch, track, out, settings = _by_epoch(table), Track(), [], None
-        first = table.slice(0, 1).to_pylist()[0]
-        for epoch in _epochs(sorted(by_epoch), lambda: track.tracked):
+    def walk(key: tuple, table: pa.Table, carried: list[dict]) -> pa.Table:
+        by_epoch, out, names = _by_epoch(table), [], dict(zip(TRIPLE_KEYS, (k.as_py() for k in key), strict=True))
+        track, settings, before = Track(), None, None
+        for r in carried:
+            track, settings, before = _restored(r), Settings(**(r["settings"] | {"rms_limit": None})), r["epoch"]
+        for epoch in _epochs(_from(before, sorted(by_epoch)), lambda: track.tracked):
+            if epoch == before:
+                continue
+            if track.epoch is not None and track.epoch + 1 < epoch:
+                track = Track()
             r = by_epoch.get(epoch, [None])[0]
             settings = Settings(**(r["settings"] | {"rms_limit": None})) if r else settings
             reading = Reading(r["z"], r["sigma"]) if r and r["z"] is not None else None
@@ -223,7 +314,9 @@ def triple_rows(rows: DataFrame) -> DataFrame:
             if "D" in track.flags and "P" in track.flags:
                 track = Track()
                 continue
-            out.append({k: first[k] for k in ("channel", "r", "s", "c")} | {"epoch": epoch, "z": reading.z if reading else None, "sigma": reading.floor if reading else None, "used": r["used"] if reading else None, "started_cold": cold} | _state(track))
+            out.append(names | {"epoch": epoch, "z": reading.z if reading else None, "sigma": reading.floor if reading else None, "used": r["used"] if reading else None, "started_cold": cold} | _state(track))
         return pa.Table.from_pylist(out, schema)
 
-    return rows.groupBy("channel", "r", "s", "c").applyInArrow(fold, TRIPLE)
+    if carried is None:
+        return rows.groupBy(*TRIPLE_KEYS).applyInArrow(lambda key, table: walk(key, table, []), TRIPLE)
+    return rows.groupBy(*TRIPLE_KEYS).cogroup(carried.groupBy(*TRIPLE_KEYS)).applyInArrow(lambda key, table, old: walk(key, table, old.to_pylist()), TRIPLE)

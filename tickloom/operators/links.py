@@ -65,6 +65,18 @@ def setting_intervals(entries: DataFrame, keys: Sequence[str], values: Sequence[
     return ended.where(F.col("to").isNull() | ~F.col("from").eqNullSafe(F.col("to"))).drop("_order")
 
 
+def setting_changes(intervals: DataFrame, keys: Sequence[str], values: Sequence[str], after: Column, until: Column) -> DataFrame:
+    """keys, at, values and old values of the dates in (after, until] from which other settings are in force than before.
+
+    Settings are compared as one struct each, nulls being equal; an interval that repeats the one before is no change, the
+    first one of a key is.
+    """
+    w = Window.partitionBy(*keys).orderBy(F.col("from").asc_nulls_first())
+    both = intervals.select(*keys, F.col("from").alias("at"), F.struct(*values).alias("new"), F.lag(F.struct(*values)).over(w).alias("old"))
+    changed = both.where((F.col("at") > after) & (F.col("at") <= until) & ~F.col("new").eqNullSafe(F.col("old")))
+    return changed.select(*keys, "at", *(F.col(f"new.{v}").alias(v) for v in values), *(F.col(f"old.{v}").alias(f"old_{v}") for v in values))
+
+
 def settings_at(rows: DataFrame, intervals: DataFrame, keys: Sequence[str], values: Sequence[str], at: str) -> DataFrame:
     """rows with the settings in force at each row, null before the first.
 

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import numeric, timefn
-from ..operators import links, series, stretches
+from ..operators import history, links, series, stretches
+from ..sources.staging import staged
 from .proxies import INNOVATIONS, LIMITS, QUIET, RAW, READINGS, changes, changes_sql, innovations, quiet, raw, readings, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -214,6 +215,19 @@ def settings_asof(spark, sf_dir):
     return links.settings_at(asked, intervals, ["k"], ["priority", "status"], "o_orderdate").select("o_orderkey", "priority", "status")
 
 
+@query("""WITH e AS (SELECT o_custkey AS k, o_orderdate AS d, o_orderkey AS o, o_orderpriority AS p, CASE WHEN o_orderstatus <> 'F' THEN o_orderstatus END AS t FROM orders),
+h AS (SELECT k, d, o, last_value(p IGNORE NULLS) OVER w AS p, last_value(t IGNORE NULLS) OVER w AS t FROM e WINDOW w AS (PARTITION BY k ORDER BY d, o ROWS UNBOUNDED PRECEDING)),
+u AS (SELECT * FROM h QUALIFY row_number() OVER (PARTITION BY k, d ORDER BY o DESC) = 1),
+c AS (SELECT k, d, p, t, lag(p) OVER w AS op, lag(t) OVER w AS ot, row_number() OVER w AS n FROM u WINDOW w AS (PARTITION BY k ORDER BY d))
+SELECT k, d AS at, p AS priority, t AS status, op AS old_priority, ot AS old_status FROM c
+WHERE d > TIMESTAMP '1996-01-01' AND d <= TIMESTAMP '1999-06-30' AND (n = 1 OR p IS DISTINCT FROM op OR t IS DISTINCT FROM ot)""")
+def settings_changes(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders")
+    entries = orders.select(F.col("o_custkey").alias("k"), "o_orderdate", "o_orderkey", F.col("o_orderpriority").alias("priority"), F.when(F.col("o_orderstatus") != "F", F.col("o_orderstatus")).alias("status"))
+    intervals = links.setting_intervals(entries, ["k"], ["priority", "status"], "o_orderdate", "o_orderkey")
+    return links.setting_changes(intervals, ["k"], ["priority", "status"], F.lit("1996-01-01").cast("timestamp"), F.lit("1999-06-30").cast("timestamp"))
+
+
 @query("""WITH p AS (SELECT DISTINCT l_suppkey AS ref, l_partkey AS clock FROM lineitem), o AS (SELECT ref, clock, min(l_quantity) AS lim FROM p JOIN lineitem ON l_suppkey = ref AND l_partkey = clock WHERE l_partkey % 3 = 0 GROUP BY ALL),
 r AS (SELECT s_suppkey AS ref, s_acctbal AS lim FROM supplier WHERE s_suppkey % 2 = 0) SELECT p.ref, p.clock, coalesce(o.lim, r.lim, 50.0) AS lim FROM p LEFT JOIN o USING (ref, clock) LEFT JOIN r ON r.ref = p.ref""")
 def limit_fallback(spark, sf_dir):
@@ -376,13 +390,11 @@ def bad_stretches(spark, sf_dir):
     return stretches.bad_stretches(c, 6)
 
 
-def _history(spark, sf_dir):
-    """Pair rows of four references that measure each other and eleven clocks whose phases drift, with the events' gaps.
+def _deployment(spark, sf_dir):
+    """Readings and setup of four references that measure each other and eleven clocks whose phases drift, with the events' gaps.
 
     Every event is a reading: where several fall on one pair and epoch, each goes to a channel of its own.
     """
-    from ..operators import folds
-
     r = raw(spark, sf_dir).select(F.concat(F.lit("mc"), (F.col("user_id") % 4).cast("string")).alias("ref"), (F.col("user_id") % 15).alias("n"), "epoch", "delta_us", "event_id")
     clock = F.when(F.col("n") < 4, F.concat(F.lit("mc"), F.col("n").cast("string"))).otherwise(F.concat(F.lit("u"), F.col("n").cast("string")))
     epoch = F.floor(F.col("epoch") / 24).cast("long")
@@ -391,26 +403,20 @@ def _history(spark, sf_dir):
     data = r.select(channel.alias("channel"), "ref", clock.alias("clock"), epoch.alias("epoch"), (F.col("delta_us") % 1_000_000).alias("delta_us"), phase.alias("phase"), F.lit(3).alias("rms"), "event_id")
     first = series.first_readings(data, ["channel", "ref", "clock"], ["event_id"])
     value = F.struct(F.lit(2).alias("states"), F.lit(20.0).alias("m"), F.lit(30.0).alias("m_sigma"), F.lit(50.0).alias("sigma0"), F.lit(40).alias("gap_limit"), F.lit(12).alias("breaks_at"), F.lit(144.0).alias("fraction_epochs"), F.lit(0.5).alias("fraction_limit"), F.lit(50).alias("rms_limit"))
-    settings = first.select("clock").distinct().withColumn("settings", value)
-    rows = folds.pair_inputs(first, settings)
-    own = links.is_reference(F.col("clock"))
-    refs = folds.reference_rows(rows.where(own))
-    return refs.unionByName(folds.clock_rows(rows.where(~own), folds.reference_facts(refs))), settings
+    return staged(first.drop("event_id"), "readings"), history.Setup(first.select("clock").distinct().withColumn("settings", value))
 
 
 @query()
 def pair_history(spark, sf_dir):
-    return _history(spark, sf_dir)[0]
+    return history.pair_history(*_deployment(spark, sf_dir))
 
 
 @query()
 def triple_history(spark, sf_dir):
-    from ..operators import folds
-
-    pairs, settings = _history(spark, sf_dir)
+    data, setup = _deployment(spark, sf_dir)
+    pairs = staged(history.pair_history(data, setup), "pairs")
     known = links.pair_registry(pairs.where("z IS NOT NULL"))
-    names = known.select(F.col("ref").alias("name")).union(known.select("clock")).distinct().withColumn("location", F.lit(1))
-    return folds.triple_rows(folds.triple_inputs(pairs, links.triple_registry(known, names).drop("since"), settings))
+    return history.triple_history(pairs, history.known_triples(known, setup).drop("since"), setup)
 
 
 @query()
