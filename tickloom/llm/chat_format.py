@@ -6,7 +6,8 @@ is turned into the tokens that the placeholder will expand to. All of it is Data
 
 A turn is written `<|role|>` body `</s>`, a conversation `<s>` turns. Inside roles and texts a backslash is put after the
 first character of every control string and before every backslash, so that no control string is left and taking each
-backslash's own backslash away gives the text back.
+backslash's own backslash away gives the text back. Where a text part ends in what may be the beginning of a control string
+and another text part follows, a backslash goes after that beginning's first character too.
 
 Placeholders are numbered and spans placed by running sums over a conversation's parts, each part a row, so the work grows
 with a conversation's length and no faster. A conversation is one value of the result, so its rows meet in one task by the
@@ -26,6 +27,8 @@ BEGIN, END = "<s>", "</s>"
 #: Control strings that may not appear inside a text; the escape goes after their first character.
 CONTROL = ("<s>", "</s>", "[INST]", "[/INST]", "<|", "|>")
 _ESCAPED = r"\\|<(?=/?s>|\|)|\[(?=/?INST\])|\|(?=>)"
+#: What may be the beginning of a control string at a part's end.
+_BEGUN = r"([<\[|])(/?(?:s|I|IN|INS|INST)?)\z"
 #: Tokens for one unit of size: an image's 14 x 14 patch, a second of audio, a page of a document.
 UNIT_TOKENS = {"image": 1.0, "audio": 25.0, "document": 1024.0}
 #: Loss spans beyond which a string is cut into characters before they are taken out.
@@ -72,12 +75,15 @@ def format_conversations(messages: DataFrame, id_col: str = "conv_id", turn_col:
     visited = numbered.select("conv_id", "n", "role", F.greatest(F.size("parts"), F.lit(1)).alias("n_parts"), F.posexplode_outer("parts").alias("pos", "part")).withColumn("pos", F.coalesce("pos", F.lit(0)))
     so_far = own.orderBy("n", "pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     part = F.col("part")
-    counted = visited.withColumn("number", F.sum(F.when(_is_text(part), 0).otherwise(1)).over(so_far))
+    goes_on = F.coalesce(F.lead(F.when(_is_text(part), F.col("n"))).over(own.orderBy("n", "pos")) == F.col("n"), F.lit(False))
+    counted = visited.select("*", F.sum(F.when(_is_text(part), 0).otherwise(1)).over(so_far).alias("number"), goes_on.alias("goes_on"))
+    text = escape(F.coalesce(part["text"], F.lit("")))
+    text = F.when(F.col("goes_on"), F.regexp_replace(text, _BEGUN, r"$1\\$2")).otherwise(text)
     placeholder = F.concat(F.lit("<|"), escape(part["type"]), F.lit(":"), F.col("number").cast("string"), F.lit("|>"))
     shown = counted.select(
         "*",
         F.when(F.col("pos") == 0, F.concat(F.lit("<|"), escape(F.col("role")), F.lit("|>"))).otherwise("").alias("head"),
-        F.when(_is_text(part), escape(F.coalesce(part["text"], F.lit("")))).otherwise(placeholder).alias("body"),
+        F.when(_is_text(part), text).otherwise(placeholder).alias("body"),
         F.when(F.col("pos") == F.col("n_parts") - 1, END).otherwise("").alias("tail"),
     )
     length = lambda *names: sum((F.char_length(c).cast("long") for c in names[1:]), F.char_length(names[0]).cast("long"))

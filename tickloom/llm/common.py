@@ -203,6 +203,17 @@ def rolling_hashes(h: np.ndarray, k: int, seed: int = 1) -> np.ndarray:
     return mixed((sums[k:] - sums[:-k]) * _powers(pow(_BASE, -1, 1 << 64), n))
 
 
+class RunHashes:
+    """Karp-Rabin hashes of runs of any length: equal for equal runs of numbers, wherever they are."""
+
+    def __init__(self, h: np.ndarray):
+        self.sums = np.r_[np.uint64(0), np.cumsum(mixed(h + np.uint64(1)) * _powers(_BASE, len(h)))]
+        self.back = _powers(pow(_BASE, -1, 1 << 64), len(h) + 1)
+
+    def of(self, at: np.ndarray, length: np.ndarray) -> np.ndarray:
+        return (self.sums[at + length] - self.sums[at]) * self.back[at]
+
+
 class Words:
     """The words of many texts, end to end: hash, text number and position of each, and the words left in its text."""
 

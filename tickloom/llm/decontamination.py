@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import WORD_TABLE_ENTRIES, WORD_TABLE_LETTERS, Scratch, block_count, found_in, mixed, rolling_hashes, slices, texts
+from .common import RunHashes, WORD_TABLE_ENTRIES, WORD_TABLE_LETTERS, Scratch, block_count, found_in, mixed, rolling_hashes, slices, texts
 
 MIN_MATCH, COVERAGE = 5, 0.6
 #: Tokens of the benchmark that may be sent to every task: 16 bytes each, some 32 MB.
@@ -65,41 +65,71 @@ def tile(text: np.ndarray, item: np.ndarray, min_match: int) -> list[tuple[int,
     """Tiles (start in text, start in item, length), each token in one tile at most."""
     free_text, free_item = np.ones(len(text), bool), np.ones(len(item), bool)
     tiles: list[tuple[int, int, int]] = []
-    search = len(item)
+    search, runs_of = len(item), (RunHashes(text), RunHashes(item))
     while search >= min_match:
-        line = _matches(text, item, free_text, free_item, search)
+        line = _matches(text, item, free_text, free_item, search, runs_of)
         heapify(line)
-        while line:
+        while line and free_item.any():
             length, j, i = heappop(line)
             open_ = free_text[i : i - length] & free_item[j : j - length]
             if open_.all():
-                free_text[i : i - length] = free_item[j : j - length] = False
-                tiles.append((i, j, -length))
+                if np.array_equal(text[i : i - length], item[j : j - length]):  # runs are told by hashes
+                    free_text[i : i - length] = free_item[j : j - length] = False
+                    tiles.append((i, j, -length))
                 continue
-            for a, z in slices(np.cumsum(~open_) * 2 + open_):  # what is left of it, as far as it is long enough
+            for a, z in slices(np.cumsum(~open_) * 2 + open_) if open_.sum() >= search else ():  # what is left of it, as far as it is long enough
                 if open_[a] and z - a >= search:
                     heappush(line, (int(a - z), j + a, i + a))
         search = 0 if search == min_match or not free_item.any() else max(min_match, search // 2)
     return tiles
 
 
-def _matches(text: np.ndarray, item: np.ndarray, free_text: np.ndarray, free_item: np.ndarray, search: int) -> list[tuple[int, int, int]]:
-    """Maximal runs (minus length, start in item, start in text) of at least search equal, free tokens."""
+def _matches(text: np.ndarray, item: np.ndarray, free_text: np.ndarray, free_item: np.ndarray, search: int, runs_of: tuple[RunHashes, RunHashes]) -> list[tuple[int, int, int]]:
+    """Maximal runs (minus length, start in item, start in text) of at least search equal, free tokens.
+
+    A run starts where the tokens before it differ or are not free, so only pairs of windows with different tokens before them
+    are made, and each is extended to its end by halving; texts of repeated tokens have few of them.
+    """
     (at, h), (item_at, item_h) = _free_windows(text, free_text, search), _free_windows(item, free_item, search)
-    order = np.argsort(item_h, kind="stable")
-    item_at, item_h = item_at[order], item_h[order]
+    pair = np.unique(np.concatenate((item, text)), return_inverse=True)[1] + 2
+    item_before, before = _before(pair[: len(item)], free_item, 0)[item_at], _before(pair[len(item) :], free_text, 1)[at]
+    order = np.lexsort((item_before, item_h))
+    item_at, item_h, item_before = item_at[order], item_h[order], item_before[order]
     low, high = np.searchsorted(item_h, h, "left"), np.searchsorted(item_h, h, "right")
-    hits = high - low
-    i = np.repeat(at, hits)
-    j = item_at[np.repeat(low - (np.cumsum(hits) - hits), hits) + np.arange(len(i))]
-    same = np.ones(len(i), bool)
-    for k in range(search if len(i) else 0):
-        same &= text[i + k] == item[j + k]
-    i, j = i[same], j[same]
-    order = np.lexsort((i, i - j))
-    i, j = i[order], j[order]
-    run = np.cumsum(np.r_[True, (np.diff(i - j) != 0) | (np.diff(i) != 1)]) if len(i) else i
-    return [(int(a - z - search + 1), int(j[a]), int(i[a])) for a, z in slices(run)]
+    # in the item's windows of one hash, those with the token before the text's window lie together
+    group, n = np.unique(item_h, return_inverse=True)[1], len(pair) + 2
+    own = (group[np.minimum(low, len(group) - 1)] if len(group) else low) * n + before
+    same_low, same_high = (np.where(high > low, np.searchsorted(group * n + item_before, own, side), low) for side in ("left", "right"))
+    starts = [(np.repeat(at, z - a), item_at[_spread(a, z)]) for a, z in ((low, same_low), (same_high, high))]
+    i, j = (np.concatenate(c) for c in zip(*starts, strict=True))
+    limit = np.minimum(_room(free_text)[i], _room(free_item)[j])
+    length, step = np.full(len(i), search), 1 << max(0, int(limit.max(initial=1)).bit_length() - 1)
+    while step:
+        longer = length + step
+        fits = np.flatnonzero(longer <= limit)
+        fits = fits[runs_of[0].of(i[fits], longer[fits]) == runs_of[1].of(j[fits], longer[fits])]
+        length[fits] = longer[fits]
+        step //= 2
+    return list(zip((-length).tolist(), j.tolist(), i.tolist(), strict=True))
+
+
+def _spread(a: np.ndarray, z: np.ndarray) -> np.ndarray:
+    """The numbers from each a up to its z, end to end."""
+    n = z - a
+    return np.repeat(a - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
+
+
+def _before(side: np.ndarray, free: np.ndarray, mark: int) -> np.ndarray:
+    """The token before each place where it is free, else a mark that is no token."""
+    out = np.full(len(side), mark, np.int64)
+    out[1:][free[:-1]] = side[:-1][free[:-1]]
+    return out
+
+
+def _room(free: np.ndarray) -> np.ndarray:
+    """Free tokens from each place on."""
+    ends = np.flatnonzero(np.r_[~free, True])
+    return ends[np.searchsorted(ends, np.arange(len(free)))] - np.arange(len(free))
 
 
 def _free_windows(side: np.ndarray, free: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:

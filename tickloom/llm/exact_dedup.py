@@ -62,20 +62,25 @@ def exact_dedup(spark: SparkSession, path: str, id_col: str = "doc_id", text_col
     work, source = shared_dir(spark, "exact-dedup"), _stream_path(spark, path)
     schema = spark.read.parquet(path).schema
     text = normalised(F.col(text_col))
-    columns = [
-        digest(text).alias("digest"),
-        F.col(id_col).cast("long").alias("doc_id"),
-        F.char_length(F.coalesce(F.col(text_col), F.lit(""))).cast("long").alias("n_chars"),
-        F.col("_metadata.file_path").alias("file_path"),
-        F.col("_metadata.row_index").alias("row_index"),
-    ]
+
+    def columns(source: DataFrame) -> list[Column]:
+        """The columns of a row's state and its place; the table may have a column _metadata of its own."""
+        place = source.metadataColumn("_metadata")
+        return [
+            digest(text).alias("digest"),
+            F.col(id_col).cast("long").alias("doc_id"),
+            F.char_length(F.coalesce(F.col(text_col), F.lit(""))).cast("long").alias("n_chars"),
+            place["file_path"].alias("file_path"),
+            place["row_index"].alias("row_index"),
+        ]
 
     def read(schema, at: str) -> DataFrame:
         reader = spark.readStream.schema(schema)
         return (reader.option("maxFilesPerTrigger", files_per_batch) if files_per_batch else reader).parquet(at)
 
     with settings(spark, ROCKSDB):
-        digests = read(schema, source).select(*columns)
+        told = read(schema, source)
+        digests = told.select(*columns(told))
         digests.writeStream.format("parquet").option("checkpointLocation", f"{work}/digests-log").option("path", f"{work}/digests").trigger(availableNow=True).start().awaitTermination()
         best = F.min(F.struct((-F.col("n_chars")).alias("less"), F.col("doc_id").isNull().alias("no_id"), "doc_id", "file_path", "row_index")).alias("best")
         state = read(digests.schema, f"{work}/digests").groupBy("digest").agg(best, F.count(F.lit(1)).alias("group_size"))
@@ -105,7 +110,8 @@ def exact_dedup(spark: SparkSession, path: str, id_col: str = "doc_id", text_col
     result = _joined(rows, newest, ["digest"])
     if mixed.isEmpty():
         return result
-    exact = spark.read.schema(schema).parquet(path).select(*columns, text.alias("content")).join(mixed, "digest", "left_semi")
+    told = spark.read.schema(schema).parquet(path)
+    exact = told.select(*columns(told), text.alias("content")).join(mixed, "digest", "left_semi")
     split = exact.groupBy("digest", "content").agg(best, F.count(F.lit(1)).alias("group_size"))
     return result.join(mixed, "digest", "left_anti").unionByName(_joined(exact, split, ["digest", "content"]))
 
@@ -121,5 +127,6 @@ def kept_rows(docs: DataFrame) -> DataFrame:
     docs.write.option("compression", "zstd").parquet(path)
     stay = exact_dedup(spark, path).where("kept").select("file_path", "row_index")
     source = spark.read.schema(docs.schema).parquet(path)
-    located = source.select(F.struct(*[source[c] for c in source.columns]).alias("row"), F.col("_metadata.file_path").alias("at_file"), F.col("_metadata.row_index").alias("at_row"))
+    place = source.metadataColumn("_metadata")
+    located = source.select(F.struct(*[source[c] for c in source.columns]).alias("row"), place["file_path"].alias("at_file"), place["row_index"].alias("at_row"))
     return located.join(stay, (F.col("at_file") == stay.file_path) & (F.col("at_row") == stay.row_index), "left_semi").select("row.*")

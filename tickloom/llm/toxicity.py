@@ -38,7 +38,8 @@ STEMS = (4, 5, 6, 7)
 INSULTS = frozenset("idiot moron stupid dumb loser scum trash pathetic worthless disgusting clown".split())
 SECOND_PERSON = frozenset("you your yours yourself u ur tu toi te ton ta tes vous votre vos du dich dir dein deine ihr euch euer ti tú usted vosotros vuestro".split())
 _TRIM = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
-_OBFUSCATED = re.compile(r"[^\W\d_]+[\d@$!*#%&+|]+[^\W\d_]+|(.)\1\1\1")
+#: Marks between two letters, or four equal characters; one letter on either side is enough, and takes time in proportion.
+_OBFUSCATED = re.compile(r"[^\W\d_][\d@$!*#%&+|]+[^\W\d_]|(.)\1\1\1")
 NEAR = 6
 NAMES = ("fixed", "words", "stems", "odds", "top", "near", "any_near", "capitals", "capital_words", "exclaim", "marks", "digits", "obfuscated", "obfuscated_hits", "length", "hits", "share_hit", "long_stems")
 
