@@ -9,7 +9,8 @@ sum over the V kept terms.
    (lang, term), so that all of a term's counts in a language meet in one shard, however frequent it is: a task sends one row
    a group and term.
 2. Each shard's counts are summed and thinned to the kept terms by one SQL statement in DuckDB, in memory.
-3. Spark sums N and V. These totals, a row a group, go to each shard, whose second SQL statement gives the differences
+3. Spark sums N and V. The kept terms are few, so several shards become one; the totals, a row a group, go to each, and a
+   second SQL statement gives the differences
    between each two sources of a language, summed over the shard's terms, and each group's best terms of the shard.
 4. Spark adds the sums up and ranks.
 
@@ -30,15 +31,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch, input_bytes, utf8
+from .common import Scratch, block_count, input_bytes, utf8
 
 #: Counts are taken out of SCALE, with PRIOR more of each term.
 SCALE, PRIOR = 1_000_000_000, 5
-#: Shards at least, and bytes of input in a shard. A shard returns a row for each two sources, so their number follows the
-#: input alone and not the shuffle's partitions.
+#: Bytes of input in a shard of counts.
+COUNTED_BYTES = 8 << 20
+#: Shards of kept terms at least, and bytes of input in one; each takes several shards of counts. It returns a row for each two
+#: sources, so their number follows the input alone and not the shuffle's partitions.
 SHARDS, SHARD_BYTES = 8, 32 << 20
 #: Entries of a task's counts before they are sent on.
-ENTRIES = 400_000
+ENTRIES = 200_000
 #: Every byte as it counts in terms: letters lowered, bytes of characters beyond ASCII as they are, others as a blank.
 _AS_TERM = bytes(b if b > 0x7F or 0x61 <= b <= 0x7A else b + 32 if 0x41 <= b <= 0x5A else 0x20 for b in range(256))
 _COUNTS = "lang string, source string, term string, n long, docs long"
@@ -72,7 +75,8 @@ QUALIFY row_number() OVER (PARTITION BY a.lang, a.source ORDER BY value DESC, it
 def audit_sources(docs: DataFrame, least_docs: int = 30, top_terms: int = 50, shards: int | None = None) -> DataFrame:
     """Rows (lang, source, part, item, value, rank): part pair has each other source of the language, part term the top_terms terms that the group has more of than its language."""
     scratch = Scratch(docs.sparkSession, "divergence")
-    shards = shards or max(SHARDS, input_bytes(docs) // SHARD_BYTES)
+    fewer = shards or max(SHARDS, input_bytes(docs) // SHARD_BYTES)
+    shards = shards or block_count(docs, COUNTED_BYTES)
     named = docs.select(*(F.coalesce(docs[c], F.lit("")).alias(c) for c in ("lang", "source", "text")))
     counts = named.mapInArrow(_counted, _COUNTS).withColumn("shard", F.pmod(F.xxhash64("lang", "term"), F.lit(shards)).cast("int"))
 
@@ -88,8 +92,8 @@ def audit_sources(docs: DataFrame, least_docs: int = 30, top_terms: int = 50, sh
             db.register("kept", kept).register("totals", totals).execute(_SHARES)
             return pa.concat_tables([db.sql(_PAIRS).to_arrow_table(), db.sql(_TERMS, params={"most": top_terms}).to_arrow_table()])
 
-    everywhere = groups.withColumn("at", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
-    found = kept.drop("leads").groupBy("shard").cogroup(everywhere.groupBy("at")).applyInArrow(compare, "lang string, source string, part string, item string, value long")
+    everywhere = groups.withColumn("at", F.explode(F.sequence(F.lit(0), F.lit(fewer - 1))))
+    found = kept.drop("leads").withColumn("shard", F.pmod("shard", F.lit(fewer)).cast("int")).groupBy("shard").cogroup(everywhere.groupBy("at")).applyInArrow(compare, "lang string, source string, part string, item string, value long")
     found = scratch.stage(found, "partial")
     scratch.drop(kept)
 
