@@ -10,8 +10,8 @@ sum over the V kept terms.
    a group and term.
 2. Each shard's counts are summed and thinned to the kept terms by one SQL statement in DuckDB, in memory.
 3. Spark sums N and V. The kept terms are few, so several shards become one; the totals, a row a group, go to each, and a
-   second SQL statement gives the differences
-   between each two sources of a language, summed over the shard's terms, and each group's best terms of the shard.
+   second SQL statement gives the differences between each two sources of a language, summed over the shard's terms, and each
+   group's best terms of the shard.
 4. Spark adds the sums up and ranks.
 
 Everything is counted in whole numbers; nothing is gathered on the driver.
