@@ -1,7 +1,8 @@
 """Operators over one value a (key, epoch): changes, robust spread, outliers, islands, sliding verdicts and spans.
 
-Every frame is partitioned by the series' keys, so a series is one sorted stream; aggregates by day or epoch combine before
-the shuffle where the function allows it. Epochs are whole numbers of ten minutes.
+Every frame is partitioned by the series' keys and a block of epochs, and blocks are joined by one row each (`blocks`), so no
+task holds a series; aggregates by day or epoch combine before the shuffle where the function allows it. Epochs are whole
+numbers of ten minutes.
 """
 
 from __future__ import annotations
@@ -13,17 +14,14 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import MAD_TO_SIGMA, median_of, wrapped
 from ..functions.timefn import EPOCHS_PER_DAY
+from . import blocks, medians
 
 NO_SIGNAL_PS, FAR_OFF_PS, NOISY_FACTOR, NOISY_FLOOR_PS = 10_000, 25_000, 10, 5_000
 #: Epochs of a series that one group folds.
-FOLD_EPOCHS = 4096
+FOLD_EPOCHS = blocks.BLOCK_EPOCHS
 HALF_WINDOW, LEAST_CHANGES, OUTLIER_SPREADS, LEAST_COMPARED, DISAGREEING_PS = 12, 9, 5, 3, 10_000
 
 
-def _ordered(keys: Sequence[str]):
-    return Window.partitionBy(*keys).orderBy("epoch")
-
-
 def first_readings(readings: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The first row of each (keys, epoch) by order; only one row a group and task is shuffled."""
     rest = [c for c in readings.columns if c not in (*keys, "epoch", *order)]
@@ -33,9 +31,10 @@ def first_readings(readings: DataFrame, keys: Sequence[str], order: Sequence[str
 
 def one_epoch_changes(values: DataFrame, keys: Sequence[str], value: str = "phase") -> DataFrame:
     """keys, epoch and change: the wrapped difference from the epoch before, where both are there."""
-    w = _ordered(keys)
+    w = blocks.inside(keys)
     before, change = F.lag("epoch").over(w), F.col(value) - F.lag(value).over(w)
-    return values.select(*keys, "epoch", before.alias("before"), wrapped(change).alias("change")).where("epoch - before = 1").drop("before")
+    near = blocks.with_halo(values.select(*keys, "epoch", value), 1, 0)
+    return near.select(*keys, "epoch", "_own", before.alias("before"), wrapped(change).alias("change")).where("_own AND epoch - before = 1").drop("before", "_own")
 
 
 def folded_scale(values: DataFrame, keys: Sequence[str], value: str, above: float, start: float = 100.0, floor: float = 2.0) -> DataFrame:
@@ -99,28 +98,23 @@ def drop_outliers(values: DataFrame, limits: DataFrame, keys: Sequence[str], val
 
 def split_at_jumps(values: DataFrame, limits: DataFrame, keys: Sequence[str], value: str = "phase") -> DataFrame:
     """values with piece: a new one wherever the change from the row before, less the expected, goes beyond its day's limit."""
-    w = _ordered(keys)
-    stepped = values.select("*", (F.col(value) - F.lag(value).over(w)).alias("_step"), (F.col("epoch") - F.lag("epoch").over(w)).alias("_gap"), day_of_epoch(F.col("epoch")).alias("day"))
+    stepped = blocks.with_previous(values, keys, [value]).select("*", (F.col(value) - F.col("_before")[value]).alias("_step"), (F.col("epoch") - F.col("_before.epoch")).alias("_gap"), day_of_epoch(F.col("epoch")).alias("day"))
     limited = stepped.join(limits.select(*keys, "day", "med", "limit"), [*keys, "day"], "left")
     jump = F.coalesce((F.abs(F.col("_step") - F.col("_gap") * F.col("med")) > F.col("_gap") * F.col("limit")).cast("int"), F.lit(0))
-    return limited.withColumn("piece", F.sum(jump).over(w.rowsBetween(Window.unboundedPreceding, 0))).select(*values.columns, "piece")
+    return blocks.numbered(limited.withColumn("_jump", jump), keys, "_jump", "piece").select(*values.columns, "piece")
 
 
 def islands(rows: DataFrame, keys: Sequence[str], most_gap: int = 1) -> DataFrame:
     """keys, first, last and n of each run of epochs no more than most_gap apart."""
-    w = _ordered(keys)
-    fresh = F.coalesce((F.col("epoch") - F.lag("epoch").over(w) > most_gap).cast("int"), F.lit(1))
-    marked = rows.select(*keys, "epoch", fresh.alias("_new"))
-    named = marked.withColumn("island", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    return named.groupBy(*keys, "island").agg(F.min("epoch").alias("first"), F.max("epoch").alias("last"), F.count(F.lit(1)).alias("n")).drop("island")
+    single = rows.select(*keys, F.col("epoch").alias("start"), (F.col("epoch") + 1).alias("end"))
+    found = blocks.merged(single, keys, most_gap, {"n": (F.count(F.lit(1)), F.sum)})
+    return found.select(*keys, F.col("start").alias("first"), (F.col("end") - 1).alias("last"), "n")
 
 
 def cold_start_stretches(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Accepted rows with stretch, a new one where a series starts anew after a dormant row; value = z - step_offset."""
-    w = _ordered(keys)
-    fresh = (F.col("flags").contains("N") & F.coalesce(F.lag("flags").over(w).contains("D"), F.lit(False))).cast("int")
-    marked = rows.select("*", fresh.alias("_new"))
-    named = marked.withColumn("stretch", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    fresh = (F.col("flags").contains("N") & F.coalesce(F.col("_before.flags").contains("D"), F.lit(False))).cast("int")
+    named = blocks.numbered(blocks.with_previous(rows, keys, ["flags"]).withColumn("_new", fresh), keys, "_new", "stretch")
     return named.where(F.col("flags").contains("A")).select(*keys, "epoch", "stretch", (F.col("z") - F.col("step_offset")).alias("value"))
 
 
@@ -129,16 +123,20 @@ def sliding_spread(changes: DataFrame, keys: Sequence[str]) -> DataFrame:
 
     A frame holds 25 values at most, whatever the series' length.
     """
-    frame = _ordered(keys).rangeBetween(-HALF_WINDOW, HALF_WINDOW)
-    held = changes.select(*keys, "epoch", F.sort_array(F.collect_list("change").over(frame)).alias("near")).where(F.size("near") >= LEAST_CHANGES)
+    frame = blocks.inside(keys).rangeBetween(-HALF_WINDOW, HALF_WINDOW)
+    near = blocks.with_halo(changes.select(*keys, "epoch", "change"), HALF_WINDOW, HALF_WINDOW)
+    held = near.select(*keys, "epoch", "_own", F.sort_array(F.collect_list("change").over(frame)).alias("near")).where(F.col("_own") & (F.size("near") >= LEAST_CHANGES))
     med = held.select(*keys, "epoch", "near", median_of(F.col("near")).alias("med"))
     apart = F.sort_array(F.transform("near", lambda c: F.abs(c - F.col("med"))))
     return med.select(*keys, "epoch", "med", median_of(apart).alias("mad"))
 
 
 def verdicts(spreads: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """bad for each epoch: scattered beyond any clock, beyond the series' own quiet scatter, or far off."""
-    quiet = spreads.groupBy(*keys).agg(F.median("mad").alias("quiet"))
+    """bad for each epoch: scattered beyond any clock, beyond the series' own quiet scatter, or far off.
+
+    The quiet scatter is a median over the whole series, found by counted ranges; spreads are read several times, so stage them.
+    """
+    quiet = medians.exact_median(spreads, keys, "mad", "quiet")
     noisy = F.greatest(NOISY_FACTOR * F.col("quiet"), F.lit(float(NOISY_FLOOR_PS)))
     bad = (F.col("mad") > NO_SIGNAL_PS) | (F.col("mad") > noisy) | (F.abs("med") > FAR_OFF_PS)
     return spreads.join(quiet, list(keys)).select(*keys, "epoch", bad.alias("bad"))
@@ -151,20 +149,22 @@ def agreed(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def runs(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Spans (start, end, open_ended) of bad verdicts; only a good verdict ends one."""
-    w = _ordered(keys)
-    island = F.sum((~F.col("bad")).cast("int")).over(w.rowsBetween(Window.unboundedPreceding, 0))
-    named = rows.select(*keys, "epoch", "bad", island.alias("island"), F.max(F.when(~F.col("bad"), F.col("epoch"))).over(Window.partitionBy(*keys)).alias("_last_good"))
-    span = named.where("bad").groupBy(*keys, "island").agg(F.min("epoch").alias("start"), (F.max("epoch") + 1).alias("end"), F.max("_last_good").alias("_last_good"))
+    good = F.when(~F.col("bad"), F.col("epoch"))
+    blocked = rows.select(*keys, "epoch", "bad", blocks.block_of(F.col("epoch")).alias("_block"))
+    named = blocked.withColumn("_good", F.max(good).over(blocks.inside(keys).rowsBetween(Window.unboundedPreceding, 0)))
+    local = named.where("bad").groupBy(*keys, "_block", "_good").agg(F.min("epoch").alias("start"), (F.max("epoch") + 1).alias("end"))
+    one = blocked.groupBy(*keys, "_block").agg(F.max(good).alias("_last"))
+    whole = Window.partitionBy(*keys)
+    earlier = whole.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    handed = one.select(*keys, "_block", F.max("_last").over(earlier).alias("_earlier"), F.max("_last").over(whole).alias("_last_good"))
+    joined = blocks.beside(local, handed, [*keys, "_block"]).withColumn("_good", F.coalesce("_good", "_earlier"))
+    span = joined.groupBy(*keys, "_good").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.max("_last_good").alias("_last_good"))
     return span.select(*keys, "start", "end", F.coalesce(F.col("_last_good") < F.col("start"), F.lit(True)).alias("open_ended"))
 
 
 def joined_spans(spans: DataFrame, keys: Sequence[str], least_apart: int) -> DataFrame:
     """Spans joined where one starts fewer than least_apart epochs after the furthest end before it."""
-    w = Window.partitionBy(*keys).orderBy("start", "end")
-    reached = F.max("end").over(w.rowsBetween(Window.unboundedPreceding, -1))
-    marked = spans.select("*", F.coalesce((F.col("start") - reached >= least_apart).cast("int"), F.lit(1)).alias("_new"))
-    named = marked.withColumn("island", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    return named.groupBy(*keys, "island").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.bool_or("open_ended").alias("open_ended")).drop("island")
+    return blocks.merged(spans, keys, least_apart, {"open_ended": (F.bool_or("open_ended"), F.bool_or)})
 
 
 def top_name(rows: DataFrame, by: Sequence[str], name: str) -> DataFrame:
@@ -182,12 +182,11 @@ def shared_epochs(rows: DataFrame, member: str, least: int) -> DataFrame:
 
 def dense_bursts(rows: DataFrame, keys: Sequence[str], most_gap: int, least_share: float) -> DataFrame:
     """first, last, n_rows and n_epochs of the islands of which a least share of the epochs has rows."""
-    w = _ordered(keys)
     counted = rows.groupBy(*keys, "epoch").agg(F.count(F.lit(1)).alias("n"))
-    fresh = F.coalesce((F.col("epoch") - F.lag("epoch").over(w) > most_gap).cast("int"), F.lit(1))
-    named = counted.withColumn("_new", fresh).withColumn("island", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    burst = named.groupBy(*keys, "island").agg(F.min("epoch").alias("first"), F.max("epoch").alias("last"), F.sum("n").alias("n_rows"), F.count(F.lit(1)).alias("n_epochs"))
-    return burst.where(F.col("n_epochs") >= least_share * (F.col("last") - F.col("first") + 1)).drop("island")
+    single = counted.select(*keys, F.col("epoch").alias("start"), (F.col("epoch") + 1).alias("end"), "n")
+    found = blocks.merged(single, keys, most_gap, {"n_rows": (F.sum("n"), F.sum), "n_epochs": (F.count(F.lit(1)), F.sum)})
+    burst = found.select(*keys, F.col("start").alias("first"), (F.col("end") - 1).alias("last"), "n_rows", "n_epochs")
+    return burst.where(F.col("n_epochs") >= least_share * (F.col("last") - F.col("first") + 1))
 
 
 def newest_rows(rows: DataFrame, keys: Sequence[str]) -> DataFrame:

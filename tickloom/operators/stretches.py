@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import MAD_TO_SIGMA, median_of, wrapped
-from . import series
+from ..sources.staging import staged
+from . import medians, rejects, series
 from .series import DISAGREEING_PS, FAR_OFF_PS, HALF_WINDOW, LEAST_CHANGES, LEAST_COMPARED, OUTLIER_SPREADS
 
 
@@ -42,14 +43,19 @@ def refine(spans: DataFrame, changes: DataFrame) -> DataFrame:
 
 
 def kinds(spans: DataFrame, changes: DataFrame) -> DataFrame:
-    """Spans with kind: no_signal where references disagree, far_off, quartz, or null where they cannot be compared."""
-    inside = spans.join(changes, (spans.clock == changes.clock) & (changes.epoch >= spans.start) & (changes.epoch < spans.end)).select(spans.clock, "start", "end", "epoch", "ref", "change")
+    """Spans with kind: no_signal where references disagree, far_off, quartz, or null where they cannot be compared.
+
+    A span may be as long as a series, so medians over it are found by counted ranges; one of an epoch has a row a reference.
+    """
+    inside = staged(rejects.inside(changes, spans, ["clock"]).select("clock", "start", "end", "epoch", "ref", "change"), "inside")
     by_epoch = inside.groupBy("clock", "start", "end", "epoch").agg(F.array_sort(F.collect_list(F.struct("ref", "change"))).alias("at")).where(F.size("at") >= LEAST_COMPARED)
     relative = by_epoch.withColumn("rel", F.sort_array(F.transform("at", lambda c: wrapped(c["change"] - F.col("at")[0]["change"]))))
     med = relative.withColumn("med", median_of(F.col("rel")))
     apart = med.withColumn("mad", median_of(F.sort_array(F.transform("rel", lambda c: F.abs(c - F.col("med"))))))
-    spread = apart.groupBy("clock", "start", "end").agg(F.median("mad").alias("spread"))
-    moved = inside.groupBy("clock", "start", "end", "ref").agg(F.abs(F.median("change")).alias("size")).groupBy("clock", "start", "end").agg(F.median("size").alias("typical"))
+    span = ["clock", "start", "end"]
+    spread = medians.exact_median(staged(apart.select(*span, "mad"), "spreads"), span, "mad", "spread")
+    by_ref = medians.exact_median(inside, [*span, "ref"], "change", "size")
+    moved = by_ref.groupBy(*span).agg(F.median(F.abs("size")).alias("typical"))
     known = spans.join(spread, ["clock", "start", "end"], "left").join(moved, ["clock", "start", "end"], "left")
     kind = F.when(F.col("spread") > DISAGREEING_PS, "no_signal").when(F.coalesce("typical", F.lit(0.0)) > FAR_OFF_PS, "far_off").when(F.col("spread").isNotNull(), "quartz")
     return known.select("clock", "start", "end", "open_ended", kind.alias("kind"))
@@ -57,7 +63,10 @@ def kinds(spans: DataFrame, changes: DataFrame) -> DataFrame:
 
 def bad_stretches(changes: DataFrame, least_epochs: int) -> DataFrame:
     """clock, disabled_from, enabled_at (null where it never ends) and kind, from changes (ref, clock, epoch, change)."""
-    judged = series.verdicts(series.sliding_spread(changes, ["ref", "clock"]), ["ref", "clock"])
+    changes = staged(changes, "changes")
+    spreads = staged(series.sliding_spread(changes, ["ref", "clock"]), "spreads")
+    judged = series.verdicts(spreads, ["ref", "clock"])
     coarse = series.joined_spans(series.runs(series.agreed(judged, ["clock"]), ["clock"]), ["clock"], least_epochs)
-    fine = series.joined_spans(refine(coarse, changes), ["clock"], least_epochs).where(F.col("end") - F.col("start") >= least_epochs)
+    coarse = staged(coarse, "spans")
+    fine = staged(series.joined_spans(refine(coarse, changes), ["clock"], least_epochs).where(F.col("end") - F.col("start") >= least_epochs), "spans")
     return kinds(fine, changes).select("clock", F.col("start").alias("disabled_from"), F.when(~F.col("open_ended"), F.col("end")).alias("enabled_at"), "kind")

@@ -128,14 +128,18 @@ def sliding_mad(spark, sf_dir):
     return series.sliding_spread(_dense(spark, sf_dir), ["ref"])
 
 
+def _spreads(spark, sf_dir):
+    return staged(series.sliding_spread(_dense(spark, sf_dir), ["ref"]), "spreads")
+
+
 @query(f"WITH {DENSE}, {CH}, {SLIDING} SELECT ref, epoch, bad FROM vd")
 def clock_verdicts(spark, sf_dir):
-    return series.verdicts(series.sliding_spread(_dense(spark, sf_dir), ["ref"]), ["ref"])
+    return series.verdicts(_spreads(spark, sf_dir), ["ref"])
 
 
 @query(f"WITH {DENSE}, {CH}, {SLIDING} SELECT epoch, bool_and(bad) AS bad, count(*) AS n FROM vd GROUP BY epoch")
 def agree_all(spark, sf_dir):
-    v = series.verdicts(series.sliding_spread(_dense(spark, sf_dir), ["ref"]), ["ref"])
+    v = series.verdicts(_spreads(spark, sf_dir), ["ref"])
     return v.groupBy("epoch").agg(F.bool_and("bad").alias("bad"), F.count(F.lit(1)).alias("n"))
 
 
