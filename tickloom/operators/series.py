@@ -29,12 +29,12 @@ def first_readings(readings: DataFrame, keys: Sequence[str], order: Sequence[str
     return readings.groupBy(*keys, "epoch").agg(first).select(*keys, "epoch", *(f"first.{c}" for c in (*order, *rest)))
 
 
-def one_epoch_changes(values: DataFrame, keys: Sequence[str], value: str = "phase") -> DataFrame:
-    """keys, epoch and change: the wrapped difference from the epoch before, where both are there."""
+def one_epoch_changes(values: DataFrame, keys: Sequence[str], value: str = "phase", raw: bool = True) -> DataFrame:
+    """keys, epoch and change: the difference from the epoch before, where both are there; wrapped if the phases are raw whole ones."""
     w = blocks.inside(keys)
     before, change = F.lag("epoch").over(w), F.col(value) - F.lag(value).over(w)
     near = blocks.with_halo(values.select(*keys, "epoch", value), 1, 0)
-    return near.select(*keys, "epoch", "_own", before.alias("before"), wrapped(change).alias("change")).where("_own AND epoch - before = 1").drop("before", "_own")
+    return near.select(*keys, "epoch", "_own", before.alias("before"), (wrapped(change) if raw else change).alias("change")).where("_own AND epoch - before = 1").drop("before", "_own")
 
 
 def folded_scale(values: DataFrame, keys: Sequence[str], value: str, above: float, start: float = 100.0, floor: float = 2.0) -> DataFrame:
@@ -84,10 +84,10 @@ def drop_unusable_days(values: DataFrame, limits: DataFrame, keys: Sequence[str]
     return values.withColumn("day", day_of_epoch(F.col("epoch"))).join(bad, [*keys, "day"], "left_anti").drop("day")
 
 
-def drop_outliers(values: DataFrame, limits: DataFrame, keys: Sequence[str], value: str = "phase") -> DataFrame:
+def drop_outliers(values: DataFrame, limits: DataFrame, keys: Sequence[str], value: str = "phase", raw: bool = True) -> DataFrame:
     """values without rows whose changes to both neighbours (or to the only one) go beyond their days' limits in opposite senses."""
     off = F.when(F.abs(F.col("change") - F.col("med")) > F.col("limit"), F.signum(F.col("change") - F.col("med"))).otherwise(0)
-    judged = one_epoch_changes(values, keys, value).withColumn("day", day_of_epoch(F.col("epoch"))).join(limits, [*keys, "day"]).select(*keys, "epoch", off.alias("_off"))
+    judged = one_epoch_changes(values, keys, value, raw).withColumn("day", day_of_epoch(F.col("epoch"))).join(limits, [*keys, "day"]).select(*keys, "epoch", off.alias("_off"))
     before = judged.withColumnRenamed("_off", "_in")
     after = judged.select(*keys, (F.col("epoch") - 1).alias("epoch"), F.col("_off").alias("_out"))
     near = values.join(before, [*keys, "epoch"], "left").join(after, [*keys, "epoch"], "left")

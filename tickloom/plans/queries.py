@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import numeric, timefn
-from ..operators import history, links, series, stretches
+from ..operators import characterization, history, links, series, stretches, summary
+from ..sources import text_archive
 from ..sources.staging import staged
 from .proxies import INNOVATIONS, LIMITS, QUIET, RAW, READINGS, changes, changes_sql, innovations, quiet, raw, readings, table
 
@@ -389,8 +390,13 @@ def flag_grammar(spark, sf_dir):
 
 @query()
 def bad_stretches(spark, sf_dir):
-    r = raw(spark, sf_dir).select("ref", F.lit("c").alias("clock"), F.floor(F.col("epoch") / 12).cast("long").alias("epoch"), "us", "event_id", F.floor(F.col("phase") / 8).cast("long").alias("phase"))
-    c = series.one_epoch_changes(series.first_readings(r, ["ref", "clock"], ["us", "event_id"]), ["ref", "clock"])
+    """Two-hour buckets of all readings; by spans of 40 buckets the clock is quiet, or quartz, without signal, far off."""
+    b, kind = F.col("epoch"), F.floor(F.col("epoch") / 40) % 8
+    common = F.pmod(F.xxhash64(b), F.lit(16_000))
+    phase = F.when(kind == 2, common).when(kind == 4, F.col("phase")).when(kind == 6, F.pmod(b * 30_000 + F.col("phase") % 100, F.lit(200_000))).otherwise(F.col("phase") % 100)
+    r = raw(spark, sf_dir).select("ref", F.lit("c").alias("clock"), F.floor(F.col("epoch") / 12).cast("long").alias("epoch"), "us", "event_id", "phase")
+    first = series.first_readings(r, ["ref", "clock"], ["us", "event_id"])
+    c = series.one_epoch_changes(first.withColumn("phase", phase.cast("long")), ["ref", "clock"])
     return stretches.bad_stretches(c, 6)
 
 
@@ -480,3 +486,97 @@ def shared_stretches(spark, sf_dir):
 
     found = rejects.shared_stretches(_rejects(spark, sf_dir), 8, 3)
     return found.select(F.col("start").alias("first"), F.col("end").alias("stop"), "most_clocks", "reference", "through_reference", "rejections")
+
+
+MEASURED = f"""{RAW}, ms AS (SELECT CASE WHEN event_id % 2 = 0 THEN 'a' ELSE 'b' END AS channel, 'mc' || CAST(user_id % 12 AS VARCHAR) AS ref,
+ CASE WHEN user_id % 7 = 0 THEN 'mc' || CAST(user_id % 9 AS VARCHAR) ELSE ref || CAST(user_id % 13 AS VARCHAR) END AS clock FROM raw)"""
+
+
+def _measured(spark, sf_dir):
+    """Pairs that are measured; twelve names of references, of which ten are references' own, and clocks that are references too."""
+    user = F.col("user_id")
+    clock = F.when(user % 7 == 0, F.concat(F.lit("mc"), (user % 9).cast("string"))).otherwise(F.concat("ref", (user % 13).cast("string")))
+    return raw(spark, sf_dir).select(F.when(F.col("event_id") % 2 == 0, "a").otherwise("b").alias("channel"), F.concat(F.lit("mc"), (user % 12).cast("string")).alias("ref"), clock.alias("clock"))
+
+
+@query(f"""WITH {MEASURED} SELECT channel, clock, string_agg(DISTINCT ref, ',' ORDER BY ref) AS refs FROM ms
+WHERE regexp_full_match(ref, 'mc[0-9]') AND NOT regexp_full_match(clock, 'mc[0-9]') AND NOT starts_with(clock, 'v') GROUP BY ALL""")
+def measured_clocks(spark, sf_dir):
+    return summary.references_of(_measured(spark, sf_dir), ["v"]).withColumn("refs", F.array_join("refs", ","))
+
+
+@query(f"WITH {MEASURED} SELECT DISTINCT 'das_' || channel || '.' || ref || '.' || clock AS name, 'das_' || channel || '.' || ref || '.' || ref || '.' || clock AS local_name FROM ms")
+def series_names(spark, sf_dir):
+    channel, ref, clock = (F.col(c) for c in ("channel", "ref", "clock"))
+    return _measured(spark, sf_dir).select(summary.series_name(channel, [ref, clock]).alias("name"), summary.series_name(channel, [ref, ref, clock]).alias("local_name")).distinct()
+
+
+@query(f"""WITH {RAW}, f AS (SELECT epoch, event_id % 3 = 0 AS of_pair, CASE event_id % 7 WHEN 0 THEN 'A' WHEN 1 THEN 'AN' WHEN 2 THEN 'PD' WHEN 3 THEN 'R' WHEN 4 THEN 'P' WHEN 5 THEN 'RD' ELSE 'AU' END AS f FROM raw)
+SELECT 'a' AS channel, epoch, count(*) FILTER (of_pair) AS pairs, count(*) FILTER (NOT of_pair) AS triples, count(*) FILTER (contains(f, 'A')) AS accepted, count(*) FILTER (NOT contains(f, 'A')) AS held FROM f WHERE f <> 'PD' GROUP BY epoch""")
+def epoch_counts(spark, sf_dir):
+    flags = F.array(*(F.lit(f) for f in ("A", "AN", "PD", "R", "P", "RD", "AU")))
+    rows = raw(spark, sf_dir).select(F.lit("a").alias("channel"), "epoch", F.get(flags, (F.col("event_id") % 7).cast("int")).alias("flags"), (F.col("event_id") % 3 == 0).alias("of_pair"))
+    return summary.epoch_counts(rows.where("of_pair"), rows.where("NOT of_pair"))
+
+
+@query(f"""WITH {READINGS}, d AS (SELECT ref, phase - lag(phase) OVER w AS change, epoch - lag(epoch) OVER w AS gap FROM readings WINDOW w AS (PARTITION BY ref ORDER BY epoch)),
+rt AS (SELECT ref, median(change) / 600.0::DOUBLE AS rate FROM d WHERE gap = 1 GROUP BY ref)
+SELECT r.ref, r.epoch, round(phase - coalesce(rate * (delta_us / 1e6::DOUBLE), 0.0::DOUBLE), 4) AS value FROM readings r LEFT JOIN rt ON rt.ref = r.ref WHERE r.delta_us % 5 <> 0""")
+def offset_join(spark, sf_dir):
+    r = staged(readings(spark, sf_dir), "readings")
+    offsets = r.where("delta_us % 5 <> 0").select("ref", "epoch", (F.col("delta_us") / F.lit(1e6)).alias("offset_s"))
+    values = r.select("ref", "epoch", F.col("phase").cast("double").alias("value"))
+    return characterization.to_epoch_start(values, offsets, ["ref"], ["ref"]).withColumn("value", F.round("value", 4))
+
+
+REPORT = ORACLES["reject_stretches"]
+_MJD = "CAST(({0} + 5844528) // 144 AS VARCHAR) || '.' || lpad(CAST(({0} + 5844528) % 144 * 1000000 // 144 AS VARCHAR), 6, '0')"
+
+
+@query(f"""WITH st AS ({REPORT}) SELECT clock || ' ' || {_MJD.format("first")} || ' ' || {_MJD.format("stop")} || ' ' || printf('%.1f', (stop - first) / 6.0::DOUBLE) || ' ' || CAST(rejections AS VARCHAR) || ' ' || CAST(rejected_epochs AS VARCHAR) || ' 0' AS line FROM st""")
+def reject_report(spark, sf_dir):
+    found = reject_stretches(spark, sf_dir).withColumnsRenamed({"first": "start", "stop": "end"})
+    mjd = 40_587 * timefn.EPOCHS_PER_DAY
+    dated = found.select("clock", (F.col("start") + mjd).alias("start"), (F.col("end") + mjd).alias("end"), F.lit(False).alias("open_ended"), "rejections", "rejected_epochs", F.lit(0).alias("replaced"))
+    return summary.reject_stretch_lines(dated)
+
+
+def _states(rows):
+    """Every column of a state, made of a reading; buffers of none to three values."""
+    n, v = F.col("event_id"), F.col("phase") / 7
+    none = F.lit(None)
+    buffer = F.transform(F.sequence(F.lit(1), F.lit(3)), lambda i: F.struct((F.col("epoch") - 4 + i).alias("epoch"), (v * i).alias("value")))
+    return rows.select(
+        F.lit("a").alias("channel"), "*", (F.col("phase") * 1000 - n % 100_000_000).alias("x_fs"), F.when(n % 3 > 0, v / 1e9).alias("y"), F.when(n % 3 > 1, -v / 1e15).alias("d"), F.when(n % 5 > 0, v).alias("innovation_scale"),
+        (n % 11 - 5).alias("step_offset"), *((n % k).alias(c) for k, c in ((99, "epochs_in_segment"), (9, "epochs_since_accept"), (4, "consecutive_rejects"))), (v % 1).alias("reject_fraction"), F.slice(buffer, F.lit(1), (n % 4).cast("int")).alias("buffer"),
+        F.lit(2).alias("filter_states"), F.when(n % 2 > 0, F.lit(20.5)).otherwise(none).alias("time_constant"), F.lit(30.0).alias("scale_time_constant"), F.when(n % 2 > 0, "A").otherwise("RXU").alias("flags"),
+    )
+
+
+_READ_BACK = """phase * 1000 - event_id % 100000000 AS x_fs, CASE WHEN event_id % 3 > 0 THEN phase / 7.0::DOUBLE / 1e9::DOUBLE END AS y, CASE WHEN event_id % 5 > 0 THEN phase / 7.0::DOUBLE END AS innovation_scale,
+CAST(event_id % 11 - 5 AS BIGINT) AS step_offset, CAST(event_id % 4 AS BIGINT) AS n_buffer, CASE WHEN event_id % 4 > 0 THEN phase / 7.0::DOUBLE * (event_id % 4) END AS newest, CASE WHEN event_id % 4 > 0 THEN epoch - 4 + event_id % 4 END AS newest_epoch, CASE WHEN event_id % 2 > 0 THEN 'A' ELSE 'RXU' END AS flags"""
+
+
+def _read_back(rows, *columns):
+    last = F.try_element_at("buffer", F.lit(-1))
+    return rows.select(*columns, "x_fs", "y", "innovation_scale", "step_offset", F.size("buffer").cast("long").alias("n_buffer"), last["value"].alias("newest"), last["epoch"].alias("newest_epoch"), "flags")
+
+
+@query(f"""WITH {READINGS} SELECT ref, epoch, CASE WHEN event_id % 6 > 0 THEN us END AS measured_us, CASE WHEN event_id % 6 > 0 THEN delta_us / 1e6::DOUBLE END AS offset_s,
+CASE WHEN event_id % 6 > 0 THEN phase END AS measured_phase, CASE WHEN event_id % 6 > 0 THEN phase - 200000 * (event_id % 3) END AS z, {_READ_BACK} FROM readings""")
+def pair_rows_text(spark, sf_dir):
+    """Every reading written as a fixed-width row of a pair and read back."""
+    read = F.col("event_id") % 6 > 0
+    given = lambda value: F.when(read, value)
+    measured = readings(spark, sf_dir).select("ref", F.lit("c").alias("clock"), "epoch", "event_id", "phase", given(F.col("us")).alias("measured_us"), given(F.col("phase")).alias("measured_phase"), given(F.lit(3)).alias("rms"), given(-F.col("event_id") % 3).alias("cycle_count"), given(F.col("phase") - 200_000 * (F.col("event_id") % 3)).alias("z"))
+    text = text_archive.encode(_states(measured), "meas").select("channel", "ref", "clock", "value")
+    return _read_back(text_archive.decode(text, "meas"), "ref", "epoch", "measured_us", "offset_s", "measured_phase", "z")
+
+
+@query(f"WITH {READINGS} SELECT ref AS s, epoch, CASE WHEN event_id % 6 > 0 THEN phase - 7 END AS z, CASE WHEN event_id % 6 > 0 THEN '110' END AS components_used, CASE WHEN event_id % 6 > 0 THEN phase / 3.0::DOUBLE END AS innovation, {_READ_BACK} FROM readings WHERE epoch % 144 < 72")
+def triple_rows_text(spark, sf_dir):
+    """The same for rows of triples, of which only the half days that are asked for are read."""
+    given = lambda value: F.when(F.col("event_id") % 6 > 0, value)
+    measured = readings(spark, sf_dir).select(F.lit("r").alias("r"), F.col("ref").alias("s"), F.lit("c").alias("c"), "epoch", "event_id", "phase", given(F.col("phase") - 7).alias("z"), given(F.col("phase") / 3).alias("innovation"), given(F.lit(2.5)).alias("double_difference_sigma"), given(F.lit("110")).alias("components_used"))
+    text = text_archive.encode(_states(measured), "ddiff").select("channel", "r", "s", "c", "value")
+    return _read_back(text_archive.decode(text, "ddiff").where("epoch % 144 < 72"), "s", "epoch", "z", "components_used", "innovation")
