@@ -9,9 +9,10 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tickloom.operators import folds, links, screening
-from tickloom.operators.estimator import Reading, Settings, State, Track, unwrap
+from tickloom.operators import folds, history, links, screening
+from tickloom.operators.estimator import Reading, Settings, State, Three, Track, unwrap
 from tickloom.plans import proxies, queries
+from tickloom.sources.staging import staged
 
 S1 = Settings(states=1, m=None, m_sigma=30.0, sigma0=2.0, gap_limit=3, rms_limit=50)
 S3 = Settings(states=3, m=100.0, m_sigma=50.0, sigma0=5.0, gap_limit=40)
@@ -34,6 +35,20 @@ def test_three_steady_readings_start_a_series():
     assert run(S3, [100, None, 120, 130, 140])[1] == ["RD", "PD", "RD", "RD", "ANU"]
 
 
+def test_three_values_are_taken_apart_exactly():
+    rng = random.Random(8)
+    for _ in range(200):
+        epochs = sorted(rng.sample(range(9), 3))
+        values = [rng.uniform(-1e5, 1e5) for _ in epochs]
+        seen = Three.of(list(zip(epochs, values, strict=True)))
+        (slope, start), at = np.polyfit(np.array(epochs) * 600.0, values, 1), np.array(epochs) * 600.0
+        assert float(seen.slope) == pytest.approx(slope, rel=1e-6, abs=1e-9) and float(seen.newest) == pytest.approx(start + slope * at[2], abs=1e-5)
+        assert float(seen.off_line) == pytest.approx(max(abs(values - start - slope * at)), abs=1e-5)
+        assert float(seen.off_level) == pytest.approx(max(abs(v - sum(values) / 3) for v in values)) and seen.in_a_row == (epochs[2] - epochs[0] == 2)
+    line = Three.of([(1, 0.1), (2, 0.2), (4, 0.4)])
+    assert abs(line.bend) < 1e-15 and Three.of([(1, 3.0), (3, 3.0), (4, 3.0)]).off_line == 0
+
+
 def test_gap_beyond_the_limit_ends_it():
     assert run(S1, [1, 1, 1, None, None, None, None, 1])[1] == ["RD", "RD", "AN", "P", "P", "P", "PD", "RD"]
 
@@ -141,28 +156,65 @@ def test_tests_of_an_epoch_agree_with_the_relational_ones(spark):
 
 
 def test_steering_reaches_both_sides_of_a_pair_at_its_own_instant(spark):
-    data = readings(spark, 4)
+    """A pair is x_ref - x_clock; u1 is no reference, so its events move nothing. Epochs without a reading have rows of their own."""
+    data = readings(spark, 4).where("NOT (ref = 'mc1' AND clock = 'u2' AND epoch = 1002)")
     settings = spark.createDataFrame([(c, (1, None, 30.0, 5.0, 40, 12, 144.0, 0.5, 50)) for c in ("mc1", "mc2", "mc3", "u1", "u2")], f"clock string, settings {folds.SETTINGS}")
     start = 1001 * 600_000_000
     events = [("mc1", start + 500_000, 40.0, 2.0), ("u1", start + 2_500_000, -7.0, 0.0), ("mc2", start - 30_000_000, 5.0, 1.0), ("u1", start - 600_000_000, 9.0, 0.0)]
-    rows = folds.pair_inputs(data, settings, spark.createDataFrame(events, "ref string, applied_us long, dx double, dy double")).collect()
-    assert len(rows) == data.count()
+    rows = folds.pair_inputs(data, settings, spark.createDataFrame(events, "ref string, applied_us long, dx double, dy double"), gap_limit=2).collect()
+    assert len([r for r in rows if r.settings]) == data.count()
+    unread = {(r.ref, r.clock, r.epoch) for r in rows if not r.settings}
+    seen = {(r.ref, r.clock): sorted(q.epoch for q in rows if q.settings and (q.ref, q.clock) == (r.ref, r.clock)) for r in rows}
+    expected = {(*p, e) for p, epochs in seen.items() for name, e in (("mc1", 1002), ("mc2", 1001)) if name in p and p[0] != p[1] and epochs[0] < e <= epochs[-1] + 2 and e not in epochs}
+    assert unread == expected and ("mc1", "u2", 1002) in unread
 
     def inside(name, epoch, at):
-        return sum(dx + dy * (at - us) / 1e6 for n, us, dx, dy in events if n == name and epoch * 600_000_000 < us <= at)
+        return sum(dx + dy * (at - us) / 1e6 for n, us, dx, dy in events if n == name and n != "u1" and epoch * 600_000_000 < us <= at)
 
     def before(name, epoch):
         end = epoch * 600_000_000
-        own = [(dx + dy * (end - us) / 1e6, dy) for n, us, dx, dy in events if n == name and end - 600_000_000 < us <= end]
+        own = [(dx + dy * (end - us) / 1e6, dy) for n, us, dx, dy in events if n == name and n != "u1" and end - 600_000_000 < us <= end]
         return sum(x for x, _ in own), sum(y for _, y in own)
 
     for r in rows:
-        at, other = r.epoch * 600_000_000 + r.offset_us, r.ref != r.clock
-        assert r.within == pytest.approx(other * (inside(r.clock, r.epoch, at) - inside(r.ref, r.epoch, at)))
-        assert (r.move, r.rate) == pytest.approx(tuple(other * (c - q) for c, q in zip(before(r.clock, r.epoch), before(r.ref, r.epoch), strict=True)))
+        at, other = r.epoch * 600_000_000 + (r.offset_us or 0), r.ref != r.clock
+        assert r.within == pytest.approx(other * (inside(r.ref, r.epoch, at) - inside(r.clock, r.epoch, at)))
+        assert (r.move, r.rate) == pytest.approx(tuple(other * (q - c) for q, c in zip(before(r.ref, r.epoch), before(r.clock, r.epoch), strict=True)))
     assert len({r.within for r in rows}) > 3
 
 
+def test_steered_series_have_no_innovations(spark):
+    """Clocks without noise, x_ref - x_clock, under steering of phase and rate between, within and beside readings: nothing is left over."""
+    first, n, names = 2000, 60, ["mc1", "mc2", "u1"]
+    rates = {"mc1": 0.0, "mc2": 0.0125, "u1": -0.02}
+    events = [("mc1", (first + 20) * 600_000_000 - 77_000_000, 64.0, 0.5), ("mc2", (first + 31) * 600_000_000 + 1_500_000, -96.0, -0.25), ("mc1", (first + 41) * 600_000_000 + 300_000_000, 0.0, 0.125)]
+
+    def x(name, us):
+        return rates[name] * (us / 1e6 - first * 600) + sum(dx + dy * (us - at) / 1e6 for ref, at, dx, dy in events if ref == name and at <= us)
+
+    rows = []
+    for e in range(first, first + n):
+        for i, ref in enumerate(names[:2]):
+            for j, clock in enumerate(names):
+                if (ref, clock) in (("mc1", "u1"), ("mc1", "mc2")) and e - first in (20, 21, 42):
+                    continue  # steered, and not read
+                offset = 4_000_000 * (i + j)
+                at = e * 600_000_000 + offset
+                rows.append(("a", ref, clock, e, offset, round(x(ref, at) - x(clock, at)) % 200_000, 2))
+    data = spark.createDataFrame(rows, "channel string, ref string, clock string, epoch long, delta_us long, phase long, rms int")
+    settings = spark.createDataFrame([(c, (2, 20.0, 30.0, 4.0, 40, 12, 144.0, 0.5, 50)) for c in names], f"clock string, settings {folds.SETTINGS}")
+    setup = history.Setup(settings=settings, steering=spark.createDataFrame(events, "ref string, applied_us long, dx double, dy double"))
+    pairs = staged(history.pair_history(data, setup), "pairs")
+    late = [r for r in pairs.where(f"epoch >= {first + 4}").collect() if r.ref != r.clock]
+    assert not [(r.ref, r.clock, r.epoch, r.innovation, r.flags) for r in late if r.flags.strip("U") not in ("A", "P")] and max(abs(r.innovation or 0.0) for r in late) <= 2.5
+    assert {(r.ref, r.clock, r.epoch - first) for r in late if "P" in r.flags} == {("mc1", c, e) for c in ("u1", "mc2") for e in (20, 21, 42)}
+    known = links.pair_registry(pairs.where("z IS NOT NULL"))
+    triples = history.triple_history(pairs, history.known_triples(known, setup), setup).where(f"epoch >= {first + 6} AND c = 'u1'").collect()
+    assert {(r.r, r.s) for r in triples} == {("mc1", "mc1"), ("mc1", "mc2"), ("mc2", "mc1"), ("mc2", "mc2")}
+    assert not [(r.r, r.s, r.c, r.epoch, r.innovation, r.flags) for r in triples if r.flags.strip("U") not in ("A", "P")] and max(abs(r.innovation or 0.0) for r in triples) <= 4
+    assert min(r.epoch for r in triples if "P" in r.flags) == first + 20
+
+
 def readings(spark, epochs=60):
     names, clocks, rows = ["mc1", "mc2", "mc3"], ["mc1", "mc2", "mc3", "u1", "u2"], []
     for e in range(epochs):

@@ -72,9 +72,9 @@ def _epochs(measured: list[int], active) -> Iterator[int]:
             between += 1
 
 
-def _from(before: int | None, measured: list[int]) -> list[int]:
-    """The measured epochs, after the one from which carried rows go on."""
-    later = [e for e in measured if before is None or e > before]
+def _from(before: int | None, rows: dict[int, list[dict]]) -> list[int]:
+    """The measured epochs, after the one from which carried rows go on. Rows without settings only tell of steering."""
+    later = sorted(e for e, here in rows.items() if (before is None or e > before) and any(r["settings"] for r in here))
     return later if before is None or not later else [before, *later]
 
 
@@ -84,7 +84,7 @@ def _pair_fold(channel: str, table: pa.Table, carried: list[dict], is_reference:
     settings: dict[tuple[str, str], Settings] = {(r["ref"], r["clock"]): Settings(**r["settings"]) for r in carried}
     last_z: dict[tuple[str, str], int] = {(r["ref"], r["clock"]): r["last_z"] for r in carried if r["last_z"] is not None}
     before = max((r["epoch"] for r in carried), default=None)
-    for epoch in _epochs(_from(before, sorted(rows)), lambda: any(t.tracked for t in tracks.values())):
+    for epoch in _epochs(_from(before, rows), lambda: any(t.tracked for t in tracks.values())):
         if epoch == before:
             continue
         for pair, track in tracks.items():
@@ -235,17 +235,26 @@ def with_settings(rows: DataFrame, settings: DataFrame, limits: tuple[DataFrame,
     return given.join(of_pair, ["ref", "clock"]).withColumn("settings", F.col("settings").withField("rms_limit", F.col("_limit").cast("int"))).drop("_limit")
 
 
-def pair_inputs(readings: DataFrame, settings: DataFrame, steering: DataFrame | None = None, disabled: DataFrame | None = None, limits: tuple[DataFrame, DataFrame, Column] | None = None) -> DataFrame:
+def _with_unread(rows: DataFrame, steering: DataFrame, keys: Sequence[str], gap_limit: int, carried: DataFrame | None) -> DataFrame:
+    """rows with move and rate, and rows without settings or readings for epochs in which only steering moves a series."""
+    by_epoch = links.steering_by_epoch(steering)
+    unread = links.steered_unread(rows, by_epoch, keys, gap_limit, carried)
+    return links.steered(rows.unionByName(unread, allowMissingColumns=True), by_epoch, keys)
+
+
+def pair_inputs(readings: DataFrame, settings: DataFrame, steering: DataFrame | None = None, disabled: DataFrame | None = None, limits: tuple[DataFrame, DataFrame, Column] | None = None, gap_limit: int = 40, carried: DataFrame | None = None) -> DataFrame:
     """Readings (channel, ref, clock, epoch, delta_us, phase, rms) with settings, dated or not (`with_settings`), and steering columns.
 
     steering has events (ref, applied_us, dx, dy): move and rate are what they did to a pair since the last epoch, within what
-    they did from the epoch's start to the reading. disabled has (clock, epoch).
+    they did from the epoch's start to the reading. Where it moves a pair that has no reading, up to gap_limit epochs after the
+    last one, there is a row without settings, so that the prediction goes along. disabled has (clock, epoch). carried: rows
+    that the fold goes on from.
     """
     rows = with_settings(readings.select("channel", "ref", "clock", "epoch", F.col("delta_us").alias("offset_us"), "phase", "rms"), settings, limits)
     if steering is None:
         rows = rows.select("*", *(F.lit(0.0).alias(c) for c in ("move", "rate", "within")))
     else:
-        timed = links.steered_pairs(rows, links.steering_by_epoch(steering)).withColumn("measured_us", F.col("epoch") * EPOCH_US + F.col("offset_us"))
+        timed = _with_unread(rows, steering, PAIR_KEYS[1:], gap_limit, carried).withColumn("measured_us", F.col("epoch") * EPOCH_US + F.coalesce("offset_us", F.lit(0)))
         rows = links.steered_within(timed, steering).drop("measured_us")
     if disabled is None:
         return rows.withColumn("disabled", F.lit(False))
@@ -253,12 +262,13 @@ def pair_inputs(readings: DataFrame, settings: DataFrame, steering: DataFrame |
     return rows.join(off, ["clock", "epoch"], "left").select(*rows.columns, F.coalesce("_off", F.lit(False)).alias("disabled"))
 
 
-def triple_inputs(pairs: DataFrame, triples: DataFrame, settings: DataFrame, locations: DataFrame | None = None, earlier: DataFrame | None = None) -> DataFrame:
-    """Double differences of accepted pairs: channel, r, s, c, epoch, z, sigma, used, restarted, settings.
+def triple_inputs(pairs: DataFrame, triples: DataFrame, settings: DataFrame, locations: DataFrame | None = None, earlier: DataFrame | None = None, steering: DataFrame | None = None, gap_limit: int = 40, carried: DataFrame | None = None) -> DataFrame:
+    """Double differences of accepted pairs: channel, r, s, c, epoch, z, sigma, used, restarted, settings, move, rate.
 
     z(s,c) + (z(r,s) - z(s,r)) / 2; where one direction is missing, the round trip that both pairs predict stands in. triples
     may have `since`, their first epoch. locations: dated intervals (clock, from, location), of which s and c must have the same
-    at the epoch. earlier: pair rows of a run before this one, for links of epochs that it still walks through.
+    at the epoch. earlier: pair rows of a run before this one, for links of epochs that it still walks through. steering, gap_limit
+    and carried: as for `pair_inputs`; a triple is moved by r alone, and its z is one at the epoch's start already.
     """
     accepted = F.col("flags").contains("A")
     told = lambda rows: rows.select("channel", "ref", "clock", "epoch", F.when(accepted, F.col("z")).alias("z"), F.when(accepted, F.col("rms")).alias("rms"), F.col("predicted_fs").alias("p"), F.col("started_cold").alias("cold"))
@@ -290,7 +300,10 @@ def triple_inputs(pairs: DataFrame, triples: DataFrame, settings: DataFrame, loc
     restarted = F.when(local, cold(F.col("sc_cold"))).otherwise(cold(F.col("sc_cold")) | cold(rs["cold"]) | cold(sr["cold"]))
     z = F.col("sc_z") + F.rint(fs / 1000.0).cast("long")
     rows = joined.select("channel", "r", "s", F.col("c").alias("clock"), "epoch", F.when(used.isNotNull(), z).alias("z"), F.when(local, F.col("sc_rms").cast("double")).otherwise(F.sqrt(variance)).alias("sigma"), used.alias("used"), restarted.alias("restarted"))
-    return with_settings(rows, settings).withColumnRenamed("clock", "c").select("channel", "r", "s", "c", "epoch", "z", "sigma", "used", "restarted", "settings")
+    given = with_settings(rows, settings).withColumnRenamed("clock", "c").select("channel", "r", "s", "c", "epoch", "z", "sigma", "used", "restarted", "settings")
+    if steering is None:
+        return given.select("*", F.lit(0.0).alias("move"), F.lit(0.0).alias("rate"))
+    return _with_unread(given, steering, TRIPLE_KEYS[1:], gap_limit, carried)
 
 
 def triple_rows(rows: DataFrame, carried: DataFrame | None = None) -> DataFrame:
@@ -302,15 +315,16 @@ def triple_rows(rows: DataFrame, carried: DataFrame | None = None) -> DataFrame:
         track, settings, before = Track(), None, None
         for r in carried:
             track, settings, before = _restored(r), Settings(**(r["settings"] | {"rms_limit": None})), r["epoch"]
-        for epoch in _epochs(_from(before, sorted(by_epoch)), lambda: track.tracked):
+        for epoch in _epochs(_from(before, by_epoch), lambda: track.tracked):
             if epoch == before:
                 continue
             if track.epoch is not None and track.epoch + 1 < epoch:
                 track = Track()
             r = by_epoch.get(epoch, [None])[0]
-            settings = Settings(**(r["settings"] | {"rms_limit": None})) if r else settings
+            settings = Settings(**(r["settings"] | {"rms_limit": None})) if r and r["settings"] else settings
             reading = Reading(r["z"], r["sigma"]) if r and r["z"] is not None else None
-            cold = track.step(epoch, settings, track.predict(), reading, restarted=bool(r and r["restarted"]))
+            moved = track.predict(Fraction(r["move"]), r["rate"]) if r else track.predict()
+            cold = track.step(epoch, settings, moved, reading, restarted=bool(r and r["restarted"]))
             if "D" in track.flags and "P" in track.flags:
                 track = Track()
                 continue

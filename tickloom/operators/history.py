@@ -42,7 +42,7 @@ def pair_history(readings: DataFrame, setup: Setup, carried: DataFrame | None =
 
     The references' rows are written first, as the other clocks' fold needs them as well as the result.
     """
-    rows = folds.pair_inputs(readings, setup.settings, setup.steering, setup.disabled, setup.limits)
+    rows = folds.pair_inputs(readings, setup.settings, setup.steering, setup.disabled, setup.limits, setup.gap_limit, carried)
     is_own = links.is_reference(F.col("clock"))
     old = {True: None, False: None}
     if carried is not None:
@@ -54,7 +54,7 @@ def pair_history(readings: DataFrame, setup: Setup, carried: DataFrame | None =
 
 def triple_history(pairs: DataFrame, registry: DataFrame, setup: Setup, carried: DataFrame | None = None, earlier: DataFrame | None = None) -> DataFrame:
     """TRIPLE rows of PAIR rows that have been written; registry: triples (r, s, c, since)."""
-    rows = folds.triple_inputs(pairs, registry, setup.settings, setup.locations, earlier)
+    rows = folds.triple_inputs(pairs, registry, setup.settings, setup.locations, earlier, setup.steering, setup.gap_limit, carried)
     old = None if carried is None else folds.with_settings(carried.withColumnRenamed("c", "clock"), setup.settings).withColumnRenamed("clock", "c")
     return folds.triple_rows(rows, old)
 

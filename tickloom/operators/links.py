@@ -27,14 +27,45 @@ def steering_by_epoch(events: DataFrame) -> DataFrame:
     return events.select("ref", epoch.alias("epoch"), (F.col("dx") + F.col("dy") * left_s).alias("dx"), "dy").groupBy("ref", "epoch").agg(F.sum("dx").alias("move"), F.sum("dy").alias("rate"))
 
 
-def steered_pairs(pairs: DataFrame, steering: DataFrame) -> DataFrame:
-    """Pairs (ref, clock, epoch) with the steering of both sides: the clock's less the reference's; none for a self pair."""
-    own = steering.select(F.col("ref").alias("clock"), "epoch", F.col("move").alias("_cm"), F.col("rate").alias("_cr"))
-    of_ref = steering.select("ref", "epoch", F.col("move").alias("_rm"), F.col("rate").alias("_rr"))
-    both = pairs.join(of_ref, ["ref", "epoch"], "left").join(own, ["clock", "epoch"], "left")
+def signs(keys: Sequence[str]) -> dict[str, Column]:
+    """Columns of a series' key that name references which move it, each with its sign.
+
+    A pair (ref, clock) is x_ref - x_clock and a triple (r, s, c) is x_r - x_c: a reference that is measured against another one
+    counts on both sides, a self pair is moved by nothing, and a clock that is no reference is not steered. Of a triple r alone
+    counts, by rule, even where c is a reference too.
+    """
+    if "r" in keys:
+        return {"r": F.lit(1)}
     other = F.col("ref") != F.col("clock")
-    diff = lambda a, b: F.when(other, F.coalesce(a, F.lit(0.0)) - F.coalesce(b, F.lit(0.0))).otherwise(0.0)
-    return both.select(*pairs.columns, diff("_cm", "_rm").alias("move"), diff("_cr", "_rr").alias("rate"))
+    return {"ref": F.when(other, 1).otherwise(0), "clock": F.when(other & is_reference(F.col("clock")), -1).otherwise(0)}
+
+
+def steered(rows: DataFrame, steering: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows of series (keys, epoch) with move and rate: what steering (ref, epoch, move, rate) did to the series since the epoch before."""
+    out, total = rows, {"move": F.lit(0.0), "rate": F.lit(0.0)}
+    for name, sign in signs(keys).items():
+        own = steering.select(F.col("ref").alias(name), "epoch", *(F.col(c).alias(f"_{name}_{c}") for c in total))
+        out = out.join(own, [name, "epoch"], "left")
+        total = {c: t + sign * F.coalesce(f"_{name}_{c}", F.lit(0.0)) for c, t in total.items()}
+    return out.select(*rows.columns, *(t.alias(c) for c, t in total.items()))
+
+
+def steered_unread(rows: DataFrame, steering: DataFrame, keys: Sequence[str], gap_limit: int, carried: DataFrame | None = None) -> DataFrame:
+    """channel, keys and epoch: epochs in which steering moves a series that has no row there, from its first row to gap_limit after its last.
+
+    Series meet steering by name, once a steered epoch, and rows are taken off by key and epoch: no task holds a series.
+    carried: rows that series go on from, the first of them where there is one.
+    """
+    key = ["channel", *keys]
+    read = rows.select(*key, "epoch")
+    known = read if carried is None else read.union(carried.select(*key, "epoch"))
+    spans = known.groupBy(*key).agg(F.min("epoch").alias("_first"), F.max("epoch").alias("_last"))
+    moved = None
+    for name, sign in signs(keys).items():
+        met = spans.withColumn("_sign", sign).where("_sign <> 0").join(steering.select(F.col("ref").alias(name), "epoch"), name)
+        met = met.where((F.col("epoch") > F.col("_first")) & (F.col("epoch") <= F.col("_last") + gap_limit)).select(*key, "epoch")
+        moved = met if moved is None else moved.union(met)
+    return moved.distinct().join(known, [*key, "epoch"], "left_anti")
 
 
 def steering_within(measured: DataFrame, events: DataFrame) -> DataFrame:
@@ -45,14 +76,15 @@ def steering_within(measured: DataFrame, events: DataFrame) -> DataFrame:
 
 
 def steered_within(pairs: DataFrame, events: DataFrame) -> DataFrame:
-    """Pairs (ref, clock, epoch, measured_us) with within: what was steered from the epoch's start to the pair's own instant, the clock's
-    part less the reference's; none for a self pair."""
+    """Pairs (ref, clock, epoch, measured_us) with within: what was steered from the epoch's start to the pair's own instant, with `signs`."""
     instants = pairs.select("ref", "epoch", "measured_us").union(pairs.select(F.col("clock").alias("ref"), "epoch", "measured_us")).distinct()
     each = steering_within(instants, events)
-    of_ref = each.select("ref", "epoch", "measured_us", F.col("within").alias("_rw"))
-    own = each.select(F.col("ref").alias("clock"), "epoch", "measured_us", F.col("within").alias("_cw"))
-    both = pairs.join(of_ref, ["ref", "epoch", "measured_us"], "left").join(own, ["clock", "epoch", "measured_us"], "left")
-    return both.select(*pairs.columns, F.when(F.col("ref") != F.col("clock"), F.coalesce("_cw", F.lit(0.0)) - F.coalesce("_rw", F.lit(0.0))).otherwise(0.0).alias("within"))
+    out, total = pairs, F.lit(0.0)
+    for name, sign in signs(("ref", "clock")).items():
+        own = each.select(F.col("ref").alias(name), "epoch", "measured_us", F.col("within").alias(f"_{name}_within"))
+        out = out.join(own, [name, "epoch", "measured_us"], "left")
+        total += sign * F.coalesce(f"_{name}_within", F.lit(0.0))
+    return out.select(*pairs.columns, total.alias("within"))
 
 
 def setting_intervals(entries: DataFrame, keys: Sequence[str], values: Sequence[str], date: str, order: str) -> DataFrame:

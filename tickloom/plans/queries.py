@@ -208,6 +208,24 @@ def steering_within(spark, sf_dir):
     return links.steering_within(r, _steering(spark, sf_dir)).select("ref", "epoch", F.round("within", 6).alias("within"))
 
 
+@query(f"""WITH {RAW}, {STEER}, pr AS (SELECT DISTINCT 'mc' || CAST(length(ref) % 10 AS VARCHAR) AS ref, CASE WHEN user_id % 3 = 0 THEN 'mc' || CAST(user_id % 10 AS VARCHAR) ELSE 'u' || CAST(user_id % 20 AS VARCHAR) END AS clock, epoch FROM raw),
+e AS (SELECT 'mc' || CAST(length(ref) % 10 AS VARCHAR) AS ref, CAST(ceil(us / 600000000.0::DOUBLE) AS BIGINT) AS epoch, sum(dx + dy * ((CAST(ceil(us / 600000000.0::DOUBLE) AS BIGINT) * 600000000 - us) / 1e6)) AS move, sum(dy) AS rate FROM st GROUP BY ALL),
+sp AS (SELECT ref, clock, min(epoch) AS f, max(epoch) AS l FROM pr WHERE ref <> clock GROUP BY ALL),
+un AS (SELECT DISTINCT sp.ref, sp.clock, e.epoch FROM sp JOIN e ON (e.ref = sp.ref OR e.ref = sp.clock) AND e.epoch > f AND e.epoch <= l + 40),
+al AS (SELECT *, true AS is_read FROM pr UNION ALL SELECT un.*, false FROM un ANTI JOIN pr ON pr.ref = un.ref AND pr.clock = un.clock AND pr.epoch = un.epoch)
+SELECT al.ref, al.clock, al.epoch, is_read, round(CASE WHEN al.ref = al.clock THEN 0 ELSE coalesce(a.move, 0) - coalesce(b.move, 0) END, 6) AS move, round(CASE WHEN al.ref = al.clock THEN 0 ELSE coalesce(a.rate, 0) - coalesce(b.rate, 0) END, 9) AS rate
+FROM al LEFT JOIN e a ON a.ref = al.ref AND a.epoch = al.epoch LEFT JOIN e b ON b.ref = al.clock AND b.epoch = al.epoch""")
+def steered_series(spark, sf_dir):
+    """What steering does to pairs of references, clocks and themselves, in their own epochs and in those without a reading."""
+    named = F.concat(F.lit("mc"), (F.length("ref") % 10).cast("string"))
+    user = F.col("user_id")
+    clock = F.when(user % 3 == 0, F.concat(F.lit("mc"), (user % 10).cast("string"))).otherwise(F.concat(F.lit("u"), (user % 20).cast("string")))
+    rows = staged(raw(spark, sf_dir).select(F.lit("a").alias("channel"), named.alias("ref"), clock.alias("clock"), "epoch").distinct(), "series")
+    by_epoch = staged(links.steering_by_epoch(_steering(spark, sf_dir).withColumn("ref", named)), "steering")
+    every = rows.withColumn("is_read", F.lit(True)).unionByName(links.steered_unread(rows, by_epoch, ["ref", "clock"], 40).withColumn("is_read", F.lit(False)))
+    return links.steered(every, by_epoch, ["ref", "clock"]).select("ref", "clock", "epoch", "is_read", F.round("move", 6).alias("move"), F.round("rate", 9).alias("rate"))
+
+
 @query("""WITH s AS (SELECT o_custkey AS k, o_orderdate AS d, o_orderkey AS o, o_orderpriority AS p, CASE WHEN o_orderstatus = 'F' THEN NULL ELSE o_orderstatus END AS t FROM orders WHERE o_orderkey % 2 = 0),
 h AS (SELECT k, d, o, last_value(p IGNORE NULLS) OVER w AS p, last_value(t IGNORE NULLS) OVER w AS t FROM s WINDOW w AS (PARTITION BY k ORDER BY d, o ROWS UNBOUNDED PRECEDING)),
 u AS (SELECT * FROM h QUALIFY row_number() OVER (PARTITION BY k, d ORDER BY o DESC) = 1)
