@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import numeric, timefn
-from ..operators import characterization, history, links, series, stretches, summary
+from ..operators import characterization, history, links, rows, series, stretches, summary
 from ..sources import text_archive
 from ..sources.staging import staged
 from .proxies import INNOVATIONS, LIMITS, QUIET, RAW, READINGS, changes, changes_sql, innovations, quiet, raw, readings, table
@@ -52,6 +52,17 @@ def mjd_roundtrip(spark, sf_dir):
     return raw(spark, sf_dir).select("event_id", mjd.alias("mjd"), timefn.mjd_to_jd(mjd).alias("jd"), (F.abs(timefn.mjd_to_us(mjd) - F.col("us")) <= 2).alias("returns"), (timefn.epoch_of_us(F.col("us")) + 40_587 * 144).alias("epoch"), timefn.next_epoch_of_us(F.col("us")).alias("next_mark"))
 
 
+@query(f"""WITH {RAW}, j AS (SELECT event_id, us, (us // 1000000) / 86400.0::DOUBLE + 2440587.5::DOUBLE AS jd FROM raw)
+SELECT event_id, jd, jd - 2400000.5::DOUBLE AS mjd, abs((jd - 2440587.5::DOUBLE) * 86400.0::DOUBLE - us // 1000000) < 0.001 AS returns, strftime(make_timestamp(us), '%Y-%m-%d %H:%M') AS minute,
+'+' || CAST(phase // 1000 AS VARCHAR) || '.' || lpad(CAST(phase % 1000 AS VARCHAR), 3, '0') AS phase_text FROM j JOIN raw USING (event_id, us)""")
+def jd_calendar(spark, sf_dir):
+    """Julian days there and back, the civil minute, and a phase in femtoseconds as text."""
+    seconds = F.floor(F.col("us") / 1_000_000)
+    jd = timefn.unix_to_jd(seconds)
+    minute = F.date_format(timefn.us_to_timestamp(F.col("us")), "yyyy-MM-dd HH:mm")
+    return raw(spark, sf_dir).select("event_id", jd.alias("jd"), timefn.jd_to_mjd(jd).alias("mjd"), (F.abs(timefn.jd_to_unix(jd) - seconds) < 0.001).alias("returns"), minute.alias("minute"), numeric.signed_phase(F.col("phase")).alias("phase_text"))
+
+
 @query(f"""WITH {READINGS} SELECT DISTINCT epoch, CAST((epoch + 5844528) // 144 AS VARCHAR) || '.' || lpad(CAST((epoch + 5844528) % 144 * 1000000 // 144 AS VARCHAR), 6, '0') AS mjd_text FROM readings""")
 def epoch_texts(spark, sf_dir):
     return readings(spark, sf_dir).select("epoch", timefn.epoch_to_mjd_text(F.col("epoch") + 40_587 * 144).alias("mjd_text")).distinct()
@@ -296,6 +307,13 @@ def triple_registry(spark, sf_dir):
     return links.triple_registry(*_pairs(spark, sf_dir))
 
 
+@query(f"""WITH {INNOVATIONS} SELECT epoch, ref, clock, abs(nu) <= 5 * scale AS in_gate, CASE WHEN epoch % 3 = 0 THEN true ELSE scale % 97 <= 60 END AS in_rms_limit FROM nus""")
+def measured_gates(spark, sf_dir):
+    """The gate on innovations and the limit on rms, where there is one."""
+    limit = F.when(F.col("epoch") % 3 != 0, 60)
+    return innovations(spark, sf_dir).select("epoch", "ref", "clock", rows.in_gate(F.col("nu"), F.col("scale")).alias("in_gate"), rows.in_rms_limit(F.col("scale") % 97, limit).alias("in_rms_limit"))
+
+
 @query(f"WITH {INNOVATIONS} SELECT epoch, a, b, total, value, round(scale, 6) AS scale, in_gate FROM tw")
 def reciprocity(spark, sf_dir):
     return links.two_way(innovations(spark, sf_dir)).withColumn("scale", F.round("scale", 6))
@@ -399,8 +417,6 @@ def rejection_log_parse(spark, sf_dir):
 @query(f"""WITH {RAW}, f AS (SELECT event_id, CASE event_id % 9 WHEN 0 THEN 'A' WHEN 1 THEN 'AN' WHEN 2 THEN 'PD' WHEN 3 THEN 'AA' WHEN 4 THEN 'Z' WHEN 5 THEN 'AU' WHEN 6 THEN 'NA' WHEN 7 THEN 'DP' ELSE '' END AS f FROM raw)
 SELECT event_id, f AS flags, regexp_full_match(f, 'A?R?X?P?O?D?S?N?U?') AS is_valid, NOT (contains(f, 'D') AND contains(f, 'P')) AS is_written, contains(f, 'A') AND NOT contains(f, 'U') AS is_usable FROM f""")
 def flag_grammar(spark, sf_dir):
-    from ..operators import rows
-
     kinds = F.array(*(F.lit(f) for f in ("A", "AN", "PD", "AA", "Z", "AU", "NA", "DP", "")))
     f = raw(spark, sf_dir).select("event_id", F.get(kinds, (F.col("event_id") % 9).cast("int")).alias("flags"))
     return f.select("event_id", "flags", rows.valid_flags(F.col("flags")).alias("is_valid"), rows.is_written(F.col("flags")).alias("is_written"), rows.is_usable(F.col("flags")).alias("is_usable"))

@@ -2,7 +2,8 @@
 
 `epochs` forms the epochs with a watermark, so late readings are refused as in a batch. `tracked` keeps each series' carried
 row in the state store and steps it once an epoch; missing epochs are stepped when the next reading comes, and a series that
-nothing measured for its gap limit is dropped by an event-time timeout. Batch folds and streams give the same rows.
+nothing measured for its gap limit is dropped by an event-time timeout, without the held rows that a batch still gives it. One
+series' rows up to its last reading are those of the batch's transition; screening, steering and triples are the batch's alone.
 """
 
 from __future__ import annotations
@@ -24,9 +25,9 @@ OUT = "channel string, ref string, clock string, epoch long, z long, x_fs string
 
 
 def epochs(readings: DataFrame, late: str = "10 minutes") -> DataFrame:
-    """Readings counted by channel and epoch, from a stream with a timestamp ts; an epoch comes out once it cannot change."""
+    """Readings and references (ten names at most, counted exactly) by channel and epoch, from a stream with a timestamp ts; an epoch comes out once it cannot change."""
     w = F.window("ts", f"{EPOCH_S} seconds")
-    return readings.withWatermark("ts", late).groupBy("channel", w.alias("w")).agg(F.count(F.lit(1)).alias("n_readings"), F.approx_count_distinct("ref").alias("n_refs")).select("channel", F.floor(F.unix_micros("w.start") / (EPOCH_S * 1_000_000)).cast("long").alias("epoch"), "n_readings", "n_refs")
+    return readings.withWatermark("ts", late).groupBy("channel", w.alias("w")).agg(F.count(F.lit(1)).alias("n_readings"), F.size(F.collect_set("ref")).cast("long").alias("n_refs")).select("channel", F.floor(F.unix_micros("w.start") / (EPOCH_S * 1_000_000)).cast("long").alias("epoch"), "n_readings", "n_refs")
 
 
 def tracked(measured: DataFrame, settings: Settings, late: str = "10 minutes") -> DataFrame:
