@@ -7,7 +7,7 @@ only on accepted pairs. So three grouped folds and the joins between them do the
 2. `clock_rows`, by channel and clock: each other clock's pairs, with a short array of the epoch's reference facts joined on;
 3. `triple_rows`, by channel and triple: double differences, made by joins.
 
-A group is one sorted stream of rows; a fold keeps one small state a series. Epochs without readings are walked through only
+A fold walks through one key's rows in order and keeps one small state a series; Python is handed many keys at once. Epochs without readings are walked through only
 while some series is still tracked, and a row goes on from a row of exactly the epoch before. Null phases are missing
 readings; a disabled clock's readings are kept in rows of flag O and not filtered.
 
@@ -18,20 +18,21 @@ at any epoch and gone on with has the same rows as one made in one go, and a gro
 from __future__ import annotations
 
 from collections import defaultdict
-from collections.abc import Iterable, Iterator, Sequence
-from fractions import Fraction
+from collections.abc import Callable, Iterable, Iterator, Sequence
+from dataclasses import replace
 from itertools import zip_longest
+from operator import attrgetter
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 from ..functions.timefn import EPOCH_US
 from . import links, screening
-from .estimator import Reading, Settings, Track, rounded, unwrap
+from .estimator import Reading, Settings, Track, unwrapped
 
 SETTINGS = "struct<states int, m double, m_sigma double, sigma0 double, gap_limit int, breaks_at int, fraction_epochs double, fraction_limit double, rms_limit int>"
 BUFFER = "array<struct<epoch long, value double>>"
@@ -39,6 +40,8 @@ STATE = f"x_fs long, y double, d double, innovation double, scale double, step_o
 PAIR = f"channel string, ref string, clock string, epoch long, cycles long, z long, rms int, predicted_fs long, started_cold boolean, nu double, prior_scale double, excluded boolean, ref_held boolean, {STATE}"
 TRIPLE = f"channel string, r string, s string, c string, epoch long, z long, sigma double, used string, started_cold boolean, {STATE}"
 PAIR_KEYS, TRIPLE_KEYS = ("channel", "ref", "clock"), ("channel", "r", "s", "c")
+#: Rows that one task of a fold is dealt, about.
+TASK_ROWS = 50_000
 _PLAIN = ("x_fs", "y", "d", "innovation", "scale", "step_offset", "in_segment", "since_accept", "rejects_in_row", "reject_fraction", "states", "m", "m_sigma", "flags")
 
 
@@ -46,8 +49,12 @@ def _schema(text: str) -> pa.Schema:
     return to_arrow_schema(StructType.fromDDL(text))
 
 
-def _state(track: Track) -> dict:
-    return {n: getattr(track, n) for n in _PLAIN} | {"buffer": [{"epoch": e, "value": float(v)} for e, v in track.buffer]}
+_state = attrgetter(*_PLAIN[:10], "buffer", *_PLAIN[10:])  # the columns of STATE, in its order
+
+
+def _table(rows: list[tuple], schema: pa.Schema) -> pa.Table:
+    columns = zip(*rows, strict=True) if rows else ((),) * len(schema)
+    return pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
 
 def _restored(row: dict) -> Track:
@@ -55,13 +62,64 @@ def _restored(row: dict) -> Track:
     return Track(epoch=row["epoch"], buffer=[(b["epoch"], b["value"]) for b in row["buffer"]], **{n: row[n] for n in _PLAIN})
 
 
-def _by_epoch(table: pa.Table) -> dict[int, list[dict]]:
-    found = defaultdict(list)
-    for row in table.to_pylist():
-        found[row["epoch"]].append(row)
+def _by_epoch(table: pa.Table, keys: Sequence[str]) -> dict[tuple, dict[int, list[dict]]]:
+    """The rows of each key and epoch. Settings that repeat are one object; facts stay in Arrow, an epoch's are `Facts`."""
+    columns, table = {}, table.combine_chunks()
+    for name in table.column_names:
+        column = table[name].combine_chunks()
+        if name == "facts":
+            columns[name] = _facts(column)
+        elif name == "settings":
+            columns[name] = _settings(column)
+        else:
+            columns[name] = column.to_pylist() if column.null_count or not pa.types.is_primitive(column.type) or pa.types.is_boolean(column.type) else column.to_numpy().tolist()
+    found = defaultdict(lambda: defaultdict(list))
+    for key, values in zip(zip(*(columns[k] for k in keys), strict=True), zip(*columns.values(), strict=True), strict=True):
+        row = dict(zip(columns, values, strict=True))
+        found[key][row["epoch"]].append(row)
     return found
 
 
+def _settings(column: pa.Array) -> list[Settings | None]:
+    known: dict[tuple, Settings] = {}
+    names, there, out = [f.name for f in column.type], column.is_valid().to_pylist(), []
+    if not column.null_count and all(len(f.unique()) == 1 for f in column.flatten()):
+        return [Settings(**column[0].as_py())] * len(column)
+    for ok, values in zip(there, zip(*(f.to_pylist() for f in column.flatten()), strict=True), strict=True):
+        if ok and values not in known:
+            known[values] = Settings(**dict(zip(names, values, strict=True)))
+        out.append(known[values] if ok else None)
+    return out
+
+
+class Facts:
+    """What the references' pairs showed in an epoch: reach and alarmed at once, all of it when asked for."""
+
+    __slots__ = ("reach", "alarmed", "_cell")
+
+    def __init__(self, reach: float, alarmed: bool, cell: pa.ListScalar):
+        self.reach, self.alarmed, self._cell = reach, alarmed, cell
+
+    def all(self) -> list[dict]:
+        return self._cell.as_py()
+
+
+def _facts(column: pa.ListArray) -> list[Facts | None]:
+    """reach: the largest innovation. alarmed: a reference is held, or its own pair is beyond its gate."""
+    n, each = len(column), column.flatten()
+    lengths = np.asarray(column.value_lengths().fill_null(0))
+    if not len(each):
+        return [None] * n
+    row = np.repeat(np.arange(n), lengths)
+    nu, scale = (each.field(c).to_numpy(zero_copy_only=False).astype(float) for c in ("nu", "prior_scale"))
+    own = np.asarray(each.field("ref")) == np.asarray(each.field("clock"))
+    alarm = each.field("ref_held").to_numpy(zero_copy_only=False).astype(bool) | (own & ~np.isnan(nu) & ~(np.abs(nu) <= screening.GATE * scale))
+    reach, alarmed = np.zeros(n), np.zeros(n, bool)
+    np.maximum.at(reach, row, np.nan_to_num(np.abs(nu)))
+    np.logical_or.at(alarmed, row, alarm)
+    return [Facts(r, a, column[i]) if k else None for i, (r, a, k) in enumerate(zip(reach.tolist(), alarmed.tolist(), lengths.tolist(), strict=True))]
+
+
 def _epochs(measured: list[int], active) -> Iterator[int]:
     """Every epoch with rows, and those between while active() says that some series is still tracked."""
     for here, following in zip_longest(measured, measured[1:]):
@@ -78,8 +136,8 @@ def _from(before: int | None, rows: dict[int, list[dict]]) -> list[int]:
     return later if before is None or not later else [before, *later]
 
 
-def _pair_fold(channel: str, table: pa.Table, carried: list[dict], is_reference: bool) -> Iterator[dict]:
-    rows = _by_epoch(table)
+def _pair_fold(channel: str, rows: dict[int, list[dict]], carried: list[dict], is_reference: bool) -> Iterator[tuple]:
+    """The rows of PAIR, as tuples in its order."""
     tracks: dict[tuple[str, str], Track] = {(r["ref"], r["clock"]): _restored(r) for r in carried if "O" not in r["flags"]}
     settings: dict[tuple[str, str], Settings] = {(r["ref"], r["clock"]): Settings(**r["settings"]) for r in carried}
     last_z: dict[tuple[str, str], int] = {(r["ref"], r["clock"]): r["last_z"] for r in carried if r["last_z"] is not None}
@@ -94,24 +152,24 @@ def _pair_fold(channel: str, table: pa.Table, carried: list[dict], is_reference:
         here = {p: r for p, r in read.items() if not r["disabled"]}
         for pair, r in sorted(read.items()):
             if r["disabled"]:  # the reading and the last phase are kept, and the series starts anew when it is enabled
-                tracks[pair], settings[pair] = Track(), Settings(**r["settings"])
-                yield {"channel": channel, "ref": pair[0], "clock": pair[1], "epoch": epoch, "cycles": None, "z": last_z.get(pair), "rms": r["rms"], "predicted_fs": None, "started_cold": False, "nu": None, "prior_scale": None, "excluded": False, "ref_held": False} | _state(Track(flags="O"))
-        facts = next((r["facts"] for r in rows.get(epoch, []) if r.get("facts")), None) or []
+                tracks[pair], settings[pair] = Track(), r["settings"]
+                yield channel, *pair, epoch, None, last_z.get(pair), r["rms"], None, False, None, None, False, False, *_state(Track(flags="O"))
+        facts = next((r["facts"] for r in rows.get(epoch, []) if r.get("facts")), None)
         for pair, r in here.items():
-            settings[pair] = Settings(**r["settings"])
-            tracks.setdefault(pair, Track())
-        steered = {(r["ref"], r["clock"]): (Fraction(r["move"] or 0.0), r["rate"] or 0.0) for r in rows.get(epoch, [])}
-        predicted = {p: t.predict(*steered.get(p, (Fraction(0), 0.0))) for p, t in tracks.items()}
-        found, scale, off = {}, {}, {}
+            settings[pair] = r["settings"]
+            if pair not in tracks:
+                tracks[pair] = Track()
+        steered = {(r["ref"], r["clock"]): (r["move"] or 0.0, r["rate"] or 0.0) for r in rows.get(epoch, []) if r["move"] or r["rate"]}
+        predicted = {p: t.predict(*steered.get(p, (0.0, 0.0))) for p, t in tracks.items()}
+        found, scale, nu = {}, {}, {}
         for pair, r in here.items():
-            found[pair] = unwrap(r["phase"], Fraction(r["offset_us"], 1_000_000), Fraction(r["within"] or 0.0), predicted[pair], tracks[pair].anchor)
+            found[pair] = unwrapped(r["phase"], r["offset_us"], 1_000_000, r["within"] or 0.0, predicted[pair], tracks[pair].anchor)
         for pair, p in predicted.items():
             if p is not None:
                 scale[pair] = tracks[pair].scale
                 if pair in found:
-                    off[pair] = found[pair][1] - p.x
-        nu = {pair: float(v) for pair, v in off.items()}
-        settled = {p for p, t in tracks.items() if t.epoch is not None and not screening.UNSETTLED & set(t.flags)}
+                    nu[pair] = p.innovation(found[pair][1])
+        settled = {p for p, t in tracks.items() if t.epoch is not None and screening.UNSETTLED.isdisjoint(t.flags)}
         screened = _screened_references if is_reference else _screened_clock
         excluded, held, corrections = screened(here, nu, scale, facts, settled) if here else (set(), set(), {})
         for pair in sorted(tracks):
@@ -129,8 +187,7 @@ def _pair_fold(channel: str, table: pa.Table, carried: list[dict], is_reference:
             if "D" in track.flags and "P" in track.flags:
                 tracks[pair] = Track()
                 continue
-            told = {"nu": nu.get(pair), "prior_scale": prior, "excluded": pair in excluded, "ref_held": pair[0] in held}
-            yield {"channel": channel, "ref": pair[0], "clock": pair[1], "epoch": epoch, "cycles": cycles, "z": z, "rms": r["rms"] if r else None, "predicted_fs": rounded(p.x * 1000) if p else None, "started_cold": cold} | told | _state(track)
+            yield channel, *pair, epoch, cycles, z, r["rms"] if r else None, p.x_fs if p else None, cold, nu.get(pair), prior, pair in excluded, pair[0] in held, *_state(track)
 
 
 def _quiet(nu: Iterable[float], scale: Iterable[float]) -> bool:
@@ -139,7 +196,7 @@ def _quiet(nu: Iterable[float], scale: Iterable[float]) -> bool:
     return most <= 2 * min(scale, default=np.inf) and 6 * most < screening.PERIOD_PS
 
 
-def _screened_references(here: dict, nu: dict, scale: dict, facts: list[dict], settled: set) -> tuple[set, set, dict]:
+def _screened_references(here: dict, nu: dict, scale: dict, facts: Facts | None, settled: set) -> tuple[set, set, dict]:
     """Pairs that are excluded, references that are held, and whole periods to add to pairs, among the references' own pairs."""
     if _quiet(nu.values(), scale.values()):
         return set(), set(), {}
@@ -155,15 +212,15 @@ def _screened_references(here: dict, nu: dict, scale: dict, facts: list[dict], s
     return excluded, {panel.names[j] for j in np.flatnonzero(panel.held)}, corrections
 
 
-def _screened_clock(here: dict, nu: dict, scale: dict, facts: list[dict], settled: set) -> tuple[set, set, dict]:
+def _screened_clock(here: dict, nu: dict, scale: dict, facts: Facts | None, settled: set) -> tuple[set, set, dict]:
     """The same for one other clock's pairs, from what the references' own pairs showed."""
     if not nu:
         return set(), set(), {}
-    clock, said = next(iter(nu))[1], [f for f in facts if f["nu"] is not None]
-    reach = max(nu.values()) - min(nu.values()) + max((abs(f["nu"]) for f in said), default=0.0)
-    alarmed = any(f["ref_held"] for f in facts) or any(f["ref"] == f["clock"] and not abs(f["nu"]) <= screening.GATE * f["prior_scale"] for f in said)
-    if not alarmed and 2 * reach < screening.PERIOD_PS:  # no reference is held or has moved by itself, and no two pairs are half a period apart
+    reach = max(nu.values()) - min(nu.values()) + (facts.reach if facts else 0.0)
+    if not (facts and facts.alarmed) and 2 * reach < screening.PERIOD_PS:  # no reference is held or has moved by itself, and no two pairs are half a period apart
         return set(), set(), {}
+    clock, facts = next(iter(nu))[1], facts.all() if facts else []
+    said = [f for f in facts if f["nu"] is not None]
     of_links = lambda column: {(f["ref"], f["clock"]): f[column] for f in said}
     panel = screening.Panel({f["ref"] for f in facts}, of_links("nu"), of_links("prior_scale"))
     for f in said:
@@ -178,18 +235,35 @@ def _screened_clock(here: dict, nu: dict, scale: dict, facts: list[dict], settle
     return excluded | {(panel.names[j], clock) for j in np.flatnonzero(unsure)}, held, corrections
 
 
-def _folded(rows: DataFrame, keys: list[str], is_reference: bool, carried: DataFrame | None = None) -> DataFrame:
-    schema = _schema(PAIR)
+def tasks(spark: SparkSession, rows: int) -> int:
+    """Partitions for a fold of so many rows: Spark's own choice goes by bytes, which are few, and not by the work of a row."""
+    return max(2 * spark.sparkContext.defaultParallelism, -(-rows // TASK_ROWS))
+
 
-    def fold(key: tuple, table: pa.Table) -> pa.Table:
-        return pa.Table.from_pylist(list(_pair_fold(key[0].as_py(), table, [], is_reference)), schema)
+def _by_bucket(rows: DataFrame, keys: Sequence[str], fold: Callable[[tuple, dict, list], Iterable[tuple]], out: str, carried: DataFrame | None, parts: int | None) -> DataFrame:
+    """Rows of `out` that `fold` makes of each key's rows by epoch and its carried rows.
+
+    A call of Python takes a bucket of keys, as handing over a short series costs more than folding it: four buckets a
+    partition, so that one holds a quarter of TASK_ROWS or one series.
+    """
+    schema, parts = _schema(out), parts or tasks(rows.sparkSession, 0)
 
-    def go_on(key: tuple, table: pa.Table, carried: pa.Table) -> pa.Table:
-        return pa.Table.from_pylist(list(_pair_fold(key[0].as_py(), table, carried.to_pylist(), is_reference)), schema)
+    def dealt(some: DataFrame) -> DataFrame:
+        return some.withColumn("_bucket", F.pmod(F.xxhash64(*keys), F.lit(4 * parts))).repartition(parts, "_bucket")
+
+    def folded(table: pa.Table, old: pa.Table | None) -> pa.Table:
+        by_key, gone_on = _by_epoch(table.drop_columns("_bucket"), keys), defaultdict(list)
+        for row in old.drop_columns("_bucket").to_pylist() if old else []:
+            gone_on[tuple(row[k] for k in keys)].append(row)
+        return _table([r for key in by_key for r in fold(key, by_key[key], gone_on[key])], schema)
 
     if carried is None:
-        return rows.groupBy(*keys).applyInArrow(fold, PAIR)
-    return rows.groupBy(*keys).cogroup(carried.groupBy(*keys)).applyInArrow(go_on, PAIR)
+        return dealt(rows).groupBy("_bucket").applyInArrow(lambda table: folded(table, None), out)
+    return dealt(rows).groupBy("_bucket").cogroup(dealt(carried).groupBy("_bucket")).applyInArrow(lambda table, old: folded(table, old), out)
+
+
+def _folded(rows: DataFrame, keys: list[str], is_reference: bool, carried: DataFrame | None = None, parts: int | None = None) -> DataFrame:
+    return _by_bucket(rows, keys, lambda key, by_epoch, old: _pair_fold(key[0], by_epoch, old, is_reference), PAIR, carried, parts)
 
 
 def newest(rows: DataFrame, keys: Sequence[str], until: int | None = None) -> DataFrame:
@@ -200,9 +274,9 @@ def newest(rows: DataFrame, keys: Sequence[str], until: int | None = None) -> Da
     return found.select(*keys, "row.*", "last_z")
 
 
-def reference_rows(rows: DataFrame, carried: DataFrame | None = None) -> DataFrame:
-    """PAIR rows of the pairs whose clock is a reference; rows as `pair_inputs` gives them. carried: as `newest` gives them, with settings."""
-    return _folded(rows, ["channel"], True, carried)
+def reference_rows(rows: DataFrame, carried: DataFrame | None = None, parts: int | None = None) -> DataFrame:
+    """PAIR rows of the pairs whose clock is a reference; rows as `pair_inputs` gives them. carried: as `newest` gives them, with settings. parts: partitions (`tasks`)."""
+    return _folded(rows, ["channel"], True, carried, parts)
 
 
 def reference_facts(reference_rows: DataFrame) -> DataFrame:
@@ -212,9 +286,9 @@ def reference_facts(reference_rows: DataFrame) -> DataFrame:
     return measured.groupBy("channel", "epoch").agg(F.array_sort(F.collect_list(fact)).alias("facts"))
 
 
-def clock_rows(rows: DataFrame, facts: DataFrame, carried: DataFrame | None = None) -> DataFrame:
+def clock_rows(rows: DataFrame, facts: DataFrame, carried: DataFrame | None = None, parts: int | None = None) -> DataFrame:
     """PAIR rows of all other clocks' pairs."""
-    return _folded(rows.join(facts, ["channel", "epoch"], "left"), ["channel", "clock"], False, carried)
+    return _folded(rows.join(facts, ["channel", "epoch"], "left"), ["channel", "clock"], False, carried, parts)
 
 
 def with_settings(rows: DataFrame, settings: DataFrame, limits: tuple[DataFrame, DataFrame, Column] | None = None) -> DataFrame:
@@ -306,12 +380,11 @@ def triple_inputs(pairs: DataFrame, triples: DataFrame, settings: DataFrame, loc
     return _with_unread(given, steering, TRIPLE_KEYS[1:], gap_limit, carried)
 
 
-def triple_rows(rows: DataFrame, carried: DataFrame | None = None) -> DataFrame:
+def triple_rows(rows: DataFrame, carried: DataFrame | None = None, parts: int | None = None) -> DataFrame:
     """TRIPLE rows from `triple_inputs`: the same transition, with no limit on rms and no screening. carried: as for pairs."""
-    schema = _schema(TRIPLE)
+    unlimited: dict[Settings, Settings] = {}
 
-    def walk(key: tuple, table: pa.Table, carried: list[dict]) -> pa.Table:
-        by_epoch, out, names = _by_epoch(table), [], dict(zip(TRIPLE_KEYS, (k.as_py() for k in key), strict=True))
+    def walk(key: tuple, by_epoch: dict[int, list[dict]], carried: list[dict]) -> Iterator[tuple]:
         track, settings, before = Track(), None, None
         for r in carried:
             track, settings, before = _restored(r), Settings(**(r["settings"] | {"rms_limit": None})), r["epoch"]
@@ -321,16 +394,14 @@ def triple_rows(rows: DataFrame, carried: DataFrame | None = None) -> DataFrame:
             if track.epoch is not None and track.epoch + 1 < epoch:
                 track = Track()
             r = by_epoch.get(epoch, [None])[0]
-            settings = Settings(**(r["settings"] | {"rms_limit": None})) if r and r["settings"] else settings
+            if r and r["settings"]:
+                settings = unlimited.get(r["settings"]) or unlimited.setdefault(r["settings"], replace(r["settings"], rms_limit=None))
             reading = Reading(r["z"], r["sigma"]) if r and r["z"] is not None else None
-            moved = track.predict(Fraction(r["move"]), r["rate"]) if r else track.predict()
+            moved = track.predict(r["move"], r["rate"]) if r else track.predict()
             cold = track.step(epoch, settings, moved, reading, restarted=bool(r and r["restarted"]))
             if "D" in track.flags and "P" in track.flags:
                 track = Track()
                 continue
-            out.append(names | {"epoch": epoch, "z": reading.z if reading else None, "sigma": reading.floor if reading else None, "used": r["used"] if reading else None, "started_cold": cold} | _state(track))
-        return pa.Table.from_pylist(out, schema)
+            yield *key, epoch, reading.z if reading else None, reading.floor if reading else None, r["used"] if reading else None, cold, *_state(track)
 
-    if carried is None:
-        return rows.groupBy(*TRIPLE_KEYS).applyInArrow(lambda key, table: walk(key, table, []), TRIPLE)
-    return rows.groupBy(*TRIPLE_KEYS).cogroup(carried.groupBy(*TRIPLE_KEYS)).applyInArrow(lambda key, table, old: walk(key, table, old.to_pylist()), TRIPLE)
+    return _by_bucket(rows, TRIPLE_KEYS, walk, TRIPLE, carried, parts)

@@ -48,15 +48,19 @@ def pair_history(readings: DataFrame, setup: Setup, carried: DataFrame | None =
     if carried is not None:
         given = staged(folds.with_settings(carried, setup.settings, setup.limits), "carried")
         old = {True: given.where(is_own), False: given.where(~is_own)}
-    refs = staged(folds.reference_rows(rows.where(is_own), old[True]), "references")
-    return refs.unionByName(folds.clock_rows(rows.where(~is_own), folds.reference_facts(refs), old[False]))
+    parts = folds.tasks(readings.sparkSession, readings.count())
+    refs = staged(folds.reference_rows(rows.where(is_own), old[True], parts), "references")
+    return refs.unionByName(folds.clock_rows(rows.where(~is_own), folds.reference_facts(refs), old[False], parts))
 
 
 def triple_history(pairs: DataFrame, registry: DataFrame, setup: Setup, carried: DataFrame | None = None, earlier: DataFrame | None = None) -> DataFrame:
     """TRIPLE rows of PAIR rows that have been written; registry: triples (r, s, c, since)."""
+    registry = staged(registry, "registry")
+    legs = pairs.groupBy(F.col("ref").alias("s"), F.col("clock").alias("c")).agg(F.count(F.lit(1)).alias("n"))
+    n_rows = legs.join(registry, ["s", "c"]).agg(F.sum("n")).first()[0] or 0
     rows = folds.triple_inputs(pairs, registry, setup.settings, setup.locations, earlier, setup.steering, setup.gap_limit, carried)
     old = None if carried is None else folds.with_settings(carried.withColumnRenamed("c", "clock"), setup.settings).withColumnRenamed("clock", "c")
-    return folds.triple_rows(rows, old)
+    return folds.triple_rows(rows, old, folds.tasks(pairs.sparkSession, n_rows))
 
 
 def known_triples(known: DataFrame, setup: Setup) -> DataFrame:

@@ -447,7 +447,8 @@ def _deployment(spark, sf_dir):
     data = r.select(channel.alias("channel"), "ref", clock.alias("clock"), epoch.alias("epoch"), (F.col("delta_us") % 1_000_000).alias("delta_us"), phase.alias("phase"), F.lit(3).alias("rms"), "event_id")
     first = series.first_readings(data, ["channel", "ref", "clock"], ["event_id"])
     value = F.struct(F.lit(2).alias("states"), F.lit(20.0).alias("m"), F.lit(30.0).alias("m_sigma"), F.lit(50.0).alias("sigma0"), F.lit(40).alias("gap_limit"), F.lit(12).alias("breaks_at"), F.lit(144.0).alias("fraction_epochs"), F.lit(0.5).alias("fraction_limit"), F.lit(50).alias("rms_limit"))
-    return staged(first.drop("event_id"), "readings"), history.Setup(first.select("clock").distinct().withColumn("settings", value))
+    written = staged(first.drop("event_id"), "readings")
+    return written, history.Setup(written.select("clock").distinct().withColumn("settings", value))
 
 
 @query()
