@@ -72,7 +72,7 @@ def _by_epoch(table: pa.Table, keys: Sequence[str]) -> dict[tuple, dict[int, lis
         elif name == "settings":
             columns[name] = _settings(column)
         else:
-            columns[name] = column.to_pylist() if column.null_count or not pa.types.is_primitive(column.type) or pa.types.is_boolean(column.type) else column.to_numpy().tolist()
+            columns[name] = _cells(column)
     found = defaultdict(lambda: defaultdict(list))
     for key, values in zip(zip(*(columns[k] for k in keys), strict=True), zip(*columns.values(), strict=True), strict=True):
         row = dict(zip(columns, values, strict=True))
@@ -80,6 +80,19 @@ def _by_epoch(table: pa.Table, keys: Sequence[str]) -> dict[tuple, dict[int, lis
     return found
 
 
+def _cells(column: pa.Array) -> list:
+    """The column's values; those of short lists of names are shared, and numbers pass through numpy, as both are several times faster."""
+    if pa.types.is_string(column.type) and not column.null_count:
+        coded = column.dictionary_encode()
+        return np.array(coded.dictionary.to_pylist(), object)[coded.indices.to_numpy()].tolist()
+    if not (pa.types.is_integer(column.type) or pa.types.is_floating(column.type)):
+        return column.to_pylist()
+    cells = column.fill_null(0).to_numpy().tolist()
+    for i in np.flatnonzero(column.is_null().to_numpy(zero_copy_only=False)).tolist() if column.null_count else ():
+        cells[i] = None
+    return cells
+
+
 def _settings(column: pa.Array) -> list[Settings | None]:
     known: dict[tuple, Settings] = {}
     names, there, out = [f.name for f in column.type], column.is_valid().to_pylist(), []
@@ -382,10 +395,8 @@ def triple_inputs(pairs: DataFrame, triples: DataFrame, settings: DataFrame, loc
 
 def triple_rows(rows: DataFrame, carried: DataFrame | None = None, parts: int | None = None) -> DataFrame:
     """TRIPLE rows from `triple_inputs`: the same transition, with no limit on rms and no screening. carried: as for pairs."""
-    unlimited: dict[Settings, Settings] = {}
-
     def walk(key: tuple, by_epoch: dict[int, list[dict]], carried: list[dict]) -> Iterator[tuple]:
-        track, settings, before = Track(), None, None
+        track, settings, given, before = Track(), None, None, None
         for r in carried:
             track, settings, before = _restored(r), Settings(**(r["settings"] | {"rms_limit": None})), r["epoch"]
         for epoch in _epochs(_from(before, by_epoch), lambda: track.tracked):
@@ -394,8 +405,8 @@ def triple_rows(rows: DataFrame, carried: DataFrame | None = None, parts: int |
             if track.epoch is not None and track.epoch + 1 < epoch:
                 track = Track()
             r = by_epoch.get(epoch, [None])[0]
-            if r and r["settings"]:
-                settings = unlimited.get(r["settings"]) or unlimited.setdefault(r["settings"], replace(r["settings"], rms_limit=None))
+            if r and r["settings"] and r["settings"] is not given:
+                given, settings = r["settings"], replace(r["settings"], rms_limit=None)
             reading = Reading(r["z"], r["sigma"]) if r and r["z"] is not None else None
             moved = track.predict(r["move"], r["rate"]) if r else track.predict()
             cold = track.step(epoch, settings, moved, reading, restarted=bool(r and r["restarted"]))
