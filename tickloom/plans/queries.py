@@ -389,12 +389,16 @@ def quadratic_residual(spark, sf_dir):
 
 @query("SELECT k, 'known' AS side FROM (SELECT l_orderkey AS k FROM lineitem WHERE l_quantity > 45 UNION SELECT o_orderkey FROM orders WHERE o_orderstatus = 'P') UNION ALL SELECT k, 'left' FROM (SELECT o_orderkey AS k FROM orders EXCEPT SELECT l_orderkey FROM lineitem) UNION ALL SELECT k, 'both' FROM (SELECT o_orderkey AS k FROM orders INTERSECT SELECT l_orderkey FROM lineitem WHERE l_discount > 0.09)")
 def set_ops(spark, sf_dir):
+    """Each key's marks meet in one aggregate; its tasks follow the rows, so that none holds more of them as the tables grow."""
     lines, orders = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
-    keys = orders.select(F.col("o_orderkey").alias("k"))
-    known = lines.where("l_quantity > 45").select(F.col("l_orderkey").alias("k")).union(orders.where("o_orderstatus = 'P'").select("o_orderkey")).distinct()
-    left = keys.distinct().join(lines.select(F.col("l_orderkey").alias("k")), "k", "left_anti")
-    both = keys.distinct().join(lines.where("l_discount > 0.09").select(F.col("l_orderkey").alias("k")), "k", "left_semi")
-    return known.withColumn("side", F.lit("known")).union(left.withColumn("side", F.lit("left"))).union(both.withColumn("side", F.lit("both")))
+    marked = lambda key, **marks: (F.col(key).alias("k"), *(marks.get(m, F.lit(False)).alias(m) for m in ("order", "line", "known", "high")))
+    of_orders = orders.select(*marked("o_orderkey", order=F.lit(True), known=F.col("o_orderstatus") == "P"))
+    of_lines = lines.select(*marked("l_orderkey", line=F.lit(True), known=F.col("l_quantity") > 45, high=F.col("l_discount") > 0.09))
+    parts = max(2 * spark.sparkContext.defaultParallelism, -(-(lines.count() + orders.count()) // 500_000))
+    keys = of_orders.union(of_lines).repartition(parts, "k").groupBy("k").agg(*(F.coalesce(F.bool_or(m), F.lit(False)).alias(m) for m in ("order", "line", "known", "high")))
+    order, line, known, high = (F.col(c) for c in ("order", "line", "known", "high"))
+    sides = F.array(F.when(known, "known"), F.when(order & ~line, "left"), F.when(order & high, "both"))
+    return keys.select("k", F.explode(sides).alias("side")).where("side IS NOT NULL")
 
 
 @query(f"WITH {READINGS} SELECT ref, max(epoch) AS epoch, arg_max(phase, epoch) AS phase, arg_max(event_id, epoch) AS event_id FROM readings GROUP BY ref")
